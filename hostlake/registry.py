@@ -83,3 +83,132 @@ def q_disk_report_bucket_1d(spark, sf_dir):
     """Bucket form with day-wide buckets, so the sparse test data really meets IO samples."""
     lk = Lake(spark, sf_dir)
     return R.disk_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, match="bucket", width=DAY)
+
+
+# --------------------------------------------------------------------------- views, profile, diagnostics
+
+from .plans import profile as P  # noqa: E402
+
+
+@register("readable_history")
+def q_readable_history(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.readable_history(lk.hist, lk.items, lk.inv)
+
+
+@register("host_item_catalog")
+def q_host_item_catalog(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.host_item_catalog(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=7 * DAY)
+
+
+@register("value_type_distribution")
+def q_value_type_distribution(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.value_type_distribution(lk.hist, lk.items)
+
+
+@register("host_density")
+def q_host_density(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.host_density(lk.hist, lk.inv, lk.as_of, lookback_s=DAY, top=50)
+
+
+@register("noisy_items")
+def q_noisy_items(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.noisy_items(lk.hist, lk.items, lk.as_of, lookback_s=DAY, top=30)
+
+
+@register("collection_volume")
+def q_collection_volume(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.collection_volume(lk.hist, lk.as_of, lookback_s=ALL_DAYS, width=300)
+
+
+@register("series_summary")
+def q_series_summary(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.series_summary(lk.hist, lk.as_of, lookback_s=ALL_DAYS)
+
+
+@register("latest_per_item")
+def q_latest_per_item(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.latest_per_item(lk.hist, lk.items, lk.inv)
+
+
+@register("host_latest_100")
+def q_host_latest_100(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.host_latest(lk.hist, lk.items, lk.inv, n=100)
+
+
+@register("diag_items")
+def q_diag_items(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.diag_items(lk.items, lk.inv)
+
+
+@register("diag_presence")
+def q_diag_presence(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.diag_presence(lk.hist, lk.items, lk.inv)
+
+
+@register("diag_roles")
+def q_diag_roles(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.diag_roles(lk.items, lk.inv)
+
+
+@register("diag_histogram")
+def q_diag_histogram(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.diag_histogram(lk.hist, lk.items, lk.inv)
+
+
+@register("diag_coverage")
+def q_diag_coverage(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.diag_coverage(lk.hist, lk.items, lk.inv)
+
+
+@register("disk_volume")
+def q_disk_volume(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.disk_volume(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=DAY)
+
+
+@register("mount_key_audit")
+def q_mount_key_audit(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return P.mount_key_audit(lk.items, top=20)
+
+
+# --------------------------------------------------------------------------- dashboard panels (all hosts)
+
+from .plans import panels as PN  # noqa: E402
+
+
+@register("host_list")
+def q_host_list(spark, sf_dir):
+    return PN.host_list(Lake(spark, sf_dir).inv)
+
+
+@register("item_list")
+def q_item_list(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return PN.item_list(P.host_item_catalog(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=7 * DAY))
+
+
+@register("host_info")
+def q_host_info(spark, sf_dir):
+    return PN.host_info(Lake(spark, sf_dir).inv)
+
+
+@register("panel_timeseries")
+def q_panel_timeseries(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    r = P.readable_history(lk.hist, lk.items, lk.inv)
+    return PN.panel_timeseries(r, lk.as_of - ALL_DAYS, lk.as_of)

@@ -121,6 +121,8 @@ inventory AS (
            CASE WHEN c_nationkey % 5 = 0 THEN 'Zabbix Server' ELSE 'Proxy ID: ' || CAST(c_nationkey AS VARCHAR) END AS monitored_by,
            CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN [c_mktsegment] ELSE ['AGENTLESS_GROUP', c_mktsegment] END AS host_groups,
            CASE WHEN c_custkey % 4 = 3 THEN ['Windows by WinRM'] ELSE ['Linux by SSH'] END AS templates,
+           [{'tag': 'segment', 'value': c_mktsegment}] AS tags,
+           TIMESTAMP '2024-01-31 00:00:00' AS collected_at,
            c_mktsegment AS segment
     FROM customer
 ),
