@@ -212,3 +212,141 @@ def q_panel_timeseries(spark, sf_dir):
     lk = Lake(spark, sf_dir)
     r = P.readable_history(lk.hist, lk.items, lk.inv)
     return PN.panel_timeseries(r, lk.as_of - ALL_DAYS, lk.as_of)
+
+
+# --------------------------------------------------------------------------- agent payloads
+
+from .functions import agent_mapping as AM  # noqa: E402
+from .operators import normalize as N  # noqa: E402
+from .plans import agent as AG  # noqa: E402
+from .sources import payloads as PL  # noqa: E402
+
+AGENT_TABLES = ["opsb_agent_node", "opsb_agent_disk", "opsb_agent_filesys", "opsb_agent_cpu", "opsb_agent_netif"]
+
+
+def _sorted_keys(m):
+    return F.array_join(F.array_sort(F.map_keys(m)), ",")
+
+
+def agent_norm(spark, sf_dir):
+    return N.normalize(PL.payloads(spark, sf_dir))
+
+
+def agent_table(spark, sf_dir, table, norm=None):
+    """Agent lake table: records accepted under the default (lenient) routing."""
+    norm = agent_norm(spark, sf_dir) if norm is None else norm
+    accepted, _ = N.route(norm, strict=False)
+    return N.to_table_rows(accepted, table)
+
+
+def _table_view(df):
+    return df.select(*[c for c in df.columns if c != "extra_metrics"],
+                     _sorted_keys(F.col("extra_metrics")).alias("extra_metric_keys"))
+
+
+@register("normalize_records")
+def q_normalize_records(spark, sf_dir):
+    n = agent_norm(spark, sf_dir)
+    return n.select("request_id", "record_pos", "class_name", "target_table", "datasource", "source",
+                    "node_fqdn", "node_short_name", "node_ipv4_address",
+                    F.col("timestamp_utc_s").try_cast("bigint").alias("timestamp_utc_s"),
+                    "received_at", "raw_payload_ref",
+                    _sorted_keys(F.col("metrics")).alias("metric_keys"),
+                    _sorted_keys(F.col("extra_metrics")).alias("extra_keys"))
+
+
+def _reg_table(table):
+    short = table.replace("opsb_agent_", "")
+
+    @register(f"agent_{short}_rows")
+    def q(spark, sf_dir):
+        return _table_view(agent_table(spark, sf_dir, table))
+    return q
+
+
+for _t in AGENT_TABLES:
+    _reg_table(_t)
+
+
+@register("route_strict_quarantine")
+def q_route_strict_quarantine(spark, sf_dir):
+    _, q = N.route(agent_norm(spark, sf_dir), strict=True)
+    return q
+
+
+@register("route_strict_accepted")
+def q_route_strict_accepted(spark, sf_dir):
+    a, _ = N.route(agent_norm(spark, sf_dir), strict=True)
+    return a.select("request_id", "record_pos", "class_name", "target_table")
+
+
+@register("route_lenient_quarantine")
+def q_route_lenient_quarantine(spark, sf_dir):
+    _, q = N.route(agent_norm(spark, sf_dir), strict=False)
+    return q
+
+
+@register("request_summary")
+def q_request_summary(spark, sf_dir):
+    return N.request_summary(agent_norm(spark, sf_dir), strict=True)
+
+
+def _node(spark, sf_dir):
+    return agent_table(spark, sf_dir, "opsb_agent_node")
+
+
+@register("node_list")
+def q_node_list(spark, sf_dir):
+    return PN.node_list(_node(spark, sf_dir))
+
+
+@register("node_info")
+def q_node_info(spark, sf_dir):
+    n = _node(spark, sf_dir).where(F.col("node_short_name").isNotNull())
+    return PN.node_info(n)
+
+
+@register("node_cpu_mem")
+def q_node_cpu_mem(spark, sf_dir):
+    return PN.node_cpu_mem(_node(spark, sf_dir))
+
+
+@register("node_disk_util")
+def q_node_disk_util(spark, sf_dir):
+    return PN.node_disk_util(agent_table(spark, sf_dir, "opsb_agent_disk"))
+
+
+@register("node_fs_util")
+def q_node_fs_util(spark, sf_dir):
+    return PN.node_fs_util(agent_table(spark, sf_dir, "opsb_agent_filesys"))
+
+
+@register("net_throughput")
+def q_net_throughput(spark, sf_dir):
+    return PN.net_throughput(agent_table(spark, sf_dir, "opsb_agent_netif"))
+
+
+@register("node_profile")
+def q_node_profile(spark, sf_dir):
+    return AG.node_profile(_node(spark, sf_dir), top=50)
+
+
+@register("freshness")
+def q_freshness(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return AG.freshness(lk.hist, _node(spark, sf_dir), lk.as_of)
+
+
+@register("identity_overlap")
+def q_identity_overlap(spark, sf_dir):
+    return AG.identity_overlap(tb.inventory(spark, sf_dir), _node(spark, sf_dir))
+
+
+@register("host_unified")
+def q_host_unified(spark, sf_dir):
+    return AG.host_bridge(tb.inventory(spark, sf_dir), _node(spark, sf_dir))
+
+
+@register("name_bridge")
+def q_name_bridge(spark, sf_dir):
+    return AG.name_bridge(tb.inventory(spark, sf_dir), _node(spark, sf_dir), top=50)
