@@ -350,3 +350,83 @@ def q_host_unified(spark, sf_dir):
 @register("name_bridge")
 def q_name_bridge(spark, sf_dir):
     return AG.name_bridge(tb.inventory(spark, sf_dir), _node(spark, sf_dir), top=50)
+
+
+# --------------------------------------------------------------------------- staged files and lake writes
+
+from .operators import sinks as SK  # noqa: E402
+from .session import scratch_dir  # noqa: E402
+from .sources import history as HS  # noqa: E402
+
+HISTORY_TYPES = {"itemid": "BIGINT", "hostid": "BIGINT", "clock": "BIGINT", "ns": "INTEGER", "value_type": "SMALLINT"}
+HISTORY_COLS = ["itemid", "hostid", "clock", "ns", "value", "value_type"]
+
+
+def _history_staged_run(spark, sf_dir, max_records=5000):
+    """Stage history in overlapping 1-day fetch windows (text rows re-read at each
+    window edge, error rows twice inside their window), load with copy + conflict
+    target into a fresh lake; return (lake, ledger, staged_rows_frame)."""
+    lk = Lake(spark, sf_dir)
+    t0 = int(lk.hist.agg(F.min("clock")).first()[0])
+    win = HS.history_windows(lk.hist, t0, DAY, overlap=3600)
+    dup = win.where(F.col("value_type") == 4)
+    staged = win.unionByName(dup).select(*[F.col(c).cast("string") for c in HISTORY_COLS], "window_id")
+    pending, lake = scratch_dir(spark, "pending"), scratch_dir(spark, "lake")
+    SK.write_staged(staged, pending, "zabbix_history", "copy", key=["itemid", "clock", "ns"],
+                    column_types=HISTORY_TYPES, add_updated_at=False, group_cols=["window_id"],
+                    max_records=max_records)
+    ledger = SK.load_pending(spark, pending, lake, partition_tables={"zabbix_history": "event_date"})
+    return lake, ledger, staged
+
+
+@register("staged_history_roundtrip")
+def q_staged_history_roundtrip(spark, sf_dir):
+    lake, _, _ = _history_staged_run(spark, sf_dir)
+    return SK.read_table(spark, lake, "zabbix_history").select(*HISTORY_COLS)
+
+
+@register("load_summary")
+def q_load_summary(spark, sf_dir):
+    _, ledger, _ = _history_staged_run(spark, sf_dir, max_records=1_000_000)
+    return SK.load_summary(ledger)
+
+
+@register("staged_inventory_upsert")
+def q_staged_inventory_upsert(spark, sf_dir):
+    """Two upsert runs: an older version of every host, then the current one."""
+    inv = tb.inventory(spark, sf_dir).select("hostid", "name", "status", "primary_ip", "monitored_by",
+                                             "host_groups", "templates")
+    old = inv.withColumn("name", F.concat(F.lit("old-"), F.col("name"))).withColumn("status", F.lit("Disabled"))
+    lake = scratch_dir(spark, "lake")
+    meta = dict(key=["hostid"], json_columns=["host_groups", "templates"], source="inventory")
+    p1, p2 = scratch_dir(spark, "pending"), scratch_dir(spark, "pending")
+    SK.write_staged(old, p1, "zabbix_inventory", "upsert", **meta)
+    SK.load_pending(spark, p1, lake)
+    SK.write_staged(inv, p2, "zabbix_inventory", "upsert", **meta)
+    SK.load_pending(spark, p2, lake)
+    return SK.read_table(spark, lake, "zabbix_inventory").select(
+        "hostid", "name", "status", "primary_ip", "monitored_by",
+        F.col("host_groups").alias("host_groups_json"), F.col("templates").alias("templates_json"))
+
+
+@register("staged_items_insert")
+def q_staged_items_insert(spark, sf_dir):
+    """Items loaded with ``insert``; a second run re-sending every tenth item fails whole."""
+    it = tb.items(spark, sf_dir)
+    lake = scratch_dir(spark, "lake")
+    p1, p2 = scratch_dir(spark, "pending"), scratch_dir(spark, "pending")
+    SK.write_staged(it, p1, "zabbix_items", "insert", key=["itemid"], add_updated_at=False)
+    SK.load_pending(spark, p1, lake)
+    again = it.where(F.pmod(F.col("itemid").cast("bigint"), F.lit(10)) == 0)
+    SK.write_staged(again, p2, "zabbix_items", "insert", key=["itemid"], add_updated_at=False, max_records=10**9)
+    SK.load_pending(spark, p2, lake)
+    return SK.read_table(spark, lake, "zabbix_items")
+
+
+@register("dedup_history")
+def q_dedup_history(spark, sf_dir):
+    """Overlapping fetch windows unioned, then de-duplicated by (itemid, clock, ns)."""
+    lk = Lake(spark, sf_dir)
+    t0 = int(lk.hist.agg(F.min("clock")).first()[0])
+    win = HS.history_windows(lk.hist, t0, DAY, overlap=3600)
+    return HS.dedup_history(win.select(*HISTORY_COLS))

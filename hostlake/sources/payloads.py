@@ -29,7 +29,7 @@ GIB = 1073741824
 def read_payloads(spark: SparkSession, archive_dir: str, day: str | None = None) -> DataFrame:
     """Payload rows from the raw archive; ``day`` = 'YYYY/MM/DD' limits the scan to one day."""
     glob = f"{archive_dir.rstrip('/')}/{day if day else '*/*/*'}/*.json"
-    df = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(glob)
+    df = (spark.read.option("pathGlobFilter", "*.json").text(glob, wholetext=True)
           .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("_path"),
                   F.col("_metadata.file_modification_time").alias("received_at")))
     stem = F.regexp_extract("_path", r"([^/]+)\.json$", 1)
