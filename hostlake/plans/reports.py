@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import classify as K
 from ..functions.scalars import clock_to_ntz, safe_numeric
 from ..operators.asof import bucket_join, latest_by, nearest_join
-from ..session import bounded_broadcast
+from ..session import Dimension, bounded_broadcast
 
 DAY = 86_400
 
@@ -40,38 +40,49 @@ def _window(hist: DataFrame, as_of: int, lookback_s: int | None) -> DataFrame:
 
 # --------------------------------------------------------------------------- CPU / memory
 
+def group_items(items: DataFrame, hosts: DataFrame) -> Dimension:
+    """The group's CPU/memory and capacity items, persisted once with a row bound."""
+    keep = K.cpu_mem_prefilter("key_") | K.capacity_prefilter("key_")
+    return Dimension(items.where(keep).join(hosts.select("hostid"), "hostid").select("itemid", "hostid", "key_"))
+
+
 def cpu_mem_items(items: DataFrame, hosts: DataFrame) -> DataFrame:
     """Items of the group's hosts with a CPU/memory role (NULL role dropped)."""
-    return (items.where(K.cpu_mem_prefilter("key_"))
-            .join(hosts.select("hostid"), "hostid")
+    it = items.where(K.cpu_mem_prefilter("key_"))
+    if hosts is not None:
+        it = it.join(hosts.select("hostid"), "hostid")
+    return (it
             .select(F.col("itemid").try_cast("bigint").alias("itemid_num"), "hostid",
                     K.cpu_mem_role("key_").alias("role"))
             .where(F.col("role").isNotNull()))
 
 
 def capacity_items(items: DataFrame, hosts: DataFrame) -> DataFrame:
-    return (items.where(K.capacity_prefilter("key_"))
-            .join(hosts.select("hostid"), "hostid")
+    it = items.where(K.capacity_prefilter("key_"))
+    if hosts is not None:
+        it = it.join(hosts.select("hostid"), "hostid")
+    return (it
             .select(F.col("itemid").try_cast("bigint").alias("itemid_num"), "hostid",
                     K.capacity_role("key_").alias("role"))
             .where(F.col("role").isNotNull()))
 
 
-def latest_item_values(hist: DataFrame, item_ids: DataFrame, value_types=None) -> DataFrame:
+def latest_item_values(hist: DataFrame, item_ids: DataFrame, value_types=None, dim: Dimension | None = None) -> DataFrame:
     """Latest (clock, ns) row of every item in ``item_ids.itemid_num`` over all history.
 
     History is semi-joined to the (bounded, broadcast) item list before a
     ``max_by`` aggregate, so only the wanted items are aggregated.
     """
     h = hist if value_types is None else hist.where(F.col("value_type").isin(*value_types))
-    ids = bounded_broadcast(item_ids.select(F.col("itemid_num").alias("itemid")).distinct())
+    ids = item_ids.select(F.col("itemid_num").alias("itemid")).distinct()
+    ids = dim.bc(ids) if dim is not None else bounded_broadcast(ids)
     h = h.join(ids, "itemid", "left_semi")
     return latest_by(h, ["itemid"], ["clock", "ns"], ["value"])
 
 
-def host_capacity(hist: DataFrame, cap_items: DataFrame) -> DataFrame:
+def host_capacity(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None) -> DataFrame:
     """One row per host: latest core count / total memory and when it was measured."""
-    last = latest_item_values(hist, cap_items)
+    last = latest_item_values(hist, cap_items, dim=dim)
     cap_last = cap_items.join(last, cap_items["itemid_num"] == last["itemid"]) \
         .select("hostid", "role", "itemid", "clock", safe_numeric("value").alias("value"))
     # several items of one role on a host: the one with the newest sample wins
@@ -86,10 +97,11 @@ def host_capacity(hist: DataFrame, cap_items: DataFrame) -> DataFrame:
 
 def cpu_with_mem(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                  lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
-                 chunk_seconds: int | None = 3600) -> DataFrame:
+                 chunk_seconds: int | None = 3600, dim: Dimension | None = None) -> DataFrame:
     """CPU samples of the window, each with the nearest memory sample of its host."""
     hosts = group_hosts(inv, group)
-    used = bounded_broadcast(cpu_mem_items(items, hosts).where(F.col("role").isin("cpu", "mem")))
+    dim = dim or group_items(items, hosts)
+    used = dim.bc(cpu_mem_items(dim.df, None).where(F.col("role").isin("cpu", "mem")))
     pct = (_window(hist, as_of, lookback_s).where(F.col("value_type") == 0)
            .select("itemid", "clock", "ns", "value")
            .join(used, F.col("itemid") == F.col("itemid_num"))
@@ -106,8 +118,9 @@ def cpu_mem_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int
                    lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
                    ordered: bool = False, chunk_seconds: int | None = 3600) -> DataFrame:
     hosts = group_hosts(inv, group)
-    c = cpu_with_mem(hist, items, inv, as_of, lookback_s, group, chunk_seconds)
-    cap = host_capacity(hist, capacity_items(items, hosts))
+    dim = group_items(items, hosts)
+    c = cpu_with_mem(hist, items, inv, as_of, lookback_s, group, chunk_seconds, dim=dim)
+    cap = host_capacity(hist, capacity_items(dim.df, None), dim=dim)
     out = (c.join(hosts, "hostid").join(cap, "hostid", "left")
            .select(F.col("clock").alias("transaction_clock"),
                    clock_to_ntz("clock").alias("TransactionDatetime"),
@@ -127,8 +140,9 @@ def capacity_fill_rate(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of:
                        lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP") -> DataFrame:
     """Rows / hosts of the CPU report that carry a core-count capacity value."""
     hosts = group_hosts(inv, group)
-    c = cpu_with_mem(hist, items, inv, as_of, lookback_s, group)
-    cap = host_capacity(hist, capacity_items(items, hosts))
+    dim = group_items(items, hosts)
+    c = cpu_with_mem(hist, items, inv, as_of, lookback_s, group, dim=dim)
+    cap = host_capacity(hist, capacity_items(dim.df, None), dim=dim)
     j = c.join(cap, "hostid", "left")
     total = F.count(F.lit(1))
     return j.agg(
@@ -155,15 +169,16 @@ def disk_items(items: DataFrame, hosts: DataFrame) -> DataFrame:
 
 def _disk_parts(hist, items, inv, as_of, lookback_s, group):
     hosts = group_hosts(inv, group, with_ip=True)
-    di = disk_items(items, hosts)
-    series = bounded_broadcast(di.where(F.col("role").isin("util", "used", "read", "write")))
+    dim = Dimension(disk_items(items, hosts))
+    di = dim.df
+    series = dim.bc(di.where(F.col("role").isin("util", "used", "read", "write")))
     h = (_window(hist, as_of, lookback_s).where(F.col("value_type").isin(0, 3))
          .select("itemid", "clock", "ns", "value", "value_type")
          .join(series, (F.col("itemid") == F.col("itemid_num")) & (F.col("value_type") == F.col("vtype")))
          .select("os_kind", "hostid", "node_fqdn", "node_ipv4_address", "mount_key", "role",
                  "clock", "ns", "itemid", safe_numeric("value").alias("value")))
     cap_items = di.where(F.col("role").isin("free", "size"))
-    last = latest_item_values(hist, cap_items, value_types=(0, 3))
+    last = latest_item_values(hist, cap_items, value_types=(0, 3), dim=dim)
     cap = (cap_items.join(last, cap_items["itemid_num"] == last["itemid"])
            .groupBy("os_kind", "hostid", "mount_key")
            .agg(F.max(F.when(F.col("role") == "free", safe_numeric("value"))).alias("free_mb"),

@@ -67,6 +67,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+class Dimension:
+    """A dimension-side DataFrame persisted once, with a proven row bound.
+
+    ``small`` is decided by one bounded count (at most ``max_rows + 1`` rows
+    are counted); every subset of a small dimension is small too, so
+    ``bc(subset)`` broadcasts it without another check, and leaves it to the
+    shuffle join (and AQE) otherwise.
+    """
+
+    def __init__(self, df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS):
+        from pyspark import StorageLevel
+        self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.small = self.df.limit(max_rows + 1).count() <= max_rows
+
+    def bc(self, subset: DataFrame | None = None) -> DataFrame:
+        d = self.df if subset is None else subset
+        return F.broadcast(d) if self.small else d
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
 
