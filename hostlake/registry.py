@@ -430,3 +430,74 @@ def q_dedup_history(spark, sf_dir):
     t0 = int(lk.hist.agg(F.min("clock")).first()[0])
     win = HS.history_windows(lk.hist, t0, DAY, overlap=3600)
     return HS.dedup_history(win.select(*HISTORY_COLS))
+
+
+# --------------------------------------------------------------------------- API dumps
+
+from .operators import inventory as INV  # noqa: E402
+from .sources import dumps as DU  # noqa: E402
+
+COLLECTED_AT = "2024-01-31T00:00:00Z"
+
+
+def _dumps(spark, sf_dir):
+    d = scratch_dir(spark, "dumps")
+    DU.write_dumps_from_customer(spark, sf_dir, tb.items(spark, sf_dir), d)
+    return d
+
+
+def _host_view(h):
+    return h.select(
+        "hostid", "name", "description", "status", "primary_ip",
+        F.array_join("secondary_ips", ",").alias("secondary_ips"), "monitored_by",
+        F.array_join("host_groups", ",").alias("host_groups"),
+        F.array_join("templates", ",").alias("templates"),
+        F.array_join(F.transform("interfaces", lambda i: F.concat_ws(":", i["type"], i["active_address"],
+                                                                     F.coalesce(i["error"], F.lit("-")))), ",").alias("interfaces"),
+        F.array_join(F.transform("macros", lambda m: F.concat_ws("=", m["macro"], m["value"])), ",").alias("macros"),
+        F.array_join(F.transform("tags", lambda t: F.concat_ws("=", t["tag"], t["value"])), ",").alias("tags"),
+        "collected_at")
+
+
+@register("host_dump_decode")
+def q_host_dump_decode(spark, sf_dir):
+    d = _dumps(spark, sf_dir)
+    return _host_view(INV.format_hosts(DU.read_host_dump(spark, d), collected_at=COLLECTED_AT))
+
+
+@register("group_filter")
+def q_group_filter(spark, sf_dir):
+    d = _dumps(spark, sf_dir)
+    h = INV.format_hosts(DU.read_host_dump(spark, d), target_groups=["AGENTLESS_GROUP"], collected_at=COLLECTED_AT)
+    return h.select("hostid", "name", "status")
+
+
+@register("host_counts")
+def q_host_counts(spark, sf_dir):
+    d = _dumps(spark, sf_dir)
+    return SK.host_counts(INV.format_hosts(DU.read_host_dump(spark, d), collected_at=COLLECTED_AT))
+
+
+@register("item_decode")
+def q_item_decode(spark, sf_dir):
+    d = _dumps(spark, sf_dir)
+    return INV.format_items(DU.read_item_dump(spark, d))
+
+
+@register("template_decode")
+def q_template_decode(spark, sf_dir):
+    d = _dumps(spark, sf_dir)
+    t = INV.format_templates(DU.read_template_dump(spark, d))
+    return t.select("name", "host", "description", F.array_join("template_groups", ",").alias("template_groups"),
+                    F.array_join("parent_templates", ",").alias("parent_templates"))
+
+
+@register("item_map")
+def q_item_map(spark, sf_dir):
+    return INV.item_map(tb.items(spark, sf_dir))
+
+
+@register("attach_host")
+def q_attach_host(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return INV.attach_host(lk.hist, lk.items).select(*HISTORY_COLS)
