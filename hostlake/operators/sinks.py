@@ -263,22 +263,38 @@ def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: in
     """Load pending staged documents into lake tables, as each document declares.
 
     Returns the run's ledger rows ``(file_path, doc_pos, table, method, status,
-    rows, error)``, which are also appended to ``<lake>/_ledger``; documents
-    already in the ledger as ok / skipped are not loaded again (at-least-once
-    input, effectively-once tables). At most ``max_files`` files are taken,
-    oldest name first; the rest are deferred.
+    rows, error, batch_id)``, which are also appended to ``<lake>/_ledger``;
+    documents already in the ledger as ok / skipped are not loaded again
+    (at-least-once input, effectively-once tables). At most ``max_files``
+    files are taken, oldest name first; the rest are deferred.
     """
     batch_id = batch_id or uuid.uuid4().hex
-    ledger_path = f"{lake}/_ledger"
+    files = S.list_pending(spark, pending_dir, max_files=max_files, done=_done(spark, lake))
+    if not files:
+        return _empty_ledger(spark)
+    return load_docs(spark, S.read_staged(spark, pending_dir, files), lake, batch_id, partition_tables)
+
+
+def _done(spark: SparkSession, lake: str):
     try:
-        done = spark.read.parquet(ledger_path).where(F.col("status").isin("ok", "skipped"))
+        return spark.read.parquet(f"{lake}/_ledger").where(F.col("status").isin("ok", "skipped"))
     except Exception:  # noqa: BLE001 - first run
-        done = None
-    files = S.list_pending(spark, pending_dir, max_files=max_files, done=done)
-    if not files:
-        return spark.createDataFrame([], "file_path string, doc_pos int, table string, method string, "
-                                         "status string, rows bigint, error string, batch_id string")
-    docs = S.read_staged(spark, pending_dir, files)
+        return None
+
+
+def _empty_ledger(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "file_path string, doc_pos int, table string, method string, "
+                                     "status string, error string, rows bigint, batch_id string")
+
+
+def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
+              partition_tables: dict[str, str] | None = None) -> DataFrame:
+    """Load a batch of staged documents ``(file_path, doc_pos, doc)``; see ``load_pending``.
+
+    Used as is by the streaming loader's ``foreachBatch``.
+    """
+    ledger_path = f"{lake}/_ledger"
+    done = _done(spark, lake)
     parsed = S.parse_envelope(docs)
     if done is not None:
         parsed = parsed.join(done.select("file_path", "doc_pos"), ["file_path", "doc_pos"], "left_anti")

@@ -501,3 +501,61 @@ def q_item_map(spark, sf_dir):
 def q_attach_host(spark, sf_dir):
     lk = Lake(spark, sf_dir)
     return INV.attach_host(lk.hist, lk.items).select(*HISTORY_COLS)
+
+
+# --------------------------------------------------------------------------- streaming
+
+from .streaming import streams as ST  # noqa: E402
+
+
+def _await(q, timeout_s: int = 600):
+    q.awaitTermination(timeout_s)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+@register("stream_history_load")
+def q_stream_history_load(spark, sf_dir):
+    """Staged history documents loaded by the streaming loader, two files per micro-batch."""
+    lk = Lake(spark, sf_dir)
+    t0 = int(lk.hist.agg(F.min("clock")).first()[0])
+    win = HS.history_windows(lk.hist, t0, DAY, overlap=3600)
+    staged = win.select(*[F.col(c).cast("string") for c in HISTORY_COLS], "window_id")
+    pending, lake, ck = scratch_dir(spark, "pending"), scratch_dir(spark, "lake"), scratch_dir(spark, "ckpt")
+    SK.write_staged(staged.repartition(8, "window_id"), pending, "zabbix_history", "copy",
+                    key=["itemid", "clock", "ns"], column_types=HISTORY_TYPES, add_updated_at=False,
+                    group_cols=["window_id"])
+    _await(ST.stream_load_pending(spark, pending, lake, ck, max_files_per_trigger=2,
+                                  partition_tables={"zabbix_history": "event_date"}))
+    return SK.read_table(spark, lake, "zabbix_history").select(*HISTORY_COLS)
+
+
+@register("stream_agent_node")
+def q_stream_agent_node(spark, sf_dir):
+    """Payloads archived by day, streamed through normalise -> route -> agent tables."""
+    archive, lake, ck = scratch_dir(spark, "raw"), scratch_dir(spark, "lake"), scratch_dir(spark, "ckpt")
+    SK.archive_raw(PL.payloads(spark, sf_dir), archive)
+    _await(ST.stream_agent_metrics(spark, archive, lake, ck, strict=False, max_files_per_trigger=4))
+    rows = spark.read.parquet(f"{lake}/opsb_agent_node/data").drop("batch_id")
+    return _table_view(rows)
+
+
+def _history_files(spark, sf_dir):
+    d = scratch_dir(spark, "hist")
+    Lake(spark, sf_dir).hist.repartition(8).write.mode("overwrite").parquet(d)
+    return d
+
+
+@register("stream_volume")
+def q_stream_volume(spark, sf_dir):
+    """5-minute volume per host from a history stream (watermark wider than the input's disorder)."""
+    src, lake, ck = _history_files(spark, sf_dir), scratch_dir(spark, "lake"), scratch_dir(spark, "ckpt")
+    _await(ST.stream_volume(spark, src, f"{lake}/volume", ck, watermark="40 days", max_files_per_trigger=2))
+    return SK.read_table(spark, lake, "volume")
+
+
+@register("stream_freshness")
+def q_stream_freshness(spark, sf_dir):
+    src, out, ck = _history_files(spark, sf_dir), scratch_dir(spark, "fresh"), scratch_dir(spark, "ckpt")
+    _await(ST.stream_freshness(spark, src, out, ck))
+    return spark.read.parquet(out)

@@ -253,3 +253,5 @@ JOIN (SELECT DISTINCT node_short_name, node_fqdn, node_ipv4_address FROM opsb_ag
 ORDER BY zabbix_name NULLS LAST, obm_name NULLS LAST, obm.node_ipv4_address NULLS LAST, inv.primary_ip NULLS LAST
 LIMIT 50
 """)
+
+ORACLE["stream_agent_node"] = ORACLE["agent_node_rows"]
