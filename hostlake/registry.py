@@ -559,3 +559,79 @@ def q_stream_freshness(spark, sf_dir):
     src, out, ck = _history_files(spark, sf_dir), scratch_dir(spark, "fresh"), scratch_dir(spark, "ckpt")
     _await(ST.stream_freshness(spark, src, out, ck))
     return spark.read.parquet(out)
+
+
+# --------------------------------------------------------------------------- maintenance, loader errors
+
+from .operators import maintenance as MT  # noqa: E402
+
+
+def _partitioned_history(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    path = scratch_dir(spark, "history")
+    MT.partition_history(lk.hist, path)
+    return lk, path
+
+
+@register("partition_counts")
+def q_partition_counts(spark, sf_dir):
+    """Rows per day partition of the date-partitioned history."""
+    _, path = _partitioned_history(spark, sf_dir)
+    return spark.read.parquet(path).groupBy(MT.PARTITION_COL).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("apply_retention")
+def q_apply_retention(spark, sf_dir):
+    """History after dropping day partitions older than 15 days before as_of."""
+    lk, path = _partitioned_history(spark, sf_dir)
+    MT.apply_retention(spark, path, lk.as_of, keep_days=15)
+    return spark.read.parquet(path).select(*HISTORY_COLS)
+
+
+@register("compact")
+def q_compact(spark, sf_dir):
+    """History after compacting day partitions older than 7 days (content unchanged)."""
+    lk, path = _partitioned_history(spark, sf_dir)
+    MT.compact(spark, path, lk.as_of, older_than_days=7)
+    return spark.read.parquet(path).select(*HISTORY_COLS)
+
+
+# ---- fixed values: kinds of staged documents built per customer (custkey % 8) -----------
+DOC_KINDS = ["insert", "upsert", "copy", "no_table", "bad_method", "upsert_no_key", "data_not_list", "empty"]
+# -----------------------------------------------------------------------------------------
+
+
+@register("load_errors")
+def q_load_errors(spark, sf_dir):
+    """One staged document per customer, a valid or an invalid shape by custkey % 8;
+    the loader's ledger grouped by status and error."""
+    cu = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
+    kind = F.element_at(F.array(*[F.lit(k) for k in DOC_KINDS]), F.pmod(F.col("c_custkey"), F.lit(8)).cast("int") + 1)
+    rec = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("custkey"), F.col("c_name").alias("name"),
+                             F.col("c_mktsegment").alias("segment")))
+    meta = (F.when(kind == "insert", F.lit('{"table":"cust_insert","method":"INSERT","conflict_target":["custkey"]}'))
+            .when(kind == "upsert", F.lit('{"table":"cust_upsert","method":"upsert","conflict_target":["custkey"]}'))
+            .when(kind == "copy", F.lit('{"table":"cust_copy","method":"copy"}'))
+            .when(kind == "no_table", F.lit('{"method":"copy"}'))
+            .when(kind == "bad_method", F.lit('{"table":"cust_copy","method":"merge"}'))
+            .when(kind == "upsert_no_key", F.lit('{"table":"cust_upsert","method":"upsert"}'))
+            .when(kind == "data_not_list", F.lit('{"table":"cust_copy","method":"copy"}'))
+            .otherwise(F.lit('{"table":"cust_copy","method":"copy"}')))
+    data = (F.when(kind == "data_not_list", rec).when(kind == "empty", F.lit("[]"))
+            .otherwise(F.concat(F.lit("["), rec, F.lit("]"))))
+    doc = F.concat(F.lit('{"meta":'), meta, F.lit(',"data":'), data, F.lit("}"))
+    pending, lake = scratch_dir(spark, "pending"), scratch_dir(spark, "lake")
+    cu.select(doc.alias("value")).write.mode("append").text(pending)
+    SK._rename_json(spark, pending)
+    ledger = SK.load_pending(spark, pending, lake)
+    return ledger.groupBy("status", "error").agg(F.count(F.lit(1)).alias("documents"),
+                                                 F.sum("rows").cast("bigint").alias("rows"))
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """Quarantine written by the streaming agent ingest (lenient mode)."""
+    archive, lake, ck = scratch_dir(spark, "raw"), scratch_dir(spark, "lake"), scratch_dir(spark, "ckpt")
+    SK.archive_raw(PL.payloads(spark, sf_dir), archive)
+    _await(ST.stream_agent_metrics(spark, archive, lake, ck, strict=False, max_files_per_trigger=4))
+    return spark.read.parquet(f"{lake}/_quarantine").select("request_id", "reason", "weak_record_count", "total_records")

@@ -255,3 +255,4 @@ LIMIT 50
 """)
 
 ORACLE["stream_agent_node"] = ORACLE["agent_node_rows"]
+ORACLE["stream_quarantine"] = ORACLE["route_lenient_quarantine"]
