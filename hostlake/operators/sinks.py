@@ -259,9 +259,12 @@ def write_upsert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
 # --------------------------------------------------------------------------- loader
 
 def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: int | None = None,
-                 batch_id: str | None = None, partition_tables: dict[str, str] | None = None) -> DataFrame:
+                 batch_id: str | None = None, partition_tables: dict[str, str] | None = None,
+                 done_dir: str | None = None) -> DataFrame:
     """Load pending staged documents into lake tables, as each document declares.
 
+    With ``done_dir`` fully loaded (or skipped) files are moved there, so the
+    pending folder only holds new and failed files (failed ones are retried).
     Returns the run's ledger rows ``(file_path, doc_pos, table, method, status,
     rows, error, batch_id)``, which are also appended to ``<lake>/_ledger``;
     documents already in the ledger as ok / skipped are not loaded again
@@ -272,7 +275,23 @@ def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: in
     files = S.list_pending(spark, pending_dir, max_files=max_files, done=_done(spark, lake))
     if not files:
         return _empty_ledger(spark)
-    return load_docs(spark, S.read_staged(spark, pending_dir, files), lake, batch_id, partition_tables)
+    ledger = load_docs(spark, S.read_staged(spark, pending_dir, files), lake, batch_id, partition_tables)
+    if done_dir:
+        # the counterpart of deleting a loaded file: move fully finished files out of pending/
+        bad = {r[0] for r in ledger.where(F.col("status") == "error").select("file_path").distinct().collect()}
+        _move_files(spark, [f for f in files if S._norm_path(f) not in {S._norm_path(b) for b in bad}], done_dir)
+    return ledger
+
+
+def _move_files(spark: SparkSession, files: list[str], target: str) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    t = jvm.org.apache.hadoop.fs.Path(target)
+    fs = t.getFileSystem(conf)
+    fs.mkdirs(t)
+    for f in files:
+        src = jvm.org.apache.hadoop.fs.Path(f)
+        fs.rename(src, jvm.org.apache.hadoop.fs.Path(t, src.getName()))
 
 
 def _done(spark: SparkSession, lake: str):

@@ -66,12 +66,20 @@ def list_pending(spark: SparkSession, pending_dir: str, max_files: int | None =
         files = sorted(spark.read.option("pathGlobFilter", "*.json").text(pending_dir).inputFiles())
     except Exception:  # noqa: BLE001 - empty / missing folder
         return []
-    if done is not None:
-        finished = {r[0] for r in done.select("file_path").distinct().toLocalIterator()}
+    if done is not None and files:
+        # only the listed files are matched against the (ever-growing) ledger
+        listed = spark.createDataFrame([(f, _norm_path(f)) for f in files], "f string, n string")
+        done_n = done.select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("n"))
+        finished = {r.f for r in listed.join(done_n, "n", "left_semi").collect()}
         files = [f for f in files if f not in finished]
     return files if max_files is None else files[:max_files]
 
 
+def _norm_path(p: str) -> str:
+    """'file:///x' and 'file:/x' name the same file."""
+    return "file:/" + p[len("file:"):].lstrip("/") if p.startswith("file:") else p
+
+
 def _jtype(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
 
