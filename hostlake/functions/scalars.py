@@ -49,6 +49,11 @@ def clock_to_ntz(clock: str | Column) -> Column:
     return F.timestamp_add("SECOND", c(clock), F.expr(EPOCH_NTZ))
 
 
+def utc_ntz(ts: str | Column) -> Column:
+    """TIMESTAMP (an instant) -> TIMESTAMP_NTZ holding its UTC wall time, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c(ts)), F.expr(EPOCH_NTZ))
+
+
 def ntz_to_clock(ts: str | Column) -> Column:
     """TIMESTAMP_NTZ -> unix seconds (floor for times after 1970)."""
     return F.timestamp_diff("SECOND", F.expr(EPOCH_NTZ), c(ts))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ntz_to_clock
+from ..functions.scalars import ntz_to_clock, utc_ntz
 from .testbind import host_ip
 
 # ---- fixed values of the payload binding --------------------------------------------
@@ -31,7 +31,7 @@ def read_payloads(spark: SparkSession, archive_dir: str, day: str | None = None)
     glob = f"{archive_dir.rstrip('/')}/{day if day else '*/*/*'}/*.json"
     df = (spark.read.option("pathGlobFilter", "*.json").text(glob, wholetext=True)
           .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("_path"),
-                  F.col("_metadata.file_modification_time").alias("received_at")))
+                  utc_ntz(F.col("_metadata.file_modification_time")).alias("received_at")))
     stem = F.regexp_extract("_path", r"([^/]+)\.json$", 1)
     ref = F.regexp_extract("_path", r"(raw/[0-9]{4}/[0-9]{2}/[0-9]{2}/[^/]+\.json)$", 1)
     return df.select(stem.alias("request_id"), "received_at",
