@@ -42,6 +42,7 @@ def nearest_join(
     channel: str | None = None,
     channel_values: Sequence[str] = (),
     chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS,
+    materialize: bool = True,
 ) -> DataFrame:
     """Closest right row per left row, by |clock difference|, within ``by``.
 
@@ -54,6 +55,9 @@ def nearest_join(
     With ``channel`` (a right column) each value in ``channel_values`` is
     matched independently and the output gets ``<ch>_<value>`` and
     ``<ch>_clock`` columns (always left-outer).
+
+    ``materialize`` checkpoints the combined input once (eager job) because
+    the chunked form reads it twice.
     """
     by = list(by)
     values = list(values)
@@ -80,6 +84,12 @@ def nearest_join(
     u = l_side.unionByName(r_side)
 
     part = list(by)
+    if chunk_seconds and materialize:
+        # the input is read twice (chunk boundaries + windows): materialise it once in
+        # the shared checkpoint folder instead of recomputing its lineage
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(u.sparkSession)
+        u = u.checkpoint(eager=True)
     if chunk_seconds:
         u = u.withColumn("_chunk", F.floor(F.col(clock) / F.lit(chunk_seconds)).cast("long"))
         part = by + ["_chunk"]

@@ -32,10 +32,15 @@ def freshness(hist: DataFrame, node: DataFrame, as_of: int) -> DataFrame:
 def identity_overlap(inv: DataFrame, node: DataFrame) -> DataFrame:
     """Host count, distinct agent IPs, and hosts whose primary IP is an agent IP (one row)."""
     ips = node.select("node_ipv4_address").distinct()
-    a = inv.agg(F.count(F.lit(1)).alias("zabbix_hosts"))
-    b = ips.agg(F.count("node_ipv4_address").alias("obm_nodes"))
-    c = inv.join(ips, inv["primary_ip"] == ips["node_ipv4_address"]).agg(F.count(F.lit(1)).alias("matched_by_ip"))
-    return a.crossJoin(b).crossJoin(c)
+    a = inv.agg(F.count(F.lit(1)).alias("n")).select(F.lit("hosts").alias("k"), "n")
+    b = ips.agg(F.count("node_ipv4_address").alias("n")).select(F.lit("nodes").alias("k"), "n")
+    c = inv.join(ips, inv["primary_ip"] == ips["node_ipv4_address"]).agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.lit("matched").alias("k"), "n")
+    # three one-row counts folded into one row by a global aggregate (no cross join)
+    u = a.unionByName(b).unionByName(c)
+    return u.agg(F.max(F.when(F.col("k") == "hosts", F.col("n"))).alias("zabbix_hosts"),
+                 F.max(F.when(F.col("k") == "nodes", F.col("n"))).alias("obm_nodes"),
+                 F.max(F.when(F.col("k") == "matched", F.col("n"))).alias("matched_by_ip"))
 
 
 def host_bridge(inv: DataFrame, node: DataFrame) -> DataFrame:
