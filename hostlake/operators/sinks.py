@@ -29,6 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import Dimension
 from ..sources import staged as S
 
 ORDER_COLS = ("_file", "_doc", "_pos")
@@ -176,7 +177,15 @@ def write_if_absent(spark: SparkSession, df: DataFrame, lake: str, table: str,
         # joining on the partition column lets dynamic partition pruning read
         # only the partitions that the batch touches
         join_keys = [meta["partition_by"]] + join_keys
-    fresh = new.join(existing.select(*join_keys), on=join_keys, how="left_anti")
+    new_keys = Dimension(new.select(*join_keys))
+    if new_keys.small:
+        # batch keys are provably small: find the stored copies by scanning the
+        # touched partitions against the broadcast batch keys (no shuffle of the
+        # stored table), then drop them from the batch
+        hits = existing.select(*join_keys).join(new_keys.bc(), on=join_keys, how="left_semi")
+        fresh = new.join(F.broadcast(hits), on=join_keys, how="left_anti")
+    else:
+        fresh = new.join(existing.select(*join_keys), on=join_keys, how="left_anti")
     ckpt = _checkpointed(spark, fresh)
     inserted = ckpt.count()
     _append(ckpt, meta, _data_dir(spark, lake, table))
