@@ -226,3 +226,41 @@ def mount_key_audit(items: DataFrame, top: int = 20) -> DataFrame:
                      K.mount_first_param("key_").alias("mount_first_param"))
             .orderBy(F.col("mount_key_length").desc(), F.col("key_").asc())
             .limit(top))
+
+
+# --------------------------------------------------------------------------- table profile
+
+# ---- fixed values: size units of the pretty size text ---------------------------------
+SIZE_UNITS = ["bytes", "kB", "MB", "GB", "TB", "PB"]
+# -----------------------------------------------------------------------------------------
+
+
+def pretty_size(b) -> "F.Column":
+    """Human size: the largest unit that keeps the number at 10 or more, rounded half up."""
+    b = F.col(b) if isinstance(b, str) else b
+    expr = None
+    for i, unit in enumerate(SIZE_UNITS):
+        val = F.concat(F.round(b / F.lit(float(1024 ** i)), 0).cast("bigint").cast("string"), F.lit(" " + unit))
+        cond = b < F.lit(10 * 1024 ** (i + 1)) if i < len(SIZE_UNITS) - 1 else F.lit(True)
+        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+    return expr
+
+
+def table_profile(spark, tables: dict[str, str]) -> DataFrame:
+    """Rows and on-disk bytes per Parquet table folder, largest first.
+
+    Bytes are the sizes of the distinct files the rows come from
+    (``_metadata``), aggregated per file first, so no file is counted twice.
+    """
+    parts = []
+    for name, path in tables.items():
+        per_file = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f"),
+                                                   F.col("_metadata.file_size").alias("s")) \
+            .groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
+        parts.append(per_file.agg(F.sum("n").cast("bigint").alias("rows"), F.sum("s").cast("bigint").alias("bytes"))
+                     .select(F.lit(name).alias("table_name"), "rows", "bytes"))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.select("table_name", "rows", "bytes", F.format_number("rows", 0).alias("approx_rows"),
+                    pretty_size("bytes").alias("total_size")).orderBy(F.col("bytes").desc(), "table_name")

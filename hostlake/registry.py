@@ -635,3 +635,10 @@ def q_stream_quarantine(spark, sf_dir):
     SK.archive_raw(PL.payloads(spark, sf_dir), archive)
     _await(ST.stream_agent_metrics(spark, archive, lake, ck, strict=False, max_files_per_trigger=4))
     return spark.read.parquet(f"{lake}/_quarantine").select("request_id", "reason", "weak_record_count", "total_records")
+
+
+@register("table_profile")
+def q_table_profile(spark, sf_dir):
+    """Rows / bytes of the tables the lake is bound to (no DuckDB oracle: file sizes)."""
+    base = sf_dir.rstrip("/")
+    return P.table_profile(spark, {t: f"{base}/{t}.parquet" for t in ("events", "customer")})
