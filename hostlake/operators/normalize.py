@@ -10,7 +10,8 @@ come from one payload row, so that partition is one payload's records).
 JSON typing: object key order matters (first record's keys, prefix-vote
 tie-break), and Variant sorts keys, so text values and key order come from
 ``from_json(..., 'map<string,string>' / 'array<string>')`` while the JSON
-*type* of a value (object / array / string) comes from ``schema_of_variant``.
+*type* of a value comes from Variant casts (empty struct = object, array<variant> =
+array; ``schema_of_variant`` only for scalar class values).
 """
 
 from __future__ import annotations
@@ -37,6 +38,21 @@ def _jtype(variant: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(variant), r"^([A-Z]+)", 1)
 
 
+def _path(key: str | None) -> str:
+    return "$" if key is None else "$['" + key.replace("'", "\\'") + "']"
+
+
+def is_object(v: Column, key: str | None = None) -> Column:
+    """The (sub)value is a JSON object: a cast to an empty struct succeeds only for objects
+    and, unlike ``schema_of_variant``, does not walk the value."""
+    return F.try_variant_get(v, _path(key), "struct<>").isNotNull()
+
+
+def variant_array(v: Column, key: str | None = None) -> Column:
+    """Elements of a JSON array (NULL when the value is not an array)."""
+    return F.try_variant_get(v, _path(key), "array<variant>")
+
+
 def _vget(v: Column, key: str) -> Column:
     path = "$['" + key.replace("'", "\\'") + "']"
     return F.try_variant_get(v, path, "variant")
@@ -59,22 +75,25 @@ def explode_records(payloads: DataFrame, body: str = "body") -> DataFrame:
     """
     b = F.col(body)
     v = F.try_parse_json(b)
-    top = _jtype(v)
+    top_obj = is_object(v)
     top_map = F.from_json(b, REC_SCHEMA)
     sel = None
     for k in AM.RECORD_KEYS:
-        t = _jtype(_vget(v, k))
-        cond = t.isin("ARRAY", "OBJECT")
-        val = F.struct(F.lit(k).alias("k"), t.alias("t"))
+        arr = variant_array(v, k)
+        val = F.struct(F.lit(k).alias("k"), arr.alias("a"))
+        cond = arr.isNotNull() | is_object(v, k)
         sel = F.when(cond, val) if sel is None else sel.when(cond, val)
-    chosen = F.when(top == "OBJECT", sel)
+    chosen = F.when(top_obj, sel)
     raw = F.element_at(top_map, chosen["k"])
-    list_text = F.when(top == "ARRAY", b).when(chosen["t"] == "ARRAY", raw)
+    top_arr = variant_array(v)
+    list_text = F.when(top_arr.isNotNull(), b).when(chosen["a"].isNotNull(), raw)
+    list_var = F.coalesce(top_arr, chosen["a"])
+    # element text (key order kept) from the JSON text, element type from the parsed variant
     elems = F.arrays_zip(
         F.from_json(list_text, "array<string>").alias("txt"),
-        F.transform(F.from_json(list_text, "array<variant>"), lambda x: _jtype(x)).alias("typ"),
+        F.transform(list_var, lambda x: F.when(is_object(x), F.lit("OBJECT")).otherwise(F.lit("OTHER"))).alias("typ"),
     )
-    single = F.when(chosen["t"] == "OBJECT", raw).when(top == "OBJECT", b)
+    single = F.when(chosen["k"].isNotNull() & chosen["a"].isNull(), raw).when(top_obj & chosen["k"].isNull(), b)
     cand = (F.when(list_text.isNotNull(), elems)
             .when(single.isNotNull(),
                   F.array(F.struct(single.alias("txt"), F.lit("OBJECT").alias("typ"))))
@@ -90,7 +109,7 @@ def explode_records(payloads: DataFrame, body: str = "body") -> DataFrame:
 def _metric_pairs(rec_map: Column, rec_v: Column, prefixes) -> Column:
     out = None
     for k in AM.METRIC_KEYS:
-        is_obj = _jtype(_vget(rec_v, k)) == "OBJECT"
+        is_obj = is_object(rec_v, k)
         val = F.from_json(F.element_at(rec_map, k), REC_SCHEMA)
         out = F.when(is_obj, val) if out is None else out.when(is_obj, val)
     fallback = F.map_filter(rec_map, lambda k, _v: _starts_any(k, prefixes))

@@ -52,7 +52,7 @@ def read_staged(spark: SparkSession, pending_dir: str, files: list[str] | None =
     # one document per line when there are several lines and the first is a whole
     # object; otherwise the file is one (possibly pretty-printed) document
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    first_obj = F.regexp_extract(F.schema_of_variant(F.try_parse_json(F.element_at(lines, 1))), r"^([A-Z]+)", 1) == "OBJECT"
+    first_obj = F.try_variant_get(F.try_parse_json(F.element_at(lines, 1)), "$", "struct<>").isNotNull()
     per_line = (F.size(lines) > 1) & F.coalesce(first_obj, F.lit(False))
     docs = F.when(per_line, lines).otherwise(F.array("text"))
     return raw.select("file_path", F.posexplode(docs).alias("doc_pos", "doc"))
@@ -96,14 +96,15 @@ def parse_envelope(docs: DataFrame) -> DataFrame:
     d = docs.select("*", env.alias("_env"), v.alias("_v"))
     meta = F.col("_env.meta")
     method = F.lower(F.coalesce(meta["method"], F.lit(DEFAULT_METHOD)))
-    data_type = _jtype(F.try_variant_get(F.col("_v"), "$.data", "variant"))
+    data_is_list = F.try_variant_get(F.col("_v"), "$.data", "array<variant>").isNotNull()
     records = F.from_json(F.col("_env.data"), "array<string>")
-    error = (F.when(F.col("_v").isNull() | (_jtype(F.col("_v")) != "OBJECT"), F.lit("invalid JSON document"))
+    is_obj = F.try_variant_get(F.col("_v"), "$", "struct<>").isNotNull()
+    error = (F.when(F.col("_v").isNull() | ~is_obj, F.lit("invalid JSON document"))
              .when(F.coalesce(meta["table"], F.lit("")) == "", F.lit("meta.table missing"))
              .when(~method.isin(*METHODS), F.concat(F.lit("invalid method: "), method))
              .when((method == "upsert") & (F.coalesce(F.size(meta["conflict_target"]), F.lit(0)) <= 0),
                    F.lit("upsert requires meta.conflict_target"))
-             .when(F.coalesce(data_type, F.lit("")) != "ARRAY", F.lit("data must be a list")))
+             .when(~data_is_list, F.lit("data must be a list")))
     out = d.select(
         *docs.columns, meta.alias("meta"), method.alias("method"), records.alias("records"),
         F.when(F.size(records) > 0, F.json_object_keys(F.element_at(records, 1))).alias("columns"),

@@ -38,7 +38,7 @@ def staged_stream(spark: SparkSession, pending_dir: str, max_files_per_trigger:
            .load(pending_dir)
            .select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("file_path")))
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    first_obj = F.regexp_extract(F.schema_of_variant(F.try_parse_json(F.element_at(lines, 1))), r"^([A-Z]+)", 1) == "OBJECT"
+    first_obj = F.try_variant_get(F.try_parse_json(F.element_at(lines, 1)), "$", "struct<>").isNotNull()
     docs = F.when((F.size(lines) > 1) & F.coalesce(first_obj, F.lit(False)), lines).otherwise(F.array("text"))
     return raw.select("file_path", F.posexplode(docs).alias("doc_pos", "doc"))
 
