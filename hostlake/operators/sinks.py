@@ -281,10 +281,12 @@ def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: in
     files are taken, oldest name first; the rest are deferred.
     """
     batch_id = batch_id or uuid.uuid4().hex
-    files = S.list_pending(spark, pending_dir, max_files=max_files, done=_done(spark, lake))
+    files, deferred = S.list_pending(spark, pending_dir, max_files=max_files, done=_done(spark, lake),
+                                     with_deferred=True)
     if not files:
         return _empty_ledger(spark)
-    ledger = load_docs(spark, S.read_staged(spark, pending_dir, files), lake, batch_id, partition_tables)
+    ledger = load_docs(spark, S.read_staged(spark, pending_dir, files), lake, batch_id, partition_tables,
+                       deferred_files=deferred)
     if done_dir:
         # the counterpart of deleting a loaded file: move fully finished files out of pending/
         bad = {r[0] for r in ledger.where(F.col("status") == "error").select("file_path").distinct().collect()}
@@ -312,11 +314,12 @@ def _done(spark: SparkSession, lake: str):
 
 def _empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "file_path string, doc_pos int, table string, method string, "
-                                     "status string, error string, rows bigint, batch_id string")
+                                     "status string, error string, rows bigint, batch_id string, "
+                                     "processed_at timestamp, deferred_files bigint")
 
 
 def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
-              partition_tables: dict[str, str] | None = None) -> DataFrame:
+              partition_tables: dict[str, str] | None = None, deferred_files: int = 0) -> DataFrame:
     """Load a batch of staged documents ``(file_path, doc_pos, doc)``; see ``load_pending``.
 
     Used as is by the streaming loader's ``foreachBatch``.
@@ -359,7 +362,7 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
             failed_parts.append(part_docs.select("file_path", "doc_pos",
                                                  F.lit(f"column {unknown[0]} does not exist").alias("error")))
             continue
-        recs = S.records_frame(part_docs, cols, {c: meta["types"].get(c, types[c]) for c in cols})
+        recs = S.records_frame(part_docs, cols, {c: meta["types"].get(c, types[c]) for c in cols}, jcols)
         if method == "copy" and key:
             write_if_absent(spark, recs, lake, table, key)
         elif method == "copy":
@@ -387,20 +390,23 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
     else:
         base = base.withColumn("rows", F.lit(None).cast("bigint"))
     ledger = base.withColumn("rows", F.when(F.col("status") == "ok", F.col("rows")).otherwise(F.lit(0).cast("bigint"))) \
-        .withColumn("batch_id", F.lit(batch_id))
+        .withColumn("batch_id", F.lit(batch_id)) \
+        .withColumn("processed_at", F.current_timestamp()) \
+        .withColumn("deferred_files", F.lit(deferred_files).cast("bigint"))
     ledger = _checkpointed(spark, ledger)
     ledger.write.mode("append").parquet(ledger_path)
     return ledger
 
 
-def load_summary(ledger: DataFrame, deferred: int = 0) -> DataFrame:
-    """processed / errors / skipped documents of a run, rows loaded, deferred files."""
+def load_summary(ledger: DataFrame) -> DataFrame:
+    """processed / errors / skipped documents of a run, rows loaded, files deferred."""
     return ledger.agg(
         F.count_if(F.col("status") == "ok").alias("processed"),
         F.count_if(F.col("status") == "error").alias("errors"),
         F.count_if(F.col("status") == "skipped").alias("skipped"),
         F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"),
-    ).withColumn("deferred", F.lit(deferred).cast("bigint"))
+        F.coalesce(F.max("deferred_files"), F.lit(0)).cast("bigint").alias("deferred"),
+    )
 
 
 # --------------------------------------------------------------------------- staged output

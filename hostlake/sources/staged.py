@@ -59,9 +59,10 @@ def read_staged(spark: SparkSession, pending_dir: str, files: list[str] | None =
 
 
 def list_pending(spark: SparkSession, pending_dir: str, max_files: int | None = None,
-                 done: DataFrame | None = None) -> list[str]:
+                 done: DataFrame | None = None, with_deferred: bool = False):
     """Pending ``*.json`` files in name order (oldest first), minus ``done`` ones,
-    at most ``max_files`` (the rest is deferred to the next run)."""
+    at most ``max_files`` (the rest is deferred to the next run). With
+    ``with_deferred`` returns ``(files, number_deferred)``."""
     try:
         files = sorted(spark.read.option("pathGlobFilter", "*.json").text(pending_dir).inputFiles())
     except Exception:  # noqa: BLE001 - empty / missing folder
@@ -72,7 +73,8 @@ def list_pending(spark: SparkSession, pending_dir: str, max_files: int | None =
         done_n = done.select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("n"))
         finished = {r.f for r in listed.join(done_n, "n", "left_semi").collect()}
         files = [f for f in files if f not in finished]
-    return files if max_files is None else files[:max_files]
+    take = files if max_files is None else files[:max_files]
+    return (take, len(files) - len(take)) if with_deferred else take
 
 
 def _norm_path(p: str) -> str:
@@ -136,19 +138,30 @@ def typed_value(text: Column, spark_type: str) -> Column:
     return text.try_cast(spark_type)
 
 
-def records_frame(docs: DataFrame, columns: list[str], types: dict[str, str]) -> DataFrame:
+def records_frame(docs: DataFrame, columns: list[str], types: dict[str, str],
+                  json_columns: list[str] = ()) -> DataFrame:
     """Explode ok documents into typed rows over ``columns``.
 
     Extra keys of later records are dropped, missing keys become NULL.
-    ``_file``, ``_doc`` and ``_pos`` keep the load order (file name, document,
-    position in data) for first / last-wins de-duplication.
+    JSON columns hold the value as JSON text whatever its type (a string keeps
+    its quotes; JSON ``null`` is SQL NULL). ``_file``, ``_doc`` and ``_pos``
+    keep the load order (file name, document, position in data) for first /
+    last-wins de-duplication.
     """
     rec = docs.select(F.col("file_path").alias("_file"), F.col("doc_pos").alias("_doc"),
                       F.posexplode("records").alias("_pos", "_rec"))
     m = F.from_json(F.col("_rec"), "map<string,string>")
-    r = rec.select("_file", "_doc", "_pos", m.alias("_m"))
-    return r.select("_file", "_doc", "_pos",
-                    *[typed_value(F.element_at(F.col("_m"), c), types[c]).alias(c) for c in columns])
+    jcols = [c for c in columns if c in set(json_columns)]
+    extra = [F.try_parse_json(F.col("_rec")).alias("_v")] if jcols else []
+    r = rec.select("_file", "_doc", "_pos", m.alias("_m"), *extra)
+
+    def value(c):
+        if c in jcols:
+            path = "$['" + c.replace("'", "\\'") + "']"
+            jv = F.try_variant_get(F.col("_v"), path, "variant")
+            return F.when(~F.is_variant_null(jv), F.to_json(jv))
+        return typed_value(F.element_at(F.col("_m"), c), types[c])
+    return r.select("_file", "_doc", "_pos", *[value(c).alias(c) for c in columns])
 
 
 def error_rows(parsed: DataFrame, extra_error: DataFrame | None = None) -> DataFrame:

@@ -51,9 +51,13 @@ def test_upsert_last_wins_and_updates(spark, scratch):
                                               {"hostid": "2", "name": "b", "groups": []}]})
     SK.load_pending(spark, p1, lake)
     assert rows(spark, lake, "inv", "hostid", "name", "groups") == [("1", "a2", '["g2"]'), ("2", "b", "[]")]
-    put(p2, "2.json", {"meta": meta, "data": [{"hostid": "2", "name": "b2", "groups": None}]})
+    put(p2, "2.json", {"meta": meta, "data": [{"hostid": "2", "name": "b2", "groups": "solo"},
+                                              {"hostid": "3", "name": "c", "groups": None}]})
     SK.load_pending(spark, p2, lake)
-    assert rows(spark, lake, "inv", "hostid", "name") == [("1", "a2"), ("2", "b2")]
+    assert rows(spark, lake, "inv", "hostid", "name") == [("1", "a2"), ("2", "b2"), ("3", "c")]
+    # JSON columns keep JSON text: a string keeps its quotes, JSON null is SQL NULL
+    assert dict((r[0], r[1]) for r in rows(spark, lake, "inv", "hostid", "groups"))["2"] == '"solo"'
+    assert dict((r[0], r[1]) for r in rows(spark, lake, "inv", "hostid", "groups"))["3"] is None
     assert SK.read_table(spark, lake, "inv").where(F.col("updated_at").isNull()).count() == 0
 
 
@@ -99,6 +103,7 @@ def test_schema_from_first_record_and_deferral(spark, scratch):
     put(p, "2.json", {"meta": meta, "data": [{"a": "3"}]})
     led = SK.load_pending(spark, p, lake, max_files=1)
     assert [os.path.basename(r.file_path) for r in led.collect()] == ["1.json"]
+    assert SK.load_summary(led).first().deferred == 1
     assert SK.read_table(spark, lake, "s").columns == ["a"]
     SK.load_pending(spark, p, lake, max_files=1)
     assert rows(spark, lake, "s", "a") == [("1",), ("2",), ("3",)]
