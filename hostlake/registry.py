@@ -642,3 +642,16 @@ def q_table_profile(spark, sf_dir):
     """Rows / bytes of the tables the lake is bound to (no DuckDB oracle: file sizes)."""
     base = sf_dir.rstrip("/")
     return P.table_profile(spark, {t: f"{base}/{t}.parquet" for t in ("events", "customer")})
+
+
+@register("stream_history_dedup")
+def q_stream_history_dedup(spark, sf_dir):
+    """Overlapping fetch windows streamed through watermark de-duplication
+    (delay wider than the input's disorder, so no copy is late)."""
+    lk = Lake(spark, sf_dir)
+    t0 = int(lk.hist.agg(F.min("clock")).first()[0])
+    src, out, ck = scratch_dir(spark, "win"), scratch_dir(spark, "dedup"), scratch_dir(spark, "ckpt")
+    HS.history_windows(lk.hist, t0, DAY, overlap=3600).select(*HISTORY_COLS).repartition(8) \
+        .write.mode("overwrite").parquet(src)
+    _await(ST.stream_history_dedup(spark, src, out, ck, watermark="40 days", max_files_per_trigger=2))
+    return spark.read.parquet(out).select(*HISTORY_COLS)
