@@ -43,9 +43,14 @@ def nearest_join(
     channel_values: Sequence[str] = (),
     chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS,
     materialize: bool = True,
+    direction: str = "nearest",
 ) -> DataFrame:
     """Closest right row per left row, by |clock difference|, within ``by``.
 
+    ``direction='backward'`` takes the last right row at or before the left
+    clock (last observation carried forward), ``'forward'`` the first at or
+    after it (next observation carried backward).
+
     Ties: the earlier right row wins (distance to previous <= distance to
     next). Among right rows with the same clock the one with the highest
     ``tie`` columns wins. Right rows whose first value is NULL are ignored.
@@ -131,10 +136,15 @@ def nearest_join(
     out = [*_cols(by), F.col(clock), *[F.col(f"_l.{c}").alias(c) for c in left_cols]]
     for ch in chans:
         p, n = F.col(f"_p_{ch}"), F.col(f"_n_{ch}")
-        picked = (F.when(p.isNull(), n)
-                  .when(n.isNull(), p)
-                  .when((F.col(clock) - p["c"]) <= (n["c"] - F.col(clock)), p)
-                  .otherwise(n))
+        if direction == "backward":
+            picked = p
+        elif direction == "forward":
+            picked = n
+        else:
+            picked = (F.when(p.isNull(), n)
+                      .when(n.isNull(), p)
+                      .when((F.col(clock) - p["c"]) <= (n["c"] - F.col(clock)), p)
+                      .otherwise(n))
         pfx = "" if ch is None else f"{ch}_"
         out += [picked[f"v{i}"].alias(f"{pfx}{v}") for i, v in enumerate(values)]
         out.append(picked["c"].alias(f"{pfx}clock" if ch is not None else "match_clock"))

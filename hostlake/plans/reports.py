@@ -80,13 +80,21 @@ def latest_item_values(hist: DataFrame, item_ids: DataFrame, value_types=None, d
     return latest_by(h, ["itemid"], ["clock", "ns"], ["value"])
 
 
-def host_capacity(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None) -> DataFrame:
-    """One row per host: latest core count / total memory and when it was measured."""
+def capacity_last(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None) -> DataFrame:
+    """Latest sample of every capacity item (no time bound), value guarded."""
     last = latest_item_values(hist, cap_items, dim=dim)
-    cap_last = cap_items.join(last, cap_items["itemid_num"] == last["itemid"]) \
+    return cap_items.join(last, cap_items["itemid_num"] == last["itemid"]) \
         .select("hostid", "role", "itemid", "clock", safe_numeric("value").alias("value"))
-    # several items of one role on a host: the one with the newest sample wins
-    pick = latest_by(cap_last, ["hostid", "role"], ["clock", "itemid"], ["value"])
+
+
+def capacity_pick(cap_last: DataFrame) -> DataFrame:
+    """Several items of one role on a host: the one with the newest sample wins."""
+    return latest_by(cap_last, ["hostid", "role"], ["clock", "itemid"], ["value"])
+
+
+def host_capacity(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None) -> DataFrame:
+    """One row per host: latest core count / total memory and when it was measured."""
+    pick = capacity_pick(capacity_last(hist, cap_items, dim=dim))
     return pick.groupBy("hostid").agg(
         F.max(F.when(F.col("role") == "core", F.col("value"))).alias("cpu_core"),
         F.max(F.when(F.col("role") == "core", F.col("clock"))).alias("cpu_core_clock"),
@@ -95,18 +103,25 @@ def host_capacity(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None =
     )
 
 
+def pct_history(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
+                lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
+                dim: Dimension | None = None) -> DataFrame:
+    """CPU / memory percentage samples of the group's hosts in the window (value_type 0)."""
+    hosts = group_hosts(inv, group)
+    dim = dim or group_items(items, hosts)
+    used = dim.bc(cpu_mem_items(dim.df, None).where(F.col("role").isin("cpu", "mem")))
+    return (_window(hist, as_of, lookback_s).where(F.col("value_type") == 0)
+            .select("itemid", "clock", "ns", "value")
+            .join(used, F.col("itemid") == F.col("itemid_num"))
+            .select(F.col("hostid"), "role", "clock", "ns", "itemid",
+                    safe_numeric("value").alias("value")))
+
+
 def cpu_with_mem(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                  lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
                  chunk_seconds: int | None = 3600, dim: Dimension | None = None) -> DataFrame:
     """CPU samples of the window, each with the nearest memory sample of its host."""
-    hosts = group_hosts(inv, group)
-    dim = dim or group_items(items, hosts)
-    used = dim.bc(cpu_mem_items(dim.df, None).where(F.col("role").isin("cpu", "mem")))
-    pct = (_window(hist, as_of, lookback_s).where(F.col("value_type") == 0)
-           .select("itemid", "clock", "ns", "value")
-           .join(used, F.col("itemid") == F.col("itemid_num"))
-           .select(F.col("hostid"), "role", "clock", "ns", "itemid",
-                   safe_numeric("value").alias("value")))
+    pct = pct_history(hist, items, inv, as_of, lookback_s, group, dim=dim)
     cpu = pct.where(F.col("role") == "cpu").select("hostid", "clock", F.col("value").alias("cpu_value"))
     mem = pct.where(F.col("role") == "mem").select("hostid", "clock", "ns", "itemid", "value")
     m = nearest_join(cpu, mem, by=["hostid"], values=["value"], tie=["ns", "itemid"], how="inner",
@@ -167,6 +182,29 @@ def disk_items(items: DataFrame, hosts: DataFrame) -> DataFrame:
                     K.disk_expected_vtype("key_").alias("vtype")))
 
 
+def disk_parts(hist, items, inv, as_of, lookback_s=DAY, group="AGENTLESS_GROUP") -> dict:
+    """Pieces of the disk report: ``hist`` (util/used/read/write samples with mount
+    and role), ``driver`` (util rows per clock with used), ``io`` (read/write
+    samples) and ``capacity`` (latest free / size per mount)."""
+    driver, io, cap, h = _disk_parts(hist, items, inv, as_of, lookback_s, group)
+    return {"hist": h, "driver": driver, "io": io, "capacity": cap}
+
+
+def io_nearest(driver: DataFrame, io: DataFrame, chunk_seconds: int | None = 3600) -> DataFrame:
+    """Nearest read and write sample for every driver row (per mount and role)."""
+    key = ["os_kind", "hostid", "mount_key"]
+    m = nearest_join(driver.select(*key, "clock"), io, by=key, values=["value"], tie=["ns", "itemid"],
+                     channel="role", channel_values=["read", "write"], chunk_seconds=chunk_seconds)
+    return m.select(*key, "clock", F.col("read_value").alias("read_kbps"), F.col("write_value").alias("write_kbps"))
+
+
+def io_buckets(io: DataFrame, width: int = 300) -> DataFrame:
+    """Max read / write per mount and ``width``-second bucket."""
+    return io.groupBy("os_kind", "hostid", "mount_key", F.expr(f"clock div {int(width)}").alias("bucket")).agg(
+        F.max(F.when(F.col("role") == "read", F.col("value"))).alias("read_kbps"),
+        F.max(F.when(F.col("role") == "write", F.col("value"))).alias("write_kbps"))
+
+
 def _disk_parts(hist, items, inv, as_of, lookback_s, group):
     hosts = group_hosts(inv, group, with_ip=True)
     dim = Dimension(disk_items(items, hosts))
@@ -190,7 +228,7 @@ def _disk_parts(hist, items, inv, as_of, lookback_s, group):
                    F.count_if(F.col("role") == "util").alias("_n_util"))
               .where(F.col("_n_util") > 0).drop("_n_util"))
     io = h.where(F.col("role").isin("read", "write"))
-    return driver, io, cap
+    return driver, io, cap, h
 
 
 def _disk_output(d: DataFrame, ordered: bool) -> DataFrame:
@@ -220,7 +258,7 @@ def disk_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
     bucket, per column falling back to the previous bucket (hash form, no
     sort; the default for exports).
     """
-    driver, io, cap = _disk_parts(hist, items, inv, as_of, lookback_s, group)
+    driver, io, cap, _ = _disk_parts(hist, items, inv, as_of, lookback_s, group)
     key = ["os_kind", "hostid", "mount_key"]
     if match == "nearest":
         m = nearest_join(driver, io, by=key, values=["value"], tie=["ns", "itemid"],

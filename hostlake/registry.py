@@ -655,3 +655,157 @@ def q_stream_history_dedup(spark, sf_dir):
         .write.mode("overwrite").parquet(src)
     _await(ST.stream_history_dedup(spark, src, out, ck, watermark="40 days", max_files_per_trigger=2))
     return spark.read.parquet(out).select(*HISTORY_COLS)
+
+
+# --------------------------------------------------------------------------- report building blocks (SURVEY build keys)
+
+from .functions import classify as KC  # noqa: E402
+from .functions.scalars import safe_numeric as _safe_numeric  # noqa: E402
+from .operators.asof import bucket_join as _bucket_join  # noqa: E402
+from .operators.asof import item_row_counts as _item_row_counts  # noqa: E402
+from .operators.asof import nearest_join as _nearest_join  # noqa: E402
+
+GROUP = "AGENTLESS_GROUP"
+
+
+@register("agentless_hosts")
+def q_agentless_hosts(spark, sf_dir):
+    return R.group_hosts(tb.inventory(spark, sf_dir), GROUP, with_ip=True)
+
+
+@register("classify_cpu_items")
+def q_classify_cpu_items(spark, sf_dir):
+    """The group's ssh/winrm items with their CPU/memory role (NULL when none)."""
+    lk = Lake(spark, sf_dir)
+    hosts = R.group_hosts(lk.inv, GROUP)
+    return (lk.items.where(KC.cpu_mem_prefilter("key_")).join(hosts.select("hostid"), "hostid")
+            .select(F.col("itemid").try_cast("bigint").alias("itemid_num"), "hostid",
+                    KC.cpu_mem_role("key_").alias("role")))
+
+
+@register("classify_capacity_items")
+def q_classify_capacity_items(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.capacity_items(lk.items, R.group_hosts(lk.inv, GROUP))
+
+
+@register("classify_disk_items")
+def q_classify_disk_items(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.disk_items(lk.items, R.group_hosts(lk.inv, GROUP, with_ip=True))
+
+
+@register("recent_history")
+def q_recent_history(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return lk.hist.where(F.col("clock") >= F.lit(lk.as_of - DAY))
+
+
+@register("safe_numeric")
+def q_safe_numeric(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return lk.hist.select("itemid", "clock", "ns", "value", _safe_numeric("value").alias("value_num"))
+
+
+@register("pct_history")
+def q_pct_history(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.pct_history(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS)
+
+
+@register("nearest_cpu_mem")
+def q_nearest_cpu_mem(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.cpu_with_mem(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS)
+
+
+def _cpu_mem_dir(spark, sf_dir, direction):
+    lk = Lake(spark, sf_dir)
+    pct = R.pct_history(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS)
+    cpu = pct.where(F.col("role") == "cpu").select("hostid", "clock", F.col("value").alias("cpu_value"))
+    mem = pct.where(F.col("role") == "mem").select("hostid", "clock", "ns", "itemid", "value")
+    m = _nearest_join(cpu, mem, by=["hostid"], values=["value"], tie=["ns", "itemid"], how="left",
+                      direction=direction)
+    return m.select("hostid", "clock", "cpu_value", F.col("value").alias("mem_value"))
+
+
+@register("locf_cpu_mem")
+def q_locf_cpu_mem(spark, sf_dir):
+    """Last memory sample at or before each CPU sample (last observation carried forward)."""
+    return _cpu_mem_dir(spark, sf_dir, "backward")
+
+
+@register("nocb_cpu_mem")
+def q_nocb_cpu_mem(spark, sf_dir):
+    """First memory sample at or after each CPU sample (next observation carried backward)."""
+    return _cpu_mem_dir(spark, sf_dir, "forward")
+
+
+def _cap_items(lk):
+    return R.capacity_items(lk.items, R.group_hosts(lk.inv, GROUP))
+
+
+@register("capacity_last")
+def q_capacity_last(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.capacity_last(lk.hist, _cap_items(lk))
+
+
+@register("capacity_pick")
+def q_capacity_pick(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.capacity_pick(R.capacity_last(lk.hist, _cap_items(lk)))
+
+
+@register("host_capacity")
+def q_host_capacity(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.host_capacity(lk.hist, _cap_items(lk))
+
+
+@register("item_counts")
+def q_item_counts(spark, sf_dir):
+    """Rows per capacity item over all history, zero for items without rows."""
+    lk = Lake(spark, sf_dir)
+    return _item_row_counts(_cap_items(lk), lk.hist, item_key="itemid_num", hist_key="itemid")
+
+
+def _disk(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.disk_parts(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS)
+
+
+@register("disk_history")
+def q_disk_history(spark, sf_dir):
+    return _disk(spark, sf_dir)["hist"]
+
+
+@register("disk_driver")
+def q_disk_driver(spark, sf_dir):
+    return _disk(spark, sf_dir)["driver"]
+
+
+@register("mount_capacity")
+def q_mount_capacity(spark, sf_dir):
+    return _disk(spark, sf_dir)["capacity"]
+
+
+@register("io_bucket")
+def q_io_bucket(spark, sf_dir):
+    return R.io_buckets(_disk(spark, sf_dir)["io"], width=300)
+
+
+@register("nearest_disk_io")
+def q_nearest_disk_io(spark, sf_dir):
+    d = _disk(spark, sf_dir)
+    return R.io_nearest(d["driver"], d["io"])
+
+
+@register("bucket_disk_io")
+def q_bucket_disk_io(spark, sf_dir):
+    d = _disk(spark, sf_dir)
+    io = d["io"].select("os_kind", "hostid", "mount_key", "clock",
+                        F.when(F.col("role") == "read", F.col("value")).alias("read_kbps"),
+                        F.when(F.col("role") == "write", F.col("value")).alias("write_kbps"))
+    key = ["os_kind", "hostid", "mount_key"]
+    return _bucket_join(d["driver"].select(*key, "clock"), io, by=key, values=["read_kbps", "write_kbps"], width=300)
