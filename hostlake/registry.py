@@ -809,3 +809,34 @@ def q_bucket_disk_io(spark, sf_dir):
                         F.when(F.col("role") == "write", F.col("value")).alias("write_kbps"))
     key = ["os_kind", "hostid", "mount_key"]
     return _bucket_join(d["driver"].select(*key, "clock"), io, by=key, values=["read_kbps", "write_kbps"], width=300)
+
+
+@register("history_window")
+def q_history_window(spark, sf_dir):
+    """One fetch window: the last day before as_of, re-reading 60 s of overlap."""
+    lk = Lake(spark, sf_dir)
+    return HS.history_window(lk.hist, lk.as_of - DAY, lk.as_of, overlap=60).select(*HISTORY_COLS, "window_from", "window_till")
+
+
+@register("explode_records")
+def q_explode_records(spark, sf_dir):
+    return N.explode_records(PL.payloads(spark, sf_dir)).select("request_id", "record_pos", "parse_error")
+
+
+@register("metric_pairs")
+def q_metric_pairs(spark, sf_dir):
+    """Raw metric names found per record (wrapper object, else prefixed top-level keys)."""
+    n = N.explode_records(PL.payloads(spark, sf_dir))
+    pairs = N._metric_pairs(F.from_json("record", N.REC_SCHEMA), F.try_parse_json("record"),
+                            tuple(AM.load_mapping()["class_prefix_map"]))
+    return n.select("request_id", "record_pos", _sorted_keys(pairs).alias("metric_names"))
+
+
+@register("detect_class")
+def q_detect_class(spark, sf_dir):
+    return agent_norm(spark, sf_dir).select("request_id", "record_pos", "class_name", "target_table")
+
+
+@register("weak_identity")
+def q_weak_identity(spark, sf_dir):
+    return agent_norm(spark, sf_dir).select("request_id", "record_pos", N.is_weak().alias("weak"))

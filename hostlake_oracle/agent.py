@@ -256,3 +256,17 @@ LIMIT 50
 
 ORACLE["stream_agent_node"] = ORACLE["agent_node_rows"]
 ORACLE["stream_quarantine"] = ORACLE["route_lenient_quarantine"]
+
+ORACLE["explode_records"] = agent("SELECT request_id, record_pos, false AS parse_error FROM norm")
+ORACLE["detect_class"] = agent("SELECT request_id, record_pos, class_name, target_table FROM norm")
+ORACLE["weak_identity"] = agent("SELECT request_id, record_pos, node_fqdn IS NULL AND node_short_name IS NULL AS weak FROM norm")
+ORACLE["metric_pairs"] = agent("""
+SELECT request_id, record_pos,
+       CASE cls WHEN 'GLOBAL' THEN 'GBL_CPU_TOTAL_UTIL,GBL_FUTURE_UNKNOWN_METRIC,GBL_MEM_PHYS,GBL_MEM_UTIL,GBL_OSNAME'
+                WHEN 'CONFIGURATION' THEN 'GBL_BOOT_TIME,GBL_MACHINE,GBL_NUM_CPU,GBL_OSNAME'
+                WHEN 'DISK' THEN 'BYDSK_DEVNAME,BYDSK_FUTURE,BYDSK_PHYS_IO_RATE,BYDSK_UTIL'
+                WHEN 'FILESYSTEM' THEN 'FS_DIRNAME,FS_FUTURE,FS_SPACE_UTIL,FS_TYPE'
+                WHEN 'CPU' THEN 'BYCPU_CPU_TOTAL_UTIL,BYCPU_ID,FS_UNKNOWN_A,FS_UNKNOWN_B'
+                ELSE 'BYNETIF_FUTURE,BYNETIF_IN_BYTE_RATE,BYNETIF_NAME,BYNETIF_OUT_BYTE_RATE' END AS metric_names
+FROM norm
+""")
