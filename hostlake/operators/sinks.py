@@ -269,7 +269,7 @@ def write_upsert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
 
 def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: int | None = None,
                  batch_id: str | None = None, partition_tables: dict[str, str] | None = None,
-                 done_dir: str | None = None) -> DataFrame:
+                 done_dir: str | None = None, latest_tables: Sequence[str] = ()) -> DataFrame:
     """Load pending staged documents into lake tables, as each document declares.
 
     With ``done_dir`` fully loaded (or skipped) files are moved there, so the
@@ -286,7 +286,7 @@ def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: in
     if not files:
         return _empty_ledger(spark)
     ledger = load_docs(spark, S.read_staged(spark, pending_dir, files), lake, batch_id, partition_tables,
-                       deferred_files=deferred)
+                       deferred_files=deferred, latest_tables=latest_tables)
     if done_dir:
         # the counterpart of deleting a loaded file: move fully finished files out of pending/
         bad = {r[0] for r in ledger.where(F.col("status") == "error").select("file_path").distinct().collect()}
@@ -319,10 +319,13 @@ def _empty_ledger(spark: SparkSession) -> DataFrame:
 
 
 def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
-              partition_tables: dict[str, str] | None = None, deferred_files: int = 0) -> DataFrame:
+              partition_tables: dict[str, str] | None = None, deferred_files: int = 0,
+              latest_tables: Sequence[str] = ()) -> DataFrame:
     """Load a batch of staged documents ``(file_path, doc_pos, doc)``; see ``load_pending``.
 
-    Used as is by the streaming loader's ``foreachBatch``.
+    Tables named in ``latest_tables`` (history-shaped) also refresh the
+    ``latest_values`` table from the same batch. Used as is by the streaming
+    loader's ``foreachBatch``.
     """
     ledger_path = f"{lake}/_ledger"
     done = _done(spark, lake)
@@ -363,6 +366,9 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
                                                  F.lit(f"column {unknown[0]} does not exist").alias("error")))
             continue
         recs = S.records_frame(part_docs, cols, {c: meta["types"].get(c, types[c]) for c in cols}, jcols)
+        if table in set(latest_tables):
+            from .latest import update_latest
+            update_latest(spark, lake, recs, batch_id=f"{batch_id}-{table}")
         if method == "copy" and key:
             write_if_absent(spark, recs, lake, table, key)
         elif method == "copy":

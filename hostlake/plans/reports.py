@@ -67,22 +67,28 @@ def capacity_items(items: DataFrame, hosts: DataFrame) -> DataFrame:
             .where(F.col("role").isNotNull()))
 
 
-def latest_item_values(hist: DataFrame, item_ids: DataFrame, value_types=None, dim: Dimension | None = None) -> DataFrame:
+def latest_item_values(hist: DataFrame, item_ids: DataFrame, value_types=None, dim: Dimension | None = None,
+                       latest: DataFrame | None = None) -> DataFrame:
     """Latest (clock, ns) row of every item in ``item_ids.itemid_num`` over all history.
 
-    History is semi-joined to the (bounded, broadcast) item list before a
-    ``max_by`` aggregate, so only the wanted items are aggregated.
+    With ``latest`` (the maintained ``latest_values`` table) no history is
+    read. Otherwise history is semi-joined to the (bounded, broadcast) item
+    list before a ``max_by`` aggregate, so only the wanted items are aggregated.
     """
-    h = hist if value_types is None else hist.where(F.col("value_type").isin(*value_types))
     ids = item_ids.select(F.col("itemid_num").alias("itemid")).distinct()
     ids = dim.bc(ids) if dim is not None else bounded_broadcast(ids)
+    if latest is not None:
+        from ..operators.latest import latest_for
+        return latest_for(latest.join(ids, "itemid", "left_semi"), value_types)
+    h = hist if value_types is None else hist.where(F.col("value_type").isin(*value_types))
     h = h.join(ids, "itemid", "left_semi")
     return latest_by(h, ["itemid"], ["clock", "ns"], ["value"])
 
 
-def capacity_last(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None) -> DataFrame:
+def capacity_last(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None,
+                  latest: DataFrame | None = None) -> DataFrame:
     """Latest sample of every capacity item (no time bound), value guarded."""
-    last = latest_item_values(hist, cap_items, dim=dim)
+    last = latest_item_values(hist, cap_items, dim=dim, latest=latest)
     return cap_items.join(last, cap_items["itemid_num"] == last["itemid"]) \
         .select("hostid", "role", "itemid", "clock", safe_numeric("value").alias("value"))
 
@@ -92,9 +98,10 @@ def capacity_pick(cap_last: DataFrame) -> DataFrame:
     return latest_by(cap_last, ["hostid", "role"], ["clock", "itemid"], ["value"])
 
 
-def host_capacity(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None) -> DataFrame:
+def host_capacity(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None,
+                  latest: DataFrame | None = None) -> DataFrame:
     """One row per host: latest core count / total memory and when it was measured."""
-    pick = capacity_pick(capacity_last(hist, cap_items, dim=dim))
+    pick = capacity_pick(capacity_last(hist, cap_items, dim=dim, latest=latest))
     return pick.groupBy("hostid").agg(
         F.max(F.when(F.col("role") == "core", F.col("value"))).alias("cpu_core"),
         F.max(F.when(F.col("role") == "core", F.col("clock"))).alias("cpu_core_clock"),
@@ -131,11 +138,14 @@ def cpu_with_mem(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
 
 def cpu_mem_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                    lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
-                   ordered: bool = False, chunk_seconds: int | None = 3600) -> DataFrame:
+                   ordered: bool = False, chunk_seconds: int | None = 3600,
+                   latest: DataFrame | None = None) -> DataFrame:
+    """CPU/memory utilisation per host sample with latest capacity; with
+    ``latest`` (maintained latest-value table) capacity reads no history."""
     hosts = group_hosts(inv, group)
     dim = group_items(items, hosts)
     c = cpu_with_mem(hist, items, inv, as_of, lookback_s, group, chunk_seconds, dim=dim)
-    cap = host_capacity(hist, capacity_items(dim.df, None), dim=dim)
+    cap = host_capacity(hist, capacity_items(dim.df, None), dim=dim, latest=latest)
     out = (c.join(hosts, "hostid").join(cap, "hostid", "left")
            .select(F.col("clock").alias("transaction_clock"),
                    clock_to_ntz("clock").alias("TransactionDatetime"),
@@ -182,11 +192,11 @@ def disk_items(items: DataFrame, hosts: DataFrame) -> DataFrame:
                     K.disk_expected_vtype("key_").alias("vtype")))
 
 
-def disk_parts(hist, items, inv, as_of, lookback_s=DAY, group="AGENTLESS_GROUP") -> dict:
+def disk_parts(hist, items, inv, as_of, lookback_s=DAY, group="AGENTLESS_GROUP", latest=None) -> dict:
     """Pieces of the disk report: ``hist`` (util/used/read/write samples with mount
     and role), ``driver`` (util rows per clock with used), ``io`` (read/write
     samples) and ``capacity`` (latest free / size per mount)."""
-    driver, io, cap, h = _disk_parts(hist, items, inv, as_of, lookback_s, group)
+    driver, io, cap, h = _disk_parts(hist, items, inv, as_of, lookback_s, group, latest)
     return {"hist": h, "driver": driver, "io": io, "capacity": cap}
 
 
@@ -205,7 +215,7 @@ def io_buckets(io: DataFrame, width: int = 300) -> DataFrame:
         F.max(F.when(F.col("role") == "write", F.col("value"))).alias("write_kbps"))
 
 
-def _disk_parts(hist, items, inv, as_of, lookback_s, group):
+def _disk_parts(hist, items, inv, as_of, lookback_s, group, latest=None):
     hosts = group_hosts(inv, group, with_ip=True)
     dim = Dimension(disk_items(items, hosts))
     di = dim.df
@@ -216,7 +226,7 @@ def _disk_parts(hist, items, inv, as_of, lookback_s, group):
          .select("os_kind", "hostid", "node_fqdn", "node_ipv4_address", "mount_key", "role",
                  "clock", "ns", "itemid", safe_numeric("value").alias("value")))
     cap_items = di.where(F.col("role").isin("free", "size"))
-    last = latest_item_values(hist, cap_items, value_types=(0, 3), dim=dim)
+    last = latest_item_values(hist, cap_items, value_types=(0, 3), dim=dim, latest=latest)
     cap = (cap_items.join(last, cap_items["itemid_num"] == last["itemid"])
            .groupBy("os_kind", "hostid", "mount_key")
            .agg(F.max(F.when(F.col("role") == "free", safe_numeric("value"))).alias("free_mb"),
@@ -250,7 +260,7 @@ def _disk_output(d: DataFrame, ordered: bool) -> DataFrame:
 def disk_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                 lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
                 match: str = "bucket", width: int = 300, ordered: bool = False,
-                chunk_seconds: int | None = 3600) -> DataFrame:
+                chunk_seconds: int | None = 3600, latest: DataFrame | None = None) -> DataFrame:
     """Disk utilisation per mount and sample, with IO and latest capacity.
 
     ``match='nearest'``: read/write = nearest IO sample of the same mount and
@@ -258,7 +268,7 @@ def disk_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
     bucket, per column falling back to the previous bucket (hash form, no
     sort; the default for exports).
     """
-    driver, io, cap, _ = _disk_parts(hist, items, inv, as_of, lookback_s, group)
+    driver, io, cap, _ = _disk_parts(hist, items, inv, as_of, lookback_s, group, latest)
     key = ["os_kind", "hostid", "mount_key"]
     if match == "nearest":
         m = nearest_join(driver, io, by=key, values=["value"], tie=["ns", "itemid"],

@@ -505,6 +505,7 @@ def q_attach_host(spark, sf_dir):
 
 # --------------------------------------------------------------------------- streaming
 
+from .operators import latest as LV  # noqa: E402
 from .streaming import streams as ST  # noqa: E402
 
 
@@ -514,9 +515,7 @@ def _await(q, timeout_s: int = 600):
         raise RuntimeError(str(q.exception()))
 
 
-@register("stream_history_load")
-def q_stream_history_load(spark, sf_dir):
-    """Staged history documents loaded by the streaming loader, two files per micro-batch."""
+def _stream_history_lake(spark, sf_dir):
     lk = Lake(spark, sf_dir)
     t0 = int(lk.hist.agg(F.min("clock")).first()[0])
     win = HS.history_windows(lk.hist, t0, DAY, overlap=3600)
@@ -526,8 +525,21 @@ def q_stream_history_load(spark, sf_dir):
                     key=["itemid", "clock", "ns"], column_types=HISTORY_TYPES, add_updated_at=False,
                     group_cols=["window_id"])
     _await(ST.stream_load_pending(spark, pending, lake, ck, max_files_per_trigger=2,
-                                  partition_tables={"zabbix_history": "event_date"}))
-    return SK.read_table(spark, lake, "zabbix_history").select(*HISTORY_COLS)
+                                  partition_tables={"zabbix_history": "event_date"},
+                                  latest_tables=["zabbix_history"]))
+    return lake
+
+
+@register("stream_history_load")
+def q_stream_history_load(spark, sf_dir):
+    """Staged history documents loaded by the streaming loader, two files per micro-batch."""
+    return SK.read_table(spark, _stream_history_lake(spark, sf_dir), "zabbix_history").select(*HISTORY_COLS)
+
+
+@register("stream_latest_values")
+def q_stream_latest_values(spark, sf_dir):
+    """``latest_values`` maintained by the streaming loader in the same micro-batches."""
+    return LV.latest_rows(spark, _stream_history_lake(spark, sf_dir))
 
 
 @register("stream_agent_node")
@@ -840,3 +852,40 @@ def q_detect_class(spark, sf_dir):
 @register("weak_identity")
 def q_weak_identity(spark, sf_dir):
     return agent_norm(spark, sf_dir).select("request_id", "record_pos", N.is_weak().alias("weak"))
+
+
+# --------------------------------------------------------------------------- maintained latest values
+
+from .operators import latest as LV  # noqa: E402
+
+
+def _latest_lake(spark, sf_dir, batches: int = 4):
+    """``latest_values`` built incrementally from history in consecutive time slices."""
+    lk = Lake(spark, sf_dir)
+    lo = int(lk.hist.agg(F.min("clock")).first()[0])
+    span = (lk.as_of - lo) // batches + 1
+    lake = scratch_dir(spark, "lake")
+    for i in range(batches):
+        part = lk.hist.where((F.col("clock") >= lo + i * span) & (F.col("clock") < lo + (i + 1) * span))
+        LV.update_latest(spark, lake, part, batch_id=f"slice-{i}")
+    return lk, LV.latest_rows(spark, lake)
+
+
+@register("latest_values")
+def q_latest_values(spark, sf_dir):
+    _, latest = _latest_lake(spark, sf_dir)
+    return latest
+
+
+@register("cpu_mem_report_latest")
+def q_cpu_mem_report_latest(spark, sf_dir):
+    """CPU/memory report whose capacity comes from the maintained latest-value table."""
+    lk, latest = _latest_lake(spark, sf_dir)
+    return R.cpu_mem_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, latest=latest)
+
+
+@register("disk_report_bucket_latest")
+def q_disk_report_bucket_latest(spark, sf_dir):
+    lk, latest = _latest_lake(spark, sf_dir)
+    return R.disk_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, match="bucket", width=DAY,
+                         latest=latest)

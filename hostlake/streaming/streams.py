@@ -17,8 +17,6 @@ oldest first) and stops, which is how tests and catch-up runs use it.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,12 +43,14 @@ def staged_stream(spark: SparkSession, pending_dir: str, max_files_per_trigger:
 
 def stream_load_pending(spark: SparkSession, pending_dir: str, lake: str, checkpoint: str,
                         max_files_per_trigger: int = 100, available_now: bool = True,
-                        interval: str = "5 minutes", partition_tables: dict[str, str] | None = None):
-    """Continuous staged-file loader; returns the StreamingQuery."""
-    run = uuid.uuid4().hex[:8]
-
+                        interval: str = "5 minutes", partition_tables: dict[str, str] | None = None,
+                        latest_tables=()):
+    """Continuous staged-file loader; returns the StreamingQuery. The batch id
+    passed on is the stream's own (stable across restarts from the checkpoint),
+    so a replayed batch writes the same snapshot names."""
     def load(batch: DataFrame, batch_id: int) -> None:
-        SK.load_docs(batch.sparkSession, batch, lake, f"{run}-{batch_id}", partition_tables)
+        SK.load_docs(batch.sparkSession, batch, lake, f"stream-{batch_id}", partition_tables,
+                     latest_tables=latest_tables)
 
     w = staged_stream(spark, pending_dir, max_files_per_trigger).writeStream.foreachBatch(load) \
         .option("checkpointLocation", checkpoint)
