@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fs as FS
 from ..functions.scalars import clock_to_ntz
 
 PARTITION_COL = "event_date"
@@ -33,30 +34,19 @@ def partition_history(hist: DataFrame, path: str) -> None:
     out.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _partitions(spark: SparkSession, path: str) -> list[tuple[str, dt.date]]:
-    jvm, p, fs = _fs(spark, path)
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(PARTITION_COL + "="):
-            out.append((st.getPath().toString(), dt.date.fromisoformat(name.split("=", 1)[1])))
-    return out
+    return [(loc, dt.date.fromisoformat(name.split("=", 1)[1]))
+            for loc, name, is_dir, _ in FS.list_dir(spark, path)
+            if is_dir and name.startswith(PARTITION_COL + "=") and "." not in name]
 
 
 def apply_retention(spark: SparkSession, path: str, as_of: int, keep_days: int = 365) -> list[str]:
     """Drop whole day partitions older than ``as_of - keep_days`` (metadata only, no rewrite)."""
     cutoff = dt.datetime.fromtimestamp(as_of - keep_days * 86400, dt.timezone.utc).date()
-    jvm, _, fs = _fs(spark, path)
     dropped = []
     for loc, day in _partitions(spark, path):
         if day < cutoff:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(loc), True)
+            FS.delete(spark, loc)
             dropped.append(loc)
     return dropped
 
@@ -69,7 +59,6 @@ def compact(spark: SparkSession, path: str, as_of: int, older_than_days: int = 3
     day (the swap is a folder rename).
     """
     cutoff = dt.datetime.fromtimestamp(as_of - older_than_days * 86400, dt.timezone.utc).date()
-    jvm, _, fs = _fs(spark, path)
     n = 0
     for loc, day in _partitions(spark, path):
         if day >= cutoff:
@@ -77,10 +66,9 @@ def compact(spark: SparkSession, path: str, as_of: int, older_than_days: int = 3
         tmp = loc + ".compacting"
         spark.read.parquet(loc).repartition(files_per_partition).sortWithinPartitions("itemid", "clock") \
             .write.mode("overwrite").parquet(tmp)
-        old = jvm.org.apache.hadoop.fs.Path(loc + ".old")
-        fs.rename(jvm.org.apache.hadoop.fs.Path(loc), old)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(loc))
-        fs.delete(old, True)
+        FS.rename(spark, loc, loc + ".old")
+        FS.rename(spark, tmp, loc)
+        FS.delete(spark, loc + ".old")
         n += 1
     return n
 

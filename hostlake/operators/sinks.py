@@ -29,6 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fs as FS
 from ..session import Dimension
 from ..sources import staged as S
 
@@ -38,36 +39,11 @@ ORDER_COLS = ("_file", "_doc", "_pos")
 # --------------------------------------------------------------------------- table folder
 
 def _fs_write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small control file atomically (temp file + rename) through Hadoop FS."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + f".{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    FS.write_text(spark, path, text)
 
 
 def _fs_read_text(spark: SparkSession, path: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    lines = []
-    line = reader.readLine()
-    while line is not None:
-        lines.append(line)
-        line = reader.readLine()
-    reader.close()
-    return "\n".join(lines)
+    return FS.read_text(spark, path)
 
 
 def table_meta(spark: SparkSession, lake: str, table: str) -> dict | None:
@@ -295,14 +271,7 @@ def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: in
 
 
 def _move_files(spark: SparkSession, files: list[str], target: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    t = jvm.org.apache.hadoop.fs.Path(target)
-    fs = t.getFileSystem(conf)
-    fs.mkdirs(t)
-    for f in files:
-        src = jvm.org.apache.hadoop.fs.Path(f)
-        fs.rename(src, jvm.org.apache.hadoop.fs.Path(t, src.getName()))
+    FS.move_into(spark, files, target)
 
 
 def _done(spark: SparkSession, lake: str):
@@ -455,14 +424,9 @@ def write_staged(df: DataFrame, pending_dir: str, table: str, method: str, key:
 
 def _rename_json(spark: SparkSession, folder: str) -> None:
     """Give committed text part files the ``.json`` suffix the loader globs for."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(conf)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("part-") and not name.endswith(".json") and st.getLen() > 0:
-            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(folder, name + ".json"))
+    for path, name, is_dir, length in FS.list_dir(spark, folder):
+        if not is_dir and name.startswith("part-") and not name.endswith(".json") and length > 0:
+            FS.rename(spark, path, path + ".json")
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
