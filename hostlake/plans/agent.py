@@ -34,7 +34,8 @@ def identity_overlap(inv: DataFrame, node: DataFrame) -> DataFrame:
     ips = node.select("node_ipv4_address").distinct()
     a = inv.agg(F.count(F.lit(1)).alias("n")).select(F.lit("hosts").alias("k"), "n")
     b = ips.agg(F.count("node_ipv4_address").alias("n")).select(F.lit("nodes").alias("k"), "n")
-    c = inv.join(ips, inv["primary_ip"] == ips["node_ipv4_address"]).agg(F.count(F.lit(1)).alias("n")) \
+    # semi-join: hosts whose primary IP is an agent IP (no host x node pairs are formed)
+    c = inv.join(ips, inv["primary_ip"] == ips["node_ipv4_address"], "left_semi").agg(F.count(F.lit(1)).alias("n")) \
         .select(F.lit("matched").alias("k"), "n")
     # three one-row counts folded into one row by a global aggregate (no cross join)
     u = a.unionByName(b).unionByName(c)
