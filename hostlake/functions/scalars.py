@@ -112,3 +112,25 @@ def date_parts(ts: str | Column) -> list[Column]:
 def bucket_of(clock: str | Column, width: int = 300) -> Column:
     """Integer time bucket ``clock div width`` (truncating, like PostgreSQL)."""
     return F.expr(f"{clock} div {int(width)}") if isinstance(clock, str) else (clock / width).cast("long")
+
+
+def json_map(text: str | Column) -> Column:
+    """JSON object text -> map<string,string> with JSON-library semantics for
+    duplicate keys: one entry per key, at its first position, holding the last
+    value (``from_json`` alone keeps every duplicate and lookups see the first).
+    Nested objects / arrays stay JSON text. The rewrite only runs on objects
+    that do have duplicates."""
+    m = F.from_json(c(text), "map<string,string>")
+    keys = F.map_keys(m)
+    entries = F.map_entries(m)
+    uniq = F.array_distinct(keys)
+    dedup = F.map_from_arrays(
+        uniq, F.transform(uniq, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
+    return F.when(F.size(keys) == F.size(uniq), m).otherwise(dedup)
+
+
+def allow_duplicate_json_keys(spark) -> None:
+    """Let Variant parsing accept objects with duplicate keys (last value wins),
+    as JSON libraries do, instead of treating such payloads as unparseable."""
+    if str(spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false")).lower() != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import agent_mapping as AM
-from ..functions.scalars import iso_utc
+from ..functions.scalars import allow_duplicate_json_keys, iso_utc, json_map
 
 REC_SCHEMA = "map<string,string>"
 
@@ -73,6 +73,7 @@ def explode_records(payloads: DataFrame, body: str = "body") -> DataFrame:
     Non-object list items are dropped. ``record_pos`` is the position in the
     list. Unparseable bodies give one row with ``parse_error = true``.
     """
+    allow_duplicate_json_keys(payloads.sparkSession)
     b = F.col(body)
     v = F.try_parse_json(b)
     top_obj = is_object(v)
@@ -110,7 +111,7 @@ def _metric_pairs(rec_map: Column, rec_v: Column, prefixes) -> Column:
     out = None
     for k in AM.METRIC_KEYS:
         is_obj = is_object(rec_v, k)
-        val = F.from_json(F.element_at(rec_map, k), REC_SCHEMA)
+        val = json_map(F.element_at(rec_map, k))
         out = F.when(is_obj, val) if out is None else out.when(is_obj, val)
     fallback = F.map_filter(rec_map, lambda k, _v: _starts_any(k, prefixes))
     return out.otherwise(fallback)
@@ -164,7 +165,7 @@ def normalize(payloads: DataFrame, mapping: dict[str, Any] | None = None, body:
     prefix_map = m.get("class_prefix_map", {})
     prefixes = tuple(prefix_map.keys()) or AM.DEFAULT_PREFIXES
     recs = explode_records(payloads, body)
-    rec_map = F.from_json(F.col("record"), REC_SCHEMA)
+    rec_map = json_map(F.col("record"))
     rec_v = F.try_parse_json(F.col("record"))
     r = recs.select("*", rec_map.alias("_m"), rec_v.alias("_v"))
     pairs = _metric_pairs(F.col("_m"), F.col("_v"), prefixes)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import iso_utc
+from ..functions.scalars import allow_duplicate_json_keys, iso_utc, json_map
 
 META_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
@@ -46,6 +46,7 @@ def read_staged(spark: SparkSession, pending_dir: str, files: list[str] | None =
     ``files`` restricts the scan to an explicit (e.g. oldest-first, bounded)
     list of paths.
     """
+    allow_duplicate_json_keys(spark)
     reader = spark.read.option("pathGlobFilter", "*.json")
     raw = reader.text(files if files else pending_dir, wholetext=True)
     raw = raw.select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("file_path"))
@@ -93,6 +94,7 @@ def parse_envelope(docs: DataFrame) -> DataFrame:
     ``records`` (array of record JSON texts), ``columns`` (keys of the first
     record, in order) and ``status`` = ok / error / skipped with ``error``.
     """
+    allow_duplicate_json_keys(docs.sparkSession)
     v = F.try_parse_json(F.col("doc"))
     env = F.from_json(F.col("doc"), ENVELOPE_SCHEMA)
     d = docs.select("*", env.alias("_env"), v.alias("_v"))
@@ -109,7 +111,7 @@ def parse_envelope(docs: DataFrame) -> DataFrame:
              .when(~data_is_list, F.lit("data must be a list")))
     out = d.select(
         *docs.columns, meta.alias("meta"), method.alias("method"), records.alias("records"),
-        F.when(F.size(records) > 0, F.json_object_keys(F.element_at(records, 1))).alias("columns"),
+        F.when(F.size(records) > 0, F.array_distinct(F.json_object_keys(F.element_at(records, 1)))).alias("columns"),
         error.alias("error"))
     status = (F.when(F.col("error").isNotNull(), F.lit("error"))
               .when(F.coalesce(F.size("records"), F.lit(0)) == 0, F.lit("skipped"))
@@ -150,7 +152,7 @@ def records_frame(docs: DataFrame, columns: list[str], types: dict[str, str],
     """
     rec = docs.select(F.col("file_path").alias("_file"), F.col("doc_pos").alias("_doc"),
                       F.posexplode("records").alias("_pos", "_rec"))
-    m = F.from_json(F.col("_rec"), "map<string,string>")
+    m = json_map(F.col("_rec"))
     jcols = [c for c in columns if c in set(json_columns)]
     extra = [F.try_parse_json(F.col("_rec")).alias("_v")] if jcols else []
     r = rec.select("_file", "_doc", "_pos", m.alias("_m"), *extra)

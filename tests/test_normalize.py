@@ -127,3 +127,9 @@ def test_one_output_per_table_and_superset_schema(spark):
     r = rows.first()
     assert r.cpu_util_pct == 1.0 and r.extra_metrics == {} and r.source == "obm"
     assert dict(rows.dtypes)["timestamp_utc_s"] == "bigint" and dict(rows.dtypes)["os_name"] == "string"
+
+
+def test_duplicate_keys_last_value_first_position(spark):
+    body = '{"class_name": "DISK", "class_name": "GLOBAL", "metrics": {"GBL_MEM_UTIL": 1, "GBL_MEM_UTIL": 2}}'
+    r = one(spark, body)
+    assert r.class_name == "GLOBAL" and r.metrics == {"mem_util_pct": "2"}

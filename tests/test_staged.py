@@ -127,3 +127,12 @@ def test_done_dir_moves_finished_files_only(spark, scratch):
     SK.load_pending(spark, p, lake, done_dir=done)
     assert sorted(os.listdir(p.replace("file:", ""))) == ["bad.json"]
     assert sorted(os.listdir(done.replace("file:", ""))) == ["ok.json"]
+
+
+def test_duplicate_keys_in_records(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    put(p, "d.json", None, raw='{"meta": {"table": "d", "method": "copy", "add_updated_at": false}, '
+                               '"data": [{"a": "1", "b": "x", "a": "2"}]}')
+    SK.load_pending(spark, p, lake)
+    t = SK.read_table(spark, lake, "d")
+    assert t.columns == ["a", "b"] and [tuple(r) for r in t.collect()] == [("2", "x")]
