@@ -40,7 +40,7 @@ def main() -> None:
     from hostlake.session import local_session
     from hostlake.registry import QUERIES
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="hostlake-bench")
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     # warm-up: JVM, class loading and the parquet footer cache, not timed

@@ -3,9 +3,10 @@
 Input: one row per received payload ``(request_id, received_at, raw_payload_ref,
 body)`` where ``body`` is the JSON text. Everything below is per-row work
 (``from_json`` / Variant type checks / higher-order functions), so it runs
-inside the scan stage; the only shuffle-like step is the request-level
-strictness window, partitioned by ``request_id`` (all records of a request
-come from one payload row, so that partition is one payload's records).
+inside the scan stage. Request-level strictness needs the record and weak
+record counts of the whole request; all records of a request come from one
+payload row, so they are computed on that row before the explode and routing
+needs no shuffle.
 
 JSON typing: object key order matters (first record's keys, prefix-vote
 tie-break), and Variant sorts keys, so text values and key order come from
@@ -64,7 +65,11 @@ def _strip(s: Column) -> Column:
 
 # --------------------------------------------------------------------------- N1
 
-def explode_records(payloads: DataFrame, body: str = "body") -> DataFrame:
+def _identity_raw_keys(mapping: dict[str, Any]) -> list[str]:
+    return [raw for raw, norm in mapping.get("common_fields_map", {}).items() if norm in AM.IDENTITY_FIELDS]
+
+
+def explode_records(payloads: DataFrame, body: str = "body", mapping: dict[str, Any] | None = None) -> DataFrame:
     """One row per candidate record (``record`` = the record's JSON object text).
 
     Accepted shapes: array of records; object holding the list or a single
@@ -99,10 +104,27 @@ def explode_records(payloads: DataFrame, body: str = "body") -> DataFrame:
             .when(single.isNotNull(),
                   F.array(F.struct(single.alias("txt"), F.lit("OBJECT").alias("typ"))))
             .otherwise(F.array().cast("array<struct<txt:string,typ:string>>")))
+    # request-level counts, computed on the payload row before the explode: all records
+    # of a request come from this one row, so routing needs no shuffle by request
+    id_keys = _identity_raw_keys(AM.load_mapping() if mapping is None else mapping)
+
+    def weak_elem(e):
+        m = json_map(e["txt"])
+        cond = None
+        for k in id_keys:
+            t = F.coalesce(F.element_at(m, k), F.lit("")) == ""
+            cond = t if cond is None else (cond & t)
+        return cond if cond is not None else F.lit(True)
+
+    objs = F.filter(cand, lambda e: e["typ"] == "OBJECT")
     keep = [c for c in payloads.columns if c != body]
-    x = payloads.select(*keep, v.isNull().alias("parse_error"), F.posexplode_outer(cand).alias("record_pos", "_e"))
+    x = payloads.select(*keep, v.isNull().alias("parse_error"),
+                        F.size(objs).alias("req_records"),
+                        F.size(F.filter(objs, weak_elem)).alias("req_weak_records"),
+                        F.posexplode_outer(cand).alias("record_pos", "_e"))
     return x.where(F.col("parse_error") | (F.col("_e.typ") == "OBJECT")).select(
-        *keep, "parse_error", "record_pos", F.when(~F.col("parse_error"), F.col("_e.txt")).alias("record"))
+        *keep, "parse_error", "record_pos", "req_records", "req_weak_records",
+        F.when(~F.col("parse_error"), F.col("_e.txt")).alias("record"))
 
 
 # --------------------------------------------------------------------------- N2..N7
@@ -164,7 +186,7 @@ def normalize(payloads: DataFrame, mapping: dict[str, Any] | None = None, body:
     m = AM.load_mapping() if mapping is None else mapping
     prefix_map = m.get("class_prefix_map", {})
     prefixes = tuple(prefix_map.keys()) or AM.DEFAULT_PREFIXES
-    recs = explode_records(payloads, body)
+    recs = explode_records(payloads, body, m)
     rec_map = json_map(F.col("record"))
     rec_v = F.try_parse_json(F.col("record"))
     r = recs.select("*", rec_map.alias("_m"), rec_v.alias("_v"))
@@ -193,7 +215,7 @@ def normalize(payloads: DataFrame, mapping: dict[str, Any] | None = None, body:
     return r.select(
         *keep,
         (iso_utc(received) if dict(payloads.dtypes).get("received_at", "string") != "string" else received).alias("received_at"),
-        "record_pos", "parse_error",
+        "record_pos", "parse_error", "req_records", "req_weak_records",
         F.lit(AM.SOURCE_NAME).alias("source"),
         ds.alias("datasource"),
         "class_name",
@@ -276,15 +298,26 @@ def route(norm: DataFrame, strict: bool, identity: Column | None = None) -> tupl
     is quarantined once (``weak_identity_non_strict``) and its records are
     still accepted. Unparseable payloads are quarantined as
     ``normalization_exception``.
+
+    With the default identity check the per-request counts come from the
+    payload row (``normalize`` adds them before exploding), so accepted
+    records are routed without any shuffle; only the (few) quarantined
+    requests are grouped. A custom ``identity`` column is evaluated per record
+    and gathered per request with a window.
     """
-    weak = (~identity) if identity is not None else is_weak()
-    w = Window.partitionBy("request_id")
-    n = norm.withColumn("_weak", F.coalesce(weak, F.lit(True)) & ~F.col("parse_error")) \
-        .withColumn("_req_weak", F.max(F.col("_weak").cast("int")).over(w)) \
-        .withColumn("_req_weak_n", F.sum(F.col("_weak").cast("int")).over(w)) \
-        .withColumn("_req_n", F.count_if(~F.col("parse_error")).over(w))
+    if identity is None and "req_weak_records" in norm.columns:
+        n = norm.withColumn("_req_weak", (F.col("req_weak_records") > 0).cast("int")) \
+            .withColumn("_req_weak_n", F.col("req_weak_records")).withColumn("_req_n", F.col("req_records"))
+    else:
+        weak = (~identity) if identity is not None else is_weak()
+        w = Window.partitionBy("request_id")
+        n = norm.withColumn("_weak", F.coalesce(weak, F.lit(True)) & ~F.col("parse_error")) \
+            .withColumn("_req_weak", F.max(F.col("_weak").cast("int")).over(w)) \
+            .withColumn("_req_weak_n", F.sum(F.col("_weak").cast("int")).over(w)) \
+            .withColumn("_req_n", F.count_if(~F.col("parse_error")).over(w)) \
+            .drop("_weak")
     ok = ~F.col("parse_error") & ((F.col("_req_weak") == 0) | F.lit(not strict))
-    accepted = n.where(ok).drop("_weak", "_req_weak", "_req_weak_n", "_req_n")
+    accepted = n.where(ok).drop("_req_weak", "_req_weak_n", "_req_n")
     reason = (F.when(F.col("parse_error"), F.lit("normalization_exception"))
               .when(F.col("_req_weak") == 1, F.lit("strict_validation_failed_missing_identity" if strict
                                                    else "weak_identity_non_strict")))

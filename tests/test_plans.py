@@ -60,3 +60,13 @@ def test_day_partitions_are_pruned(spark, scratch):
     df = spark.read.parquet(path).where((F.col(MT.PARTITION_COL) == "2024-01-05") & (F.col("itemid") == 8))
     p = plan(df)
     assert "PartitionFilters: [isnotnull(event_date" in p and "PushedFilters: [IsNotNull(itemid), EqualTo(itemid,8)]" in p
+
+
+def test_routing_accepted_records_needs_no_shuffle(spark):
+    from hostlake.operators import normalize as N
+    from hostlake.sources import payloads as PL
+    n = N.normalize(spark.read.parquet(f"{SF}/events.parquet").transform(PL.payloads_from_events))
+    acc, _ = N.route(n, strict=True)
+    t = tree(plan(acc.select("request_id", "record_pos")))
+    # the only exchange is the test binding's own grouping of events into requests
+    assert t.replace("BroadcastExchange", "").count("Exchange") == 1 and "Window" not in t
