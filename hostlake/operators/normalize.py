@@ -109,22 +109,27 @@ def explode_records(payloads: DataFrame, body: str = "body", mapping: dict[str,
     id_keys = _identity_raw_keys(AM.load_mapping() if mapping is None else mapping)
 
     def weak_elem(e):
-        m = json_map(e["txt"])
         cond = None
         for k in id_keys:
-            t = F.coalesce(F.element_at(m, k), F.lit("")) == ""
+            t = F.coalesce(F.element_at(e["m"], k), F.lit("")) == ""
             cond = t if cond is None else (cond & t)
         return cond if cond is not None else F.lit(True)
 
-    objs = F.filter(cand, lambda e: e["typ"] == "OBJECT")
     keep = [c for c in payloads.columns if c != body]
-    x = payloads.select(*keep, v.isNull().alias("parse_error"),
-                        F.size(objs).alias("req_records"),
-                        F.size(F.filter(objs, weak_elem)).alias("req_weak_records"),
-                        F.posexplode_outer(cand).alias("record_pos", "_e"))
+    # each record object is parsed to its map once, in its own projection (kept apart
+    # from the two uses below so the map is not computed twice)
+    parsed = payloads.select(*keep, v.isNull().alias("parse_error"), F.transform(cand, lambda e: F.struct(
+        e["txt"].alias("txt"), e["typ"].alias("typ"),
+        F.when(e["typ"] == "OBJECT", json_map(e["txt"])).alias("m"))).alias("_c"))
+    objs = F.filter(F.col("_c"), lambda e: e["typ"] == "OBJECT")
+    x = parsed.select(*keep, "parse_error",
+                      F.size(objs).alias("req_records"),
+                      F.size(F.filter(objs, weak_elem)).alias("req_weak_records"),
+                      F.posexplode_outer("_c").alias("record_pos", "_e"))
     return x.where(F.col("parse_error") | (F.col("_e.typ") == "OBJECT")).select(
         *keep, "parse_error", "record_pos", "req_records", "req_weak_records",
-        F.when(~F.col("parse_error"), F.col("_e.txt")).alias("record"))
+        F.when(~F.col("parse_error"), F.col("_e.txt")).alias("record"),
+        F.when(~F.col("parse_error"), F.col("_e.m")).alias("record_map"))
 
 
 # --------------------------------------------------------------------------- N2..N7
@@ -187,9 +192,8 @@ def normalize(payloads: DataFrame, mapping: dict[str, Any] | None = None, body:
     prefix_map = m.get("class_prefix_map", {})
     prefixes = tuple(prefix_map.keys()) or AM.DEFAULT_PREFIXES
     recs = explode_records(payloads, body, m)
-    rec_map = json_map(F.col("record"))
     rec_v = F.try_parse_json(F.col("record"))
-    r = recs.select("*", rec_map.alias("_m"), rec_v.alias("_v"))
+    r = recs.withColumnRenamed("record_map", "_m").select("*", rec_v.alias("_v"))
     pairs = _metric_pairs(F.col("_m"), F.col("_v"), prefixes)
     r = r.withColumn("_pairs", pairs)
     cls = F.coalesce(_explicit_class(F.col("_m"), F.col("_v")), _voted_class(F.col("_pairs"), prefix_map),

@@ -839,7 +839,7 @@ def q_explode_records(spark, sf_dir):
 def q_metric_pairs(spark, sf_dir):
     """Raw metric names found per record (wrapper object, else prefixed top-level keys)."""
     n = N.explode_records(PL.payloads(spark, sf_dir))
-    pairs = N._metric_pairs(F.from_json("record", N.REC_SCHEMA), F.try_parse_json("record"),
+    pairs = N._metric_pairs(F.col("record_map"), F.try_parse_json("record"),
                             tuple(AM.load_mapping()["class_prefix_map"]))
     return n.select("request_id", "record_pos", _sorted_keys(pairs).alias("metric_names"))
 
