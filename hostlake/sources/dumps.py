@@ -70,22 +70,26 @@ def write_dumps_from_customer(spark: SparkSession, sf_dir: str, items: DataFrame
                       .otherwise(F.col("c_nationkey").cast("string")).alias("proxy_hostid"),
                       ifaces.alias("interfaces"), groups.alias("groups"), tmpl.alias("parentTemplates"))
     hosts.write.mode("overwrite").json(f"{dump_dir}/hosts")
+    mac_type = "array<struct<macro:string,value:string,type:string,description:string>>"
+    tag_type = "array<struct<tag:string,value:string>>"
     mac = F.array(F.struct(F.lit("{$SSH.USER}").alias("macro"), F.lit("root").alias("value"), F.lit("0").alias("type"),
                            F.lit("").alias("description")),
                   F.struct(F.lit("{$SSH.PASS}").alias("macro"), F.concat(F.lit("secret"), ks).alias("value"),
                            F.lit("1").alias("type"), F.lit("password").alias("description")))
-    cu.where(F.pmod(k, F.lit(2)) == 0).select(ks.alias("hostid"), mac.alias("macros")) \
+    # every host has a macro page and a tag page; some of them hold an empty list
+    cu.select(ks.alias("hostid"), F.when(F.pmod(k, F.lit(2)) == 0, mac).otherwise(F.array().cast(mac_type)).alias("macros")) \
         .write.mode("overwrite").json(f"{dump_dir}/macros")
-    cu.where(F.pmod(k, F.lit(4)) != 1).select(ks.alias("hostid"), F.array(F.struct(F.lit("segment").alias("tag"), seg.alias("value"))).alias("tags")) \
+    tag = F.array(F.struct(F.lit("segment").alias("tag"), seg.alias("value")))
+    cu.select(ks.alias("hostid"), F.when(F.pmod(k, F.lit(4)) != 1, tag).otherwise(F.array().cast(tag_type)).alias("tags")) \
         .write.mode("overwrite").json(f"{dump_dir}/tags")
-    # item pages: every item once (page 0), every fifth item repeated on page 1 with another name
+    # item pages: every item on page 0, and again (renamed) on page 1; the first copy wins
     raw = items.select("itemid", "hostid", "name", "key_", "value_type",
                        F.when(F.col("units") == "", F.lit(None)).otherwise(F.col("units")).alias("units"),
                        F.when(F.col("status") == "Enabled", F.lit("0")).otherwise(F.lit("1")).alias("status"),
                        "templateid")
     first = raw.withColumn("_page", F.lit(0)).withColumn("_pos", F.lit(0))
-    again = raw.where(F.pmod(F.col("itemid").cast("bigint"), F.lit(5)) == 0) \
-        .withColumn("name", F.concat(F.lit("dup "), F.col("name"))).withColumn("_page", F.lit(1)).withColumn("_pos", F.lit(0))
+    again = raw.withColumn("name", F.concat(F.lit("dup "), F.col("name"))).withColumn("_page", F.lit(1)) \
+        .withColumn("_pos", F.lit(0))
     first.unionByName(again).write.mode("overwrite").json(f"{dump_dir}/items")
     segs = cu.select(seg.alias("s")).distinct()
     segs.select(F.concat(F.lit("2"), F.lpad(F.abs(F.hash("s")).cast("string"), 10, "0")).alias("templateid"),
