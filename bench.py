@@ -45,11 +45,14 @@ def main() -> None:
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     # warm-up: JVM, class loading and the parquet footer cache, not timed
     QUERIES["readable_history"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, failed = {}, {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - report and keep measuring the others
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_sec",
@@ -57,6 +60,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
+        **({"failed": failed} if failed else {}),
     }))
 
 

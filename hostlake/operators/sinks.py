@@ -245,7 +245,8 @@ def write_upsert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
 
 def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: int | None = None,
                  batch_id: str | None = None, partition_tables: dict[str, str] | None = None,
-                 done_dir: str | None = None, latest_tables: Sequence[str] = ()) -> DataFrame:
+                 done_dir: str | None = None, latest_tables: Sequence[str] = (),
+                 clean_copy_text: bool = False) -> DataFrame:
     """Load pending staged documents into lake tables, as each document declares.
 
     With ``done_dir`` fully loaded (or skipped) files are moved there, so the
@@ -262,7 +263,7 @@ def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: in
     if not files:
         return _empty_ledger(spark)
     ledger = load_docs(spark, S.read_staged(spark, pending_dir, files), lake, batch_id, partition_tables,
-                       deferred_files=deferred, latest_tables=latest_tables)
+                       deferred_files=deferred, latest_tables=latest_tables, clean_copy_text=clean_copy_text)
     if done_dir:
         # the counterpart of deleting a loaded file: move fully finished files out of pending/
         bad = {r[0] for r in ledger.where(F.col("status") == "error").select("file_path").distinct().collect()}
@@ -289,11 +290,13 @@ def _empty_ledger(spark: SparkSession) -> DataFrame:
 
 def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
               partition_tables: dict[str, str] | None = None, deferred_files: int = 0,
-              latest_tables: Sequence[str] = ()) -> DataFrame:
+              latest_tables: Sequence[str] = (), clean_copy_text: bool = False) -> DataFrame:
     """Load a batch of staged documents ``(file_path, doc_pos, doc)``; see ``load_pending``.
 
     Tables named in ``latest_tables`` (history-shaped) also refresh the
-    ``latest_values`` table from the same batch. Used as is by the streaming
+    ``latest_values`` table from the same batch. ``clean_copy_text`` turns
+    tab / newline / CR in text values of ``copy`` documents into spaces, as a
+    tab-separated bulk load must (off by default: Parquet keeps text exactly). Used as is by the streaming
     loader's ``foreachBatch``.
     """
     ledger_path = f"{lake}/_ledger"
@@ -335,6 +338,10 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
                                                  F.lit(f"column {unknown[0]} does not exist").alias("error")))
             continue
         recs = S.records_frame(part_docs, cols, {c: meta["types"].get(c, types[c]) for c in cols}, jcols)
+        if clean_copy_text and method == "copy":
+            from ..functions.scalars import clean_text
+            recs = recs.select(*[clean_text(c).alias(c) if c in types and meta["types"].get(c, types[c]) == "string" and c not in jcols
+                                 else F.col(c) for c in recs.columns])
         if table in set(latest_tables):
             from .latest import update_latest
             update_latest(spark, lake, recs, batch_id=f"{batch_id}-{table}")

@@ -136,3 +136,11 @@ def test_duplicate_keys_in_records(spark, scratch):
     SK.load_pending(spark, p, lake)
     t = SK.read_table(spark, lake, "d")
     assert t.columns == ["a", "b"] and [tuple(r) for r in t.collect()] == [("2", "x")]
+
+
+def test_clean_copy_text_option(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    put(p, "t.json", {"meta": {"table": "t", "method": "copy", "add_updated_at": False},
+                      "data": [{"a": "x\ty\nz"}]})
+    SK.load_pending(spark, p, lake, clean_copy_text=True)
+    assert SK.read_table(spark, lake, "t").first().a == "x y z"
