@@ -265,6 +265,18 @@ def to_table_rows(norm: DataFrame, table: str, mapping: dict[str, Any] | None =
     return rows.select(*out)
 
 
+def unmapped_rows(norm: DataFrame, mapping: dict[str, Any] | None = None) -> DataFrame:
+    """Records whose class has no target table (unknown classes): kept, not lost.
+
+    Common fields as columns, metrics / extra metrics as maps, plus the meta
+    columns, so a later mapping can re-process them."""
+    m = AM.load_mapping() if mapping is None else mapping
+    common = list(dict.fromkeys(m.get("common_fields_map", {}).values()))
+    return norm.where(F.col("target_table").isNull() & ~F.col("parse_error")).select(
+        "request_id", "record_pos", *common, "class_name", "datasource", "source", "received_at",
+        "raw_payload_ref", "metrics", "extra_metrics")
+
+
 def discover_columns(norm: DataFrame, table: str) -> DataFrame:
     """Columns for a table absent from the mapping: union of common and metric
     keys in first-seen order, then meta columns and extra_metrics."""

@@ -66,24 +66,42 @@ def payload_stream(spark: SparkSession, archive_dir: str, max_files_per_trigger:
 
 def stream_agent_metrics(spark: SparkSession, archive_dir: str, lake: str, checkpoint: str, strict: bool = False,
                          available_now: bool = True, interval: str = "1 minute",
-                         max_files_per_trigger: int = 100, jsonl_dir: str | None = None):
-    """Archive -> normalise -> route -> agent tables + quarantine (+ JSON lines)."""
+                         max_files_per_trigger: int = 100, jsonl_dir: str | None = None,
+                         extra_sinks=()):
+    """Archive -> normalise -> route -> agent tables, unmapped records, quarantine
+    (+ JSON lines, + any ``extra_sinks`` ``(accepted_df, batch_id) -> None``).
+
+    Every folder is written per batch id and overwritten on replay, so a retried
+    batch leaves no duplicates. When a table write fails, the batch's requests
+    are quarantined as ``sink_write_failed`` with the error text (their raw
+    bodies stay in the archive for replay) and the stream goes on.
+    """
     mapping = AM.load_mapping()
     tables = sorted(set(AM.class_tables(mapping).values()))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         norm = N.normalize(batch, mapping).persist()
+        bodies = batch.select("request_id", "received_at", "raw_payload_ref", F.col("body").alias("raw_body"))
         try:
             accepted, quarantined = N.route(norm, strict=strict)
-            # one folder per table and batch id, overwritten on replay: idempotent
-            for t in tables:
-                rows = N.to_table_rows(accepted, t, mapping)
-                rows.write.mode("overwrite").parquet(f"{lake}/{t}/data/batch_id={batch_id}")
-            q = quarantined.join(batch.select("request_id", "received_at", "raw_payload_ref",
-                                              F.col("body").alias("raw_body")), "request_id")
+            try:
+                for t in tables:
+                    rows = N.to_table_rows(accepted, t, mapping)
+                    rows.write.mode("overwrite").parquet(f"{lake}/{t}/data/batch_id={batch_id}")
+                N.unmapped_rows(accepted, mapping).write.mode("overwrite") \
+                    .parquet(f"{lake}/opsb_agent_unmapped/data/batch_id={batch_id}")
+                for extra in extra_sinks:
+                    extra(accepted, batch_id)
+                if jsonl_dir:
+                    SK.write_jsonl(accepted.drop("parse_error"), f"{jsonl_dir}/batch_id={batch_id}")
+            except Exception as exc:  # noqa: BLE001 - keep the stream alive, the archive allows replay
+                quarantined = norm.groupBy("request_id").agg(
+                    F.lit("sink_write_failed").alias("reason"),
+                    F.max("req_weak_records").alias("weak_record_count"),
+                    F.max("req_records").alias("total_records")) \
+                    .withColumn("error", F.lit(f"{type(exc).__name__}: {str(exc)[:500]}"))
+            q = quarantined.join(bodies, "request_id")
             q.write.mode("overwrite").parquet(f"{lake}/_quarantine/batch_id={batch_id}")
-            if jsonl_dir:
-                SK.write_jsonl(accepted.drop("parse_error"), jsonl_dir)
         finally:
             norm.unpersist()
 

@@ -51,3 +51,29 @@ def test_table_profile(spark, scratch):
     sizes = spark.createDataFrame([(5,), (10239,), (10240,), (20 * 1024 * 1024,)], "b bigint") \
         .select(pretty_size("b")).collect()
     assert [x[0] for x in sizes] == ["5 bytes", "10239 bytes", "10 kB", "20 MB"]
+
+
+def test_unmapped_records_are_kept(spark):
+    rows = [("r1", json.dumps([{"class_name": "BRAND_NEW", "MonitoredSystemID": "s", "metrics": {"X": 1}},
+                               {"class_name": "GLOBAL", "MonitoredSystemID": "s", "metrics": {"GBL_MEM_UTIL": 1}}]))]
+    df = spark.createDataFrame(rows, "request_id string, body string") \
+        .withColumn("received_at", F.lit("x")).withColumn("raw_payload_ref", F.lit("r"))
+    u = N.unmapped_rows(N.normalize(df)).collect()
+    assert [(r.class_name, r.node_short_name, r.extra_metrics) for r in u] == [("BRAND_NEW", "s", {"X": "1"})]
+
+
+def test_stream_sink_failure_is_quarantined(spark, scratch):
+    from hostlake.sources import payloads as PL
+    from hostlake.streaming import streams as ST
+    archive, lake, ck = scratch("raw"), scratch("lake"), scratch("ck")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(6)
+    SK.archive_raw(PL.payloads_from_events(ev), archive)
+
+    def broken(df, batch_id):
+        raise RuntimeError("sink down")
+    q = ST.stream_agent_metrics(spark, archive, lake, ck, extra_sinks=[broken])
+    q.awaitTermination(300)
+    assert q.exception() is None
+    quar = spark.read.parquet(f"{lake}/_quarantine").collect()
+    assert {r.reason for r in quar} == {"sink_write_failed"} and len(quar) == 3
+    assert all("sink down" in r.error and r.raw_body for r in quar)
