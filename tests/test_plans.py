@@ -70,3 +70,20 @@ def test_routing_accepted_records_needs_no_shuffle(spark):
     t = tree(plan(acc.select("request_id", "record_pos")))
     # the only exchange is the test binding's own grouping of events into requests
     assert t.replace("BroadcastExchange", "").count("Exchange") == 1 and "Window" not in t
+
+
+def test_sql_views_match_dataframe_api(spark):
+    from hostlake.plans import profile as P
+    from hostlake.plans.views import register_views
+    lk = Lake(spark, SF)
+    register_views(spark, lk.hist, lk.items, lk.inv, lk.as_of)
+    got = spark.sql("""
+        SELECT item_name AS `__text`, itemid AS `__value`, hostid
+        FROM v_zabbix_host_item_catalog WHERE value_type IN (0, 3)""")
+    want = P.host_item_catalog(lk.hist, lk.items, lk.inv, lk.as_of).where("value_type IN (0, 3)") \
+        .selectExpr("item_name AS `__text`", "itemid AS `__value`", "hostid")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    latest = spark.sql("""
+        SELECT itemid, max_by(value_text, struct(clock, itemid)) AS last_value
+        FROM v_zabbix_history_readable GROUP BY itemid""")
+    assert latest.count() == lk.hist.select("itemid").distinct().count()
