@@ -77,3 +77,22 @@ def test_stream_sink_failure_is_quarantined(spark, scratch):
     quar = spark.read.parquet(f"{lake}/_quarantine").collect()
     assert {r.reason for r in quar} == {"sink_write_failed"} and len(quar) == 3
     assert all("sink down" in r.error and r.raw_body for r in quar)
+
+
+def test_read_payloads_archive_and_day_replay(spark, scratch):
+    from hostlake.sources import payloads as PL
+    root = scratch("archive").replace("file:", "")
+    for day, rid in (("2024/01/02", "req-a"), ("2024/01/02", "req-b"), ("2024/01/03", "req-c")):
+        os.makedirs(f"{root}/raw/{day}", exist_ok=True)
+        with open(f"{root}/raw/{day}/{rid}.json", "w") as fh:
+            fh.write(json.dumps({"class_name": "GLOBAL", "MonitoredSystemID": rid,
+                                 "metrics": {"GBL_MEM_UTIL": 1}}, indent=2))
+    with open(f"{root}/raw/2024/01/02/.req-x.json.tmp", "w") as fh:
+        fh.write("{")
+    allp = PL.read_payloads(spark, f"{root}/raw")
+    assert sorted(r.request_id for r in allp.collect()) == ["req-a", "req-b", "req-c"]
+    day = PL.read_payloads(spark, f"{root}/raw", day="2024/01/02")
+    rows = sorted((r.request_id, r.raw_payload_ref) for r in day.collect())
+    assert rows == [("req-a", "raw/2024/01/02/req-a.json"), ("req-b", "raw/2024/01/02/req-b.json")]
+    n = N.normalize(day).select("request_id", "node_short_name", "class_name").collect()
+    assert sorted(tuple(r) for r in n) == [("req-a", "req-a", "GLOBAL"), ("req-b", "req-b", "GLOBAL")]
