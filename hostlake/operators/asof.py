@@ -9,7 +9,8 @@
 Scale notes
 -----------
 ``nearest_join`` partitions by ``by + time chunk`` so that one hot key (a
-host with a third of all rows) is split into many window partitions. Rows at
+host with a third of all rows) is split into many window partitions; chunk
+widths adapt per key (``target_rows_per_chunk``). Rows at
 the edge of a chunk are matched with the last / first right row of the
 nearest non-empty neighbouring chunk; those boundaries come from a small
 per-(key, chunk) aggregate (map-side combined), never from a whole key in one
@@ -44,6 +45,7 @@ def nearest_join(
     chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS,
     materialize: bool = True,
     direction: str = "nearest",
+    target_rows_per_chunk: int | None = 1_000_000,
 ) -> DataFrame:
     """Closest right row per left row, by |clock difference|, within ``by``.
 
@@ -63,6 +65,12 @@ def nearest_join(
 
     ``materialize`` checkpoints the combined input once (eager job) because
     the chunked form reads it twice.
+
+    ``target_rows_per_chunk`` makes chunks adaptive: a small per-key
+    aggregate (rows, first and last clock) narrows the chunk of a dense key so
+    that it holds about that many rows (``chunk_seconds`` is the widest
+    chunk). A key holding a third of all rows is then spread over many window
+    partitions; only rows sharing one clock value cannot be split.
     """
     by = list(by)
     values = list(values)
@@ -95,8 +103,20 @@ def nearest_join(
         from ..session import ensure_checkpoint_dir
         ensure_checkpoint_dir(u.sparkSession)
         u = u.checkpoint(eager=True)
-    if chunk_seconds:
+    if chunk_seconds and target_rows_per_chunk:
+        from ..session import Dimension
+        stats = u.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min(clock).alias("_lo"), F.max(clock).alias("_hi"))
+        width = F.greatest(F.lit(1), F.least(
+            F.lit(chunk_seconds),
+            F.floor((F.col("_hi") - F.col("_lo") + 1) * F.lit(target_rows_per_chunk) / F.col("_n"))))
+        widths = Dimension(stats.select(*_cols(by), width.cast("long").alias("_w")))
+        # left join: rows whose key is NULL keep the default width instead of being lost
+        u = u.join(widths.bc(), on=by, how="left") \
+            .withColumn("_chunk", F.floor(F.col(clock) / F.coalesce(F.col("_w"), F.lit(chunk_seconds))).cast("long")) \
+            .drop("_w")
+    elif chunk_seconds:
         u = u.withColumn("_chunk", F.floor(F.col(clock) / F.lit(chunk_seconds)).cast("long"))
+    if chunk_seconds:
         part = by + ["_chunk"]
         # boundary rows per (key, chunk): last right row (max clock, max tie) and
         # first right row (min clock, max tie), per channel

@@ -19,8 +19,9 @@ def brute_nearest(left, right):
     return out
 
 
-@pytest.mark.parametrize("seed,chunk", [(1, None), (2, 10), (3, 7), (4, 3600), (5, 1)])
-def test_nearest_join_matches_brute_force(spark, seed, chunk):
+@pytest.mark.parametrize("seed,chunk,target", [(1, None, None), (2, 10, None), (3, 7, None), (4, 3600, None),
+                                               (5, 1, None), (6, 3600, 3), (7, 50, 1), (8, 3600, 10)])
+def test_nearest_join_matches_brute_force(spark, seed, chunk, target):
     rnd = random.Random(seed)
     left = [(rnd.randint(0, 3), rnd.randint(0, 100), i) for i in range(120)]
     right, seen = [], set()
@@ -32,10 +33,12 @@ def test_nearest_join_matches_brute_force(spark, seed, chunk):
             right.append(r)
     ldf = spark.createDataFrame(left, "h int, clock bigint, lv int")
     rdf = spark.createDataFrame(right, "h int, clock bigint, ns int, itemid int, value double")
-    got = nearest_join(ldf, rdf, by=["h"], values=["value"], tie=["ns", "itemid"], how="left", chunk_seconds=chunk)
+    got = nearest_join(ldf, rdf, by=["h"], values=["value"], tie=["ns", "itemid"], how="left", chunk_seconds=chunk,
+                       target_rows_per_chunk=target)
     g = {(r.h, r.clock, r.lv): (None if r.match_clock is None else (r.value, r.match_clock)) for r in got.collect()}
     assert g == brute_nearest(left, right)
-    inner = nearest_join(ldf, rdf, by=["h"], values=["value"], tie=["ns", "itemid"], how="inner", chunk_seconds=chunk)
+    inner = nearest_join(ldf, rdf, by=["h"], values=["value"], tie=["ns", "itemid"], how="inner", chunk_seconds=chunk,
+                         target_rows_per_chunk=target)
     assert inner.count() == sum(1 for v in g.values() if v is not None)
 
 
@@ -69,3 +72,15 @@ def test_latest_by(spark):
                                "k int, clock bigint, ns int, v string")
     got = sorted(tuple(r) for r in latest_by(df, ["k"], ["clock", "ns"], ["v"]).collect())
     assert got == [(1, 10, 2, "b"), (2, 1, 0, "d")]
+
+
+def test_adaptive_chunks_split_a_hot_key(spark):
+    # one key with many rows and a sparse one: the hot key gets narrow chunks
+    left = [(0, c, c) for c in range(0, 2000, 2)] + [(1, 5, 0)]
+    right = [(0, c, 0, 0, float(c)) for c in range(1, 2000, 2)] + [(1, 3000, 0, 0, 9.0)]
+    ldf = spark.createDataFrame(left, "h int, clock bigint, lid int")
+    rdf = spark.createDataFrame(right, "h int, clock bigint, ns int, itemid int, value double")
+    got = nearest_join(ldf, rdf, by=["h"], tie=["ns", "itemid"], how="left", chunk_seconds=3600,
+                       target_rows_per_chunk=50)
+    g = {(r.h, r.clock): r.value for r in got.collect()}
+    assert g[(0, 0)] == 1.0 and g[(0, 1000)] == 999.0 and g[(0, 1998)] == 1997.0 and g[(1, 5)] == 9.0
