@@ -46,6 +46,7 @@ def nearest_join(
     materialize: bool = True,
     direction: str = "nearest",
     target_rows_per_chunk: int | None = 1_000_000,
+    keys_bounded: bool | None = None,
 ) -> DataFrame:
     """Closest right row per left row, by |clock difference|, within ``by``.
 
@@ -70,7 +71,11 @@ def nearest_join(
     aggregate (rows, first and last clock) narrows the chunk of a dense key so
     that it holds about that many rows (``chunk_seconds`` is the widest
     chunk). A key holding a third of all rows is then spread over many window
-    partitions; only rows sharing one clock value cannot be split.
+    partitions; only rows sharing one clock value cannot be split. The
+    per-key width table is broadcast when ``keys_bounded`` says the number of
+    keys is known to be small (e.g. keys of a size-checked dimension), is
+    checked with a bounded count when it is None, and is shuffle-joined when
+    False.
     """
     by = list(by)
     values = list(values)
@@ -109,9 +114,13 @@ def nearest_join(
         width = F.greatest(F.lit(1), F.least(
             F.lit(chunk_seconds),
             F.floor((F.col("_hi") - F.col("_lo") + 1) * F.lit(target_rows_per_chunk) / F.col("_n"))))
-        widths = Dimension(stats.select(*_cols(by), width.cast("long").alias("_w")))
+        wdf = stats.select(*_cols(by), width.cast("long").alias("_w"))
+        if keys_bounded is None:
+            wdf = Dimension(wdf).bc()
+        elif keys_bounded:
+            wdf = F.broadcast(wdf)
         # left join: rows whose key is NULL keep the default width instead of being lost
-        u = u.join(widths.bc(), on=by, how="left") \
+        u = u.join(wdf, on=by, how="left") \
             .withColumn("_chunk", F.floor(F.col(clock) / F.coalesce(F.col("_w"), F.lit(chunk_seconds))).cast("long")) \
             .drop("_w")
     elif chunk_seconds:

@@ -128,11 +128,13 @@ def cpu_with_mem(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                  lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
                  chunk_seconds: int | None = 3600, dim: Dimension | None = None) -> DataFrame:
     """CPU samples of the window, each with the nearest memory sample of its host."""
+    dim = dim or group_items(items, group_hosts(inv, group))
     pct = pct_history(hist, items, inv, as_of, lookback_s, group, dim=dim)
     cpu = pct.where(F.col("role") == "cpu").select("hostid", "clock", F.col("value").alias("cpu_value"))
     mem = pct.where(F.col("role") == "mem").select("hostid", "clock", "ns", "itemid", "value")
+    # hosts come from the size-checked item dimension: the per-host chunk table is as small
     m = nearest_join(cpu, mem, by=["hostid"], values=["value"], tie=["ns", "itemid"], how="inner",
-                     chunk_seconds=chunk_seconds)
+                     chunk_seconds=chunk_seconds, keys_bounded=dim.small)
     return m.select("hostid", "clock", "cpu_value", F.col("value").alias("mem_value"))
 
 
@@ -196,15 +198,17 @@ def disk_parts(hist, items, inv, as_of, lookback_s=DAY, group="AGENTLESS_GROUP",
     """Pieces of the disk report: ``hist`` (util/used/read/write samples with mount
     and role), ``driver`` (util rows per clock with used), ``io`` (read/write
     samples) and ``capacity`` (latest free / size per mount)."""
-    driver, io, cap, h = _disk_parts(hist, items, inv, as_of, lookback_s, group, latest)
-    return {"hist": h, "driver": driver, "io": io, "capacity": cap}
+    driver, io, cap, h, small = _disk_parts(hist, items, inv, as_of, lookback_s, group, latest)
+    return {"hist": h, "driver": driver, "io": io, "capacity": cap, "keys_bounded": small}
 
 
-def io_nearest(driver: DataFrame, io: DataFrame, chunk_seconds: int | None = 3600) -> DataFrame:
+def io_nearest(driver: DataFrame, io: DataFrame, chunk_seconds: int | None = 3600,
+               keys_bounded: bool | None = None) -> DataFrame:
     """Nearest read and write sample for every driver row (per mount and role)."""
     key = ["os_kind", "hostid", "mount_key"]
     m = nearest_join(driver.select(*key, "clock"), io, by=key, values=["value"], tie=["ns", "itemid"],
-                     channel="role", channel_values=["read", "write"], chunk_seconds=chunk_seconds)
+                     channel="role", channel_values=["read", "write"], chunk_seconds=chunk_seconds,
+                     keys_bounded=keys_bounded)
     return m.select(*key, "clock", F.col("read_value").alias("read_kbps"), F.col("write_value").alias("write_kbps"))
 
 
@@ -238,7 +242,8 @@ def _disk_parts(hist, items, inv, as_of, lookback_s, group, latest=None):
                    F.count_if(F.col("role") == "util").alias("_n_util"))
               .where(F.col("_n_util") > 0).drop("_n_util"))
     io = h.where(F.col("role").isin("read", "write"))
-    return driver, io, cap, h
+    # mounts come from the size-checked disk item dimension
+    return driver, io, cap, h, dim.small
 
 
 def _disk_output(d: DataFrame, ordered: bool) -> DataFrame:
@@ -268,11 +273,12 @@ def disk_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
     bucket, per column falling back to the previous bucket (hash form, no
     sort; the default for exports).
     """
-    driver, io, cap, _ = _disk_parts(hist, items, inv, as_of, lookback_s, group, latest)
+    driver, io, cap, _, small = _disk_parts(hist, items, inv, as_of, lookback_s, group, latest)
     key = ["os_kind", "hostid", "mount_key"]
     if match == "nearest":
         m = nearest_join(driver, io, by=key, values=["value"], tie=["ns", "itemid"],
-                         channel="role", channel_values=["read", "write"], chunk_seconds=chunk_seconds)
+                         channel="role", channel_values=["read", "write"], chunk_seconds=chunk_seconds,
+                         keys_bounded=small)
         m = m.withColumnRenamed("read_value", "read_kbps").withColumnRenamed("write_value", "write_kbps")
     elif match == "bucket":
         io_wide = io.select(*key, "clock",

@@ -809,7 +809,7 @@ def q_io_bucket(spark, sf_dir):
 @register("nearest_disk_io")
 def q_nearest_disk_io(spark, sf_dir):
     d = _disk(spark, sf_dir)
-    return R.io_nearest(d["driver"], d["io"])
+    return R.io_nearest(d["driver"], d["io"], keys_bounded=d["keys_bounded"])
 
 
 @register("bucket_disk_io")
