@@ -100,14 +100,27 @@ def capacity_pick(cap_last: DataFrame) -> DataFrame:
 
 def host_capacity(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None = None,
                   latest: DataFrame | None = None) -> DataFrame:
-    """One row per host: latest core count / total memory and when it was measured."""
-    pick = capacity_pick(capacity_last(hist, cap_items, dim=dim, latest=latest))
-    return pick.groupBy("hostid").agg(
-        F.max(F.when(F.col("role") == "core", F.col("value"))).alias("cpu_core"),
-        F.max(F.when(F.col("role") == "core", F.col("clock"))).alias("cpu_core_clock"),
-        F.max(F.when(F.col("role") == "memtot", F.col("value"))).alias("mem_total_mb"),
-        F.max(F.when(F.col("role") == "memtot", F.col("clock"))).alias("mem_total_clock"),
-    )
+    """One row per host: latest core count / total memory and when it was measured.
+
+    "Latest row per item, then the item with the newest sample per role"
+    equals one ``max_by`` over all of the role's rows ordered by
+    (clock, itemid, ns), so history (or the maintained latest-value table) is
+    aggregated once per host after a broadcast join with the bounded capacity
+    items; ``max_by`` skips rows whose ordering is NULL, so each role's pick
+    only sees that role's rows. The value guard applies to the picked row.
+    """
+    items = cap_items.select("itemid_num", "hostid", "role")
+    items = dim.bc(items) if dim is not None else bounded_broadcast(items)
+    src = latest if latest is not None else hist
+    rows = src.select("itemid", "clock", "ns", "value").join(items, F.col("itemid") == F.col("itemid_num"))
+
+    def pick(role):
+        is_role = F.col("role") == role
+        return F.max_by(F.when(is_role, F.struct("clock", "value")), F.when(is_role, F.struct("clock", "itemid", "ns")))
+
+    g = rows.groupBy("hostid").agg(pick("core").alias("_c"), pick("memtot").alias("_m"))
+    return g.select("hostid", safe_numeric("_c.value").alias("cpu_core"), F.col("_c.clock").alias("cpu_core_clock"),
+                    safe_numeric("_m.value").alias("mem_total_mb"), F.col("_m.clock").alias("mem_total_clock"))
 
 
 def pct_history(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,

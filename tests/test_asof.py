@@ -84,3 +84,27 @@ def test_adaptive_chunks_split_a_hot_key(spark):
                        target_rows_per_chunk=50)
     g = {(r.h, r.clock): r.value for r in got.collect()}
     assert g[(0, 0)] == 1.0 and g[(0, 1000)] == 999.0 and g[(0, 1998)] == 1997.0 and g[(1, 5)] == 9.0
+
+
+def test_host_capacity_single_pass_equals_two_step(spark):
+    from pyspark.sql import functions as F
+    from hostlake.functions.scalars import safe_numeric
+    from hostlake.plans import reports as R
+    hist = spark.createDataFrame([
+        (11, 100, 0, "4"), (11, 200, 5, "8"), (12, 200, 1, "16"), (12, 150, 0, "2"),   # core: two items, same newest clock
+        (13, 300, 0, "1024"), (13, 300, 9, "oops"), (14, 250, 0, "2048"),              # memtot: newest row is not numeric
+        (21, 50, 0, "2"),                                                              # other host
+    ], "itemid bigint, clock bigint, ns int, value string")
+    cap = spark.createDataFrame([(11, "1", "core"), (12, "1", "core"), (13, "1", "memtot"), (14, "1", "memtot"),
+                                 (21, "2", "core")], "itemid_num bigint, hostid string, role string")
+    got = {r.hostid: tuple(r)[1:] for r in R.host_capacity(hist, cap).collect()}
+    # two-step reference: latest row per item, then newest (clock, itemid) item per host and role
+    last = R.capacity_pick(R.capacity_last(hist, cap))
+    want = {}
+    for r in last.collect():
+        d = want.setdefault(r.hostid, {})
+        d[r.role] = (r.value, r.clock)
+    for h, d in want.items():
+        core, mem = d.get("core", (None, None)), d.get("memtot", (None, None))
+        assert got[h] == (core[0], core[1], mem[0], mem[1])
+    assert got["1"] == (16.0, 200, None, 300)
