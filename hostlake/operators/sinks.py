@@ -140,11 +140,11 @@ def write_append(spark: SparkSession, df: DataFrame, lake: str, table: str) -> i
 
 
 def write_if_absent(spark: SparkSession, df: DataFrame, lake: str, table: str,
-                    key: Sequence[str]) -> dict:
-    """Insert-if-absent: returns {'inserted': n, 'skipped': m}."""
+                    key: Sequence[str], with_counts: bool = True) -> dict:
+    """Insert-if-absent: returns {'inserted': n, 'skipped': m} (with ``with_counts``)."""
     meta = table_meta(spark, lake, table)
     batch = df.cache()
-    total = batch.count()
+    total = batch.count() if with_counts else None
     first = _first_wins(batch, key)
     new = _conform(first, meta)
     existing = read_table(spark, lake, table)
@@ -163,9 +163,11 @@ def write_if_absent(spark: SparkSession, df: DataFrame, lake: str, table: str,
     else:
         fresh = new.join(existing.select(*join_keys), on=join_keys, how="left_anti")
     ckpt = _checkpointed(spark, fresh)
-    inserted = ckpt.count()
     _append(ckpt, meta, _data_dir(spark, lake, table))
     batch.unpersist()
+    if not with_counts:
+        return {}
+    inserted = ckpt.count()
     return {"inserted": inserted, "skipped": total - inserted}
 
 
@@ -346,7 +348,7 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
             from .latest import update_latest
             update_latest(spark, lake, recs, batch_id=f"{batch_id}-{table}")
         if method == "copy" and key:
-            write_if_absent(spark, recs, lake, table, key)
+            write_if_absent(spark, recs, lake, table, key, with_counts=False)
         elif method == "copy":
             write_append(spark, recs, lake, table)
         elif method == "insert":
@@ -375,9 +377,8 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
         .withColumn("batch_id", F.lit(batch_id)) \
         .withColumn("processed_at", F.current_timestamp()) \
         .withColumn("deferred_files", F.lit(deferred_files).cast("bigint"))
-    ledger = _checkpointed(spark, ledger)
     ledger.write.mode("append").parquet(ledger_path)
-    return ledger
+    return spark.read.parquet(ledger_path).where(F.col("batch_id") == F.lit(batch_id))
 
 
 def load_summary(ledger: DataFrame) -> DataFrame:
