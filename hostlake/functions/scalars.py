@@ -109,11 +109,6 @@ def date_parts(ts: str | Column) -> list[Column]:
     ]
 
 
-def bucket_of(clock: str | Column, width: int = 300) -> Column:
-    """Integer time bucket ``clock div width`` (truncating, like PostgreSQL)."""
-    return F.expr(f"{clock} div {int(width)}") if isinstance(clock, str) else (clock / width).cast("long")
-
-
 def json_map(text: str | Column) -> Column:
     """JSON object text -> map<string,string> with JSON-library semantics for
     duplicate keys: one entry per key, at its first position, holding the last

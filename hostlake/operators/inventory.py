@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import MASKED_SECRET, VALUE_TYPE_NAMES
+from ..functions.scalars import MASKED_SECRET, VALUE_TYPE_NAMES, iso_utc_seconds, utc_ntz
 
 # ---- fixed values: interface type codes -----------------------------------------------
 INTERFACE_TYPES = {"1": "Agent", "2": "SNMP", "3": "IPMI", "4": "JMX"}
@@ -68,7 +68,7 @@ def format_hosts(hosts: DataFrame, target_groups: Sequence[str] = (), collected_
         F.when(F.coalesce(m["description"], F.lit("")) != "", m["description"]).alias("description")))
     tags = F.transform(F.coalesce(F.col("tags"), F.array()), lambda t: F.struct(t["tag"].alias("tag"), t["value"].alias("value")))
     templates = F.transform(F.coalesce(F.col("parentTemplates"), F.array()), lambda t: t["name"])
-    coll = F.lit(collected_at) if collected_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    coll = F.lit(collected_at) if collected_at else iso_utc_seconds(utc_ntz(F.current_timestamp()))
     return h.select(
         "hostid", "name",
         F.when(F.coalesce(F.col("description"), F.lit("")) != "", F.col("description")).otherwise(F.lit("")).alias("description"),

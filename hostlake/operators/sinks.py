@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fs as FS
+from ..functions.scalars import date_parts
 from ..session import Dimension
 from ..sources import staged as S
 
@@ -444,9 +445,7 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 def write_quarantine(q: DataFrame, path: str, received_at: str = "received_at") -> None:
     """Quarantine documents (request, reason, metadata, raw body), partitioned y/m/d."""
-    ts = F.col(received_at)
-    out = q.withColumn("y", F.date_format(ts, "yyyy")).withColumn("m", F.date_format(ts, "MM")) \
-        .withColumn("d", F.date_format(ts, "dd"))
+    out = q.select("*", *date_parts(received_at))
     out.write.mode("append").partitionBy("y", "m", "d").parquet(path)
 
 
@@ -454,8 +453,7 @@ def archive_raw(payloads: DataFrame, path: str, received_at: str = "received_at"
     """Archive payload bodies verbatim, partitioned by day; returns rows with ``raw_payload_ref``."""
     ts = F.col(received_at)
     ref = F.concat(F.lit("raw/"), F.date_format(ts, "yyyy/MM/dd"), F.lit("/"), F.col("request_id"), F.lit(".json"))
-    out = payloads.withColumn("y", F.date_format(ts, "yyyy")).withColumn("m", F.date_format(ts, "MM")) \
-        .withColumn("d", F.date_format(ts, "dd"))
+    out = payloads.select("*", *date_parts(received_at))
     out.write.mode("append").partitionBy("y", "m", "d").parquet(path)
     return payloads.withColumn("raw_payload_ref", ref)
 

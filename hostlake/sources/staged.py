@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import allow_duplicate_json_keys, iso_utc, json_map
+from ..functions.scalars import allow_duplicate_json_keys, json_map
 
 META_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
@@ -83,10 +83,6 @@ def _norm_path(p: str) -> str:
     return "file:/" + p[len("file:"):].lstrip("/") if p.startswith("file:") else p
 
 
-def _jtype(v: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
-
-
 def parse_envelope(docs: DataFrame) -> DataFrame:
     """Parse + validate each document.
 
@@ -164,11 +160,3 @@ def records_frame(docs: DataFrame, columns: list[str], types: dict[str, str],
             return F.when(~F.is_variant_null(jv), F.to_json(jv))
         return typed_value(F.element_at(F.col("_m"), c), types[c])
     return r.select("_file", "_doc", "_pos", *[value(c).alias(c) for c in columns])
-
-
-def error_rows(parsed: DataFrame, extra_error: DataFrame | None = None) -> DataFrame:
-    """Failed documents with the error text and time (files are never rewritten)."""
-    e = parsed.where(F.col("status") == "error").select("file_path", "doc_pos", "error")
-    if extra_error is not None:
-        e = e.unionByName(extra_error.select("file_path", "doc_pos", "error"))
-    return e.withColumn("error_at", iso_utc(F.current_timestamp()))
