@@ -40,6 +40,9 @@ def main() -> None:
     from hostlake.session import local_session
     from hostlake.registry import QUERIES
 
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # optional: stage / task times (local_session reads it)
+    if log_dir:
+        os.makedirs(log_dir, exist_ok=True)
     spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="hostlake-bench")
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]

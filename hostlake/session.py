@@ -31,6 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("HOSTLAKE_DRIVER_MEMORY", "8g"))
     )
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
