@@ -185,7 +185,10 @@ def items_from_customer(cu: DataFrame) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items_from_customer(_read(spark, sf_dir, "customer"))
+    # each customer row becomes 23 items: spread the (small) customer rows first so the
+    # generated items are built and classified in parallel, not in one task per file
+    cu = _read(spark, sf_dir, "customer")
+    return items_from_customer(cu.repartition(spark.sparkContext.defaultParallelism))
 
 
 def host_ip(key_col) -> "F.Column":
