@@ -307,7 +307,10 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
     parsed = S.parse_envelope(docs)
     if done is not None:
         parsed = parsed.join(done.select("file_path", "doc_pos"), ["file_path", "doc_pos"], "left_anti")
-    parsed = _checkpointed(spark, parsed)
+    # persisted, not checkpointed: its lineage only reads the pending files, which stay
+    # in place until the run is over, so a lost partition is simply re-read
+    from pyspark import StorageLevel
+    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     ok = parsed.where(F.col("status") == "ok")
     # one small row per (table, method, key, types, first-record columns)
     groups = (ok.select(F.col("meta.table").alias("table"), "method",
@@ -379,6 +382,7 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
         .withColumn("processed_at", F.current_timestamp()) \
         .withColumn("deferred_files", F.lit(deferred_files).cast("bigint"))
     ledger.write.mode("append").parquet(ledger_path)
+    parsed.unpersist()
     return spark.read.parquet(ledger_path).where(F.col("batch_id") == F.lit(batch_id))
 
 
