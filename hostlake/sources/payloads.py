@@ -106,11 +106,13 @@ def payloads_from_events(ev: DataFrame) -> DataFrame:
         F.when(wrapper == 1, mstruct).alias("values"),
         *[F.when(wrapper == 2, c).alias(n) for n, c in metrics],
     )
-    recs = e.select((eid / 2).cast("bigint").alias("req"), eid, F.col("ts"), F.to_json(rec).alias("rec"))
+    # group events into requests first and build the JSON text after the shuffle, so the
+    # text is produced in parallel (the events file may be a single split)
+    recs = e.select((eid / 2).cast("bigint").alias("req"), eid, F.col("ts"), rec.alias("rec"))
     g = recs.groupBy("req").agg(
         F.array_sort(F.collect_list(F.struct("event_id", "rec"))).alias("rs"),
         F.max("ts").alias("_ts"))
-    texts = F.transform(F.col("rs"), lambda x: x["rec"])
+    texts = F.transform(F.col("rs"), lambda x: F.to_json(x["rec"]))
     env = F.pmod(F.col("req"), F.lit(3))
     body = (F.when(env == 0, F.concat(F.lit("["), F.array_join(texts, ',"junk",'), F.lit("]")))
             .when(env == 1, F.concat(F.lit('{"request_meta":"batch","records":['), F.array_join(texts, ","), F.lit("]}")))
