@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import clock_to_ntz
+
 HISTORY_KEY = ("itemid", "clock", "ns")
 
 
@@ -20,7 +22,10 @@ def history_window(hist: DataFrame, start: int | None, end: int, overlap: int =
     window is the last ``default_span`` seconds before ``end`` (plus overlap).
     Carries ``window_from`` / ``window_till``."""
     lo = (start if start is not None else end - default_span) - overlap
-    return hist.where((F.col("clock") >= F.lit(lo)) & (F.col("clock") <= F.lit(end))) \
+    h = hist
+    if "event_date" in hist.columns:  # day-partitioned table: prune by the derived day range
+        h = h.where(F.col("event_date").between(F.to_date(clock_to_ntz(F.lit(lo))), F.to_date(clock_to_ntz(F.lit(end)))))
+    return h.where((F.col("clock") >= F.lit(lo)) & (F.col("clock") <= F.lit(end))) \
         .withColumn("window_from", F.lit(lo).cast("bigint")).withColumn("window_till", F.lit(end).cast("bigint"))
 
 
