@@ -888,3 +888,12 @@ def q_disk_report_bucket_latest(spark, sf_dir):
     lk, latest = _latest_lake(spark, sf_dir)
     return R.disk_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, match="bucket", width=DAY,
                          latest=latest)
+
+
+@register("cpu_mem_report_partitioned")
+def q_cpu_mem_report_partitioned(spark, sf_dir):
+    """1-day CPU/memory report over the day-partitioned history table (one day partition
+    range is listed and read; the binding's derived history is written there first)."""
+    lk, path = _partitioned_history(spark, sf_dir)
+    hist = spark.read.parquet(path)
+    return R.cpu_mem_report(hist, lk.items, lk.inv, lk.as_of, lookback_s=DAY)
