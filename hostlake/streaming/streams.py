@@ -1,11 +1,15 @@
 """Structured Streaming jobs.
 
 * ``stream_load_pending``  - staged documents arriving in a folder, loaded
-  batch by batch with the declared write method (``foreachBatch``). Replays
-  are safe: documents already in the ledger are skipped, if-absent writes are
-  anti-joins, upserts write a snapshot named after the batch id.
+  batch by batch with the declared write method (``foreachBatch``), keeping
+  ``latest_values`` current. Replays are safe: documents already in the
+  ledger are skipped, if-absent writes are anti-joins, upserts write a
+  snapshot named after the batch id.
 * ``stream_agent_metrics`` - archived agent payloads -> normalise -> route ->
-  fan-out to the agent tables, the quarantine and a JSON-lines log.
+  fan-out to the agent tables, unmapped records, quarantine, JSON lines and
+  any extra sinks; a failing write quarantines the batch's requests.
+* ``stream_history_dedup`` - watermark-bounded de-duplication of overlapping
+  history fetch windows.
 * ``stream_volume``        - samples per host and 5-minute window with a
   watermark (update mode, merged into a lake table).
 * ``stream_freshness``     - newest sample time per source (one-row state).
