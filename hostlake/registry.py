@@ -27,6 +27,9 @@ def register(name: str):
     return deco
 
 
+_AS_OF: dict = {}
+
+
 class Lake:
     """Lake tables bound to one test-data directory."""
 
@@ -40,9 +43,13 @@ class Lake:
 
     @property
     def as_of(self) -> int:
-        """Report reference time: the newest history clock (one scalar job)."""
+        """Report reference time: the newest history clock (one scalar job per
+        application and input folder; the test tables are read-only)."""
         if self._as_of is None:
-            self._as_of = int(self.hist.agg(F.max("clock")).first()[0])
+            key = (self.spark.sparkContext.applicationId, self.sf_dir)
+            if key not in _AS_OF:
+                _AS_OF[key] = int(self.hist.agg(F.max("clock")).first()[0])
+            self._as_of = _AS_OF[key]
         return self._as_of
 
 
