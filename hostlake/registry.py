@@ -515,8 +515,12 @@ from .operators import latest as LV  # noqa: E402
 from .streaming import streams as ST  # noqa: E402
 
 
-def _await(q, timeout_s: int = 600):
-    q.awaitTermination(timeout_s)
+def _await(q, timeout_s: int = 3600):
+    """Wait for an available-now query to finish; never return partial output."""
+    finished = q.awaitTermination(timeout_s)
+    if not finished:
+        q.stop()
+        raise TimeoutError(f"stream {q.name or q.id} did not finish within {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
