@@ -166,6 +166,7 @@ def write_if_absent(spark: SparkSession, df: DataFrame, lake: str, table: str,
     ckpt = _checkpointed(spark, fresh)
     _append(ckpt, meta, _data_dir(spark, lake, table))
     batch.unpersist()
+    new_keys.release()
     if not with_counts:
         return {}
     inserted = ckpt.count()

@@ -81,9 +81,16 @@ class Dimension:
 
     def __init__(self, df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS):
         from pyspark import StorageLevel
+        # persisted: computed once for the check and every later use; a lost block is
+        # recomputed from its (stable) input tables
         self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
         self.small = self.df.limit(max_rows + 1).count() <= max_rows
 
+    def release(self) -> None:
+        """Drop the cached copy once the plans using it have run (long-running callers:
+        the streaming loader releases per batch; report apps may ``spark.catalog.clearCache()``)."""
+        self.df.unpersist()
+
     def bc(self, subset: DataFrame | None = None) -> DataFrame:
         d = self.df if subset is None else subset
         return F.broadcast(d) if self.small else d
