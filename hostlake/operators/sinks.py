@@ -279,6 +279,32 @@ def _move_files(spark: SparkSession, files: list[str], target: str) -> None:
     FS.move_into(spark, files, target)
 
 
+def load_pending_budgeted(spark: SparkSession, pending_dir: str, lake: str, time_budget_s: float,
+                          files_per_batch: int = 100, **kwargs) -> DataFrame:
+    """``load_pending`` in oldest-first batches of ``files_per_batch`` files until
+    ``time_budget_s`` is spent; files not reached are deferred to the next run
+    (their count is in the last batch's ledger rows). Each batch is one
+    distributed load; the loop runs over batches, never over files."""
+    import time
+    start = time.monotonic()
+    ledgers = []
+    while True:
+        led = load_pending(spark, pending_dir, lake, max_files=files_per_batch, **kwargs)
+        if led.limit(1).count() == 0:
+            break
+        ledgers.append(led)
+        if time.monotonic() - start >= time_budget_s:
+            break
+    if not ledgers:
+        return _empty_ledger(spark)
+    out = ledgers[0]
+    for led in ledgers[1:]:
+        out = out.unionByName(led)
+    # deferred files: what the last batch left behind
+    last_deferred = ledgers[-1].agg(F.max("deferred_files")).first()[0] or 0
+    return out.withColumn("deferred_files", F.lit(int(last_deferred)).cast("bigint"))
+
+
 def _done(spark: SparkSession, lake: str):
     try:
         return spark.read.parquet(f"{lake}/_ledger").where(F.col("status").isin("ok", "skipped"))

@@ -144,3 +144,16 @@ def test_clean_copy_text_option(spark, scratch):
                       "data": [{"a": "x\ty\nz"}]})
     SK.load_pending(spark, p, lake, clean_copy_text=True)
     assert SK.read_table(spark, lake, "t").first().a == "x y z"
+
+
+def test_time_budget_defers_remaining_files(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    meta = {"table": "b", "method": "copy", "add_updated_at": False}
+    for i in range(5):
+        put(p, f"{i}.json", {"meta": meta, "data": [{"a": str(i)}]})
+    led = SK.load_pending_budgeted(spark, p, lake, time_budget_s=0, files_per_batch=2)
+    s = SK.load_summary(led).first()
+    assert (s.processed, s.deferred) == (2, 3)  # budget spent after the first batch
+    led = SK.load_pending_budgeted(spark, p, lake, time_budget_s=3600, files_per_batch=2)
+    assert SK.load_summary(led).first().processed == 3
+    assert rows(spark, lake, "b", "a") == [(str(i),) for i in range(5)]
