@@ -96,3 +96,26 @@ def test_read_payloads_archive_and_day_replay(spark, scratch):
     assert rows == [("req-a", "raw/2024/01/02/req-a.json"), ("req-b", "raw/2024/01/02/req-b.json")]
     n = N.normalize(day).select("request_id", "node_short_name", "class_name").collect()
     assert sorted(tuple(r) for r in n) == [("req-a", "req-a", "GLOBAL"), ("req-b", "req-b", "GLOBAL")]
+
+
+def test_compaction_and_retention_on_day_partitions(spark, scratch):
+    from hostlake.operators import maintenance as MT
+    from hostlake.registry import Lake
+    lk = Lake(spark, "/root/testdata/sf0.01")
+    path = scratch("hist")
+    # many small files per day first
+    MT.with_event_date(lk.hist).repartition(16).write.mode("overwrite").partitionBy("event_date").parquet(path)
+    local = path.replace("file:", "")
+
+    def files(day_dir):
+        return [f for f in os.listdir(os.path.join(local, day_dir)) if f.endswith(".parquet")]
+    days = sorted(d for d in os.listdir(local) if d.startswith("event_date="))
+    before = {d: len(files(d)) for d in days}
+    n = MT.compact(spark, path, lk.as_of, older_than_days=7)
+    after = {d: len(files(d)) for d in sorted(x for x in os.listdir(local) if x.startswith("event_date="))}
+    assert n > 0 and sum(1 for d in after if after[d] == 1) == n
+    assert all(after[d] <= before[d] for d in after)
+    assert spark.read.parquet(path).count() == lk.hist.count()
+    dropped = MT.apply_retention(spark, path, lk.as_of, keep_days=10)
+    left = sorted(x for x in os.listdir(local) if x.startswith("event_date="))
+    assert len(left) == len(days) - len(dropped) and len(dropped) > 0
