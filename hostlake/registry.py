@@ -908,3 +908,16 @@ def q_cpu_mem_report_partitioned(spark, sf_dir):
     lk, path = _partitioned_history(spark, sf_dir)
     hist = spark.read.parquet(path)
     return R.cpu_mem_report(hist, lk.items, lk.inv, lk.as_of, lookback_s=DAY)
+
+
+@register("cpu_mem_report_ordered")
+def q_cpu_mem_report_ordered(spark, sf_dir):
+    """Report as displayed: ordered by host, newest sample first (a global range sort)."""
+    lk = Lake(spark, sf_dir)
+    return R.cpu_mem_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, ordered=True)
+
+
+@register("disk_report_ordered")
+def q_disk_report_ordered(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return R.disk_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, match="nearest", ordered=True)
