@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import classify as K
 from ..functions.scalars import NUMERIC_VALUE_TYPES, clock_to_ntz, pct, safe_numeric_typed
 from ..operators.asof import item_row_counts, latest_by
-from ..session import bounded_broadcast
+from ..session import Dimension, bounded_broadcast
 from .reports import group_hosts
 
 DAY = 86_400
@@ -159,9 +159,10 @@ def diag_items(items: DataFrame, inv: DataFrame, group: str = "AGENTLESS_GROUP")
 
 def diag_presence(hist: DataFrame, items: DataFrame, inv: DataFrame, group: str = "AGENTLESS_GROUP") -> DataFrame:
     ah = group_hosts(inv, group).select("hostid")
-    ci = (items.where(K.capacity_prefilter("key_")).join(ah, "hostid")
-          .select(F.col("itemid").try_cast("bigint").alias("itemid_num"), "key_", "value_type"))
-    ids = bounded_broadcast(ci.select(F.col("itemid_num").alias("itemid")).distinct())
+    dim = Dimension(items.where(K.capacity_prefilter("key_")).join(ah, "hostid")
+                    .select(F.col("itemid").try_cast("bigint").alias("itemid_num"), "key_", "value_type"))
+    ci = dim.df
+    ids = dim.bc(ci.select(F.col("itemid_num").alias("itemid")).distinct())
     h = hist.join(ids, "itemid", "left_semi")
     per = item_row_counts(ci, h, item_key="itemid_num", hist_key="itemid",
                           extra_aggs=[F.max("clock").alias("last_clock"), F.min("value_type").alias("hist_vtype")])
@@ -183,10 +184,11 @@ def diag_roles(items: DataFrame, inv: DataFrame, group: str = "AGENTLESS_GROUP")
 
 def diag_histogram(hist: DataFrame, items: DataFrame, inv: DataFrame, group: str = "AGENTLESS_GROUP") -> DataFrame:
     ah = group_hosts(inv, group).select("hostid")
-    cap = (items.where(K.capacity_prefilter("key_")).join(ah, "hostid")
-           .select(F.col("itemid").try_cast("bigint").alias("itemid_num"),
-                   F.when(F.col("key_").like("%cpu_core_count%"), F.lit("core")).otherwise(F.lit("memtot")).alias("role")))
-    ids = bounded_broadcast(cap.select(F.col("itemid_num").alias("itemid")).distinct())
+    dim = Dimension(items.where(K.capacity_prefilter("key_")).join(ah, "hostid")
+                    .select(F.col("itemid").try_cast("bigint").alias("itemid_num"),
+                            F.when(F.col("key_").like("%cpu_core_count%"), F.lit("core")).otherwise(F.lit("memtot")).alias("role")))
+    cap = dim.df
+    ids = dim.bc(cap.select(F.col("itemid_num").alias("itemid")).distinct())
     per = item_row_counts(cap, hist.join(ids, "itemid", "left_semi"), item_key="itemid_num", hist_key="itemid")
     return per.groupBy("role", F.col("n").alias("row_count")).agg(F.count(F.lit(1)).alias("item_count"))
 
@@ -194,9 +196,10 @@ def diag_histogram(hist: DataFrame, items: DataFrame, inv: DataFrame, group: str
 def diag_coverage(hist: DataFrame, items: DataFrame, inv: DataFrame, group: str = "AGENTLESS_GROUP") -> DataFrame:
     """Share of the group's hosts that have any core-count sample."""
     ah = group_hosts(inv, group).select("hostid")
-    core = (items.where(F.col("key_").like("%cpu_core_count%")).join(ah, "hostid")
-            .select(F.col("itemid").try_cast("bigint").alias("itemid_num"), "hostid"))
-    ids = bounded_broadcast(core.select(F.col("itemid_num").alias("itemid")).distinct())
+    dim = Dimension(items.where(F.col("key_").like("%cpu_core_count%")).join(ah, "hostid")
+                    .select(F.col("itemid").try_cast("bigint").alias("itemid_num"), "hostid"))
+    core = dim.df
+    ids = dim.bc(core.select(F.col("itemid_num").alias("itemid")).distinct())
     with_data = (core.join(hist.join(ids, "itemid", "left_semi").select("itemid").distinct(),
                            core["itemid_num"] == F.col("itemid"))
                  .select(F.col("hostid").alias("_h")).distinct())
