@@ -117,6 +117,8 @@ def test_write_staged_roundtrip_and_summary(spark, scratch):
     led = SK.load_pending(spark, p, lake)
     s = SK.load_summary(led).first()
     assert (s.errors, s.skipped, s.rows) == (0, 0, 2500) and s.processed >= 3
+    # every group of ~833 rows is split into ceil(833 / 400) = 3 hash chunks
+    assert s.processed == 9 and led.agg(F.max("rows")).first()[0] < 2 * 400
     assert SK.read_table(spark, lake, "w").count() == 2500
 
 
