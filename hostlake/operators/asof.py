@@ -210,9 +210,11 @@ def bucket_join(
         aggs.append(fn(F.when(F.col("_shift") == 0, F.col(v))).alias(f"_cur_{v}"))
         aggs.append(fn(F.when(F.col("_shift") == 1, F.col(v))).alias(f"_prev_{v}"))
     rb = r.groupBy(*by, "_bucket").agg(*aggs)
-    l = left.withColumn("_bucket", bucket)
+    # a left side that already carries ``_bucket`` (e.g. hash-partitioned by key and
+    # bucket before its own aggregation) joins without another shuffle
+    l = left if "_bucket" in left.columns else left.withColumn("_bucket", bucket)
     j = l.join(rb, on=[*by, "_bucket"], how="left")
-    return j.select(*[F.col(c) for c in left.columns],
+    return j.select(*[F.col(c) for c in left.columns if c != "_bucket"],
                     *[F.coalesce(F.col(f"_cur_{v}"), F.col(f"_prev_{v}")).alias(v) for v in values])
 
 

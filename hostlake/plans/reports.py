@@ -261,17 +261,22 @@ def _disk_parts(hist, items, inv, as_of, lookback_s, group, latest=None):
            .groupBy("os_kind", "hostid", "mount_key")
            .agg(F.max(F.when(F.col("role") == "free", safe_numeric("value"))).alias("free_mb"),
                 F.max(F.when(F.col("role") == "size", safe_numeric("value"))).alias("size_mb")))
-    driver = (h.where(F.col("role").isin("util", "used"))
-              .groupBy("os_kind", "hostid", "node_fqdn", "node_ipv4_address", "mount_key", "clock")
-              .agg(F.max(F.when(F.col("role") == "util", F.col("value"))).alias("disk_util_pct"),
-                   F.max(F.when(F.col("role") == "used", F.col("value"))).alias("disk_used_mb"),
-                   F.count_if(F.col("role") == "util").alias("_n_util"))
-              .where(F.col("_n_util") > 0).drop("_n_util"))
+    driver = _driver(h)
     io = h.where(F.col("role").isin("read", "write"))
     # mounts come from the size-checked disk item dimension
     return driver, io, cap, h, dim.small
 
 
+def _driver(h: DataFrame, extra_keys=()) -> DataFrame:
+    """Util rows per mount and clock, with the used value of the same clock (util required)."""
+    return (h.where(F.col("role").isin("util", "used"))
+            .groupBy("os_kind", "hostid", "node_fqdn", "node_ipv4_address", "mount_key", "clock", *extra_keys)
+            .agg(F.max(F.when(F.col("role") == "util", F.col("value"))).alias("disk_util_pct"),
+                 F.max(F.when(F.col("role") == "used", F.col("value"))).alias("disk_used_mb"),
+                 F.count_if(F.col("role") == "util").alias("_n_util"))
+            .where(F.col("_n_util") > 0).drop("_n_util"))
+
+
 def _disk_output(d: DataFrame, ordered: bool) -> DataFrame:
     out = d.select(
         F.col("clock").alias("transaction_clock"),
@@ -299,7 +304,7 @@ def disk_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
     bucket, per column falling back to the previous bucket (hash form, no
     sort; the default for exports).
     """
-    driver, io, cap, _, small = _disk_parts(hist, items, inv, as_of, lookback_s, group, latest)
+    driver, io, cap, h, small = _disk_parts(hist, items, inv, as_of, lookback_s, group, latest)
     key = ["os_kind", "hostid", "mount_key"]
     if match == "nearest":
         m = nearest_join(driver, io, by=key, values=["value"], tie=["ns", "itemid"],
@@ -307,6 +312,10 @@ def disk_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                          keys_bounded=small)
         m = m.withColumnRenamed("read_value", "read_kbps").withColumnRenamed("write_value", "write_kbps")
     elif match == "bucket":
+        # driver rows partitioned by (mount, bucket) before their per-clock aggregation:
+        # that partitioning serves the aggregation and the bucket join alike
+        driver = _driver(h.withColumn("_bucket", F.expr(f"clock div {int(width)}")).repartition(*key, "_bucket"),
+                         extra_keys=["_bucket"])
         io_wide = io.select(*key, "clock",
                             F.when(F.col("role") == "read", F.col("value")).alias("read_kbps"),
                             F.when(F.col("role") == "write", F.col("value")).alias("write_kbps"))
