@@ -79,8 +79,9 @@ class Dimension:
     shuffle join (and AQE) otherwise.
     """
 
-    def __init__(self, df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS):
+    def __init__(self, df: DataFrame, max_rows: int | None = None):
         from pyspark import StorageLevel
+        max_rows = DEFAULT_BROADCAST_ROWS if max_rows is None else max_rows
         # persisted: computed once for the check and every later use; a lost block is
         # recomputed from its (stable) input tables
         self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -96,12 +97,13 @@ class Dimension:
         return F.broadcast(d) if self.small else d
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
 
     The check counts at most ``max_rows + 1`` rows (a bounded job), so a side
     that turns out big is left to the shuffle join (and to AQE, which may still
     switch to a broadcast at run time from the real shuffle size).
     """
+    max_rows = DEFAULT_BROADCAST_ROWS if max_rows is None else max_rows
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -118,3 +118,24 @@ def test_report_window_prunes_day_partitions(spark, scratch):
     a = _window(part, lk.as_of, 86400).count()
     b = part.where(F.col("clock") >= lk.as_of - 86400).count()
     assert a == b
+
+
+def test_unbounded_dimension_falls_back_to_shuffle_join(spark):
+    from hostlake import session as S
+    lk = Lake(spark, SF)
+    want = sorted(map(tuple, R.disk_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=None,
+                                           match="bucket").collect()))
+    old_rows, old_auto = S.DEFAULT_BROADCAST_ROWS, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        S.DEFAULT_BROADCAST_ROWS = 0  # no dimension is provably small
+        spark.catalog.clearCache()  # the first run's cached dimension was planned with broadcasts
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        df = R.disk_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=None, match="bucket")
+        t = tree(plan(df))
+        assert "BroadcastHashJoin" not in t and "SortMergeJoin" in t
+        assert sorted(map(tuple, df.collect())) == want
+    finally:
+        S.DEFAULT_BROADCAST_ROWS = old_rows
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_auto)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
