@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostlake.session import scratch_dir
+from hostlake.session import ensure_checkpoint_dir, scratch_dir
 
 #: Rows handed to a Python task at a time: bounds its memory when texts are long.
 BATCH_ROWS = 512
@@ -16,6 +16,13 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and checkpointed in the shared folder: short plans, and no recomputation when an executor
+    is lost. The files go with the data frame (where the session cleans checkpoints)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a Parquet table in the shared checkpoint folder and read back.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hostlake.llm.common import cut
+
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -32,10 +34,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     path. Every round is checkpointed, so the plan stays short and a lost executor costs one round. The driver sees
     two numbers per round. Empty edges give an empty result; self-loops are ignored.
     """
-    e = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
+    e = cut(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = _state(e)
     while True:
-        e = _small_star(_large_star(e)).checkpoint()
+        e = cut(_small_star(_large_star(e)))
         after = _state(e)
         if after == before:
             break

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostlake.llm.common import row_key, small_batches, stored
+from hostlake.llm.common import cut, row_key, small_batches, stored
 
 _U = np.uint64
 #: Odd multipliers of the two polynomial hashes.
@@ -130,16 +130,16 @@ def covered(docs: DataFrame, length: int = 50, gram: int = 10) -> DataFrame:
     also start in a document with a smaller id. ``docs``: (id, key, text), no nulls."""
     rows = stored(_anchor_rows(docs, length, gram), "anchors")
     twice = rows.groupBy("a").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("a")
-    seeds = rows.join(twice, "a", "left_semi").checkpoint()
+    seeds = cut(rows.join(twice, "a", "left_semi"))
     same = seeds.groupBy("a", "s").agg(F.min("id").alias("first"))
     several = same.groupBy("a").agg((F.count("*") > 1).alias("edge"))
-    judged = seeds.join(same.join(several, "a"), ["a", "s"]).select("id", "key", "lo", "hi", "edge", "first").checkpoint()
+    judged = cut(seeds.join(same.join(several, "a"), ["a", "s"]).select("id", "key", "lo", "hi", "edge", "first"))
     inside = judged.where("id > first").select(
         "id", "key", F.col("lo").alias("start"), (F.col("hi") + F.lit(length)).alias("stop"))
     open_ = (judged.where("edge AND id = first").groupBy("id", "key")
              .agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
     small_batches(docs.sparkSession)
-    windows = _window_rows(docs.join(open_, ["id", "key"]).select("id", "key", "text", "spans"), length).checkpoint()
+    windows = cut(_window_rows(docs.join(open_, ["id", "key"]).select("id", "key", "text", "spans"), length))
     known = windows.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     edge = windows.join(known, ["w1", "w2"]).where("id > first").select(
         "id", "key", "start", (F.col("start") + F.lit(length)).alias("stop"))

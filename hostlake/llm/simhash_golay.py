@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hostlake.llm.common import row_key, small_batches
+from hostlake.llm.common import cut, row_key, small_batches
 from hostlake.llm.components import connected_components
 
 #: The generator polynomial x^11+x^10+x^6+x^5+x^4+x^2+1 of the (23, 12) Golay code; XXH64's seed.
@@ -143,7 +143,7 @@ def links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
         raise ValueError("the keys find distances of 1 or 2 bits")
     keys = _with_keys(distinct)
     shared = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    met = keys.join(shared, "bucket").checkpoint()
+    met = cut(keys.join(shared, "bucket"))
     few = met.where(F.col("n") <= PAIRS_UP_TO).groupBy("bucket").agg(F.collect_list("fp").alias("fps"))
     pairs = F.expr(f"""flatten(transform(fps, (a, i) -> transform(
         filter(slice(fps, i + 2, size(fps)), b -> bit_count(a ^ b) <= {max_bits}), b -> struct(a as u, b as v))))""")
@@ -163,7 +163,7 @@ def links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
 
 def _grouped(found: DataFrame, max_bits: int) -> DataFrame:
     """(fp, part, component_id): part is the component's smallest fingerprint, component_id its smallest id."""
-    each = found.groupBy("fp").agg(F.min("id").alias("low")).checkpoint()
+    each = cut(found.groupBy("fp").agg(F.min("id").alias("low")))
     parts = connected_components(links(each, max_bits))
     named = each.join(parts, each["fp"] == parts["node"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("part"))
@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int =
     group of copies of any size is one row from the first shuffle on. Null ids are never the smallest; a component of
     null ids only has a null component_id. Other columns are not read. Only (id, fingerprint) rows are shuffled.
     """
-    found = fingerprints(docs, words_per_shingle, id_col, text_col).select("id", "fp").checkpoint()
+    found = cut(fingerprints(docs, words_per_shingle, id_col, text_col).select("id", "fp"))
     return found.join(_grouped(found, max_bits), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -190,7 +190,7 @@ def keep_one_each(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2
     """``docs`` with one row of each component left: the one with the smallest id (null ids last, then by a hash of
     the text). Of rows that repeat it (same id, same text) one stays. All columns are kept."""
     key = row_key(F.col(id_col), F.col(text_col))
-    found = fingerprints(docs, words_per_shingle, id_col, text_col, key).checkpoint()
+    found = cut(fingerprints(docs, words_per_shingle, id_col, text_col, key))
     named = found.join(_grouped(found, max_bits), "fp")
     order = F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("key").alias("c"))
     stay = (named.groupBy("part").agg(F.min(order).alias("o"))
