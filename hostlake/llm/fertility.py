@@ -28,26 +28,28 @@ SEPARATORS, SYMBOLS, WINDOW = " \t\n\x0b\x0c\r", "#*$%&|<>", 5
 @dataclass(frozen=True)
 class Band:
     """What a text may measure. ``chars_per_token``: (least, most) characters of words per byte-level token;
-    ``byte_share``: most of the pieces that are single bytes; ``entropy``: least bits of token entropy, asked of texts
-    with ``entropy_from`` tokens or more."""
+    ``byte_share``: most of the pieces that are single bytes; ``entropy``: (tokens, bits) steps, the least token entropy
+    of texts with that many tokens or more."""
 
     chars_per_token: tuple[float, float] = (0.2, 12.0)
     byte_share: float = 0.9
-    entropy: float = 4.5
-    entropy_from: int = 100
+    entropy: tuple[tuple[int, float], ...] = ((200, 4.0),)
 
     def rejects(self, chars_per_token: float, byte_share: float, entropy: float, n_tokens: int) -> bool:
         low, high = self.chars_per_token
         return (not low <= chars_per_token <= high or byte_share > self.byte_share
-                or n_tokens >= self.entropy_from and entropy < self.entropy)
+                or any(n_tokens >= n and entropy < bits for n, bits in self.entropy))
 
 
+#: Entropy of a text grows with its length towards the language's; prose is above these steps, word lists and strings
+#: of symbols mostly below.
+_PROSE = ((100, 4.9), (200, 5.4), (400, 5.6))
 #: By language code, then by script of most letters, then '': any other. Natural prose has about 4.5 (English) or 2.5
 #: (other Latin) characters a token in the English byte-level vocabulary, invented words about half of that, strings of
 #: capitals or symbols less; scripts outside its training mostly take one to three tokens a character.
 BANDS = {
-    "en": Band((1.75, 9.0), 0.1), "fr": Band((1.5, 8.0), 0.1), "de": Band((1.55, 8.0), 0.1), "es": Band((1.4, 8.0), 0.1),
-    "Latin": Band((1.3, 9.0), 0.25), "Cyrillic": Band((0.4, 4.0), 0.3), "Greek": Band((0.3, 4.0), 0.5),
+    "en": Band((1.75, 9.0), 0.1, _PROSE), "fr": Band((1.5, 8.0), 0.1, _PROSE), "de": Band((1.55, 8.0), 0.1, _PROSE),
+    "es": Band((1.4, 8.0), 0.1, _PROSE), "Latin": Band((1.3, 9.0), 0.25, _PROSE), "Cyrillic": Band((0.4, 4.0), 0.3), "Greek": Band((0.3, 4.0), 0.5),
     "Arabic": Band((0.3, 3.0), 0.6), "Hebrew": Band((0.3, 3.0), 0.6), "Han": Band((0.2, 2.0), 0.8),
     "Kana": Band((0.2, 2.5), 0.6), "Hangul": Band((0.2, 2.0), 0.8), "": Band(),
 }

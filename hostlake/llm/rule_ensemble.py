@@ -183,3 +183,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     out = scored(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")), model, "t")
     return out.select(F.col("i").alias(id_col), (third(F.col("i")) == 1).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more; all columns as they are."""
+    out = scored(docs, model, text_col)
+    return out.where(F.col(f"`{out.columns[-1]}`") >= least).drop(out.columns[-1])
