@@ -220,7 +220,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int =
             for path, content, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 refers = {x["offset"]: x["refers"] for x in found or []}
                 records = [convert_record(path, r, refers.get(r["offset"])) for r in parse_arc(gzip.decompress(content.as_py()))]
-                yield pa.RecordBatch.from_arrays([pa.array([WARC_END.join(records)], pa.binary())], names=["value"])
+                if records:  # Spark writes one empty file for a table without rows
+                    yield pa.RecordBatch.from_arrays([pa.array([WARC_END.join(records)], pa.binary())], names=["value"])
 
     rows = arcs.join(revisits, "path", "left").select("path", "content", "revisits").mapInArrow(run, "value binary")
     rows.select(F.col("value").cast("string")).write.options(**_GZIP, lineSep=WARC_END.decode()).text(warc_path)

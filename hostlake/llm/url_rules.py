@@ -20,9 +20,13 @@ from pyspark.sql import functions as F
 from hostlake.llm.common import cut
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Order of events at one key; a byte above every UTF-8 string's.
+#: Order of events at one key.
 START, POINT, END = 0, 1, 2
-ABOVE = F.unhex(F.lit("FF"))
+
+
+def above(low: Column) -> Column:
+    """The upper end of the keys that start with ``low``: a byte follows that no UTF-8 text has."""
+    return F.concat(low, F.unhex(F.lit("FF")))
 
 
 def host_of(url: Column) -> Column:
@@ -102,12 +106,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_co
         host_key(F.col("host")).alias("low"), F.col("host").alias("rule_host"))
     distinct = urls.select("host", "path").distinct()
     hosts = urls.select("host").distinct().select("host", host_key(F.col("host")).alias("key"))
-    open_hosts = active_intervals(hosts.select("key"), targets.select("low", F.concat("low", ABOVE).alias("high")))
+    open_hosts = active_intervals(hosts.select("key"), targets.select("low", above(F.col("low")).alias("high")))
     fitting = hosts.join(open_hosts, "key").join(targets, "low").select("host", "rule_host")
     below = distinct.join(fitting, "host").select(
         "host", "path", path_key(F.col("rule_host"), F.col("path")).alias("key"))
     ruled = rules.select(path_key(F.col("host"), F.col("path")).alias("low"), F.concat("host", "path").alias("rule"), "verdict")
-    open_paths = active_intervals(below.select("key").distinct(), ruled.select("low", F.concat("low", ABOVE).alias("high")),
+    open_paths = active_intervals(below.select("key").distinct(), ruled.select("low", above(F.col("low")).alias("high")),
                                   innermost=True)
     found = open_paths.join(ruled, "low").select("key", "rule", "verdict")
     best = (below.join(found, "key").groupBy("host", "path")
