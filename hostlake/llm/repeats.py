@@ -105,11 +105,14 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _window_rows(edges: DataFrame, length: int) -> DataFrame:
-    """(w1, w2, id, key, start) of the windows in the spans of each row (id, key, text, spans)."""
+    """(w1, w2, id, key, start) of the windows in the spans (null: none) of each row (id, key, text, spans)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, counts = [], []
             for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if not spans:
+                    counts.append(0)
+                    continue
                 words = text.encode().split()
                 start = np.unique(np.concatenate([np.arange(x["lo"], x["hi"] + 1) for x in spans]))
                 hashed = Hashed(words)
@@ -118,17 +121,21 @@ def _window_rows(edges: DataFrame, length: int) -> DataFrame:
             take = pa.array(np.repeat(np.arange(len(counts)), counts))
             w1, w2, start = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 3
             yield pa.RecordBatch.from_arrays(
-                [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), batch.column(0).take(take),
+                [pa.array(w1.astype(_U).view(np.int64)), pa.array(w2.astype(_U).view(np.int64)), batch.column(0).take(take),
                  batch.column(1).take(take), pa.array(start.astype(np.int32))], names=["w1", "w2", "id", "key", "start"])
 
     kind = edges.schema["id"].dataType.simpleString()
     return edges.mapInArrow(run, f"w1 long, w2 long, id {kind}, key long, start int")
 
 
-def covered(docs: DataFrame, length: int = 50, gram: int = 10) -> DataFrame:
+def covered(docs: DataFrame, length: int = 50, gram: int = 20) -> DataFrame:
     """(id, key, spans array<struct<start, stop>>): the runs of words of a document that are covered by windows which
-    also start in a document with a smaller id. ``docs``: (id, key, text), no nulls."""
-    rows = stored(_anchor_rows(docs, length, gram), "anchors")
+    also start in a document with a smaller id. ``docs``: (id, key, text), key and text not null.
+
+    Texts meet their open spans by a left join on (id, key), whatever the number of spans, so that this exchange of the
+    texts is the same as that of a caller who joins the result to ``docs`` in the same way; Spark then runs it once.
+    """
+    rows = stored(_anchor_rows(docs.where("id IS NOT NULL"), length, gram), "anchors")
     twice = rows.groupBy("a").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("a")
     seeds = cut(rows.join(twice, "a", "left_semi"))
     same = seeds.groupBy("a", "s").agg(F.min("id").alias("first"))
@@ -139,14 +146,14 @@ def covered(docs: DataFrame, length: int = 50, gram: int = 10) -> DataFrame:
     open_ = (judged.where("edge AND id = first").groupBy("id", "key")
              .agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
     small_batches(docs.sparkSession)
-    windows = cut(_window_rows(docs.join(open_, ["id", "key"]).select("id", "key", "text", "spans"), length))
+    windows = _window_rows(docs.join(open_, ["id", "key"], "left").select("id", "key", "text", "spans"), length)
     known = windows.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     edge = windows.join(known, ["w1", "w2"]).where("id > first").select(
         "id", "key", "start", (F.col("start") + F.lit(length)).alias("stop"))
     return inside.union(edge).groupBy("id", "key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 10, id_col: str = "doc_id",
+def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, id_col: str = "doc_id",
                    text_col: str = "text", texts: bool = True) -> DataFrame:
     """Removes every word covered by a window of ``length`` words that also starts in a document with a smaller id.
 
@@ -160,7 +167,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 10, id_col: st
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("id"), row_key(F.col(id_col), F.col(text_col)).alias("key"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    spans = covered(narrow.where("id IS NOT NULL"), length, gram)
+    spans = covered(narrow, length, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
