@@ -22,16 +22,25 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    _, p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small control file: temp file in the same folder, then rename."""
+    """Write a small control file that is not there yet: temp file in the same folder, then rename.
+
+    An existing file is never touched; whoever renames first wins."""
     jvm, p, fs = _fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
     tmp = jvm.org.apache.hadoop.fs.Path(path + f".{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    if not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise FileExistsError(path)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

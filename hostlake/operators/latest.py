@@ -32,16 +32,16 @@ def reduce_latest(df: DataFrame) -> DataFrame:
 
 
 def update_latest(spark: SparkSession, lake: str, batch: DataFrame, batch_id: str | None = None) -> None:
-    """Merge a history batch into ``<lake>/latest_values`` (new snapshot + pointer switch)."""
+    """Merge a history batch into ``<lake>/latest_values`` (new snapshot, committed when it is whole)."""
     if SK.table_meta(spark, lake, TABLE) is None:
         SK.ensure_table(spark, lake, TABLE, COLUMNS, TYPES, key=KEY, add_updated_at=False)
     version = f"snap-{batch_id or uuid.uuid4().hex}"
-    if SK._fs_read_text(spark, f"{lake}/{TABLE}/_current") == version:
+    if version in [name for _, name in SK.versions(spark, lake, TABLE)]:
         return  # replayed batch
     current = SK.read_table(spark, lake, TABLE)
     merged = reduce_latest(current.unionByName(reduce_latest(batch)))
     merged.write.mode("overwrite").parquet(f"{lake}/{TABLE}/{version}")
-    SK._fs_write_text(spark, f"{lake}/{TABLE}/_current", version)
+    SK.commit_version(spark, lake, TABLE, version)
 
 
 def latest_rows(spark: SparkSession, lake: str) -> DataFrame:

@@ -1,32 +1,33 @@
 """Lake table writes with declared semantics, and the staged-file loader.
 
-A lake table is a folder ``<lake>/<table>/`` holding ``_table.json`` (columns,
-Spark types, key, partition column; written once on creation, existing types
-win) and Parquet data. Append-style tables keep one data folder; upsert
-tables are rewritten into a new snapshot folder per batch and the
-``_current`` pointer is switched after the write committed, so a failed
-batch never leaves a half-written table and a replayed batch id is a no-op.
+A lake table is a folder ``<lake>/<table>/`` holding ``_table.json`` (columns, Spark types, key, partition column;
+written once on creation) and Parquet data. Append-style tables keep one folder per loaded batch,
+``data/load_batch=<id>``, written by overwriting: a batch that is repeated replaces itself. Upsert tables are written
+as a new snapshot folder per batch; an empty file ``_versions/<number>-<folder>`` then commits it. The highest number
+is the table; such files are only ever added (and, with their snapshots, removed when several newer ones are there), so
+there is no moment without a current version.
 
 Write methods (per batch of rows):
 
-* ``write_append``    - plain append.
-* ``write_if_absent`` - first-wins de-duplication in the batch, ``left_anti``
-  against existing keys (only partitions touched by the batch are read),
-  append; inserted / skipped counts.
-* ``write_insert``    - append, but a document whose key collides with the
-  table, with itself, or with an earlier document of the batch fails whole.
-* ``write_upsert``    - last-wins de-duplication (key compared as text), then
-  every column of the batch overwrites the stored row; ``updated_at`` = now.
+* ``write_append``    - append.
+* ``write_if_absent`` - first-wins de-duplication in the batch, ``left_anti`` against existing keys (only partitions
+  touched by the batch are read), append; rows inserted per document.
+* ``write_insert``    - append, but a document whose key collides with the table, with itself, or with an earlier
+  document of the batch fails whole.
+* ``write_upsert``    - per key and column the last value written wins (key compared as text); columns that no document
+  of the batch has keep the stored value; ``updated_at`` = now.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
-import os
+import time
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fs as FS
@@ -37,18 +38,14 @@ from ..sources import staged as S
 ORDER_COLS = ("_file", "_doc", "_pos")
 
 
-# --------------------------------------------------------------------------- table folder
-
-def _fs_write_text(spark: SparkSession, path: str, text: str) -> None:
-    FS.write_text(spark, path, text)
-
+#: Snapshots of an upsert table that stay, the current one included (readers may still be at an older one).
+KEEP_SNAPSHOTS = 3
 
-def _fs_read_text(spark: SparkSession, path: str) -> str | None:
-    return FS.read_text(spark, path)
 
+# --------------------------------------------------------------------------- table folder
 
 def table_meta(spark: SparkSession, lake: str, table: str) -> dict | None:
-    t = _fs_read_text(spark, f"{lake}/{table}/_table.json")
+    t = FS.read_text(spark, f"{lake}/{table}/_table.json")
     return None if t is None else json.loads(t)
 
 
@@ -64,32 +61,55 @@ def ensure_table(spark: SparkSession, lake: str, table: str, columns: Sequence[s
     meta = {"table": table, "columns": cols,
             "types": {c: ("timestamp" if c == "updated_at" and c not in types else types.get(c, "string")) for c in cols},
             "key": list(key), "partition_by": partition_by}
-    _fs_write_text(spark, f"{lake}/{table}/_table.json", json.dumps(meta))
+    try:
+        FS.write_text(spark, f"{lake}/{table}/_table.json", json.dumps(meta))
+    except FileExistsError:  # another loader was first
+        return table_meta(spark, lake, table)
     return meta
 
 
-def _data_dir(spark, lake, table) -> str:
-    cur = _fs_read_text(spark, f"{lake}/{table}/_current")
-    return f"{lake}/{table}/{cur.strip() if cur else 'data'}"
+def versions(spark: SparkSession, lake: str, table: str) -> list[tuple[int, str]]:
+    """(number, snapshot folder) of the committed versions, oldest first."""
+    folder = f"{lake}/{table}/_versions"
+    if not FS.exists(spark, folder):
+        return []
+    names = [name for _, name, is_dir, _ in FS.list_dir(spark, folder) if not is_dir and not name.startswith(".")
+             and not name.endswith(".tmp")]
+    return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1]) for n in names)
+
 
+def commit_version(spark: SparkSession, lake: str, table: str, snapshot: str) -> None:
+    """Make a written snapshot folder the table; then drop all but the newest ``KEEP_SNAPSHOTS``."""
+    known = versions(spark, lake, table)
+    FS.write_text(spark, f"{lake}/{table}/_versions/{(known[-1][0] if known else 0) + 1:012d}-{snapshot}", "")
+    for number, old in known[:max(0, len(known) + 1 - KEEP_SNAPSHOTS)]:
+        FS.delete(spark, f"{lake}/{table}/_versions/{number:012d}-{old}")
+        FS.delete(spark, f"{lake}/{table}/{old}")
 
-def read_table(spark: SparkSession, lake: str, table: str) -> DataFrame:
-    """Current rows of a lake table (empty frame with the declared schema when no data)."""
+
+def read_table(spark: SparkSession, lake: str, table: str, without_batch: str | None = None) -> DataFrame:
+    """Current rows of a lake table; an empty frame with the declared schema where nothing was ever written.
+
+    ``without_batch`` leaves out what an earlier try of that batch appended. Errors of the store are raised."""
     meta = table_meta(spark, lake, table)
     if meta is None:
         raise FileNotFoundError(f"no lake table {table!r} under {lake}")
     schema = ", ".join(f"`{c}` {meta['types'][c]}" for c in meta["columns"])
     if meta.get("partition_by"):
         schema += f", `{meta['partition_by']}` date"
-    path = _data_dir(spark, lake, table)
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - folder not written yet
+    known = versions(spark, lake, table)
+    if known:
+        return spark.read.schema(schema).parquet(f"{lake}/{table}/{known[-1][1]}")
+    if not FS.exists(spark, f"{lake}/{table}/data"):
         return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema + ", load_batch string").parquet(f"{lake}/{table}/data")
+    if without_batch is not None:
+        rows = rows.where(F.col("load_batch") != F.lit(without_batch))
+    return rows.drop("load_batch")
 
 
-def _conform(df: DataFrame, meta: dict) -> DataFrame:
-    cols = []
+def _conform(df: DataFrame, meta: dict, keep: Sequence[str] = ()) -> DataFrame:
+    cols = [F.col(c) for c in keep if c in df.columns]
     for c in meta["columns"]:
         t = meta["types"][c]
         if c in df.columns:
@@ -110,11 +130,12 @@ def partition_expr(meta: dict):
     return F.to_date(clock_to_ntz(F.col("clock")))
 
 
-def _append(df: DataFrame, meta: dict, path: str) -> None:
-    w = df.write.mode("append")
+def _append(df: DataFrame, meta: dict, lake: str, batch_id: str) -> None:
+    """The batch's own folder of an append-style table; what an earlier try left there is replaced."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if meta.get("partition_by"):
         w = w.partitionBy(meta["partition_by"])
-    w.parquet(path)
+    w.parquet(f"{lake}/{meta['table']}/data/load_batch={batch_id}")
 
 
 # --------------------------------------------------------------------------- write methods
@@ -133,22 +154,19 @@ def _first_wins(df: DataFrame, key: Sequence[str], order=ORDER_COLS, last: bool
     return g.select(*[F.col(f"_p.{c}").alias(c) for c in cols])
 
 
-def write_append(spark: SparkSession, df: DataFrame, lake: str, table: str) -> int:
+def write_append(spark: SparkSession, df: DataFrame, lake: str, table: str, batch_id: str | None = None) -> None:
     meta = table_meta(spark, lake, table)
-    out = _conform(df, meta)
-    _append(out, meta, _data_dir(spark, lake, table))
-    return -1
+    _append(_conform(df, meta), meta, lake, batch_id or uuid.uuid4().hex)
 
 
-def write_if_absent(spark: SparkSession, df: DataFrame, lake: str, table: str,
-                    key: Sequence[str], with_counts: bool = True) -> dict:
-    """Insert-if-absent: returns {'inserted': n, 'skipped': m} (with ``with_counts``)."""
+def write_if_absent(spark: SparkSession, df: DataFrame, lake: str, table: str, key: Sequence[str],
+                    batch_id: str | None = None) -> DataFrame:
+    """Insert-if-absent; returns (file_path, doc_pos, inserted) of the documents that inserted rows."""
     meta = table_meta(spark, lake, table)
-    batch = df.cache()
-    total = batch.count() if with_counts else None
-    first = _first_wins(batch, key)
-    new = _conform(first, meta)
-    existing = read_table(spark, lake, table)
+    batch_id = batch_id or uuid.uuid4().hex
+    first = _first_wins(df, key)
+    new = _conform(first, meta, keep=("_file", "_doc"))
+    existing = read_table(spark, lake, table, without_batch=batch_id)
     join_keys = list(key)
     if meta.get("partition_by"):
         # joining on the partition column lets dynamic partition pruning read
@@ -156,21 +174,19 @@ def write_if_absent(spark: SparkSession, df: DataFrame, lake: str, table: str,
         join_keys = [meta["partition_by"]] + join_keys
     new_keys = Dimension(new.select(*join_keys))
     if new_keys.small:
-        # batch keys are provably small: find the stored copies by scanning the
-        # touched partitions against the broadcast batch keys (no shuffle of the
-        # stored table), then drop them from the batch
-        hits = existing.select(*join_keys).join(new_keys.bc(), on=join_keys, how="left_semi")
+        # batch keys are provably small: find the stored ones by scanning the touched partitions against the
+        # broadcast batch keys (no shuffle of the stored table); distinct, they are no more than the batch has
+        hits = existing.select(*join_keys).join(new_keys.bc(), on=join_keys, how="left_semi").distinct()
         fresh = new.join(F.broadcast(hits), on=join_keys, how="left_anti")
     else:
         fresh = new.join(existing.select(*join_keys), on=join_keys, how="left_anti")
-    ckpt = _checkpointed(spark, fresh)
-    _append(ckpt, meta, _data_dir(spark, lake, table))
-    batch.unpersist()
+    fresh = _checkpointed(spark, fresh)
+    _append(fresh.drop("_file", "_doc"), meta, lake, batch_id)
     new_keys.release()
-    if not with_counts:
-        return {}
-    inserted = ckpt.count()
-    return {"inserted": inserted, "skipped": total - inserted}
+    if "_file" not in fresh.columns:
+        return spark.createDataFrame([], "file_path string, doc_pos int, inserted bigint")
+    return fresh.groupBy(F.col("_file").alias("file_path"), F.col("_doc").alias("doc_pos")) \
+        .agg(F.count(F.lit(1)).alias("inserted"))
 
 
 def _checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -181,21 +197,23 @@ def _checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_insert(spark: SparkSession, df: DataFrame, lake: str, table: str, key: Sequence[str]) -> DataFrame:
+def write_insert(spark: SparkSession, df: DataFrame, lake: str, table: str, key: Sequence[str],
+                 batch_id: str | None = None) -> DataFrame:
     """Plain insert; documents with a key conflict fail whole. Returns the failed
     documents ``(file_path, doc_pos, error)``."""
     meta = table_meta(spark, lake, table)
+    batch_id = batch_id or uuid.uuid4().hex
     if not key:
-        write_append(spark, df, lake, table)
+        write_append(spark, df, lake, table, batch_id)
         return spark.createDataFrame([], "file_path string, doc_pos int, error string")
-    existing = read_table(spark, lake, table).select(*[F.col(k).cast("string").alias(k) for k in key]) \
-        .withColumn("_in_table", F.lit(True))
-    kc = [F.col(k).cast("string").alias(k) for k in key]
-    b = df.select("_file", "_doc", "_pos", *kc)
+    existing = read_table(spark, lake, table, without_batch=batch_id).select(*key)
+    # a key's type is the table's, so keys meet as they are stored (and filters reach the files)
+    b = df.select("_file", "_doc", "_pos", *[F.col(k).cast(meta["types"][k]).alias(k) for k in key])
     # per key: rows per document and the earliest document holding it (aggregates, skew-safe)
     per_doc = b.groupBy(*key, "_file", "_doc").agg(F.count(F.lit(1)).alias("_n_in_doc"))
     first = per_doc.groupBy(*key).agg(F.min(F.struct("_file", "_doc")).alias("_first_doc"))
-    j = per_doc.join(first, on=list(key)).join(existing, on=list(key), how="left")
+    stored = existing.join(first.select(*key), on=list(key), how="left_semi").distinct().withColumn("_in_table", F.lit(True))
+    j = per_doc.join(first, on=list(key)).join(stored, on=list(key), how="left")
     bad = j.where(F.col("_in_table").isNotNull() | (F.col("_n_in_doc") > 1)
                   | (F.struct("_file", "_doc") != F.col("_first_doc")))
     failed = bad.groupBy(F.col("_file").alias("file_path"), F.col("_doc").alias("doc_pos")) \
@@ -203,76 +221,122 @@ def write_insert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
     failed = _checkpointed(spark, failed)
     ok = df.join(failed.select(F.col("file_path").alias("_file"), F.col("doc_pos").alias("_doc")),
                  on=["_file", "_doc"], how="left_anti")
-    _append(_checkpointed(spark, _conform(ok, meta)), meta, _data_dir(spark, lake, table))
+    _append(_checkpointed(spark, _conform(ok, meta)), meta, lake, batch_id)
     return failed
 
 
 def write_upsert(spark: SparkSession, df: DataFrame, lake: str, table: str, key: Sequence[str],
-                 batch_id: str | None = None) -> int:
-    """Last-wins upsert into a new snapshot; returns the number of batch rows written."""
+                 batch_id: str | None = None) -> None:
+    """Upsert into a new snapshot. A batch id that is already committed is not applied again.
+
+    Rows with ``_columns`` (the columns their document has) write those columns only; per key and column the last such
+    row in load order wins, as if the documents were applied one after another."""
     meta = table_meta(spark, lake, table)
-    version = f"snap-{batch_id or uuid.uuid4().hex}"
-    if _fs_read_text(spark, f"{lake}/{table}/_current") == version:
-        return 0  # batch already applied
-    batch_cols = [c for c in df.columns if c not in ORDER_COLS]
-    last = _first_wins(df, key, last=True)
-    new = last.select(*batch_cols).withColumn("updated_at", F.current_timestamp()) \
-        if "updated_at" in meta["columns"] else last.select(*batch_cols)
+    snapshot = f"snap-{batch_id or uuid.uuid4().hex}"
+    if snapshot in [name for _, name in versions(spark, lake, table)]:
+        return
+    written = [c for c in df.columns if c in meta["columns"]]
+    order = F.struct(*[F.col(c) for c in ORDER_COLS if c in df.columns])
+    has = (lambda c: F.array_contains("_columns", c)) if "_columns" in df.columns else (lambda c: F.lit(True))
+    names = {c: f"c{i}" for i, c in enumerate(meta["columns"])}
+    keys = [f"k{i}" for i in range(len(key))]
+    # (struct of the value, so that a NULL that was written differs from no row)
+    new = df.groupBy(*[F.col(k).cast("string").alias(n) for k, n in zip(key, keys, strict=True)]).agg(
+        F.lit(True).alias("new"),
+        *[F.max_by(F.when(has(c), F.struct(F.col(c).cast(meta["types"][c]).alias("v"))), F.when(has(c), order)).alias(f"n_{names[c]}")
+          for c in written])
     existing = read_table(spark, lake, table)
-    if meta.get("partition_by"):
-        existing = existing.drop(meta["partition_by"])
-    kstr = [F.col(k).cast("string") for k in key]
-    n = new.select(*[F.col(c).alias(f"_n_{c}") for c in new.columns],
-                   *[k.alias(f"_k{i}") for i, k in enumerate([F.col(c).cast("string") for c in key])])
-    e = existing.select(*[F.col(c).alias(f"_e_{c}") for c in existing.columns],
-                        *[k.alias(f"_k{i}") for i, k in enumerate([F.col(f"{c}").cast("string") for c in key])])
-    j = e.join(n, on=[f"_k{i}" for i in range(len(key))], how="full_outer")
-    has_new = F.coalesce(*[F.col(f"_n_{k}").isNotNull() for k in key])
+    old = existing.select(*[F.col(k).cast("string").alias(n) for k, n in zip(key, keys, strict=True)],
+                          *[F.col(c).alias(f"o_{names[c]}") for c in meta["columns"]])
+    both = old.join(new, on=keys, how="full_outer")
     merged = []
     for c in meta["columns"]:
-        if c in new.columns:
-            merged.append(F.when(has_new, F.col(f"_n_{c}").cast(meta["types"][c])).otherwise(F.col(f"_e_{c}")).alias(c))
+        kept, now = F.col(f"o_{names[c]}"), F.current_timestamp().cast(meta["types"][c])
+        if c == "updated_at" and c not in key:
+            merged.append(F.when(F.col("new"), now).otherwise(kept).alias(c))
+        elif c in written:
+            value = F.col(f"n_{names[c]}")
+            merged.append(F.when(value.isNotNull(), value["v"]).otherwise(kept).alias(c))
         else:
-            merged.append(F.col(f"_e_{c}").alias(c))
-    out = j.select(*merged)
+            merged.append(kept.alias(c))
+    out = both.select(*merged)
     if meta.get("partition_by"):
         out = out.withColumn(meta["partition_by"], partition_expr(meta))
     w = out.write.mode("overwrite")
     if meta.get("partition_by"):
         w = w.partitionBy(meta["partition_by"])
-    w.parquet(f"{lake}/{table}/{version}")
-    _fs_write_text(spark, f"{lake}/{table}/_current", version)
-    return new.count()
+    w.parquet(f"{lake}/{table}/{snapshot}")
+    commit_version(spark, lake, table, snapshot)
 
 
 # --------------------------------------------------------------------------- loader
 
+LEDGER = ("file_path string, doc_pos int, table string, method string, status string, error string, rows bigint, "
+          "inserted bigint, processed_at timestamp, deferred_files bigint, batch_id string")
+
+
+def read_ledger(spark: SparkSession, lake: str) -> DataFrame:
+    """One row per document and try: status ok / error / skipped, records (``rows``) and rows put into the table
+    (``inserted``: fewer than ``rows`` where keys were there already)."""
+    if not FS.exists(spark, f"{lake}/_ledger"):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(f"{lake}/_ledger")
+
+
+def _documents(spark: SparkSession, lake: str) -> DataFrame:
+    """(file_path, doc_pos, done): whether any try of the document ended as ok or skipped."""
+    return read_ledger(spark, lake).groupBy("file_path", "doc_pos").agg(
+        F.max(F.col("status").isin("ok", "skipped")).alias("done"))
+
+
 def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: int | None = None,
                  batch_id: str | None = None, partition_tables: dict[str, str] | None = None,
                  done_dir: str | None = None, latest_tables: Sequence[str] = (),
                  clean_copy_text: bool = False) -> DataFrame:
     """Load pending staged documents into lake tables, as each document declares.
 
-    With ``done_dir`` fully loaded (or skipped) files are moved there, so the
-    pending folder only holds new and failed files (failed ones are retried).
-    Returns the run's ledger rows ``(file_path, doc_pos, table, method, status,
-    rows, error, batch_id)``, which are also appended to ``<lake>/_ledger``;
-    documents already in the ledger as ok / skipped are not loaded again
-    (at-least-once input, effectively-once tables). At most ``max_files``
-    files are taken, oldest name first; the rest are deferred.
+    Returns the run's ledger rows (see ``read_ledger``), which are also kept in ``<lake>/_ledger``. Documents that are
+    in the ledger as ok or skipped are not loaded again; a file is finished when all its documents are, so failed
+    documents are tried again. With ``done_dir`` finished files are moved there. At most ``max_files`` files are taken,
+    oldest name first; the rest are deferred.
+
+    The batch's file list is written down before the first table is touched and goes when the ledger has the batch. A
+    run that finds such a list left by a crashed one repeats that batch first, under its id: every write replaces what
+    the crashed run had written under it, so nothing is lost or doubled.
     """
-    batch_id = batch_id or uuid.uuid4().hex
-    files, deferred = S.list_pending(spark, pending_dir, max_files=max_files, done=_done(spark, lake),
-                                     with_deferred=True)
-    if not files:
-        return _empty_ledger(spark)
-    ledger = load_docs(spark, S.read_staged(spark, pending_dir, files), lake, batch_id, partition_tables,
-                       deferred_files=deferred, latest_tables=latest_tables, clean_copy_text=clean_copy_text)
-    if done_dir:
-        # the counterpart of deleting a loaded file: move fully finished files out of pending/
-        bad = {r[0] for r in ledger.where(F.col("status") == "error").select("file_path").distinct().collect()}
-        _move_files(spark, [f for f in files if S._norm_path(f) not in {S._norm_path(b) for b in bad}], done_dir)
-    return ledger
+    options = dict(partition_tables=partition_tables, latest_tables=latest_tables, clean_copy_text=clean_copy_text)
+    ids = [_load_batch(spark, i, files, lake, 0, done_dir, options) for i, files in _started(spark, lake)]
+    docs = _documents(spark, lake)
+    finished = docs.groupBy("file_path").agg(F.min("done").alias("done")).where("done")
+    files, deferred = S.list_pending(spark, pending_dir, max_files=max_files, finished=finished)
+    if files:
+        batch_id = batch_id or uuid.uuid4().hex
+        FS.write_text(spark, f"{lake}/_started/{batch_id}.json", json.dumps(files))
+        ids.append(_load_batch(spark, batch_id, files, lake, deferred, done_dir, options))
+    return read_ledger(spark, lake).where(F.col("batch_id").isin(ids)) if ids else spark.createDataFrame([], LEDGER)
+
+
+def _started(spark: SparkSession, lake: str) -> list[tuple[str, list[str]]]:
+    """(batch id, files) of batches that have begun and not ended."""
+    folder = f"{lake}/_started"
+    if not FS.exists(spark, folder):
+        return []
+    return [(name[:-len(".json")], json.loads(FS.read_text(spark, path)))
+            for path, name, _, _ in sorted(FS.list_dir(spark, folder)) if name.endswith(".json")]
+
+
+def _load_batch(spark: SparkSession, batch_id: str, files: list[str], lake: str, deferred: int, done_dir: str | None,
+                options: dict) -> str:
+    there = [f for f in files if FS.exists(spark, f)]
+    if there:
+        ledger = load_docs(spark, S.read_staged(spark, "", there), lake, batch_id, deferred_files=deferred, **options)
+        if done_dir:
+            # the counterpart of deleting a loaded file: move finished files out of pending/
+            bad = ledger.where(F.col("status") == "error").select(F.regexp_replace("file_path", "^file:/+", "file:/")).distinct()
+            open_files = {r[0] for r in bad.collect()}  # at most the files of this batch
+            _move_files(spark, [f for f in there if S._norm_path(f) not in open_files], done_dir)
+    FS.delete(spark, f"{lake}/_started/{batch_id}.json")
+    return batch_id
 
 
 def _move_files(spark: SparkSession, files: list[str], target: str) -> None:
@@ -284,19 +348,21 @@ def load_pending_budgeted(spark: SparkSession, pending_dir: str, lake: str, time
     """``load_pending`` in oldest-first batches of ``files_per_batch`` files until
     ``time_budget_s`` is spent; files not reached are deferred to the next run
     (their count is in the last batch's ledger rows). Each batch is one
-    distributed load; the loop runs over batches, never over files."""
-    import time
+    distributed load; the loop runs over batches, never over files. Documents that
+    fail are tried once per run."""
     start = time.monotonic()
-    ledgers = []
+    ledgers, seen = [], set()
     while True:
         led = load_pending(spark, pending_dir, lake, max_files=files_per_batch, **kwargs)
-        if led.limit(1).count() == 0:
+        files = {r[0] for r in led.select("file_path").distinct().collect()}  # at most files_per_batch
+        if not files - seen:
             break
+        seen |= files
         ledgers.append(led)
         if time.monotonic() - start >= time_budget_s:
             break
     if not ledgers:
-        return _empty_ledger(spark)
+        return spark.createDataFrame([], LEDGER)
     out = ledgers[0]
     for led in ledgers[1:]:
         out = out.unionByName(led)
@@ -305,112 +371,113 @@ def load_pending_budgeted(spark: SparkSession, pending_dir: str, lake: str, time
     return out.withColumn("deferred_files", F.lit(int(last_deferred)).cast("bigint"))
 
 
-def _done(spark: SparkSession, lake: str):
-    try:
-        return spark.read.parquet(f"{lake}/_ledger").where(F.col("status").isin("ok", "skipped"))
-    except Exception:  # noqa: BLE001 - first run
-        return None
-
-
-def _empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "file_path string, doc_pos int, table string, method string, "
-                                     "status string, error string, rows bigint, batch_id string, "
-                                     "processed_at timestamp, deferred_files bigint")
-
-
 def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
               partition_tables: dict[str, str] | None = None, deferred_files: int = 0,
               latest_tables: Sequence[str] = (), clean_copy_text: bool = False) -> DataFrame:
     """Load a batch of staged documents ``(file_path, doc_pos, doc)``; see ``load_pending``.
 
-    Tables named in ``latest_tables`` (history-shaped) also refresh the
-    ``latest_values`` table from the same batch. ``clean_copy_text`` turns
-    tab / newline / CR in text values of ``copy`` documents into spaces, as a
-    tab-separated bulk load must (off by default: Parquet keeps text exactly). Used as is by the streaming
-    loader's ``foreachBatch``.
+    All documents of one table, method and key are one write, whatever their columns. A document fails by itself: for
+    its envelope, a column that the table lacks, a value that is not of its column's type, a NULL in a key column, or a
+    conflicting key; none of its rows is loaded, and the ledger says why. If a write as a whole fails, its documents
+    are errors and the other groups go on.
+
+    Tables named in ``latest_tables`` (history-shaped) also refresh the ``latest_values`` table from the same batch.
+    ``clean_copy_text`` turns tab / newline / CR in text values of ``copy`` documents into spaces, as a tab-separated
+    bulk load must (off by default: Parquet keeps text exactly). Used as is by the streaming loader's ``foreachBatch``.
     """
-    ledger_path = f"{lake}/_ledger"
-    done = _done(spark, lake)
-    parsed = S.parse_envelope(docs)
-    if done is not None:
-        parsed = parsed.join(done.select("file_path", "doc_pos"), ["file_path", "doc_pos"], "left_anti")
+    from pyspark import StorageLevel
+    done = _documents(spark, lake).where("done").select("file_path", "doc_pos")
+    earlier = read_ledger(spark, lake).where(F.col("batch_id") == F.lit(batch_id)).select("file_path", "doc_pos").distinct()
+    # what this batch id has done itself is done again in the same way: it is a repeated run
+    done = done.join(earlier, ["file_path", "doc_pos"], "left_anti")
+    parsed = S.parse_envelope(docs).join(done, ["file_path", "doc_pos"], "left_anti")
     # persisted, not checkpointed: its lineage only reads the pending files, which stay
     # in place until the run is over, so a lost partition is simply re-read
-    from pyspark import StorageLevel
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     ok = parsed.where(F.col("status") == "ok")
-    # one small row per (table, method, key, types, first-record columns)
-    groups = (ok.select(F.col("meta.table").alias("table"), "method",
-                        F.col("meta.conflict_target").alias("key"),
-                        F.to_json(F.col("meta.column_types")).alias("types"),
-                        F.col("meta.json_columns").alias("json_columns"),
-                        F.col("meta.add_updated_at").alias("add_updated_at"),
-                        F.col("columns"))
-              .distinct().collect())
-    failed_parts = []
-    rows_per_doc = []
-    for g in sorted(groups, key=lambda r: (r["table"], r["method"])):
-        table, method = g["table"], g["method"]
-        key = list(g["key"] or [])
-        ctypes = json.loads(g["types"]) if g["types"] else {}
-        jcols = list(g["json_columns"] or [])
-        cols = list(g["columns"])
-        types = {c: S.column_type(c, jcols, ctypes) for c in cols}
-        part = (partition_tables or {}).get(table) if "clock" in cols else None
-        meta = ensure_table(spark, lake, table, cols, types, key=key if method != "copy" or key else (),
-                            add_updated_at=(g["add_updated_at"] is not False), partition_by=part)
-        unknown = [c for c in cols if c not in meta["columns"]]
-        sel = ((F.col("meta.table") == table) & (F.col("method") == method)
-               & (F.to_json(F.col("meta.column_types")).eqNullSafe(F.lit(g["types"])))
-               & (F.col("columns") == F.array(*[F.lit(c) for c in cols]))
-               & F.coalesce(F.col("meta.conflict_target") == F.array(*[F.lit(k) for k in key]),
-                            F.lit(not key)))
-        part_docs = ok.where(sel)
-        if unknown:
-            failed_parts.append(part_docs.select("file_path", "doc_pos",
-                                                 F.lit(f"column {unknown[0]} does not exist").alias("error")))
-            continue
-        recs = S.records_frame(part_docs, cols, {c: meta["types"].get(c, types[c]) for c in cols}, jcols)
+    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))
+    # one row per (table, method, key): names of columns, and the first document's declaration of the table
+    groups = (ok.groupBy(F.col("meta.table").alias("table"), "method", F.col("meta.conflict_target").alias("key"))
+              .agg(flat(F.array_sort("columns")).alias("columns"),
+                   flat(F.coalesce("meta.json_columns", F.array().cast("array<string>"))).alias("json_columns"),
+                   F.min(F.struct("file_path", "doc_pos")).alias("first"),
+                   F.min_by(F.struct("columns", "meta"), F.struct("file_path", "doc_pos")).alias("d"))
+              .collect())
+    failed, counts = [], []
+    for g in sorted(groups, key=lambda r: tuple(r["first"])):
+        part_docs = ok.where((F.col("meta.table") == g["table"]) & (F.col("method") == g["method"])
+                             & F.col("meta.conflict_target").eqNullSafe(
+                                 F.lit(None) if g["key"] is None else F.array(*[F.lit(k) for k in g["key"]]).cast("array<string>")))
+        try:
+            bad, inserted = _load_group(spark, part_docs, g, lake, batch_id, partition_tables or {}, latest_tables, clean_copy_text)
+        except Exception as exc:  # noqa: BLE001 - this group's documents are errors, the others are loaded
+            text = f"{type(exc).__name__}: {exc}"
+            bad, inserted = part_docs.select("file_path", "doc_pos", F.lit(text).alias("error")), None
+        failed.append(bad)
+        if inserted is not None:
+            counts.append(inserted)
+    base = parsed.select("file_path", "doc_pos", F.col("meta.table").alias("table"), "method", "status", "error",
+                         F.size("records").cast("bigint").alias("rows"),
+                         (F.coalesce(F.size("meta.conflict_target"), F.lit(0)) > 0).alias("_keyed"))
+    empty = {"error": "file_path string, doc_pos int, error string", "inserted": "file_path string, doc_pos int, inserted bigint"}
+    errors, found = (reduce(DataFrame.unionByName, x, spark.createDataFrame([], empty[n]))
+                     for n, x in (("error", failed), ("inserted", counts)))
+    errors = errors.groupBy("file_path", "doc_pos").agg(F.min("error").alias("_error"))
+    base = base.join(errors, ["file_path", "doc_pos"], "left").join(found, ["file_path", "doc_pos"], "left")
+    base = base.withColumn("status", F.when(F.col("_error").isNotNull(), F.lit("error")).otherwise(F.col("status"))) \
+        .withColumn("error", F.coalesce("error", "_error"))
+    loaded = F.col("status") == "ok"
+    by_key = (F.col("method") == "copy") & F.col("_keyed")
+    ledger = base.withColumn("inserted", F.when(~loaded, 0).when(by_key, F.coalesce("inserted", F.lit(0))).otherwise(F.col("rows")).cast("bigint")) \
+        .withColumn("rows", F.when(loaded, F.col("rows")).otherwise(0).cast("bigint")) \
+        .withColumn("processed_at", F.current_timestamp()) \
+        .withColumn("deferred_files", F.lit(deferred_files).cast("bigint")) \
+        .select("file_path", "doc_pos", "table", "method", "status", "error", "rows", "inserted", "processed_at", "deferred_files")
+    ledger.write.mode("overwrite").parquet(f"{lake}/_ledger/batch_id={batch_id}")
+    parsed.unpersist()
+    return read_ledger(spark, lake).where(F.col("batch_id") == F.lit(batch_id))
+
+
+def _load_group(spark: SparkSession, docs: DataFrame, g, lake: str, batch_id: str, partition_tables: dict[str, str],
+                latest_tables: Sequence[str], clean_copy_text: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Writes the documents of one (table, method, key); (failed documents with errors, rows inserted per document)."""
+    from pyspark import StorageLevel
+    table, method, key = g["table"], g["method"], list(g["key"] or [])
+    first, declared = list(g["d"]["columns"]), g["d"]["meta"]
+    types = S.column_types(first, list(declared["json_columns"] or []), dict(declared["column_types"] or {}))
+    meta = ensure_table(spark, lake, table, first, types, key=key, add_updated_at=declared["add_updated_at"] is not False,
+                        partition_by=partition_tables.get(table) if "clock" in first else None)
+    own_id = f"{batch_id}-{hashlib.sha256(json.dumps([table, method, key]).encode()).hexdigest()[:8]}"
+    lacking = F.array_except("columns", F.array(*[F.lit(c) for c in meta["columns"]]))
+    unknown = docs.where(F.size(lacking) > 0).select(
+        "file_path", "doc_pos", F.concat(F.lit("column "), F.element_at(lacking, 1), F.lit(" does not exist")).alias("error"))
+    docs = docs.where(F.size(lacking) == 0)
+    cols = {c: meta["types"][c] for c in meta["columns"] if c in g["columns"]}
+    unique = list(meta.get("key") or key) if method == "insert" else key
+    recs = S.records_frame(docs, cols, [c for c in g["json_columns"] if c in cols], unique).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        wrong = _checkpointed(spark, recs.where(F.col("_bad").isNotNull()).groupBy(
+            F.col("_file").alias("file_path"), F.col("_doc").alias("doc_pos")).agg(F.min_by("_bad", "_pos").alias("error")))
+        good = recs.join(wrong.select(F.col("file_path").alias("_file"), F.col("doc_pos").alias("_doc")), ["_file", "_doc"],
+                         "left_anti").drop("_bad")
+        failed, inserted = unknown.unionByName(wrong), None
         if clean_copy_text and method == "copy":
             from ..functions.scalars import clean_text
-            recs = recs.select(*[clean_text(c).alias(c) if c in types and meta["types"].get(c, types[c]) == "string" and c not in jcols
-                                 else F.col(c) for c in recs.columns])
-        if table in set(latest_tables):
-            from .latest import update_latest
-            update_latest(spark, lake, recs, batch_id=f"{batch_id}-{table}")
+            good = good.withColumns({c: clean_text(c) for c, t in cols.items() if t == "string" and c not in g["json_columns"]})
         if method == "copy" and key:
-            write_if_absent(spark, recs, lake, table, key, with_counts=False)
+            inserted = _checkpointed(spark, write_if_absent(spark, good, lake, table, key, own_id))
         elif method == "copy":
-            write_append(spark, recs, lake, table)
+            write_append(spark, good, lake, table, own_id)
         elif method == "insert":
-            failed_parts.append(write_insert(spark, recs, lake, table, meta.get("key") or key))
+            failed = failed.unionByName(write_insert(spark, good, lake, table, unique, own_id))
         else:
-            write_upsert(spark, recs, lake, table, key, batch_id=f"{batch_id}-{table}")
-        rows_per_doc.append(part_docs.select("file_path", "doc_pos", F.size("records").cast("bigint").alias("rows")))
-    failed = None
-    for fp in failed_parts:
-        failed = fp if failed is None else failed.unionByName(fp)
-    base = parsed.select("file_path", "doc_pos", F.col("meta.table").alias("table"), "method", "status",
-                         "error")
-    if failed is not None:
-        base = base.join(failed.select("file_path", "doc_pos", F.col("error").alias("_werr")),
-                         ["file_path", "doc_pos"], "left") \
-            .withColumn("status", F.when(F.col("_werr").isNotNull(), F.lit("error")).otherwise(F.col("status"))) \
-            .withColumn("error", F.coalesce(F.col("error"), F.col("_werr"))).drop("_werr")
-    counts = None
-    for r in rows_per_doc:
-        counts = r if counts is None else counts.unionByName(r)
-    if counts is not None:
-        base = base.join(counts, ["file_path", "doc_pos"], "left")
-    else:
-        base = base.withColumn("rows", F.lit(None).cast("bigint"))
-    ledger = base.withColumn("rows", F.when(F.col("status") == "ok", F.col("rows")).otherwise(F.lit(0).cast("bigint"))) \
-        .withColumn("batch_id", F.lit(batch_id)) \
-        .withColumn("processed_at", F.current_timestamp()) \
-        .withColumn("deferred_files", F.lit(deferred_files).cast("bigint"))
-    ledger.write.mode("append").parquet(ledger_path)
-    parsed.unpersist()
-    return spark.read.parquet(ledger_path).where(F.col("batch_id") == F.lit(batch_id))
+            write_upsert(spark, good, lake, table, key, batch_id=own_id)
+        if table in set(latest_tables):
+            from .latest import update_latest
+            update_latest(spark, lake, good, batch_id=own_id)
+        return _checkpointed(spark, failed), inserted
+    finally:
+        recs.unpersist()
 
 
 def load_summary(ledger: DataFrame) -> DataFrame:
@@ -429,12 +496,14 @@ def load_summary(ledger: DataFrame) -> DataFrame:
 def write_staged(df: DataFrame, pending_dir: str, table: str, method: str, key: Sequence[str] = (),
                  column_types: dict[str, str] | None = None, json_columns: Sequence[str] = (),
                  add_updated_at: bool = True, source: str = "hostlake", group_cols: Sequence[str] = (),
-                 max_records: int = 5000, extra_meta: dict | None = None) -> None:
+                 max_records: int = 5000, extra_meta: dict | None = None, order_cols: Sequence[str] = ()) -> None:
     """Write rows as ``{meta, data}`` staged documents, one per line.
 
-    Rows are grouped by ``group_cols`` (e.g. request id) and split into chunks
-    of about ``max_records`` (hash of the row), so no group becomes one huge
-    document or one task. Data values are written as JSON with NULLs kept.
+    Rows are grouped by ``group_cols`` (e.g. request id). Without ``order_cols`` the rows have no order: groups are
+    split into chunks of about ``max_records`` by a hash of the row and its number among equal rows, so no group becomes
+    one huge document or one task. With ``order_cols`` a group's records are written in that order, cut every
+    ``max_records``, and files are named so that they are loaded in that order (last-wins upserts rely on it; a group
+    is then sorted in one task). Data values are written as JSON with NULLs kept.
     """
     meta = {"table": table, "method": method, "source": source, "add_updated_at": add_updated_at}
     if key:
@@ -445,28 +514,45 @@ def write_staged(df: DataFrame, pending_dir: str, table: str, method: str, key:
         meta["json_columns"] = list(json_columns)
     if extra_meta:
         meta.update(extra_meta)
-    g = list(group_cols)
-    cols = [c for c in df.columns if c not in g]
-    rec = F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
-    sized = df.select(*[F.col(c) for c in g], rec.alias("_rec"))
-    if g:
-        cnt = sized.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-        sized = sized.join(cnt, g)
+    spark, g = df.sparkSession, list(group_cols)
+    own = [c for c in df.columns if c not in g]
+    rec = F.to_json(F.struct(*[F.col(c) for c in own]), {"ignoreNullFields": "false"}).alias("_rec")
+    if order_cols:
+        if g:
+            placed = df.select(*g, rec, F.struct(*order_cols).alias("_at"))
+            by = Window.partitionBy(*g).orderBy("_at")
+        else:  # ranges of the order are numbered one by one
+            placed = df.select(rec, F.struct(*order_cols).alias("_at")).repartitionByRange("_at")
+            placed = _checkpointed(spark, placed.withColumn("_range", F.spark_partition_id()))
+            g, by = ["_range"], Window.partitionBy("_range").orderBy("_at")
+        placed = placed.withColumn("_n", F.row_number().over(by))
+        placed = placed.withColumn("_chunk", F.floor((F.col("_n") - 1) / F.lit(max_records)))
+        docs = placed.groupBy(*g, "_chunk").agg(F.transform(
+            F.array_sort(F.collect_list(F.struct("_n", "_rec"))), lambda x: x["_rec"]).alias("_recs"))
+        docs = docs.repartitionByRange(*g, "_chunk").sortWithinPartitions(*g, "_chunk")
     else:
-        sized = sized.withColumn("_n", F.lit(df.count()))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_records)))
-    sized = sized.withColumn("_chunk", F.pmod(F.xxhash64("_rec"), n_chunks))
-    docs = sized.groupBy(*g, "_chunk").agg(F.array_sort(F.collect_list("_rec")).alias("_recs"))
+        sized = df.select(*g, rec, F.monotonically_increasing_id().alias("_row"))
+        if g:
+            sized = sized.join(sized.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")), g)
+            n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_records)))
+            # with a row number, else a record repeated very often is one chunk
+            sized = sized.withColumn("_chunk", F.pmod(F.xxhash64("_rec", F.col("_row") % 64), n_chunks))
+            docs = sized.groupBy(*g, "_chunk").agg(F.array_sort(F.collect_list("_rec")).alias("_recs"))
+        else:  # each task cuts its own rows, by their numbers in it
+            sized = sized.select("_rec", F.shiftright("_row", 33).alias("_task"),
+                                 F.floor(F.col("_row").bitwiseAND((1 << 33) - 1) / F.lit(max_records)).alias("_chunk"))
+            docs = sized.groupBy("_task", "_chunk").agg(F.array_sort(F.collect_list("_rec")).alias("_recs"))
     body = F.concat(F.lit('{"meta":' + json.dumps(meta) + ',"data":['), F.array_join("_recs", ","), F.lit("]}"))
     docs.select(body.alias("value")).write.mode("append").option("compression", "none").text(pending_dir)
-    _rename_json(df.sparkSession, pending_dir)
+    _rename_json(spark, pending_dir)
 
 
 def _rename_json(spark: SparkSession, folder: str) -> None:
-    """Give committed text part files the ``.json`` suffix the loader globs for."""
+    """Give committed text part files names that sort by the time of writing, with the ``.json`` suffix the loader globs for."""
+    stamp = f"{time.time_ns():020d}"
     for path, name, is_dir, length in FS.list_dir(spark, folder):
         if not is_dir and name.startswith("part-") and not name.endswith(".json") and length > 0:
-            FS.rename(spark, path, path + ".json")
+            FS.rename(spark, path, f"{path[:-len(name)]}{stamp}-{name}.json")
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -504,11 +590,3 @@ def host_counts(hosts: DataFrame) -> DataFrame:
     return hosts.agg(F.count(F.lit(1)).alias("hosts"),
                      F.count_if(F.col("status") == "Enabled").alias("enabled"),
                      F.count_if(F.col("status") != "Enabled").alias("disabled"))
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

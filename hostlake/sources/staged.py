@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fs as FS
 from ..functions.scalars import allow_duplicate_json_keys, json_map
 
 META_SCHEMA = T.StructType([
@@ -60,22 +61,23 @@ def read_staged(spark: SparkSession, pending_dir: str, files: list[str] | None =
 
 
 def list_pending(spark: SparkSession, pending_dir: str, max_files: int | None = None,
-                 done: DataFrame | None = None, with_deferred: bool = False):
-    """Pending ``*.json`` files in name order (oldest first), minus ``done`` ones,
-    at most ``max_files`` (the rest is deferred to the next run). With
-    ``with_deferred`` returns ``(files, number_deferred)``."""
-    try:
-        files = sorted(spark.read.option("pathGlobFilter", "*.json").text(pending_dir).inputFiles())
-    except Exception:  # noqa: BLE001 - empty / missing folder
-        return []
-    if done is not None and files:
+                 finished: DataFrame | None = None) -> tuple[list[str], int]:
+    """(pending ``*.json`` files in name order, number of files left for a later run).
+
+    Files named in ``finished`` (file_path) are left out; of the others at most ``max_files`` are taken. A folder that
+    is not there has no files; other errors are raised."""
+    if not FS.exists(spark, pending_dir):
+        return [], 0
+    files = sorted(path for path, name, is_dir, _ in FS.list_dir(spark, pending_dir)
+                   if not is_dir and name.endswith(".json") and name[0] not in "._")
+    if finished is not None and files:
         # only the listed files are matched against the (ever-growing) ledger
         listed = spark.createDataFrame([(f, _norm_path(f)) for f in files], "f string, n string")
-        done_n = done.select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("n"))
-        finished = {r.f for r in listed.join(done_n, "n", "left_semi").collect()}
-        files = [f for f in files if f not in finished]
+        done_n = finished.select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("n"))
+        gone = {r.f for r in listed.join(done_n, "n", "left_semi").collect()}
+        files = [f for f in files if f not in gone]
     take = files if max_files is None else files[:max_files]
-    return (take, len(files) - len(take)) if with_deferred else take
+    return take, len(files) - len(take)
 
 
 def _norm_path(p: str) -> str:
@@ -105,29 +107,31 @@ def parse_envelope(docs: DataFrame) -> DataFrame:
              .when((method == "upsert") & (F.coalesce(F.size(meta["conflict_target"]), F.lit(0)) <= 0),
                    F.lit("upsert requires meta.conflict_target"))
              .when(~data_is_list, F.lit("data must be a list")))
-    out = d.select(
-        *docs.columns, meta.alias("meta"), method.alias("method"), records.alias("records"),
-        F.when(F.size(records) > 0, F.array_distinct(F.json_object_keys(F.element_at(records, 1)))).alias("columns"),
-        error.alias("error"))
+    columns = F.when(F.size(records) > 0, F.array_distinct(F.json_object_keys(F.element_at(records, 1))))
+    absent = F.array_except(F.coalesce(meta["conflict_target"], F.array().cast("array<string>")), columns)
+    error = (F.when(error.isNotNull(), error)
+             .when(F.size(records) > 0, F.when(columns.isNull(), F.lit("records must be objects"))
+                   .when(F.size(absent) > 0, F.concat(F.lit("conflict_target column not in data: "), F.element_at(absent, 1)))))
+    out = d.select(*docs.columns, meta.alias("meta"), method.alias("method"), records.alias("records"),
+                   columns.alias("columns"), error.alias("error"))
     status = (F.when(F.col("error").isNotNull(), F.lit("error"))
               .when(F.coalesce(F.size("records"), F.lit(0)) == 0, F.lit("skipped"))
               .otherwise(F.lit("ok")))
     return out.withColumn("status", status)
 
 
-def column_type(col: str, json_cols: list[str], col_types: dict[str, str]) -> str:
-    """Spark type of a staged column: explicit type, JSON column, ``*_at`` timestamp, else text."""
-    if col in col_types:
-        return SQL_TYPES.get(col_types[col].upper(), "string")
-    if col in json_cols:
-        return "string"
-    if col.endswith("_at"):
-        return "timestamp"
-    return "string"
+def column_types(columns: list[str], json_cols: list[str], declared: dict[str, str]) -> dict[str, str]:
+    """Spark type of each staged column. Later rules win: text, then names that end in ``_at`` are timestamps, JSON
+    columns are text, declared SQL types (unknown names: text)."""
+    types = dict.fromkeys(columns, "string")
+    types.update({c: "timestamp" for c in columns if c.endswith("_at")})
+    types.update({c: "string" for c in columns if c in json_cols})
+    types.update({c: SQL_TYPES.get(t.upper(), "string") for c, t in declared.items() if c in types})
+    return types
 
 
 def typed_value(text: Column, spark_type: str) -> Column:
-    """Cast record text to a column type; bad values become NULL (no job failure)."""
+    """Record text as a column type; NULL where it is none (``records_frame`` then names the column)."""
     if spark_type == "string":
         return text
     if spark_type in ("bigint", "int", "smallint"):
@@ -136,27 +140,33 @@ def typed_value(text: Column, spark_type: str) -> Column:
     return text.try_cast(spark_type)
 
 
-def records_frame(docs: DataFrame, columns: list[str], types: dict[str, str],
-                  json_columns: list[str] = ()) -> DataFrame:
-    """Explode ok documents into typed rows over ``columns``.
+def records_frame(docs: DataFrame, types: dict[str, str], json_columns: list[str] = (), key: list[str] = ()) -> DataFrame:
+    """Explode documents into typed rows over the columns of ``types``.
 
-    Extra keys of later records are dropped, missing keys become NULL.
-    JSON columns hold the value as JSON text whatever its type (a string keeps
-    its quotes; JSON ``null`` is SQL NULL). ``_file``, ``_doc`` and ``_pos``
-    keep the load order (file name, document, position in data) for first /
-    last-wins de-duplication.
+    A document's columns are those of its first record (``columns``); extra keys of later records are dropped, missing
+    keys and columns of other documents are NULL. A column that is JSON in the row's document (``meta.json_columns``;
+    ``json_columns`` names all that are in some document) holds the value as JSON text whatever its type (a string
+    keeps its quotes; JSON ``null`` is SQL NULL). ``_file``, ``_doc`` and ``_pos`` keep the load order, ``_columns`` the
+    document's columns. ``_bad`` says what is wrong with a row: a value that is not of its column's type, or a NULL in
+    a column of ``key``.
     """
-    rec = docs.select(F.col("file_path").alias("_file"), F.col("doc_pos").alias("_doc"),
+    rec = docs.select(F.col("file_path").alias("_file"), F.col("doc_pos").alias("_doc"), F.col("columns").alias("_columns"),
+                      F.coalesce(F.col("meta.json_columns"), F.array().cast("array<string>")).alias("_json"),
                       F.posexplode("records").alias("_pos", "_rec"))
-    m = json_map(F.col("_rec"))
-    jcols = [c for c in columns if c in set(json_columns)]
-    extra = [F.try_parse_json(F.col("_rec")).alias("_v")] if jcols else []
-    r = rec.select("_file", "_doc", "_pos", m.alias("_m"), *extra)
-
-    def value(c):
-        if c in jcols:
-            path = "$['" + c.replace("'", "\\'") + "']"
-            jv = F.try_variant_get(F.col("_v"), path, "variant")
-            return F.when(~F.is_variant_null(jv), F.to_json(jv))
-        return typed_value(F.element_at(F.col("_m"), c), types[c])
-    return r.select("_file", "_doc", "_pos", *[value(c).alias(c) for c in columns])
+    extra = [F.try_parse_json(F.col("_rec")).alias("_v")] if json_columns else []
+    r = rec.select("_file", "_doc", "_pos", "_columns", "_json", json_map(F.col("_rec")).alias("_m"), *extra)
+    texts, bad = {}, []
+    for c, t in types.items():
+        text = F.when(F.array_contains("_columns", c), F.element_at(F.col("_m"), c))
+        value = typed_value(text, t)
+        if c in json_columns:
+            jv = F.try_variant_get(F.col("_v"), "$['" + c.replace("'", "\\'") + "']", "variant")
+            is_json = F.array_contains("_json", c) & F.array_contains("_columns", c)
+            value = F.when(is_json, typed_value(F.when(~F.is_variant_null(jv), F.to_json(jv)), t)).otherwise(value)
+        if t != "string":
+            bad.append(F.when(text.isNotNull() & value.isNull(), F.lit(f"invalid value for column {c} ({t})")))
+        if c in key:
+            bad.append(F.when(text.isNull(), F.lit(f"null value in key column {c}")))
+        texts[c] = value
+    return r.select("_file", "_doc", "_pos", "_columns", (F.coalesce(*bad) if bad else F.lit(None).cast("string")).alias("_bad"),
+                    *[v.alias(c) for c, v in texts.items()])

@@ -21,9 +21,12 @@ oldest first) and stops, which is how tests and catch-up runs use it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fs as FS
 from ..functions import agent_mapping as AM
 from ..operators import normalize as N
 from ..operators import sinks as SK
@@ -33,6 +36,14 @@ def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """An id that is kept in the checkpoint folder."""
+    path = f"{checkpoint}/load_id"
+    if FS.read_text(spark, path) is None:
+        FS.write_text(spark, path, uuid.uuid4().hex)
+    return FS.read_text(spark, path)
+
+
 def staged_stream(spark: SparkSession, pending_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
     """Streaming staged documents ``(file_path, doc_pos, doc)``, oldest files first."""
     raw = (spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", "*.json")
@@ -49,11 +60,13 @@ def stream_load_pending(spark: SparkSession, pending_dir: str, lake: str, checkp
                         max_files_per_trigger: int = 100, available_now: bool = True,
                         interval: str = "5 minutes", partition_tables: dict[str, str] | None = None,
                         latest_tables=()):
-    """Continuous staged-file loader; returns the StreamingQuery. The batch id
-    passed on is the stream's own (stable across restarts from the checkpoint),
-    so a replayed batch writes the same snapshot names."""
+    """Continuous staged-file loader; returns the StreamingQuery. The batch id passed on is made of the checkpoint's
+    own id and the stream's batch number (both stable across restarts from the checkpoint, and a new checkpoint never
+    repeats an old one's), so a replayed batch replaces what it wrote before."""
+    own = _checkpoint_id(spark, checkpoint)
+
     def load(batch: DataFrame, batch_id: int) -> None:
-        SK.load_docs(batch.sparkSession, batch, lake, f"stream-{batch_id}", partition_tables,
+        SK.load_docs(batch.sparkSession, batch, lake, f"stream-{own}-{batch_id}", partition_tables,
                      latest_tables=latest_tables)
 
     w = staged_stream(spark, pending_dir, max_files_per_trigger).writeStream.foreachBatch(load) \

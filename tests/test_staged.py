@@ -2,6 +2,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from hostlake.operators import sinks as SK
@@ -159,3 +160,141 @@ def test_time_budget_defers_remaining_files(spark, scratch):
     led = SK.load_pending_budgeted(spark, p, lake, time_budget_s=3600, files_per_batch=2)
     assert SK.load_summary(led).first().processed == 3
     assert rows(spark, lake, "b", "a") == [(str(i),) for i in range(5)]
+
+
+def ledger(led):
+    return {(os.path.basename(r.file_path), r.doc_pos): (r.status, r.error, r.rows, r.inserted) for r in led.collect()}
+
+
+def put_lines(folder, name, docs):
+    return put(folder, name, None, raw="\n".join(json.dumps(d) for d in docs))
+
+
+UP = {"table": "u", "method": "upsert", "conflict_target": ["k"], "add_updated_at": False}
+
+
+def test_documents_with_other_columns_are_all_applied(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    put(p, "1.json", {"meta": UP, "data": [{"k": "1", "a": "a1", "b": "b1"}, {"k": "2", "a": "a2", "b": "b2"}]})
+    put(p, "2.json", {"meta": UP, "data": [{"k": "1", "a": "a1x"}]})
+    put(p, "3.json", {"meta": UP, "data": [{"b": "b3", "k": "3"}, {"k": "2", "a": "dropped"}]})
+    led = ledger(SK.load_pending(spark, p, lake))
+    assert {v[:2] for v in led.values()} == {("ok", None)}
+    # each document writes its own columns; a key missing in a later record is NULL
+    assert sorted(map(tuple, SK.read_table(spark, lake, "u").select("k", "a", "b").collect())) == [
+        ("1", "a1x", "b1"), ("2", "a2", None), ("3", None, "b3")]
+
+
+def test_groups_with_other_json_columns_are_loaded_once(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    plain = {"table": "t", "method": "copy", "add_updated_at": False}
+    put(p, "1.json", {"meta": plain, "data": [{"a": "x"}]})
+    put(p, "2.json", {"meta": {**plain, "json_columns": ["a"]}, "data": [{"a": "x"}]})
+    put(p, "3.json", {"meta": {**plain, "add_updated_at": True}, "data": [{"a": "y"}]})
+    SK.load_pending(spark, p, lake)
+    assert rows(spark, lake, "t", "a") == [('"x"',), ("x",), ("y",)]
+
+
+def test_one_bad_document_does_not_stop_or_double_others(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    put(p, "a.json", {"meta": {"table": "app", "method": "copy", "add_updated_at": False}, "data": [{"v": "1"}]})
+    put(p, "b.json", {"meta": {**UP, "conflict_target": ["nope"]}, "data": [{"k": "1"}]})
+    put(p, "c.json", {"meta": {"table": "app", "method": "copy"}, "data": [{"other": "1"}]})
+    put(p, "d.json", {"meta": {"table": "app", "method": "copy"}, "data": ["text"]})
+    led = ledger(SK.load_pending(spark, p, lake))
+    assert led[("a.json", 0)] == ("ok", None, 1, 1)
+    assert led[("b.json", 0)][:2] == ("error", "conflict_target column not in data: nope")
+    assert led[("c.json", 0)][:2] == ("error", "column other does not exist")
+    assert led[("d.json", 0)][:2] == ("error", "records must be objects")
+    again = ledger(SK.load_pending(spark, p, lake))
+    assert sorted(k[0] for k in again) == ["b.json", "c.json", "d.json"]
+    assert rows(spark, lake, "app", "v") == [("1",)]
+
+
+def test_bad_values_and_null_keys_are_errors(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    meta = {**HIST_META, "column_types": {**HIST_META["column_types"], "at": "TIMESTAMPTZ"}}
+    row = {"itemid": "1", "clock": "10", "ns": "0", "at": "2024-01-01T00:00:00Z", "value": "x"}
+    put(p, "a.json", {"meta": meta, "data": [row, {**row, "clock": "12x"}]})
+    put(p, "b.json", {"meta": meta, "data": [{**row, "clock": "11"}, {**row, "clock": "13", "at": None}]})
+    put(p, "c.json", {"meta": meta, "data": [{**row, "at": "soon"}]})
+    put(p, "d.json", {"meta": meta, "data": [row, {**row, "ns": None}]})
+    led = ledger(SK.load_pending(spark, p, lake))
+    assert led[("a.json", 0)][:2] == ("error", "invalid value for column clock (bigint)")
+    assert led[("b.json", 0)] == ("ok", None, 2, 2)
+    assert led[("c.json", 0)][:2] == ("error", "invalid value for column at (timestamp)")
+    assert led[("d.json", 0)][:2] == ("error", "null value in key column ns")
+    assert rows(spark, lake, "h", "clock") == [(11,), (13,)]
+
+
+def test_failed_documents_of_a_mixed_file_are_tried_again(spark, scratch):
+    p, lake, done = scratch("p"), scratch("lake"), scratch("done")
+    good, bad = {"meta": UP, "data": [{"k": "1", "a": "x"}]}, {"meta": {"method": "copy"}, "data": [{"a": "1"}]}
+    put_lines(p, "m.json", [good, bad])
+    assert sorted(v[0] for v in ledger(SK.load_pending(spark, p, lake, done_dir=done)).values()) == ["error", "ok"]
+    assert os.listdir(p.replace("file:", "")) == ["m.json"]
+    again = ledger(SK.load_pending(spark, p, lake, done_dir=done))
+    assert list(again) == [("m.json", 1)]
+    put_lines(p, "m.json", [good, {"meta": UP, "data": [{"k": "2", "a": "mended"}]}])
+    assert ledger(SK.load_pending(spark, p, lake, done_dir=done))[("m.json", 1)][0] == "ok"
+    assert rows(spark, lake, "u", "k", "a") == [("1", "x"), ("2", "mended")]
+    assert os.listdir(p.replace("file:", "")) == [] and os.listdir(done.replace("file:", "")) == ["m.json"]
+
+
+def test_crashed_run_is_repeated_under_its_id(spark, scratch, monkeypatch):
+    p, lake = scratch("p"), scratch("lake")
+    put(p, "a.json", {"meta": {"table": "app", "method": "copy", "add_updated_at": False}, "data": [{"v": "1"}]})
+    put(p, "b.json", {"meta": UP, "data": [{"k": "1", "a": "x"}]})
+    put(p, "c.json", {"meta": HIST_META, "data": [{"itemid": "1", "clock": "10", "ns": "0", "value": "x"}]})
+
+    def crash(*a, **k):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m:
+        m.setattr(SK, "write_if_absent", crash)  # the third document's write, after the others
+        with pytest.raises(KeyboardInterrupt):
+            SK.load_pending(spark, p, lake)
+    assert rows(spark, lake, "app", "v") == [("1",)] and SK.read_ledger(spark, lake).count() == 0
+    put(p, "d.json", {"meta": UP, "data": [{"k": "1", "a": "later"}]})
+    led = SK.load_pending(spark, p, lake)
+    assert led.select("batch_id").distinct().count() == 2
+    assert rows(spark, lake, "app", "v") == [("1",)] and rows(spark, lake, "h", "itemid") == [(1,)]
+    assert rows(spark, lake, "u", "k", "a") == [("1", "later")]
+    assert SK.load_pending(spark, p, lake).count() == 0
+    assert SK._started(spark, lake) == []
+
+
+def test_missing_folder_and_lost_data(spark, scratch):
+    lake = scratch("lake")
+    assert SK.load_pending(spark, lake + "/none", lake).count() == 0
+    assert SK.load_pending_budgeted(spark, lake + "/none", lake, 1).count() == 0
+    df = spark.createDataFrame([("f", 0, 0, "1", "x")], "_file string, _doc int, _pos int, k string, a string")
+    SK.ensure_table(spark, lake, "u", ["k", "a"], {}, key=["k"], add_updated_at=False)
+    for i in range(6):
+        SK.write_upsert(spark, df.withColumn("a", F.lit(str(i))), lake, "u", ["k"], batch_id=str(i))
+        SK.write_upsert(spark, df.withColumn("a", F.lit("again")), lake, "u", ["k"], batch_id=str(i))
+    assert rows(spark, lake, "u", "k", "a") == [("1", "5")]
+    kept = [d for d in os.listdir(f"{lake}/u".replace("file:", "")) if d.startswith("snap-")]
+    assert sorted(kept) == ["snap-3", "snap-4", "snap-5"]
+
+
+def test_ordered_documents_keep_the_last_row(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    df = spark.range(3000).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").cast("string").alias("a"), "id")
+    SK.write_staged(df.repartition(9), p, "u", "upsert", key=["k"], add_updated_at=False, order_cols=["id"], max_records=100)
+    SK.load_pending(spark, p, lake)
+    want = sorted((str(k), str(max(i for i in range(3000) if i % 7 == k))) for k in range(7))
+    assert rows(spark, lake, "u", "k", "a") == want
+    q, lake2 = scratch("p"), scratch("lake")
+    SK.write_staged(df.withColumn("g", F.col("id") % 2).repartition(9), q, "u", "upsert", key=["k", "id"],
+                    add_updated_at=False, group_cols=["g"], order_cols=["id"], max_records=400)
+    led = SK.load_pending(spark, q, lake2)
+    assert led.count() == 8 and SK.read_table(spark, lake2, "u").count() == 3000
+
+
+def test_copies_that_are_there_are_counted(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    row = {"itemid": "1", "clock": "10", "ns": "0", "value": "x"}
+    put(p, "1.json", {"meta": HIST_META, "data": [row, row, {**row, "ns": "1"}]})
+    assert ledger(SK.load_pending(spark, p, lake))[("1.json", 0)] == ("ok", None, 3, 2)
+    put(p, "2.json", {"meta": HIST_META, "data": [row]})
+    assert ledger(SK.load_pending(spark, p, lake))[("2.json", 0)] == ("ok", None, 1, 0)
