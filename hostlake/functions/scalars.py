@@ -94,6 +94,15 @@ def iso_utc(ts: str | Column) -> Column:
     return F.date_format(c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def utc_time(text: str | Column) -> Column:
+    """A time text as UTC timestamp without zone, whatever the session's zone: an offset or 'Z' in the text is heeded, a
+    text without one is UTC; NULL for other texts."""
+    t = F.trim(c(text))
+    zoned = F.when(t.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$") & t.contains(":"), t).otherwise(F.concat(t, F.lit("Z")))
+    micros = F.unix_micros(zoned.try_cast("timestamp"))
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def iso_utc_seconds(ts: str | Column) -> Column:
     """ISO-8601 UTC text at second precision, 'Z' suffix."""
     return F.date_format(c(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import agent_mapping as AM
-from ..functions.scalars import allow_duplicate_json_keys, iso_utc, json_map
+from ..functions.scalars import allow_duplicate_json_keys, iso_utc, json_map, utc_time
 
 REC_SCHEMA = "map<string,string>"
 
@@ -69,14 +69,23 @@ def _identity_raw_keys(mapping: dict[str, Any]) -> list[str]:
     return [raw for raw, norm in mapping.get("common_fields_map", {}).items() if norm in AM.IDENTITY_FIELDS]
 
 
-def explode_records(payloads: DataFrame, body: str = "body", mapping: dict[str, Any] | None = None) -> DataFrame:
+# JSON texts of values that count as missing when they are no strings: 0, 0.0, -0, 0e5, false, [], {}.
+_EMPTY_VALUE = r"^(-?0+(\.0*)?([eE][+-]?\d+)?|false|\[\s*\]|\{\s*\})$"
+
+
+def explode_records(payloads: DataFrame, body: str = "body", mapping: dict[str, Any] | None = None,
+                    keep_empty: bool = False) -> DataFrame:
     """One row per candidate record (``record`` = the record's JSON object text).
 
     Accepted shapes: array of records; object holding the list or a single
     object under the first of ``records, data, items, payload,
     metrics_records`` that is a list or object; otherwise the object itself.
     Non-object list items are dropped. ``record_pos`` is the position in the
-    list. Unparseable bodies give one row with ``parse_error = true``.
+    list. Unparseable bodies give one row with ``parse_error = true``. Payloads
+    without any record object give none, or with ``keep_empty`` one row whose
+    ``record`` is NULL (request accounting counts them). ``weak_identity``: every
+    identity field is missing, null, an empty text, zero, false or an empty list
+    or object.
     """
     allow_duplicate_json_keys(payloads.sparkSession)
     b = F.col(body)
@@ -111,7 +120,11 @@ def explode_records(payloads: DataFrame, body: str = "body", mapping: dict[str,
     def weak_elem(e):
         cond = None
         for k in id_keys:
-            t = F.coalesce(F.element_at(e["m"], k), F.lit("")) == ""
+            text = F.element_at(e["m"], k)
+            # the record is only looked at again where the text could be that of an empty value
+            other = F.when(F.coalesce(text.rlike(_EMPTY_VALUE), F.lit(False)),
+                           _jtype(_vget(F.try_parse_json(e["txt"]), k)) != "STRING")
+            t = (F.coalesce(text, F.lit("")) == "") | F.coalesce(other, F.lit(False))
             cond = t if cond is None else (cond & t)
         return cond if cond is not None else F.lit(True)
 
@@ -121,15 +134,25 @@ def explode_records(payloads: DataFrame, body: str = "body", mapping: dict[str,
     parsed = payloads.select(*keep, v.isNull().alias("parse_error"), F.transform(cand, lambda e: F.struct(
         e["txt"].alias("txt"), e["typ"].alias("typ"),
         F.when(e["typ"] == "OBJECT", json_map(e["txt"])).alias("m"))).alias("_c"))
+    parsed = parsed.withColumn("_c", F.transform("_c", lambda e: F.struct(
+        e["txt"].alias("txt"), e["typ"].alias("typ"), e["m"].alias("m"),
+        F.when(e["typ"] == "OBJECT", weak_elem(e)).alias("weak"))))
     objs = F.filter(F.col("_c"), lambda e: e["typ"] == "OBJECT")
     x = parsed.select(*keep, "parse_error",
                       F.size(objs).alias("req_records"),
-                      F.size(F.filter(objs, weak_elem)).alias("req_weak_records"),
+                      F.size(F.filter(objs, lambda e: e["weak"])).alias("req_weak_records"),
                       F.posexplode_outer("_c").alias("record_pos", "_e"))
-    return x.where(F.col("parse_error") | (F.col("_e.typ") == "OBJECT")).select(
-        *keep, "parse_error", "record_pos", "req_records", "req_weak_records",
-        F.when(~F.col("parse_error"), F.col("_e.txt")).alias("record"),
-        F.when(~F.col("parse_error"), F.col("_e.m")).alias("record_map"))
+    is_record = F.coalesce(F.col("_e.typ") == "OBJECT", F.lit(False))
+    only = (F.col("req_records") == 0) & (F.coalesce("record_pos", F.lit(0)) == 0) & F.lit(keep_empty)
+    x = x.where(F.col("parse_error") | is_record | only)
+    # one condition on a column of its own, so that the record is not parsed again for each use
+    x = x.withColumn("_is", ~F.col("parse_error") & is_record)
+    return x.select(
+        *keep, "parse_error", F.when(F.col("parse_error") | F.col("_is"), F.col("record_pos")).alias("record_pos"),
+        "req_records", "req_weak_records",
+        F.when(F.col("_is"), F.col("_e.txt")).alias("record"),
+        F.when(F.col("_is"), F.col("_e.m")).alias("record_map"),
+        F.when(F.col("_is"), F.col("_e.weak")).alias("weak_identity"))
 
 
 # --------------------------------------------------------------------------- N2..N7
@@ -180,18 +203,19 @@ def _voted_class(pairs: Column, prefix_map: dict[str, str]) -> Column:
     return F.aggregate(cands, init, step, lambda acc: acc["cls"])
 
 
-def normalize(payloads: DataFrame, mapping: dict[str, Any] | None = None, body: str = "body") -> DataFrame:
-    """Payload rows -> one normalised row per record.
+def normalize(payloads: DataFrame, mapping: dict[str, Any] | None = None, body: str = "body",
+              keep_empty: bool = False) -> DataFrame:
+    """Payload rows -> one normalised row per record (``keep_empty``: see ``explode_records``).
 
-    Output columns: request_id, received_at (ISO text, UTC, 'Z'), the other
-    payload columns, record_pos, parse_error, source, datasource, class_name,
+    Output columns: request_id, received_at (ISO text, UTC, 'Z'; texts that are
+    no time stay as they are), the other payload columns, record_pos, weak_identity, parse_error, source, datasource, class_name,
     target_table, one column per common field (text), ``metrics`` (mapped
     name -> text) and ``extra_metrics`` (raw name -> text, unmapped pairs).
     """
     m = AM.load_mapping() if mapping is None else mapping
     prefix_map = m.get("class_prefix_map", {})
     prefixes = tuple(prefix_map.keys()) or AM.DEFAULT_PREFIXES
-    recs = explode_records(payloads, body, m)
+    recs = explode_records(payloads, body, m, keep_empty)
     rec_v = F.try_parse_json(F.col("record"))
     r = recs.withColumnRenamed("record_map", "_m").select("*", rec_v.alias("_v"))
     pairs = _metric_pairs(F.col("_m"), F.col("_v"), prefixes)
@@ -218,8 +242,9 @@ def normalize(payloads: DataFrame, mapping: dict[str, Any] | None = None, body:
     received = F.col("received_at")
     return r.select(
         *keep,
-        (iso_utc(received) if dict(payloads.dtypes).get("received_at", "string") != "string" else received).alias("received_at"),
-        "record_pos", "parse_error", "req_records", "req_weak_records",
+        (iso_utc(received) if dict(payloads.dtypes).get("received_at", "string") != "string"
+         else F.coalesce(iso_utc(utc_time(received)), received)).alias("received_at"),
+        "record_pos", "parse_error", "req_records", "req_weak_records", "weak_identity",
         F.lit(AM.SOURCE_NAME).alias("source"),
         ds.alias("datasource"),
         "class_name",
@@ -237,7 +262,7 @@ def to_table_rows(norm: DataFrame, table: str, mapping: dict[str, Any] | None =
 
     Missing values are NULL, an empty ``extra_metrics`` stays an empty map;
     numeric metric columns are ``try_cast`` to double, ``timestamp_utc_s`` to
-    bigint, ``received_at`` parsed back to a timestamp.
+    bigint, ``received_at`` to a UTC timestamp (NULL where it is no time).
     """
     m = AM.load_mapping() if mapping is None else mapping
     schema = AM.table_schemas(m).get(table)
@@ -252,7 +277,7 @@ def to_table_rows(norm: DataFrame, table: str, mapping: dict[str, Any] | None =
         elif c in common:
             e = F.col(c)
         elif c == "received_at":
-            e = F.to_timestamp_ntz(F.col(c), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+            e = utc_time(F.col(c))
         elif c in AM.META_COLUMNS:
             e = F.col(c)
         elif c == "extra_metrics":
@@ -325,7 +350,8 @@ def route(norm: DataFrame, strict: bool, identity: Column | None = None) -> tupl
         n = norm.withColumn("_req_weak", (F.col("req_weak_records") > 0).cast("int")) \
             .withColumn("_req_weak_n", F.col("req_weak_records")).withColumn("_req_n", F.col("req_records"))
     else:
-        weak = (~identity) if identity is not None else is_weak()
+        weak = (~identity) if identity is not None else (
+            F.col("weak_identity") if "weak_identity" in norm.columns else is_weak())
         w = Window.partitionBy("request_id")
         n = norm.withColumn("_weak", F.coalesce(weak, F.lit(True)) & ~F.col("parse_error")) \
             .withColumn("_req_weak", F.max(F.col("_weak").cast("int")).over(w)) \
@@ -345,10 +371,13 @@ def route(norm: DataFrame, strict: bool, identity: Column | None = None) -> tupl
 
 
 def request_summary(norm: DataFrame, strict: bool) -> DataFrame:
-    """Per request: record_count, weak_record_count, accepted, quarantined."""
-    weak = is_weak() & ~F.col("parse_error")
+    """Per request: record_count, weak_record_count, accepted, quarantined.
+
+    Normalise with ``keep_empty``, else requests without records are missing."""
+    is_record = ~F.col("parse_error") & F.col("record_pos").isNotNull()
+    weak = (F.col("weak_identity") if "weak_identity" in norm.columns else is_weak()) & is_record
     g = norm.groupBy("request_id").agg(
-        F.count_if(~F.col("parse_error")).alias("record_count"),
+        F.count_if(is_record).alias("record_count"),
         F.count_if(weak).alias("weak_record_count"),
         F.max(F.col("parse_error").cast("int")).alias("_err"))
     has_weak = F.col("weak_record_count") > 0

@@ -226,15 +226,15 @@ def write_insert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
 
 
 def write_upsert(spark: SparkSession, df: DataFrame, lake: str, table: str, key: Sequence[str],
-                 batch_id: str | None = None) -> None:
-    """Upsert into a new snapshot. A batch id that is already committed is not applied again.
+                 batch_id: str | None = None) -> bool:
+    """Upsert into a new snapshot; a batch id that is already committed is not applied again (False).
 
     Rows with ``_columns`` (the columns their document has) write those columns only; per key and column the last such
     row in load order wins, as if the documents were applied one after another."""
     meta = table_meta(spark, lake, table)
     snapshot = f"snap-{batch_id or uuid.uuid4().hex}"
     if snapshot in [name for _, name in versions(spark, lake, table)]:
-        return
+        return False
     written = [c for c in df.columns if c in meta["columns"]]
     order = F.struct(*[F.col(c) for c in ORDER_COLS if c in df.columns])
     has = (lambda c: F.array_contains("_columns", c)) if "_columns" in df.columns else (lambda c: F.lit(True))
@@ -267,6 +267,7 @@ def write_upsert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
         w = w.partitionBy(meta["partition_by"])
     w.parquet(f"{lake}/{table}/{snapshot}")
     commit_version(spark, lake, table, snapshot)
+    return True
 
 
 # --------------------------------------------------------------------------- loader

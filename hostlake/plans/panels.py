@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.history import within
+
 from ..functions.scalars import NUMERIC_VALUE_TYPES, clock_to_ntz, round_half_up
 
 
@@ -44,8 +46,7 @@ def host_info(inv: DataFrame, hostid: str | None = None) -> DataFrame:
 def panel_timeseries(readable: DataFrame, t_from: int, t_to: int, hostid: int | None = None,
                      itemids: Sequence[int] | None = None) -> DataFrame:
     """Numeric samples of the selected series in [t_from, t_to]."""
-    r = readable.where((F.col("clock") >= F.lit(t_from)) & (F.col("clock") <= F.lit(t_to))
-                       & F.col("value_num").isNotNull())
+    r = within(readable, t_from, t_to).where(F.col("value_num").isNotNull())
     if hostid is not None:
         r = r.where(F.col("hostid") == F.lit(hostid))
     if itemids is not None:

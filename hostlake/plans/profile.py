@@ -14,6 +14,7 @@ from ..functions import classify as K
 from ..functions.scalars import NUMERIC_VALUE_TYPES, clock_to_ntz, pct, safe_numeric_typed
 from ..operators.asof import item_row_counts, latest_by
 from ..session import Dimension, bounded_broadcast
+from ..sources.history import PARTITION_COL, within
 from .reports import group_hosts
 
 DAY = 86_400
@@ -28,14 +29,17 @@ def readable_history(hist: DataFrame, items: DataFrame, inv: DataFrame) -> DataF
     """History with host / item names and a guarded numeric value (left joins).
 
     Ids are TEXT on the item / host side; the cast is applied to the small
-    side so the history keys stay bare.
+    side so the history keys stay bare. Items and hosts are broadcast when their
+    size is proven small, whatever the session's automatic limit. The day column
+    of a partitioned history stays, so that filters above the view reach it.
     """
     it = items.select(F.col("itemid").try_cast("bigint").alias("_iid"), F.col("name").alias("item_name"),
                       F.col("key_").alias("item_key"), "units", "value_type_name")
     hs = inv.select(F.col("hostid").try_cast("bigint").alias("_hid"), F.col("name").alias("host_name"))
-    j = (hist.join(it, hist["itemid"] == it["_iid"], "left")
-         .join(hs, hist["hostid"] == hs["_hid"], "left"))
+    j = (hist.join(bounded_broadcast(it), hist["itemid"] == it["_iid"], "left")
+         .join(bounded_broadcast(hs), hist["hostid"] == hs["_hid"], "left"))
     return j.select(
+        *[c for c in hist.columns if c == PARTITION_COL],
         clock_to_ntz("clock").alias("ts"), "clock", "itemid", "hostid", "host_name", "item_name",
         "item_key", "units", "value_type", "value_type_name",
         F.col("value").alias("value_text"),
@@ -46,7 +50,7 @@ def readable_history(hist: DataFrame, items: DataFrame, inv: DataFrame) -> DataF
 def host_item_catalog(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                       lookback_s: int = 7 * DAY) -> DataFrame:
     """Per host and item: samples and last sample time over the look-back."""
-    h = hist.where(F.col("clock") >= F.lit(as_of - lookback_s))
+    h = within(hist, as_of - lookback_s)
     # aggregate the big side first (partial aggregation), then attach names
     g = h.groupBy("hostid", "itemid", "value_type").agg(
         F.count(F.lit(1)).alias("sample_count"), F.max("clock").alias("_last"))
@@ -75,7 +79,7 @@ def value_type_distribution(hist: DataFrame, items: DataFrame) -> DataFrame:
 def host_density(hist: DataFrame, inv: DataFrame, as_of: int, lookback_s: int = DAY,
                  top: int = 50) -> DataFrame:
     """Distinct items, samples and last sample per host over the look-back; top ``top``."""
-    h = hist.where(F.col("clock") >= F.lit(as_of - lookback_s))
+    h = within(hist, as_of - lookback_s)
     per_item = h.groupBy("hostid", "itemid").agg(F.count(F.lit(1)).alias("n"), F.max("clock").alias("m"))
     g = per_item.groupBy("hostid").agg(F.count(F.lit(1)).alias("distinct_items"),
                                        F.sum("n").alias("samples_24h"), F.max("m").alias("_last"))
@@ -88,7 +92,7 @@ def host_density(hist: DataFrame, inv: DataFrame, as_of: int, lookback_s: int =
 
 
 def noisy_items(hist: DataFrame, items: DataFrame, as_of: int, lookback_s: int = DAY, top: int = 30) -> DataFrame:
-    h = hist.where(F.col("clock") >= F.lit(as_of - lookback_s))
+    h = within(hist, as_of - lookback_s)
     g = h.groupBy("itemid").agg(F.count(F.lit(1)).alias("n"))
     it = items.select(F.col("itemid").alias("_itxt"), F.col("name").alias("item_name"),
                       F.col("key_").alias("item_key"), "units")
@@ -102,7 +106,7 @@ def noisy_items(hist: DataFrame, items: DataFrame, as_of: int, lookback_s: int =
 def collection_volume(hist: DataFrame, as_of: int, lookback_s: int = 30 * DAY, width: int = 300,
                       hostid: int | None = None) -> DataFrame:
     """Samples per ``width``-second bucket (per host; one host when ``hostid`` is set)."""
-    h = hist.where(F.col("clock") >= F.lit(as_of - lookback_s))
+    h = within(hist, as_of - lookback_s)
     if hostid is not None:
         h = h.where(F.col("hostid") == F.lit(hostid))
     b = F.expr(f"clock div {int(width)}") * width
@@ -112,7 +116,7 @@ def collection_volume(hist: DataFrame, as_of: int, lookback_s: int = 30 * DAY, w
 
 def series_summary(hist: DataFrame, as_of: int, lookback_s: int = 30 * DAY) -> DataFrame:
     """Legend reductions per numeric series: last, max, mean of the guarded value."""
-    h = hist.where(F.col("clock") >= F.lit(as_of - lookback_s)) \
+    h = within(hist, as_of - lookback_s) \
         .select("hostid", "itemid", "clock", "ns", safe_numeric_typed("value", "value_type").alias("v")) \
         .where(F.col("v").isNotNull())
     return h.groupBy("hostid", "itemid").agg(
@@ -217,7 +221,7 @@ def disk_volume(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int, l
           .join(ah, "hostid")
           .select(F.col("itemid").try_cast("bigint").alias("itemid_num"),
                   F.when(K.any_like("key_", K.DISK_UTIL_PATTERNS), F.lit("util")).otherwise(F.lit("other")).alias("role_class")))
-    h = hist.where(F.col("clock") >= F.lit(as_of - lookback_s))
+    h = within(hist, as_of - lookback_s)
     per = item_row_counts(di, h, item_key="itemid_num", hist_key="itemid")
     return per.groupBy("role_class").agg(F.count(F.lit(1)).alias("item_count"), F.sum("n").alias("rows_1d"))
 

@@ -21,6 +21,7 @@ from ..functions import classify as K
 from ..functions.scalars import clock_to_ntz, safe_numeric
 from ..operators.asof import bucket_join, latest_by, nearest_join
 from ..session import Dimension, bounded_broadcast
+from ..sources.history import within
 
 DAY = 86_400
 
@@ -34,21 +35,9 @@ def group_hosts(inv: DataFrame, group: str, with_ip: bool = False) -> DataFrame:
                      & (F.col("status") == "Enabled")).select(*cols)
 
 
-PARTITION_COL = "event_date"
-
-
 def _window(hist: DataFrame, as_of: int, lookback_s: int | None) -> DataFrame:
-    """Rows with ``clock >= as_of - lookback_s``. On a day-partitioned table the
-    matching ``event_date`` bound is added as well: the partition column is
-    derived from ``clock``, so Spark cannot infer it, and without it every day
-    partition would be listed and opened."""
-    if lookback_s is None:
-        return hist
-    lo = int(as_of) - int(lookback_s)
-    h = hist.where(F.col("clock") >= F.lit(lo))
-    if PARTITION_COL in hist.columns:
-        h = h.where(F.col(PARTITION_COL) >= F.to_date(clock_to_ntz(F.lit(lo))))
-    return h
+    """Rows with ``clock >= as_of - lookback_s`` (None: all), pruned by day."""
+    return within(hist, None if lookback_s is None else int(as_of) - int(lookback_s))
 
 
 # --------------------------------------------------------------------------- CPU / memory

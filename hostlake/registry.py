@@ -27,9 +27,6 @@ def register(name: str):
     return deco
 
 
-_AS_OF: dict = {}
-
-
 class Lake:
     """Lake tables bound to one test-data directory."""
 
@@ -43,13 +40,9 @@ class Lake:
 
     @property
     def as_of(self) -> int:
-        """Report reference time: the newest history clock (one scalar job per
-        application and input folder; the test tables are read-only)."""
+        """Report reference time: the newest history clock (one scalar job per query)."""
         if self._as_of is None:
-            key = (self.spark.sparkContext.applicationId, self.sf_dir)
-            if key not in _AS_OF:
-                _AS_OF[key] = int(self.hist.agg(F.max("clock")).first()[0])
-            self._as_of = _AS_OF[key]
+            self._as_of = int(self.hist.agg(F.max("clock")).first()[0])
         return self._as_of
 
 
@@ -295,7 +288,7 @@ def q_route_lenient_quarantine(spark, sf_dir):
 
 @register("request_summary")
 def q_request_summary(spark, sf_dir):
-    return N.request_summary(agent_norm(spark, sf_dir), strict=True)
+    return N.request_summary(N.normalize(PL.payloads(spark, sf_dir), keep_empty=True), strict=True)
 
 
 def _node(spark, sf_dir):
@@ -720,7 +713,7 @@ def q_classify_disk_items(spark, sf_dir):
 @register("recent_history")
 def q_recent_history(spark, sf_dir):
     lk = Lake(spark, sf_dir)
-    return lk.hist.where(F.col("clock") >= F.lit(lk.as_of - DAY))
+    return HS.within(lk.hist, lk.as_of - DAY)
 
 
 @register("safe_numeric")
@@ -861,7 +854,7 @@ def q_detect_class(spark, sf_dir):
 
 @register("weak_identity")
 def q_weak_identity(spark, sf_dir):
-    return agent_norm(spark, sf_dir).select("request_id", "record_pos", N.is_weak().alias("weak"))
+    return agent_norm(spark, sf_dir).select("request_id", "record_pos", F.coalesce("weak_identity", F.lit(True)).alias("weak"))
 
 
 # --------------------------------------------------------------------------- maintained latest values

@@ -7,14 +7,16 @@ session-level settings the library relies on and a broadcast guard.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows above which a "dimension" side is not broadcast by ``bounded_broadcast``.
+# A "dimension" side is broadcast up to so many rows, and up to so many bytes of text and fixed-size values.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "hostlake") -> SparkSession:
@@ -43,11 +45,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is. Only when
-    it is unset (tests, local runs) a fresh folder under the system temp dir is
-    created and recorded in the session.
+    On a cluster this setting names shared storage and is used as is; without it
+    this is an error, since executors don't see each other's local folders. Only
+    in local mode a fresh folder under the system temp dir is created and
+    recorded in the session.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="hostlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
@@ -85,7 +90,7 @@ class Dimension:
         # persisted: computed once for the check and every later use; a lost block is
         # recomputed from its (stable) input tables
         self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        self.small = self.df.limit(max_rows + 1).count() <= max_rows
+        self.small = is_small(self.df, max_rows)
 
     def release(self) -> None:
         """Drop the cached copy once the plans using it have run (long-running callers:
@@ -98,12 +103,26 @@ class Dimension:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
+    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows (and ``DEFAULT_BROADCAST_BYTES``).
 
     The check counts at most ``max_rows + 1`` rows (a bounded job), so a side
     that turns out big is left to the shuffle join (and to AQE, which may still
     switch to a broadcast at run time from the real shuffle size).
     """
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes: rows count 16 bytes a column, and
+    texts, binaries, arrays, maps and structs (as JSON) their length besides. A job over at most ``max_rows + 1`` rows."""
     max_rows = DEFAULT_BROADCAST_ROWS if max_rows is None else max_rows
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    max_bytes = DEFAULT_BROADCAST_BYTES if max_bytes is None else max_bytes
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        col, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("string", "binary", "varchar", "char"):
+            size = size + F.coalesce(F.octet_length(col), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    n, b = df.select(size.alias("b")).limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return n <= max_rows and b <= max_bytes

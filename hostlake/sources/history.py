@@ -14,6 +14,22 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clock_to_ntz
 
 HISTORY_KEY = ("itemid", "clock", "ns")
+PARTITION_COL = "event_date"
+
+
+def within(hist: DataFrame, since: int | None = None, until: int | None = None) -> DataFrame:
+    """Rows with ``since <= clock <= until`` (None: no bound on that side).
+
+    On a day-partitioned table the same bounds are added on ``event_date``: that column is derived from ``clock``,
+    which Spark cannot know, and without them every day would be listed and opened."""
+    by_day = PARTITION_COL in hist.columns
+    for bound, side in ((since, "ge"), (until, "le")):
+        if bound is not None:
+            at = F.lit(int(bound))
+            hist = hist.where(getattr(F.col("clock"), f"__{side}__")(at))
+            if by_day:
+                hist = hist.where(getattr(F.col(PARTITION_COL), f"__{side}__")(F.to_date(clock_to_ntz(at))))
+    return hist
 
 
 def history_window(hist: DataFrame, start: int | None, end: int, overlap: int = 60,
@@ -22,10 +38,7 @@ def history_window(hist: DataFrame, start: int | None, end: int, overlap: int =
     window is the last ``default_span`` seconds before ``end`` (plus overlap).
     Carries ``window_from`` / ``window_till``."""
     lo = (start if start is not None else end - default_span) - overlap
-    h = hist
-    if "event_date" in hist.columns:  # day-partitioned table: prune by the derived day range
-        h = h.where(F.col("event_date").between(F.to_date(clock_to_ntz(F.lit(lo))), F.to_date(clock_to_ntz(F.lit(end)))))
-    return h.where((F.col("clock") >= F.lit(lo)) & (F.col("clock") <= F.lit(end))) \
+    return within(hist, lo, end) \
         .withColumn("window_from", F.lit(lo).cast("bigint")).withColumn("window_till", F.lit(end).cast("bigint"))
 
 
@@ -34,10 +47,13 @@ def history_windows(hist: DataFrame, t0: int, width: int, overlap: int = 60) ->
 
     Every row is emitted once per window containing it (rows in an overlap
     appear twice), tagged with ``window_id``, ``window_from``, ``window_till``.
-    Computed per row (no join): a row can only fall in windows w-1, w, w+1.
+    Computed per row (no join): a row in window w is at most ``ceil(overlap / width)`` windows late, and at the edge
+    also in the one before.
     """
+    if width <= 0 or overlap < 0:
+        raise ValueError("a window has a width, and an overlap of 0 or more")
     w = F.floor((F.col("clock") - F.lit(t0)) / F.lit(width)).cast("bigint")
-    cand = F.explode(F.array(w - 1, w, w + 1)).alias("window_id")
+    cand = F.explode(F.sequence(w - 1, w + F.lit(-(-overlap // width)))).alias("window_id")
     x = hist.select("*", cand)
     lo = F.lit(t0) + F.col("window_id") * width - overlap
     hi = F.lit(t0) + (F.col("window_id") + 1) * width
@@ -52,11 +68,3 @@ def dedup_history(hist: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
     ordc = F.struct(*[F.col(c) for c in (order or cols)])
     pick = F.min_by(F.struct(*[F.col(c) for c in cols]), ordc).alias("_p")
     return hist.groupBy(*HISTORY_KEY).agg(pick).select(*[F.col(f"_p.{c}").alias(c) for c in cols])
-
-
-def dedup_items(items: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
-    """One item row per itemid (first by ``order``)."""
-    cols = items.columns
-    ordc = F.struct(*[F.col(c) for c in (order or cols)])
-    return items.groupBy("itemid").agg(F.min_by(F.struct(*[F.col(c) for c in cols]), ordc).alias("_p")) \
-        .select(*[F.col(f"_p.{c}").alias(c) for c in cols])

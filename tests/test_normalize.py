@@ -133,3 +133,37 @@ def test_duplicate_keys_last_value_first_position(spark):
     body = '{"class_name": "DISK", "class_name": "GLOBAL", "metrics": {"GBL_MEM_UTIL": 1, "GBL_MEM_UTIL": 2}}'
     r = one(spark, body)
     assert r.class_name == "GLOBAL" and r.metrics == {"mem_util_pct": "2"}
+
+
+def _payloads(spark, bodies, received="2024-01-02T03:04:05Z"):
+    rows = [(f"r{i}", received, f"raw/{i}", b if isinstance(b, str) else json.dumps(b)) for i, b in enumerate(bodies)]
+    return spark.createDataFrame(rows, "request_id string, received_at string, raw_payload_ref string, body string")
+
+
+def test_requests_without_records_are_counted(spark):
+    bodies = [[], {"records": []}, {"records": [1, "x"]}, [None, 3], "{broken", {"records": [{"MonitoredSystem": "a"}, 7]}]
+    p = _payloads(spark, bodies)
+    s = {r.request_id: tuple(r)[1:] for r in N.request_summary(N.normalize(p, keep_empty=True), strict=True).collect()}
+    assert s == {**{f"r{i}": (0, 0, True, False) for i in range(4)}, "r4": (0, 0, True, True), "r5": (1, 0, True, False)}
+    # the record path has record rows and unparseable payloads only
+    assert sorted((r.request_id, r.parse_error) for r in N.normalize(p).collect()) == [("r4", True), ("r5", False)]
+
+
+def test_empty_values_are_no_identity(spark):
+    values = [0, 0.0, -0.0, False, [], {}, "", None, "0", "false", "[]", 7, True, ["x"], {"a": 1}, " "]
+    p = _payloads(spark, [{"MonitoredSystem": v, "metrics": {}} for v in values])
+    weak = {int(r.request_id[1:]): r.weak_identity for r in N.normalize(p).collect()}
+    assert [weak[i] for i in range(len(values))] == [not v for v in values]
+    accepted, quarantined = N.route(N.normalize(p), strict=True)
+    assert {r.request_id for r in quarantined.collect()} == {f"r{i}" for i, v in enumerate(values) if not v}
+    assert {r.request_id for r in accepted.collect()} == {f"r{i}" for i, v in enumerate(values) if v}
+
+
+def test_received_at_texts(spark):
+    import datetime as dt
+    texts = {"2024-01-02T03:04:05Z": (3, 4, 5, 0), "2024-01-02T03:04:05.25Z": (3, 4, 5, 250_000), "2024-01-02T05:04:05+02:00": (3, 4, 5, 0),
+             "2024-01-02 03:04:05": (3, 4, 5, 0), "soon": None, "": None, None: None}
+    for text, want in texts.items():
+        p = _payloads(spark, [{"class_name": "GLOBAL", "MonitoredSystem": "a"}], received=text)
+        rows = N.to_table_rows(N.normalize(p), "opsb_agent_node").collect()
+        assert [r.received_at for r in rows] == [want and dt.datetime(2024, 1, 2, *want)]
