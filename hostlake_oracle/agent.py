@@ -8,8 +8,6 @@ no JSON is parsed here.
 
 from __future__ import annotations
 
-from hostlake.functions import agent_mapping as AM
-
 from .binding import with_binding
 
 IP = ("'10.' || CAST((user_id // 65536) % 256 AS VARCHAR) || '.' || CAST((user_id // 256) % 256 AS VARCHAR)"
@@ -111,33 +109,41 @@ COMMON_EXPR = {
     "node_ipv4_address": "node_ipv4_address",
     "producer_instance_type": "'OBM_AGENT'",
     "tenant_id": "'example-tenant'",
-    "timestamp_utc_s": "timestamp_utc_s",
 }
 
 
+# ---- fixed values: columns of the agent tables, as their table definitions have them ('t' text, 'd' double) -----------
+COMMON = """cmdb_global_id cmdb_id collection_data_flow collection_type collection_policy_name node_fqdn node_short_name
+node_timezone_offset_h node_ip_type node_ipv4_address node_ipv6_address producer_instance_id producer_instance_type
+tenant_id""".split()
+METRICS = {
+    "opsb_agent_node": """active_cpu_count:d cpu_util_pct:d cpu_user_mode_util_pct:d cpu_sys_mode_util_pct:d mem_util_pct:d
+        mem_phys_total:d disk_phys_byte_rate:d net_packet_rate:d uptime_s:d os_name:t system_id:t boot_time:t collector:t
+        machine:t machine_model:t num_cpu:d num_disk:d""",
+    "opsb_agent_disk": """disk_device_name:t disk_device_no:t disk_dir_name:t disk_phys_byte_rate:d disk_phys_io_rate:d
+        disk_request_queue:d disk_util_pct:d""",
+    "opsb_agent_filesys": """fs_block_size:d fs_device_name:t fs_dir_name:t fs_max_size:d fs_space_used:d fs_util_pct:d
+        fs_type:t""",
+    "opsb_agent_cpu": "cpu_active:t cpu_clock:d cpu_total_util_pct:d cpu_id:t cpu_interrupt_rate:d cpu_state:t",
+    "opsb_agent_netif": """netif_name:t netif_in_byte_rate:d netif_out_byte_rate:d netif_packet_rate:d netif_net_speed:d
+        netif_util_pct:d""",
+}
+META = "class_name datasource source request_id raw_payload_ref".split()
+# ----------------------------------------------------------------------------------------------------------------------
+
+
 def table_select(table: str) -> str:
-    mapping = AM.load_mapping()
-    common = set(mapping["common_fields_map"].values())
-    cols = []
-    for c in AM.table_schemas(mapping)[table]:
-        if c == "extra_metrics":
-            cols.append("extra_keys AS extra_metric_keys")
-        elif c == "timestamp_utc_s":
-            cols.append("CAST(timestamp_utc_s AS BIGINT) AS timestamp_utc_s")
-        elif c == "received_at":
-            cols.append("received AS received_at")
-        elif c in AM.META_COLUMNS:
-            cols.append(c)
-        elif c in common:
-            cols.append(f"CAST({COMMON_EXPR.get(c, 'NULL')} AS VARCHAR) AS {c}")
-        else:
-            typ = "VARCHAR" if c in AM.TEXT_METRIC_COLUMNS else "DOUBLE"
-            cols.append(f"CAST({METRIC_EXPR[table].get(c, 'NULL')} AS {typ}) AS {c}")
+    cols = [f"CAST({COMMON_EXPR.get(c, 'NULL')} AS VARCHAR) AS {c}" for c in COMMON]
+    for name, kind in (m.split(":") for m in METRICS[table].split()):
+        sql_type = {"t": "VARCHAR", "d": "DOUBLE"}[kind]
+        cols.append(f"CAST({METRIC_EXPR[table].get(name, 'NULL')} AS {sql_type}) AS {name}")
+    cols += [*META, "CAST(timestamp_utc_s AS BIGINT) AS timestamp_utc_s", "received AS received_at",
+             "extra_keys AS extra_metric_keys"]
     return f"SELECT {', '.join(cols)} FROM norm WHERE target_table = '{table}'"
 
 
 def _t(table: str) -> str:
-    return f"{table} AS ({table_select(table).replace('extra_keys AS extra_metric_keys', 'extra_keys AS extra_metric_keys')})"
+    return f"{table} AS ({table_select(table)})"
 
 
 TABLE_CTES = ",\n".join(_t(t) for t in METRIC_EXPR)
