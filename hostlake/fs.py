@@ -69,6 +69,11 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst))
 
 
+def mkdirs(spark: SparkSession, path: str) -> None:
+    _, p, fs = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def move_into(spark: SparkSession, files: list[str], folder: str) -> None:
     jvm, t, fs = _fs(spark, folder)
     fs.mkdirs(t)

@@ -51,25 +51,34 @@ def apply_retention(spark: SparkSession, path: str, as_of: int, keep_days: int =
     return dropped
 
 
-def compact(spark: SparkSession, path: str, as_of: int, older_than_days: int = 30, files_per_partition: int = 1) -> int:
-    """Rewrite day partitions older than ``older_than_days`` into few sorted files.
-
-    Each old partition is rewritten into a side folder, then swapped in place
-    of the original folder; readers see either the old or the new files of a
-    day (the swap is a folder rename).
-    """
+def compact(spark: SparkSession, path: str, as_of: int, older_than_days: int = 30, file_bytes: int = 256 << 20) -> int:
+    """Rewrite day partitions older than ``older_than_days`` into sorted files of about ``file_bytes``; days changed.
+
+    A day is rewritten by as many tasks as it gets files, into a side folder beside the table (never inside, where
+    readers would find it). Then the day's folder is moved out and the new one in. A run that stopped between the two
+    moves is completed by the next one; a day that has no more files than it needs is left alone."""
+    side = f"{path.rstrip('/')}-compaction"
+    for loc, day in _partitions(spark, f"{side}/old") if FS.exists(spark, f"{side}/old") else []:
+        if not FS.exists(spark, f"{path}/{PARTITION_COL}={day}"):  # moved out, and nothing came in
+            FS.rename(spark, loc, f"{path}/{PARTITION_COL}={day}")
     cutoff = dt.datetime.fromtimestamp(as_of - older_than_days * 86400, dt.timezone.utc).date()
     n = 0
     for loc, day in _partitions(spark, path):
-        if day >= cutoff:
+        sizes = [size for _, name, is_dir, size in FS.list_dir(spark, loc) if not is_dir and name[0] not in "._"]
+        files = max(1, -(-sum(sizes) // file_bytes))
+        if day >= cutoff or len(sizes) <= files:
             continue
-        tmp = loc + ".compacting"
-        spark.read.parquet(loc).repartition(files_per_partition).sortWithinPartitions("itemid", "clock") \
-            .write.mode("overwrite").parquet(tmp)
-        FS.rename(spark, loc, loc + ".old")
-        FS.rename(spark, tmp, loc)
-        FS.delete(spark, loc + ".old")
+        name = loc.rstrip("/").rsplit("/", 1)[-1]
+        new, old = f"{side}/new/{name}", f"{side}/old/{name}"
+        spark.read.parquet(loc).repartitionByRange(files, "itemid", "clock").sortWithinPartitions("itemid", "clock") \
+            .write.mode("overwrite").parquet(new)
+        FS.mkdirs(spark, f"{side}/old")
+        FS.rename(spark, loc, old)
+        FS.rename(spark, new, loc)
+        FS.delete(spark, old)
         n += 1
+    if FS.exists(spark, side):
+        FS.delete(spark, side)
     return n
 
 

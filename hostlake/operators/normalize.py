@@ -257,7 +257,7 @@ def normalize(payloads: DataFrame, mapping: dict[str, Any] | None = None, body:
 
 # --------------------------------------------------------------------------- N9, N10
 
-def to_table_rows(norm: DataFrame, table: str, mapping: dict[str, Any] | None = None) -> DataFrame:
+def to_table_rows(norm: DataFrame, table: str, mapping: dict[str, Any] | None = None, keep=()) -> DataFrame:
     """Rows of one agent table, projected onto the table's stable column superset.
 
     Missing values are NULL, an empty ``extra_metrics`` stays an empty map;
@@ -270,7 +270,7 @@ def to_table_rows(norm: DataFrame, table: str, mapping: dict[str, Any] | None =
         raise KeyError(f"table {table!r} is not in the mapping; use discover_columns")
     common = set(m.get("common_fields_map", {}).values())
     rows = norm.where(F.col("target_table") == F.lit(table))
-    out = []
+    out = [F.col(c) for c in keep]
     for c in schema:
         if c == "timestamp_utc_s":
             e = F.col(c).try_cast("double").try_cast("bigint")

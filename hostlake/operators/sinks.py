@@ -494,17 +494,23 @@ def load_summary(ledger: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- staged output
 
+#: SQL types that staged documents declare, by Spark type.
+STAGED_TYPES = {"double": "DOUBLE PRECISION", "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT",
+                "boolean": "BOOLEAN", "timestamp": "TIMESTAMPTZ", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 def write_staged(df: DataFrame, pending_dir: str, table: str, method: str, key: Sequence[str] = (),
                  column_types: dict[str, str] | None = None, json_columns: Sequence[str] = (),
                  add_updated_at: bool = True, source: str = "hostlake", group_cols: Sequence[str] = (),
-                 max_records: int = 5000, extra_meta: dict | None = None, order_cols: Sequence[str] = ()) -> None:
+                 max_records: int = 5000, extra_meta: dict | None = None, order_cols: Sequence[str] = (),
+                 without: Sequence[str] = ()) -> None:
     """Write rows as ``{meta, data}`` staged documents, one per line.
 
     Rows are grouped by ``group_cols`` (e.g. request id). Without ``order_cols`` the rows have no order: groups are
     split into chunks of about ``max_records`` by a hash of the row and its number among equal rows, so no group becomes
     one huge document or one task. With ``order_cols`` a group's records are written in that order, cut every
     ``max_records``, and files are named so that they are loaded in that order (last-wins upserts rely on it; a group
-    is then sorted in one task). Data values are written as JSON with NULLs kept.
+    is then sorted in one task). Data values are written as JSON with NULLs kept; columns ``without`` are left out.
     """
     meta = {"table": table, "method": method, "source": source, "add_updated_at": add_updated_at}
     if key:
@@ -516,7 +522,7 @@ def write_staged(df: DataFrame, pending_dir: str, table: str, method: str, key:
     if extra_meta:
         meta.update(extra_meta)
     spark, g = df.sparkSession, list(group_cols)
-    own = [c for c in df.columns if c not in g]
+    own = [c for c in df.columns if c not in g and c not in without]
     rec = F.to_json(F.struct(*[F.col(c) for c in own]), {"ignoreNullFields": "false"}).alias("_rec")
     if order_cols:
         if g:
@@ -548,6 +554,35 @@ def write_staged(df: DataFrame, pending_dir: str, table: str, method: str, key:
     _rename_json(spark, pending_dir)
 
 
+def write_staged_records(norm: DataFrame, pending_dir: str, mapping: dict | None = None, builder=None,
+                         method: str = "copy") -> list[str]:
+    """Stage normalised agent records: one document per (request, target table), records in their order.
+
+    ``builder(norm, table)`` returns the table's rows with ``request_id`` and ``record_pos`` (default: the table's
+    columns by ``normalize.to_table_rows``); a table for which it returns None is left out. Returns the tables."""
+    from ..functions import agent_mapping as AM
+    from . import normalize as N
+    m = AM.load_mapping() if mapping is None else mapping
+
+    def default(norm: DataFrame, table: str) -> DataFrame:
+        rows = N.to_table_rows(norm, table, m, keep=("record_pos",))
+        return rows.withColumn("received_at", N.iso_utc("received_at"))
+
+    done = []
+    for table in dict.fromkeys(AM.class_tables(m).values()):
+        rows = (builder or default)(norm, table)
+        if rows is None:
+            continue
+        own = [c for c in rows.columns if c not in ("record_pos", "_request")]
+        types = {c: STAGED_TYPES[t] for c, t in rows.select(*own).dtypes if t in STAGED_TYPES}
+        maps = [c for c, t in rows.select(*own).dtypes if t.startswith(("map", "array", "struct"))]
+        write_staged(rows.withColumn("_request", F.col("request_id")), pending_dir, table, method, column_types=types,
+                     json_columns=maps, add_updated_at=False, source="agent", group_cols=["_request"],
+                     order_cols=["record_pos"], without=("record_pos",))
+        done.append(table)
+    return done
+
+
 def _rename_json(spark: SparkSession, folder: str) -> None:
     """Give committed text part files names that sort by the time of writing, with the ``.json`` suffix the loader globs for."""
     stamp = f"{time.time_ns():020d}"

@@ -914,3 +914,112 @@ def q_cpu_mem_report_ordered(spark, sf_dir):
 def q_disk_report_ordered(spark, sf_dir):
     lk = Lake(spark, sf_dir)
     return R.disk_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, match="nearest", ordered=True)
+
+
+# --------------------------------------------------------------------------- staged output, replay, sinks, helpers
+
+@register("agent_staged_load")
+def q_agent_staged_load(spark, sf_dir):
+    """Disk records of agents staged as one document per (request, table), loaded by the loader."""
+    pending, lake = scratch_dir(spark, "pending"), scratch_dir(spark, "lake")
+    accepted, _ = N.route(agent_norm(spark, sf_dir), strict=False)
+    SK.write_staged_records(accepted, pending)
+    SK.load_pending(spark, pending, lake)
+    rows = SK.read_table(spark, lake, "opsb_agent_disk")
+    names = F.json_object_keys("extra_metrics")
+    return rows.withColumn("extra_metric_keys", F.array_join(F.array_sort(names), ",")).drop("extra_metrics")
+
+
+@register("payload_replay")
+def q_payload_replay(spark, sf_dir):
+    """Node rows normalised from the archive in batch."""
+    archive = scratch_dir(spark, "raw")
+    SK.archive_raw(PL.payloads(spark, sf_dir), archive)
+    accepted, _ = N.route(N.normalize(PL.read_archive(spark, archive)), strict=False)
+    return _table_view(N.to_table_rows(accepted, "opsb_agent_node"))
+
+
+@register("jsonl_and_fanout")
+def q_jsonl_and_fanout(spark, sf_dir):
+    """Normalised records handed to two sinks, JSON lines and Parquet, and read back from both."""
+    lines, table = scratch_dir(spark, "jsonl"), scratch_dir(spark, "table")
+    norm = agent_norm(spark, sf_dir).select("request_id", "record_pos", "class_name", "node_fqdn")
+    SK.fanout(norm, [lambda d: SK.write_jsonl(d, lines), lambda d: d.write.mode("overwrite").parquet(table)])
+    back = spark.read.schema("request_id string, record_pos int, class_name string, node_fqdn string").json(lines)
+    return back.withColumn("sink", F.lit("jsonl")).unionByName(spark.read.parquet(table).withColumn("sink", F.lit("parquet")))
+
+
+@register("discover_columns")
+def q_discover_columns(spark, sf_dir):
+    return N.discover_columns(agent_norm(spark, sf_dir), "opsb_agent_node")
+
+
+@register("text_helpers")
+def q_text_helpers(spark, sf_dir):
+    """Text cleaning, run ids, date parts and number formats over all events."""
+    from .functions.scalars import clean_text, date_parts, sanitize_run_id
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    run_id = F.concat(F.lit("run:"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00/"), F.col("event_id").cast("string"))
+    return ev.select("event_id", clean_text(F.concat_ws("\t", "event_type", F.lit("a\nb\rc"), "props")).alias("cleaned"),
+                     sanitize_run_id(run_id).alias("run_id"), *date_parts("ts"),
+                     P.pretty_size(F.col("user_id") * F.col("user_id") * 1024).alias("size_text"))
+
+
+#: Kinds of the documents of each customer, by custkey % 7.
+MIXED_KINDS = ["all columns", "fewer columns", "more columns", "no key column", "null key", "bad number", "append"]
+
+
+def _mixed_documents(spark, sf_dir):
+    """A first document per customer creates or updates its row; a second one is of a kind by custkey."""
+    cu = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
+    key, name, bal = F.col("c_custkey").cast("string"), F.col("c_name"), F.round("c_acctbal").cast("bigint").cast("string")
+    kind = F.pmod("c_custkey", F.lit(7))
+    head = '"column_types":{"k":"BIGINT","bal":"BIGINT"},"add_updated_at":false'
+    up = F.lit('{"table":"mixed","method":"upsert","conflict_target":["k"],' + head + "}")
+    plain = F.lit('{"table":"mixed_log","method":"copy",' + head + "}")
+
+    def doc(meta, *cols):
+        keep = F.to_json(F.struct(*[c.alias(n) for n, c in cols]), {"ignoreNullFields": "false"})
+        return F.concat(F.lit('{"meta":'), meta, F.lit(',"data":['), keep, F.lit("]}"))
+    first = doc(up, ("k", key), ("name", name), ("bal", bal))
+    second = (F.when(kind == 0, doc(up, ("k", key), ("name", F.upper(name)), ("bal", F.lit("1"))))
+              .when(kind == 1, doc(up, ("k", key), ("bal", F.lit("2"))))
+              .when(kind == 2, doc(up, ("k", key), ("seg", F.col("c_mktsegment"))))
+              .when(kind == 3, doc(up, ("name", name), ("bal", bal)))
+              .when(kind == 4, doc(up, ("k", F.lit(None).cast("string")), ("name", name)))
+              .when(kind == 5, doc(up, ("k", key), ("bal", F.lit("12x"))))
+              .otherwise(doc(plain, ("k", key), ("bal", bal))))
+    return cu.select(first.alias("first"), second.alias("second"))
+
+
+@register("load_mixed_documents")
+def q_load_mixed_documents(spark, sf_dir):
+    """Documents with other columns, bad values and bad keys, loaded in two runs each of which is repeated: rows of both
+    tables, and the documents of each status and error."""
+    docs = _mixed_documents(spark, sf_dir)
+    pending, lake = scratch_dir(spark, "pending"), scratch_dir(spark, "lake")
+    for c in ("first", "second"):
+        docs.select(F.col(c).alias("value")).write.mode("append").text(pending)
+        SK._rename_json(spark, pending)
+        SK.load_pending(spark, pending, lake)
+        SK.load_pending(spark, pending, lake)
+    text = [F.col(c).cast("string").alias(c) for c in ("name", "bal")]
+    table = SK.read_table(spark, lake, "mixed").select(F.lit("mixed").alias("part"), F.col("k").cast("string").alias("k"), *text)
+    log = SK.read_table(spark, lake, "mixed_log").select(
+        F.lit("mixed_log").alias("part"), F.col("k").cast("string").alias("k"), F.lit(None).cast("string").alias("name"),
+        F.col("bal").cast("string").alias("bal"))
+    led = SK.read_ledger(spark, lake).groupBy("file_path", "doc_pos", "status", "error").agg(F.count("*").alias("tries"))
+    led = led.groupBy("status", "error", "tries").agg(F.count("*").alias("n")).select(
+        F.lit("ledger").alias("part"), F.col("status").alias("k"), F.col("error").alias("name"),
+        F.concat_ws("x", F.col("n").cast("string"), F.col("tries").cast("string")).alias("bal"))
+    return table.unionByName(log).unionByName(led)
+
+
+@register("load_budgeted")
+def q_load_budgeted(spark, sf_dir):
+    """All documents loaded in batches of two files under a time budget, as plain appends."""
+    cu = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select("c_custkey", "c_name").repartition(6, "c_custkey")
+    pending, lake = scratch_dir(spark, "pending"), scratch_dir(spark, "lake")
+    SK.write_staged(cu, pending, "cust", "copy", column_types={"c_custkey": "BIGINT"}, add_updated_at=False, max_records=100)
+    SK.load_pending_budgeted(spark, pending, lake, time_budget_s=3600, files_per_batch=2)
+    return SK.read_table(spark, lake, "cust")

@@ -38,6 +38,17 @@ def read_payloads(spark: SparkSession, archive_dir: str, day: str | None = None)
                      F.when(ref != "", ref).otherwise(F.col("_path")).alias("raw_payload_ref"), "body")
 
 
+def read_archive(spark: SparkSession, archive_dir: str, day: str | None = None) -> DataFrame:
+    """Payload rows from the archive that ``sinks.archive_raw`` writes (Parquet under y=/m=/d=); ``day`` = 'YYYY/MM/DD'
+    reads that day's folder only. The same rows as the archive's stream, so a day can be normalised again."""
+    schema = "request_id string, received_at timestamp_ntz, raw_payload_ref string, body string, y string, m string, d string"
+    rows = spark.read.schema(schema).parquet(archive_dir)
+    if day is not None:
+        y, m, d = day.split("/")
+        rows = rows.where((F.col("y") == y) & (F.col("m") == m) & (F.col("d") == d))
+    return rows.drop("y", "m", "d")
+
+
 def _pick(arr, idx):
     return F.element_at(F.array(*[F.lit(x) for x in arr]), idx + 1)
 

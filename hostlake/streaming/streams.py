@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .. import fs as FS
 from ..functions import agent_mapping as AM
+from ..functions.scalars import date_parts
 from ..operators import normalize as N
 from ..operators import sinks as SK
 
@@ -116,9 +117,10 @@ def stream_agent_metrics(spark: SparkSession, archive_dir: str, lake: str, check
                     F.lit("sink_write_failed").alias("reason"),
                     F.max("req_weak_records").alias("weak_record_count"),
                     F.max("req_records").alias("total_records")) \
-                    .withColumn("error", F.lit(f"{type(exc).__name__}: {str(exc)[:500]}"))
+                    .withColumn("error", F.lit(f"{type(exc).__name__}: {exc}"))
             q = quarantined.join(bodies, "request_id")
-            q.write.mode("overwrite").parquet(f"{lake}/_quarantine/batch_id={batch_id}")
+            q.select("*", *date_parts("received_at")).write.mode("overwrite").partitionBy("y", "m", "d") \
+                .parquet(f"{lake}/_quarantine/batch_id={batch_id}")
         finally:
             norm.unpersist()
 

@@ -276,3 +276,14 @@ SELECT request_id, record_pos,
                 ELSE 'BYNETIF_FUTURE,BYNETIF_IN_BYTE_RATE,BYNETIF_NAME,BYNETIF_OUT_BYTE_RATE' END AS metric_names
 FROM norm
 """)
+ORACLE["agent_staged_load"] = ORACLE["agent_disk_rows"]
+ORACLE["payload_replay"] = ORACLE["agent_node_rows"]
+ORACLE["jsonl_and_fanout"] = agent("""
+SELECT request_id, record_pos, class_name, node_fqdn, sink FROM norm, (VALUES ('jsonl'), ('parquet')) AS s(sink)
+""")
+ORACLE["discover_columns"] = agent("""
+SELECT DISTINCT unnest(string_split(metric_keys, ',')) AS "column" FROM norm WHERE target_table = 'opsb_agent_node'
+UNION SELECT unnest(['collection_policy_name', 'node_fqdn', 'node_short_name', 'node_ip_type', 'node_ipv4_address',
+                     'producer_instance_type', 'tenant_id', 'timestamp_utc_s', 'class_name', 'datasource', 'source',
+                     'received_at', 'request_id', 'raw_payload_ref', 'extra_metrics'])
+""")
