@@ -9,8 +9,8 @@
 Scale notes
 -----------
 ``nearest_join`` partitions by ``by + time chunk`` so that one hot key (a
-host with a third of all rows) is split into many window partitions; chunk
-widths adapt per key (``target_rows_per_chunk``). Rows at
+host with a third of all rows) is split into many window partitions, and a
+burst of a key into narrower chunks (``target_rows_per_chunk``). Rows at
 the edge of a chunk are matched with the last / first right row of the
 nearest non-empty neighbouring chunk; those boundaries come from a small
 per-(key, chunk) aggregate (map-side combined), never from a whole key in one
@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import bounded_broadcast
+
 DEFAULT_CHUNK_SECONDS = 3600
 
 
@@ -46,7 +48,6 @@ def nearest_join(
     materialize: bool = True,
     direction: str = "nearest",
     target_rows_per_chunk: int | None = 1_000_000,
-    keys_bounded: bool | None = None,
 ) -> DataFrame:
     """Closest right row per left row, by |clock difference|, within ``by``.
 
@@ -67,15 +68,12 @@ def nearest_join(
     ``materialize`` checkpoints the combined input once (eager job) because
     the chunked form reads it twice.
 
-    ``target_rows_per_chunk`` makes chunks adaptive: a small per-key
-    aggregate (rows, first and last clock) narrows the chunk of a dense key so
-    that it holds about that many rows (``chunk_seconds`` is the widest
-    chunk). A key holding a third of all rows is then spread over many window
-    partitions; only rows sharing one clock value cannot be split. The
-    per-key width table is broadcast when ``keys_bounded`` says the number of
-    keys is known to be small (e.g. keys of a size-checked dimension), is
-    checked with a bounded count when it is None, and is shuffle-joined when
-    False.
+    ``target_rows_per_chunk`` splits dense chunks: rows are counted per (key,
+    chunk of ``chunk_seconds``), and a chunk with more rows than the target is
+    cut into narrower ones that hold about that many, wherever in time a key's
+    burst lies. There are no more dense chunks than rows / target; their list is
+    broadcast when it is proven small and joined otherwise. Only rows sharing
+    one clock value cannot be split. Rows whose key is NULL match nothing.
     """
     by = list(by)
     values = list(values)
@@ -85,7 +83,7 @@ def nearest_join(
 
     r_struct = F.struct(F.col(clock).alias("c"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(tie)],
                         *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
-    r = right.where(F.col(values[0]).isNotNull())
+    r = right.where(F.col(values[0]).isNotNull()).dropna(subset=list(by))
     r_proj = [*_cols(by), F.col(clock)]
     for ch in chans:
         sel = r_struct if ch is None else F.when(F.col(channel) == F.lit(ch), r_struct)
@@ -109,20 +107,15 @@ def nearest_join(
         ensure_checkpoint_dir(u.sparkSession)
         u = u.checkpoint(eager=True)
     if chunk_seconds and target_rows_per_chunk:
-        from ..session import Dimension
-        stats = u.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min(clock).alias("_lo"), F.max(clock).alias("_hi"))
-        width = F.greatest(F.lit(1), F.least(
-            F.lit(chunk_seconds),
-            F.floor((F.col("_hi") - F.col("_lo") + 1) * F.lit(target_rows_per_chunk) / F.col("_n"))))
-        wdf = stats.select(*_cols(by), width.cast("long").alias("_w"))
-        if keys_bounded is None:
-            wdf = Dimension(wdf).bc()
-        elif keys_bounded:
-            wdf = F.broadcast(wdf)
-        # left join: rows whose key is NULL keep the default width instead of being lost
-        u = u.join(wdf, on=by, how="left") \
-            .withColumn("_chunk", F.floor(F.col(clock) / F.coalesce(F.col("_w"), F.lit(chunk_seconds))).cast("long")) \
-            .drop("_w")
+        base = F.floor(F.col(clock) / F.lit(chunk_seconds)) * F.lit(chunk_seconds)
+        u = u.withColumn("_base", base.cast("long"))
+        dense = u.groupBy(*by, "_base").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows_per_chunk)
+        width = F.greatest(F.lit(1), F.floor(F.lit(float(chunk_seconds * target_rows_per_chunk)) / F.col("_n")))
+        # left join: rows of other chunks, and those whose key is NULL, keep the whole chunk
+        u = u.join(bounded_broadcast(dense.select(*_cols(by), "_base", width.cast("long").alias("_w"))),
+                   on=[*by, "_base"], how="left")
+        inside = F.floor((F.col(clock) - F.col("_base")) / F.col("_w")) * F.col("_w")
+        u = u.withColumn("_chunk", (F.col("_base") + F.coalesce(inside, F.lit(0))).cast("long")).drop("_w", "_base")
     elif chunk_seconds:
         u = u.withColumn("_chunk", F.floor(F.col(clock) / F.lit(chunk_seconds)).cast("long"))
     if chunk_seconds:

@@ -813,7 +813,7 @@ def q_io_bucket(spark, sf_dir):
 @register("nearest_disk_io")
 def q_nearest_disk_io(spark, sf_dir):
     d = _disk(spark, sf_dir)
-    return R.io_nearest(d["driver"], d["io"], keys_bounded=d["keys_bounded"])
+    return R.io_nearest(d["driver"], d["io"])
 
 
 @register("bucket_disk_io")
@@ -887,6 +887,12 @@ def q_cpu_mem_report_latest(spark, sf_dir):
     return R.cpu_mem_report(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, latest=latest)
 
 
+@register("capacity_fill_rate_latest")
+def q_capacity_fill_rate_latest(spark, sf_dir):
+    lk, latest = _latest_lake(spark, sf_dir)
+    return R.capacity_fill_rate(lk.hist, lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, latest=latest)
+
+
 @register("disk_report_bucket_latest")
 def q_disk_report_bucket_latest(spark, sf_dir):
     lk, latest = _latest_lake(spark, sf_dir)

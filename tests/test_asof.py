@@ -108,3 +108,19 @@ def test_host_capacity_single_pass_equals_two_step(spark):
         core, mem = d.get("core", (None, None)), d.get("memtot", (None, None))
         assert got[h] == (core[0], core[1], mem[0], mem[1])
     assert got["1"] == (16.0, 200, None, 300)
+
+
+def test_burst_and_null_keys(spark):
+    # a key with few rows over a year and a burst of many within one minute: only the burst is cut
+    from pyspark.sql import functions as F
+    burst = [(0, 100 * 3600 + c // 20) for c in range(1200)]
+    sparse = [(0, d * 86_400) for d in range(365)] + [(None, 50), (1, 7)]
+    ldf = spark.createDataFrame(burst + sparse, "h int, clock bigint")
+    rdf = spark.createDataFrame([(h, c + 1, 0, float(c)) for h, c in burst[::60] + sparse], "h int, clock bigint, ns int, value double")
+    a = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", target_rows_per_chunk=100)
+    b = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", target_rows_per_chunk=None)
+    c = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", chunk_seconds=None)
+    rows = [sorted(map(repr, x.collect())) for x in (a, b, c)]
+    assert rows[0] == rows[1] == rows[2]
+    assert a.where("h IS NULL").select("value").first().value is None
+    assert a.where(F.col("value").isNull()).count() == 1
