@@ -139,3 +139,51 @@ def test_unbounded_dimension_falls_back_to_shuffle_join(spark):
         S.DEFAULT_BROADCAST_ROWS = old_rows
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_auto)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_every_bounded_read_prunes_days(spark, scratch):
+    from hostlake.plans import panels as PN
+    from hostlake.plans import profile as P
+    from hostlake.sources import history as HS
+    lk = Lake(spark, SF)
+    path = scratch("hist")
+    MT.partition_history(lk.hist, path)
+    hist, at = spark.read.parquet(path), lk.as_of
+    readable = P.readable_history(hist, lk.items, lk.inv)
+    frames = {
+        "catalog": P.host_item_catalog(hist, lk.items, lk.inv, at), "density": P.host_density(hist, lk.inv, at),
+        "noisy": P.noisy_items(hist, lk.items, at), "volume": P.collection_volume(hist, at, 86_400),
+        "series": P.series_summary(hist, at, 86_400), "disk": P.disk_volume(hist, lk.items, lk.inv, at),
+        "panel": PN.panel_timeseries(readable, at - 86_400, at), "window": HS.history_window(hist, at - 86_400, at),
+        "report": R.pct_history(hist, lk.items, lk.inv, at)}
+    for name, df in frames.items():
+        assert "PartitionFilters: [isnotnull(event_date" in plan(df), name
+    whole = P.collection_volume(lk.hist, at, 86_400)
+    assert sorted(map(repr, frames["volume"].collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_dimensions_above_the_automatic_limit_are_still_broadcast(spark, monkeypatch):
+    from hostlake import session
+    from hostlake.plans import profile as P
+    lk = Lake(spark, SF)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert tree(plan(P.readable_history(lk.hist, lk.items, lk.inv))).count("BroadcastHashJoin") == 2
+        monkeypatch.setattr(session, "DEFAULT_BROADCAST_BYTES", 1000)
+        assert "BroadcastHashJoin" not in tree(plan(P.readable_history(lk.hist, lk.items, lk.inv)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    import types
+
+    import pytest
+
+    from hostlake.session import ensure_checkpoint_dir
+    conf = types.SimpleNamespace(get=lambda k, d=None: d)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        fake = types.SimpleNamespace(conf=conf, sparkContext=types.SimpleNamespace(master=master))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(fake)
