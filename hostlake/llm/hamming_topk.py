@@ -9,7 +9,7 @@ queries that are not there yet go on.
 from __future__ import annotations
 
 from itertools import combinations
-from math import log2
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +24,10 @@ def sign_code(vector: Column) -> Column:
 
 
 def segments(n_codes: int, bits: int = 64) -> list[tuple[int, int]]:
-    """(low bit, length): segments of about log2(number of codes) bits, so that a key has about one code."""
-    parts = max(1, min(bits, round(bits / log2(max(2, n_codes)))))
+    """(low bit, length): segments a little shorter than log2(number of codes) bits, so that a key has a few codes.
+
+    Longer ones have fewer codes to verify, but the keys within a radius then outnumber the codes that they find."""
+    parts = max(1, min(bits, ceil(bits / max(1.0, log2(max(2, n_codes)) - 2.5))))
     edges = [bits * i // parts for i in range(parts + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
