@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from datetime import UTC, datetime, timedelta
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,15 +64,17 @@ def _arc_head(name: str, version: int, stamp: str) -> bytes:
     return line.encode() + block + b"\n"
 
 
-def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int = ARCHIVE_BYTES,
+def write_arc(pages: DataFrame, path: str, version: int | None = None, archive_bytes: int = ARCHIVE_BYTES,
               id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """ARC files of HTTP responses with the html as payload (null: empty), about ``archive_bytes`` each before gzip.
 
     The page id is a header field of the response, absent where null. The capture time is a second of the year from
-    the id. Spaces and control characters in urls are percent-encoded, a null or empty url is '-'.
+    the id. Spaces and control characters in urls are percent-encoded, a null or empty url is '-'. Without ``version``
+    each task's archives have versions 1 and 2 in turn, from 1 or 2 by the task's number.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, name = [], 0, ""
+        now = version or 1 + TaskContext.get().partitionId() % 2
 
         def archive():
             return pa.RecordBatch.from_arrays([pa.array([b"".join(parts)[:-1]], pa.binary())], names=["value"])
@@ -81,16 +84,16 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int
                 stamp = (EPOCH + timedelta(seconds=(page_id or 0) % 31_536_000)).strftime("%Y%m%d%H%M%S")
                 if not parts:
                     name = f"{uuid.uuid4().hex}.arc"
-                    parts.append(_arc_head(name, version, stamp))
+                    parts.append(_arc_head(name, now, stamp))
                     size = len(parts[0])
                 block = _http(page_id, (html or "").encode())
                 line = {1: f"{_escaped(url)} 127.0.0.1 {stamp} text/html {len(block)}\n",
                         2: f"{_escaped(url)} 127.0.0.1 {stamp} text/html 200 {base32_sha1(block)} - {size} {name} {len(block)}\n"}
-                parts += [line[version].encode(), block, b"\n"]
+                parts += [line[now].encode(), block, b"\n"]
                 size += sum(map(len, parts[-3:]))
                 if size >= archive_bytes:
                     yield archive()
-                    parts = []
+                    parts, now = [], version or 3 - now
         if parts:
             yield archive()
 
@@ -278,17 +281,15 @@ def archive_pages(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
                   html_col: str = "html", path: str | None = None) -> DataFrame:
     """Pages through ARC and WARC archives and back: (id, payload_bytes, payload_digest, record_type, refers_to).
 
-    By a hash of the id, half of the pages go to archives of version 1 and half to version 2.
+    Archives have versions 1 and 2 in turn; pages are read once. One row per page: the payload is the
     html in UTF-8 (null: empty); of records with equal payloads of at least ``min_bytes`` that with the largest id is
-the response and the others revisit it (``refers_to`` its id); where all ids are null, refers_to is null. Ids are
+    the response and the others revisit it (``refers_to`` its id); where all ids are null, refers_to is null. Ids are
     integers; other columns are not read. An empty table gives no archive and no rows. The archives stay in ``path``
     (default: a new folder in the shared checkpoint folder).
     """
     spark = pages.sparkSession
     path = path or scratch_dir(spark, "archives")
-    for version in FIELDS:
-        half = pages.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(2)) == version - 1)
-        write_arc(half, f"{path}/arc/v{version}", version, id_col=id_col, url_col=url_col, html_col=html_col)
+    write_arc(pages, f"{path}/arc", id_col=id_col, url_col=url_col, html_col=html_col)
     convert(spark, f"{path}/arc", f"{path}/warc", min_bytes)
     records = read_warc(spark, f"{path}/warc")
     records = cut(records.select("page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_id"))

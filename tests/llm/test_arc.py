@@ -43,6 +43,14 @@ def test_odd_pages(spark, scratch):
     assert both == [("response", None, 4), ("revisit", None, 4)]
 
 
+def test_both_versions_are_written(spark, scratch):
+    df = spark.range(40).selectExpr("id AS page_id", "'http://h/' AS url", "repeat('x', 300) AS html").repartition(3)
+    path = scratch("arc")
+    arc.write_arc(df, path, archive_bytes=2_000)
+    heads = [gzip.decompress(bytes(r.content)).split(b"\n")[1][:1] for r in arc._archives(spark, path).collect()]
+    assert set(heads) == {b"1", b"2"} and abs(heads.count(b"1") - heads.count(b"2")) <= 3
+
+
 def test_min_bytes_and_repeated_rows(spark):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (3, "u", "abcd"), (4, "u", "abcd")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
