@@ -2,7 +2,7 @@
 
 Data is always read and written with the DataFrame reader / writer. These
 helpers cover the few metadata-only steps PySpark has no public call for:
-small control files (table description, snapshot pointer), renames (give
+small control files (table description, version files), renames (give
 staged part files their ``.json`` name, move loaded files out of
 ``pending/``, swap a compacted partition) and dropping whole partition
 folders (retention). They work on any Hadoop-compatible store the session
