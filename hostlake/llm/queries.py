@@ -59,7 +59,7 @@ def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return fuzzy_lines.dedup_lines(docs, counts=True).select(
+    return fuzzy_lines.dedup_lines(docs, max_bits=None, counts=True).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
