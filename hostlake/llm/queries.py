@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostlake.llm import (arc, bpe, fertility, fuzzy_lines, hamming_topk, mixing, repeats, rule_ensemble, simhash_golay,
-                          url_rules)
+from hostlake.llm import (arc, bpe, fertility, fuzzy_lines, hamming_topk, mixing, periodic_runs, repeats, rule_ensemble,
+                          simhash_golay, url_rules)
 
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: The URL rules of op2, (host, path, verdict).
@@ -67,9 +67,14 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"), length=50, texts=False)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_periods(_table(spark, sf_dir, "documents"))
+    return periodic_runs.periodic_runs(docs, texts=False)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_fertility, op2_url_rules, op3_byte_bpe, op4_arc_to_warc, op5_poisson_mix, op6_hamming_topk,
-    op7_rule_ensemble, op8_simhash_golay, op9_fuzzy_lines, op10_repeats)}
+    op7_rule_ensemble, op8_simhash_golay, op9_fuzzy_lines, op10_repeats, op11_periodic_runs)}
 
 ORACLE: dict[str, str] = {}
 
