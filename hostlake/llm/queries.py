@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostlake.llm import (arc, bpe, fertility, fuzzy_lines, hamming_topk, mixing, periodic_runs, repeats, rule_ensemble,
-                          simhash_golay, url_rules)
+from hostlake.llm import (alignment, arc, bpe, decontaminate, fertility, fuzzy_lines, hamming_topk, mixing, periodic_runs,
+                          repeats, rule_ensemble, simhash_golay, url_rules)
 
-RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+RANKS, PIECES, BYTE_LEVEL = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model", "byte_bpe_50k.json"
 #: The URL rules of op2, (host, path, verdict).
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -72,9 +72,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(docs, texts=False)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_LEVEL),
+                                     public_tokenizers.path(PIECES))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), details=False)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_fertility, op2_url_rules, op3_byte_bpe, op4_arc_to_warc, op5_poisson_mix, op6_hamming_topk,
-    op7_rule_ensemble, op8_simhash_golay, op9_fuzzy_lines, op10_repeats, op11_periodic_runs)}
+    op7_rule_ensemble, op8_simhash_golay, op9_fuzzy_lines, op10_repeats, op11_periodic_runs,
+    op12_token_alignment, op13_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
@@ -139,3 +149,22 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
        sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT coalesce(list_contains(gone, i), false)), ' '), '')) AS kept_sha256
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
+
+ORACLE["op13_decontaminate"] = r"""
+WITH i AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+m AS (SELECT item, w, least(len(w), 10) AS m FROM i WHERE len(w) > 0),
+s AS (SELECT DISTINCT item, m, array_to_string(w[k:k + m - 1], ' ') AS g
+      FROM (SELECT item, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM m)),
+x AS (SELECT doc_id, m, k, array_to_string(w[k:k + m - 1], ' ') AS g
+      FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, (SELECT DISTINCT m FROM m) WHERE len(w) >= m)),
+h AS (SELECT doc_id, x.m, k, item FROM x JOIN s ON x.g = s.g AND x.m = s.m),
+p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(k, k + m)) AS p FROM h) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN n ON d.doc_id = n.doc_id
+"""

@@ -27,5 +27,5 @@ def test_query_matches_sql(spark, name):
 
 
 def test_all_registered():
-    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 12)}
+    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries()) and set(Q.ORACLE) <= set(E.oracle_sql())
