@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as K
 from ..functions.scalars import clock_to_ntz, safe_numeric
-from ..operators.asof import bucket_join, latest_by, nearest_join
+from ..operators.asof import bucket_join, latest_by, latest_by_days, nearest_join
 from ..session import Dimension, bounded_broadcast
-from ..sources.history import within
+from ..sources.history import PARTITION_COL, within
 
 DAY = 86_400
 
@@ -74,10 +74,14 @@ def latest_item_values(hist: DataFrame, item_ids: DataFrame, value_types=None, d
     """Latest (clock, ns) row of every item in ``item_ids.itemid_num`` over all history.
 
     With ``latest`` (the maintained ``latest_values`` table) no history is
-    read. Otherwise history is semi-joined to the (bounded, broadcast) item
-    list before a ``max_by`` aggregate, so only the wanted items are aggregated.
+    read. A day-partitioned history is read from its newest day back, until every
+    item has been met (``latest_by_days``). Otherwise history is semi-joined to the
+    (bounded, broadcast) item list before a ``max_by`` aggregate.
     """
     ids = item_ids.select(F.col("itemid_num").alias("itemid")).distinct()
+    if latest is None and PARTITION_COL in hist.columns:
+        h = hist if value_types is None else hist.where(F.col("value_type").isin(*value_types))
+        return latest_by_days(h, ids, "itemid", ["itemid"], ["clock", "ns"], ["value"])
     ids = dim.bc(ids) if dim is not None else bounded_broadcast(ids)
     if latest is not None:
         from ..operators.latest import latest_for
@@ -110,7 +114,17 @@ def host_capacity(hist: DataFrame, cap_items: DataFrame, dim: Dimension | None =
     aggregated once per host after a broadcast join with the bounded capacity
     items; ``max_by`` skips rows whose ordering is NULL, so each role's pick
     only sees that role's rows. The value guard applies to the picked row.
+    On a day-partitioned history a host's role is looked for from the newest day back
+    until it has been met.
     """
+    if latest is None and PARTITION_COL in hist.columns:
+        wanted = cap_items.select(F.col("itemid_num").alias("itemid"), "hostid", "role")
+        rows = latest_by_days(hist.select("itemid", "clock", "ns", "value", PARTITION_COL), wanted, "itemid",
+                              ["hostid", "role"], ["clock", "itemid", "ns"], ["value"])
+        one = {role: F.max(F.when(F.col("role") == role, F.struct("clock", "value"))) for role in ("core", "memtot")}
+        g = rows.groupBy("hostid").agg(one["core"].alias("_c"), one["memtot"].alias("_m"))
+        return g.select("hostid", safe_numeric("_c.value").alias("cpu_core"), F.col("_c.clock").alias("cpu_core_clock"),
+                        safe_numeric("_m.value").alias("mem_total_mb"), F.col("_m.clock").alias("mem_total_clock"))
     items = cap_items.select("itemid_num", "hostid", "role")
     items = dim.bc(items) if dim is not None else bounded_broadcast(items)
     src = latest if latest is not None else hist
@@ -141,26 +155,25 @@ def pct_history(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
 
 def cpu_with_mem(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                  lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
-                 chunk_seconds: int | None = 3600, dim: Dimension | None = None) -> DataFrame:
+                 dim: Dimension | None = None) -> DataFrame:
     """CPU samples of the window, each with the nearest memory sample of its host."""
     dim = dim or group_items(items, group_hosts(inv, group))
     pct = pct_history(hist, items, inv, as_of, lookback_s, group, dim=dim)
     cpu = pct.where(F.col("role") == "cpu").select("hostid", "clock", F.col("value").alias("cpu_value"))
     mem = pct.where(F.col("role") == "mem").select("hostid", "clock", "ns", "itemid", "value")
-    m = nearest_join(cpu, mem, by=["hostid"], values=["value"], tie=["ns", "itemid"], how="inner",
-                     chunk_seconds=chunk_seconds)
+    m = nearest_join(cpu, mem, by=["hostid"], values=["value"], tie=["ns", "itemid"], how="inner")
     return m.select("hostid", "clock", "cpu_value", F.col("value").alias("mem_value"))
 
 
 def cpu_mem_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                    lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
-                   ordered: bool = False, chunk_seconds: int | None = 3600,
-                   latest: DataFrame | None = None) -> DataFrame:
+                   ordered: bool = False, latest: DataFrame | None = None) -> DataFrame:
     """CPU/memory utilisation per host sample with latest capacity; with
-    ``latest`` (maintained latest-value table) capacity reads no history."""
+    ``latest`` (maintained latest-value table) capacity reads no history, and on a
+    day-partitioned history only the days that it takes to meet every host."""
     hosts = group_hosts(inv, group)
     dim = group_items(items, hosts)
-    c = cpu_with_mem(hist, items, inv, as_of, lookback_s, group, chunk_seconds, dim=dim)
+    c = cpu_with_mem(hist, items, inv, as_of, lookback_s, group, dim=dim)
     cap = host_capacity(hist, capacity_items(dim.df, None), dim=dim, latest=latest)
     out = (c.join(hosts, "hostid").join(cap, "hostid", "left")
            .select(F.col("clock").alias("transaction_clock"),
@@ -218,11 +231,11 @@ def disk_parts(hist, items, inv, as_of, lookback_s=DAY, group="AGENTLESS_GROUP",
     return {"hist": h, "driver": driver, "io": io, "capacity": cap}
 
 
-def io_nearest(driver: DataFrame, io: DataFrame, chunk_seconds: int | None = 3600) -> DataFrame:
+def io_nearest(driver: DataFrame, io: DataFrame) -> DataFrame:
     """Nearest read and write sample for every driver row (per mount and role)."""
     key = ["os_kind", "hostid", "mount_key"]
     m = nearest_join(driver.select(*key, "clock"), io, by=key, values=["value"], tie=["ns", "itemid"],
-                     channel="role", channel_values=["read", "write"], chunk_seconds=chunk_seconds)
+                     channel="role", channel_values=["read", "write"])
     return m.select(*key, "clock", F.col("read_value").alias("read_kbps"), F.col("write_value").alias("write_kbps"))
 
 
@@ -279,7 +292,7 @@ def _disk_output(d: DataFrame, ordered: bool) -> DataFrame:
 def disk_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                 lookback_s: int | None = DAY, group: str = "AGENTLESS_GROUP",
                 match: str = "bucket", width: int = 300, ordered: bool = False,
-                chunk_seconds: int | None = 3600, latest: DataFrame | None = None) -> DataFrame:
+                latest: DataFrame | None = None) -> DataFrame:
     """Disk utilisation per mount and sample, with IO and latest capacity.
 
     ``match='nearest'``: read/write = nearest IO sample of the same mount and
@@ -291,7 +304,7 @@ def disk_report(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
     key = ["os_kind", "hostid", "mount_key"]
     if match == "nearest":
         m = nearest_join(driver, io, by=key, values=["value"], tie=["ns", "itemid"],
-                         channel="role", channel_values=["read", "write"], chunk_seconds=chunk_seconds)
+                         channel="role", channel_values=["read", "write"])
         m = m.withColumnRenamed("read_value", "read_kbps").withColumnRenamed("write_value", "write_kbps")
     elif match == "bucket":
         io_wide = io.select(*key, "clock",

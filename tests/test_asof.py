@@ -19,9 +19,8 @@ def brute_nearest(left, right):
     return out
 
 
-@pytest.mark.parametrize("seed,chunk,target", [(1, None, None), (2, 10, None), (3, 7, None), (4, 3600, None),
-                                               (5, 1, None), (6, 3600, 3), (7, 50, 1), (8, 3600, 10)])
-def test_nearest_join_matches_brute_force(spark, seed, chunk, target):
+@pytest.mark.parametrize("seed,target", [(1, None), (2, 10), (3, 7), (4, 3600), (5, 1), (6, 3), (7, 50), (8, 20)])
+def test_nearest_join_matches_brute_force(spark, seed, target):
     rnd = random.Random(seed)
     left = [(rnd.randint(0, 3), rnd.randint(0, 100), i) for i in range(120)]
     right, seen = [], set()
@@ -33,12 +32,10 @@ def test_nearest_join_matches_brute_force(spark, seed, chunk, target):
             right.append(r)
     ldf = spark.createDataFrame(left, "h int, clock bigint, lv int")
     rdf = spark.createDataFrame(right, "h int, clock bigint, ns int, itemid int, value double")
-    got = nearest_join(ldf, rdf, by=["h"], values=["value"], tie=["ns", "itemid"], how="left", chunk_seconds=chunk,
-                       target_rows_per_chunk=target)
+    got = nearest_join(ldf, rdf, by=["h"], values=["value"], tie=["ns", "itemid"], how="left", target_rows=target)
     g = {(r.h, r.clock, r.lv): (None if r.match_clock is None else (r.value, r.match_clock)) for r in got.collect()}
     assert g == brute_nearest(left, right)
-    inner = nearest_join(ldf, rdf, by=["h"], values=["value"], tie=["ns", "itemid"], how="inner", chunk_seconds=chunk,
-                         target_rows_per_chunk=target)
+    inner = nearest_join(ldf, rdf, by=["h"], values=["value"], tie=["ns", "itemid"], how="inner", target_rows=target)
     assert inner.count() == sum(1 for v in g.values() if v is not None)
 
 
@@ -47,7 +44,7 @@ def test_nearest_join_channels(spark):
     right = spark.createDataFrame([(1, 9, "read", 1.0), (1, 21, "read", 2.0), (1, 30, "write", 3.0)],
                                   "h int, clock bigint, role string, value double")
     got = nearest_join(left, right, by=["h"], values=["value"], channel="role", channel_values=["read", "write"],
-                       chunk_seconds=5)
+                       target_rows=1)
     rows = sorted((r.clock, r.read_value, r.write_value) for r in got.collect())
     assert rows == [(10, 1.0, 3.0), (20, 2.0, 3.0)]
 
@@ -74,14 +71,13 @@ def test_latest_by(spark):
     assert got == [(1, 10, 2, "b"), (2, 1, 0, "d")]
 
 
-def test_adaptive_chunks_split_a_hot_key(spark):
-    # one key with many rows and a sparse one: the hot key gets narrow chunks
+def test_a_hot_key_is_cut(spark):
+    # one key with many rows and a sparse one: the hot key is cut
     left = [(0, c, c) for c in range(0, 2000, 2)] + [(1, 5, 0)]
     right = [(0, c, 0, 0, float(c)) for c in range(1, 2000, 2)] + [(1, 3000, 0, 0, 9.0)]
     ldf = spark.createDataFrame(left, "h int, clock bigint, lid int")
     rdf = spark.createDataFrame(right, "h int, clock bigint, ns int, itemid int, value double")
-    got = nearest_join(ldf, rdf, by=["h"], tie=["ns", "itemid"], how="left", chunk_seconds=3600,
-                       target_rows_per_chunk=50)
+    got = nearest_join(ldf, rdf, by=["h"], tie=["ns", "itemid"], how="left", target_rows=50)
     g = {(r.h, r.clock): r.value for r in got.collect()}
     assert g[(0, 0)] == 1.0 and g[(0, 1000)] == 999.0 and g[(0, 1998)] == 1997.0 and g[(1, 5)] == 9.0
 
@@ -117,10 +113,90 @@ def test_burst_and_null_keys(spark):
     sparse = [(0, d * 86_400) for d in range(365)] + [(None, 50), (1, 7)]
     ldf = spark.createDataFrame(burst + sparse, "h int, clock bigint")
     rdf = spark.createDataFrame([(h, c + 1, 0, float(c)) for h, c in burst[::60] + sparse], "h int, clock bigint, ns int, value double")
-    a = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", target_rows_per_chunk=100)
-    b = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", target_rows_per_chunk=None)
-    c = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", chunk_seconds=None)
+    a = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", target_rows=100)
+    b = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", target_rows=None)
+    c = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", target_rows=7)
     rows = [sorted(map(repr, x.collect())) for x in (a, b, c)]
     assert rows[0] == rows[1] == rows[2]
     assert a.where("h IS NULL").select("value").first().value is None
     assert a.where(F.col("value").isNull()).count() == 1
+
+
+@pytest.mark.parametrize("direction", ["nearest", "backward", "forward"])
+def test_all_rows_of_one_key_in_ten_seconds_are_spread(spark, direction, monkeypatch):
+    from pyspark.sql import functions as F
+    from hostlake.operators import asof
+    rng = random.Random(4)
+    left = [(1, rng.randrange(10), i) for i in range(6000)] + [(2, 5, -1)]
+    right = [(1, rng.randrange(0, 10, 3), i % 7, float(i)) for i in range(3000)]
+    ldf = spark.createDataFrame(left, "h int, clock bigint, lid int")
+    rdf = spark.createDataFrame(right, "h int, clock bigint, ns int, value double").dropDuplicates(["clock", "ns"])
+    sizes = []
+    ranged = asof._range_of
+
+    def seen(at, cuts):
+        sizes.append(cuts)
+        return ranged(at, cuts)
+    monkeypatch.setattr(asof, "_range_of", seen)
+    got = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", direction=direction, target_rows=500)
+    whole = nearest_join(ldf, rdf, by=["h"], tie=["ns"], how="left", direction=direction, target_rows=None)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, whole.collect()))
+    assert sizes  # the key was cut
+    place = F.shiftleft("clock", 20)
+    at = ldf.select("h", (place + 1 + F.pmod(F.xxhash64("lid"), F.lit((1 << 20) - 1))).alias("_at"))
+    cuts = asof._hot_key_cuts(at, ["h"], 500)
+    each = at.join(cuts, "h").select(ranged(F.col("_at"), F.col("_cuts")).alias("r")).groupBy("r").count().collect()
+    assert len(each) >= 12 and max(r["count"] for r in each) <= 500 and [r.h for r in cuts.collect()] == [1]
+
+
+def test_many_ranges_are_looked_up_in_two_steps(spark):
+    from pyspark.sql import functions as F
+    from hostlake.operators.asof import _range_of
+    cuts = list(range(0, 4000, 7))
+    df = spark.range(-5, 4100, 3).withColumn("c", F.array(*[F.lit(c).cast("long") for c in cuts]))
+    for r in df.select("id", _range_of(F.col("id"), F.col("c")).alias("r")).collect():
+        assert r.r == sum(c < r.id for c in cuts)
+    assert spark.range(1).select(_range_of(F.lit(3), F.array().cast("array<bigint>")).alias("r")).first().r == 0
+
+
+def test_latest_by_days_reads_no_more_days_than_it_takes(spark, scratch):
+    import os
+    from pyspark.sql import functions as F
+    from hostlake.operators import maintenance as MT
+    from hostlake.operators.asof import latest_by_days
+    day = 86_400
+    rows = [(i, d * day + 100 * i + n, n, f"{d}-{n}") for i in range(6) for d in range(20) for n in range(3) if d <= 19 - i]
+    hist = spark.createDataFrame(rows, "itemid bigint, clock bigint, ns int, value string")
+    path = scratch("hist")
+    MT.with_event_date(hist).write.partitionBy("event_date").mode("overwrite").parquet(path)
+    # an older day that would fail if it were read
+    with open(os.path.join(path.replace("file:", ""), "event_date=1970-01-03", "part-bad.parquet"), "w") as fh:
+        fh.write("no parquet")
+    t = spark.read.schema("itemid bigint, clock bigint, ns int, value string, event_date date").parquet(path)
+    want = spark.createDataFrame([(i,) for i in (0, 2, 5)], "itemid bigint")
+    got = latest_by_days(t, want, "itemid", ["itemid"], ["clock", "ns"], ["value"])
+    assert sorted(tuple(r) for r in got.collect()) == [(i, (19 - i) * day + 100 * i + 2, 2, f"{19 - i}-2") for i in (0, 2, 5)]
+    # several items of one key: the newest row of any of them is enough
+    both = want.withColumn("k", F.lit("x"))
+    (one,) = latest_by_days(t, both, "itemid", ["k"], ["clock", "itemid", "ns"], ["value"]).collect()
+    assert tuple(one) == ("x", 19 * day + 2, 0, 2, "19-2")
+    with pytest.raises(Exception):  # an item without rows: all days are read
+        latest_by_days(t, spark.createDataFrame([(77,)], "itemid bigint"), "itemid", ["itemid"], ["clock", "ns"], ["value"]).collect()
+
+
+def test_latest_by_days_lists_and_joins_alike(spark, scratch, monkeypatch):
+    from hostlake.operators import asof
+    from hostlake.operators import maintenance as MT
+    from hostlake.registry import Lake
+    lk = Lake(spark, "/root/testdata/sf0.001")
+    path = scratch("hist")
+    MT.partition_history(lk.hist, path)
+    t = spark.read.parquet(path)
+    ids = lk.hist.select("itemid").distinct()
+    want = sorted(tuple(r) for r in latest_by(lk.hist, ["itemid"], ["clock", "ns"], ["value"]).collect())
+    for listed in (1000, 3):
+        monkeypatch.setattr(asof, "LISTED_KEYS", listed)
+        got = asof.latest_by_days(t, ids, "itemid", ["itemid"], ["clock", "ns"], ["value"])
+        assert sorted(tuple(r) for r in got.collect()) == want
+    empty = t.where("false")
+    assert asof.latest_by_days(empty, ids, "itemid", ["itemid"], ["clock", "ns"], ["value"]).count() == 0

@@ -25,9 +25,9 @@ def test_nearest_join_invariants(spark, left, right, seed):
     seed.shuffle(shuffled)
     ldf = spark.createDataFrame(l_rows, "h int, clock bigint, lid int")
     a = nearest_join(ldf, spark.createDataFrame(r_rows, "h int, clock bigint, ns int, itemid int, value double"),
-                     by=["h"], tie=["ns", "itemid"], how="left", chunk_seconds=7)
+                     by=["h"], tie=["ns", "itemid"], how="left", target_rows=7)
     b = nearest_join(ldf, spark.createDataFrame(shuffled, "h int, clock bigint, ns int, itemid int, value double"),
-                     by=["h"], tie=["ns", "itemid"], how="left", chunk_seconds=13)
+                     by=["h"], tie=["ns", "itemid"], how="left", target_rows=13)
     ra = sorted(tuple(r) for r in a.collect())
     assert ra == sorted(tuple(r) for r in b.collect())  # permutation and chunk size do not matter
     for h, c, lid, value, mclock in ra:
