@@ -113,6 +113,17 @@ def test_chunks_give_the_tokens_of_the_whole(libraries, monkeypatch):
     assert list(own.texts([])) == []
 
 
+def test_both_libraries_give_the_same_tokens(libraries):
+    rng = random.Random(8)
+    own, t = A.aligner(*PATHS), libraries[0]
+    assert A.PATTERN == P.PATTERN
+    low = [chr(c) for c in range(0x250)]
+    words = ["they're", "don't", "  ", "12345", "\n\n ", "é", "ß", "\x85", "\xa0", "<|endoftext|>", "ǅ", "²½", "\u00ad"]
+    for _ in range(300):
+        text = "".join(rng.choices(words + low, k=rng.randint(1, 60)))
+        assert own.plain.encode_ordinary(text) == t.encode(text, add_special_tokens=False).ids
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     assert A.align_documents(df.limit(0), *PATHS).collect() == []
