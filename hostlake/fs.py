@@ -64,9 +64,29 @@ def list_dir(spark: SparkSession, path: str) -> list[tuple[str, str, bool, int]]
             for st in fs.listStatus(p)]
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Moves a file or folder; a store that refuses is an error, so that nothing is deleted after it."""
     jvm, p, fs = _fs(spark, src)
-    return fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst))
+    if not fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)):
+        raise OSError(f"could not move {src} to {dst}")
+
+
+def first_line(spark: SparkSession, path: str, most: int = 1 << 16) -> str | None:
+    """The first line of a file that is not blank, from its first ``most`` bytes; None where they don't hold one whole."""
+    jvm, p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        head = bytes(stream.readNBytes(most))
+    finally:
+        stream.close()
+    lines = head.split(b"\n")
+    whole = lines if len(head) < most else lines[:-1]
+    return next((x.decode("utf-8", "replace") for x in whole if x.strip()), None)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    _, p, fs = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:
@@ -79,7 +99,8 @@ def move_into(spark: SparkSession, files: list[str], folder: str) -> None:
     fs.mkdirs(t)
     for f in files:
         src = jvm.org.apache.hadoop.fs.Path(f)
-        fs.rename(src, jvm.org.apache.hadoop.fs.Path(t, src.getName()))
+        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(t, src.getName())):
+            raise OSError(f"could not move {f} into {folder}")
 
 
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bounded_broadcast
+
 from ..functions.scalars import MASKED_SECRET, VALUE_TYPE_NAMES, iso_utc_seconds, utc_ntz
 
 # ---- fixed values: interface type codes -----------------------------------------------
@@ -128,9 +130,10 @@ def item_map(items: DataFrame) -> DataFrame:
 def attach_host(hist: DataFrame, items: DataFrame) -> DataFrame:
     """History rows + hostid of their item (NULL when the item is unknown).
 
-    The item map is the small side: a hash join that never shuffles history
-    when the map fits the broadcast limit (AQE / size statistics decide).
+    The item map is broadcast when it is proven small, so history is not shuffled;
+    beyond the bound it is a shuffle join.
     """
     m = items.select(F.col("itemid").try_cast("bigint").alias("_iid"), F.col("hostid").try_cast("bigint").alias("hostid"))
     h = hist.drop("hostid") if "hostid" in hist.columns else hist
+    m = bounded_broadcast(m)
     return h.join(m, h["itemid"] == m["_iid"], "left").drop("_iid")

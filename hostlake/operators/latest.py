@@ -3,16 +3,14 @@
 Capacity values have no time bound ("latest known value, however old"), so
 computing them from history means a scan of all history per report. At scale
 the lake keeps ``latest_values`` keyed by (itemid, value_type): every loaded
-batch is reduced to its newest row per key and merged with the stored table
-(newest (clock, ns) wins), written as a new snapshot and switched in. The
+batch is reduced to its newest row per key and merged with the stored rows of
+the key buckets that it touches (newest (clock, ns) wins). The
 table has one row per item and type, so it stays small however long history
 grows; reports read it instead of scanning history.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +30,10 @@ def reduce_latest(df: DataFrame) -> DataFrame:
 
 
 def update_latest(spark: SparkSession, lake: str, batch: DataFrame, batch_id: str | None = None) -> None:
-    """Merge a history batch into ``<lake>/latest_values`` (new snapshot, committed when it is whole)."""
+    """Merge a history batch into ``<lake>/latest_values``; only the key buckets of its items are rewritten."""
     if SK.table_meta(spark, lake, TABLE) is None:
         SK.ensure_table(spark, lake, TABLE, COLUMNS, TYPES, key=KEY, add_updated_at=False)
-    version = f"snap-{batch_id or uuid.uuid4().hex}"
-    if version in [name for _, name in SK.versions(spark, lake, TABLE)]:
-        return  # replayed batch
-    current = SK.read_table(spark, lake, TABLE)
-    merged = reduce_latest(current.unionByName(reduce_latest(batch)))
-    merged.write.mode("overwrite").parquet(f"{lake}/{TABLE}/{version}")
-    SK.commit_version(spark, lake, TABLE, version)
+    SK.merge_rows(spark, lake, TABLE, KEY, reduce_latest(batch), lambda old, new: reduce_latest(old.unionByName(new)), batch_id)
 
 
 def latest_rows(spark: SparkSession, lake: str) -> DataFrame:

@@ -55,8 +55,9 @@ def compact(spark: SparkSession, path: str, as_of: int, older_than_days: int = 3
     """Rewrite day partitions older than ``older_than_days`` into sorted files of about ``file_bytes``; days changed.
 
     A day is rewritten by as many tasks as it gets files, into a side folder beside the table (never inside, where
-    readers would find it). Then the day's folder is moved out and the new one in. A run that stopped between the two
-    moves is completed by the next one; a day that has no more files than it needs is left alone."""
+    readers would find it). Then the day's folder is moved out and the new one in; a move that the store refuses is an
+    error, and nothing is deleted before both are done. A run that stopped between the two moves is completed by the next
+    one; a day that has no more files than it needs is left alone."""
     side = f"{path.rstrip('/')}-compaction"
     for loc, day in _partitions(spark, f"{side}/old") if FS.exists(spark, f"{side}/old") else []:
         if not FS.exists(spark, f"{path}/{PARTITION_COL}={day}"):  # moved out, and nothing came in
@@ -74,7 +75,11 @@ def compact(spark: SparkSession, path: str, as_of: int, older_than_days: int = 3
             .write.mode("overwrite").parquet(new)
         FS.mkdirs(spark, f"{side}/old")
         FS.rename(spark, loc, old)
-        FS.rename(spark, new, loc)
+        try:
+            FS.rename(spark, new, loc)
+        except OSError:
+            FS.rename(spark, old, loc)  # the day as it was
+            raise
         FS.delete(spark, old)
         n += 1
     if FS.exists(spark, side):

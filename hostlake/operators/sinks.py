@@ -1,11 +1,12 @@
 """Lake table writes with declared semantics, and the staged-file loader.
 
 A lake table is a folder ``<lake>/<table>/`` holding ``_table.json`` (columns, Spark types, key, partition column;
-written once on creation) and Parquet data. Append-style tables keep one folder per loaded batch,
-``data/load_batch=<id>``, written by overwriting: a batch that is repeated replaces itself. Upsert tables are written
-as a new snapshot folder per batch; an empty file ``_versions/<number>-<folder>`` then commits it. The highest number
-is the table; such files are only ever added (and, with their snapshots, removed when several newer ones are there), so
-there is no moment without a current version.
+written once on creation) and Parquet data. Appended rows are in one folder per loaded batch, ``data/load_batch=<id>``,
+written by overwriting: a batch that is repeated replaces itself. Upserted rows are in ``rows``, partitioned by a hash of
+the key (``key_bucket``), and a batch replaces the buckets that its keys fall into by Spark's dynamic partition overwrite;
+the others are not read. The merged rows are first written to ``_merge/<batch id>``: a run that stopped in the middle is
+completed from there when the batch is repeated. One loader writes a table at a time; a reader that meets a bucket being
+replaced fails and is repeated.
 
 Write methods (per batch of rows):
 
@@ -32,14 +33,18 @@ from pyspark.sql import functions as F
 
 from .. import fs as FS
 from ..functions.scalars import date_parts
-from ..session import Dimension
+from ..session import Dimension, bounded_broadcast
 from ..sources import staged as S
 
 ORDER_COLS = ("_file", "_doc", "_pos")
 
 
-#: Snapshots of an upsert table that stay, the current one included (readers may still be at an older one).
-KEEP_SNAPSHOTS = 3
+#: Hash buckets of a new table's upserted rows: about what one task should rewrite of the largest table.
+KEY_BUCKETS = 16
+#: So many upserts of a table are remembered, for batches that are repeated.
+KEEP_APPLIED = 100
+#: Up to so many distinct values of a batch's key reach the scan of the stored rows as a list.
+LISTED_KEYS = 1000
 
 
 # --------------------------------------------------------------------------- table folder
@@ -50,7 +55,8 @@ def table_meta(spark: SparkSession, lake: str, table: str) -> dict | None:
 
 
 def ensure_table(spark: SparkSession, lake: str, table: str, columns: Sequence[str], types: dict[str, str],
-                 key: Sequence[str] = (), add_updated_at: bool = True, partition_by: str | None = None) -> dict:
+                 key: Sequence[str] = (), add_updated_at: bool = True, partition_by: str | None = None,
+                 buckets: int | None = None) -> dict:
     """Create the table description if absent; an existing description wins."""
     existing = table_meta(spark, lake, table)
     if existing is not None:
@@ -60,7 +66,7 @@ def ensure_table(spark: SparkSession, lake: str, table: str, columns: Sequence[s
         cols.append("updated_at")
     meta = {"table": table, "columns": cols,
             "types": {c: ("timestamp" if c == "updated_at" and c not in types else types.get(c, "string")) for c in cols},
-            "key": list(key), "partition_by": partition_by}
+            "key": list(key), "partition_by": partition_by, "buckets": KEY_BUCKETS if buckets is None else buckets}
     try:
         FS.write_text(spark, f"{lake}/{table}/_table.json", json.dumps(meta))
     except FileExistsError:  # another loader was first
@@ -68,44 +74,33 @@ def ensure_table(spark: SparkSession, lake: str, table: str, columns: Sequence[s
     return meta
 
 
-def versions(spark: SparkSession, lake: str, table: str) -> list[tuple[int, str]]:
-    """(number, snapshot folder) of the committed versions, oldest first."""
-    folder = f"{lake}/{table}/_versions"
-    if not FS.exists(spark, folder):
-        return []
-    names = [name for _, name, is_dir, _ in FS.list_dir(spark, folder) if not is_dir and not name.startswith(".")
-             and not name.endswith(".tmp")]
-    return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1]) for n in names)
+def _schema(meta: dict) -> str:
+    schema = ", ".join(f"`{c}` {meta['types'][c]}" for c in meta["columns"])
+    return schema + (f", `{meta['partition_by']}` date" if meta.get("partition_by") else "")
 
 
-def commit_version(spark: SparkSession, lake: str, table: str, snapshot: str) -> None:
-    """Make a written snapshot folder the table; then drop all but the newest ``KEEP_SNAPSHOTS``."""
-    known = versions(spark, lake, table)
-    FS.write_text(spark, f"{lake}/{table}/_versions/{(known[-1][0] if known else 0) + 1:012d}-{snapshot}", "")
-    for number, old in known[:max(0, len(known) + 1 - KEEP_SNAPSHOTS)]:
-        FS.delete(spark, f"{lake}/{table}/_versions/{number:012d}-{old}")
-        FS.delete(spark, f"{lake}/{table}/{old}")
+def _parts(spark: SparkSession, lake: str, table: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """(appended rows with load_batch, upserted rows with key_bucket); None where there are none."""
+    meta, found = table_meta(spark, lake, table), []
+    if meta is None:
+        raise FileNotFoundError(f"no lake table {table!r} under {lake}")
+    for folder, extra in (("data", "load_batch string"), ("rows", "key_bucket int")):
+        path = f"{lake}/{table}/{folder}"
+        found.append(spark.read.schema(f"{_schema(meta)}, {extra}").parquet(path) if FS.exists(spark, path) else None)
+    return found[0], found[1]
 
 
 def read_table(spark: SparkSession, lake: str, table: str, without_batch: str | None = None) -> DataFrame:
     """Current rows of a lake table; an empty frame with the declared schema where nothing was ever written.
 
     ``without_batch`` leaves out what an earlier try of that batch appended. Errors of the store are raised."""
-    meta = table_meta(spark, lake, table)
-    if meta is None:
-        raise FileNotFoundError(f"no lake table {table!r} under {lake}")
-    schema = ", ".join(f"`{c}` {meta['types'][c]}" for c in meta["columns"])
-    if meta.get("partition_by"):
-        schema += f", `{meta['partition_by']}` date"
-    known = versions(spark, lake, table)
-    if known:
-        return spark.read.schema(schema).parquet(f"{lake}/{table}/{known[-1][1]}")
-    if not FS.exists(spark, f"{lake}/{table}/data"):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema + ", load_batch string").parquet(f"{lake}/{table}/data")
-    if without_batch is not None:
-        rows = rows.where(F.col("load_batch") != F.lit(without_batch))
-    return rows.drop("load_batch")
+    appended, upserted = _parts(spark, lake, table)
+    if appended is not None and without_batch is not None:
+        appended = appended.where(F.col("load_batch") != F.lit(without_batch))
+    found = [x.drop("load_batch", "key_bucket") for x in (appended, upserted) if x is not None]
+    if not found:
+        return spark.createDataFrame([], _schema(table_meta(spark, lake, table)))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _conform(df: DataFrame, meta: dict, keep: Sequence[str] = ()) -> DataFrame:
@@ -154,6 +149,22 @@ def _first_wins(df: DataFrame, key: Sequence[str], order=ORDER_COLS, last: bool
     return g.select(*[F.col(f"_p.{c}").alias(c) for c in cols])
 
 
+def _near_keys(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``stored`` without rows that no key of the batch can equal: bounds of every key column, and the values of the
+    first one while they are few, as literals, so that they reach the files and skip row groups and partitions.
+    One small job over the batch's keys."""
+    key = [c for c in key if stored.schema[c].dataType.typeName() not in ("double", "float", "boolean")]
+    if not key:
+        return stored
+    ends = batch.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(key) for n, f in (("low", F.min), ("high", F.max))]).first()
+    for i, c in enumerate(key):
+        if ends[f"low_{i}"] is None:  # no row has a key
+            return stored.where(F.lit(False))
+        stored = stored.where((F.col(c) >= F.lit(ends[f"low_{i}"])) & (F.col(c) <= F.lit(ends[f"high_{i}"])))
+    few = [r[0] for r in batch.select(key[0]).distinct().limit(LISTED_KEYS + 1).collect()]
+    return stored.where(F.col(key[0]).isin([x for x in few if x is not None])) if len(few) <= LISTED_KEYS else stored
+
+
 def write_append(spark: SparkSession, df: DataFrame, lake: str, table: str, batch_id: str | None = None) -> None:
     meta = table_meta(spark, lake, table)
     _append(_conform(df, meta), meta, lake, batch_id or uuid.uuid4().hex)
@@ -167,6 +178,8 @@ def write_if_absent(spark: SparkSession, df: DataFrame, lake: str, table: str, k
     first = _first_wins(df, key)
     new = _conform(first, meta, keep=("_file", "_doc"))
     existing = read_table(spark, lake, table, without_batch=batch_id)
+    new = _checkpointed(spark, new)  # bounds, probe and write read the same rows
+    existing = _near_keys(existing, new, [*([meta["partition_by"]] if meta.get("partition_by") else []), *key])
     join_keys = list(key)
     if meta.get("partition_by"):
         # joining on the partition column lets dynamic partition pruning read
@@ -212,6 +225,7 @@ def write_insert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
     # per key: rows per document and the earliest document holding it (aggregates, skew-safe)
     per_doc = b.groupBy(*key, "_file", "_doc").agg(F.count(F.lit(1)).alias("_n_in_doc"))
     first = per_doc.groupBy(*key).agg(F.min(F.struct("_file", "_doc")).alias("_first_doc"))
+    existing = _near_keys(existing, b, key)
     stored = existing.join(first.select(*key), on=list(key), how="left_semi").distinct().withColumn("_in_table", F.lit(True))
     j = per_doc.join(first, on=list(key)).join(stored, on=list(key), how="left")
     bad = j.where(F.col("_in_table").isNotNull() | (F.col("_n_in_doc") > 1)
@@ -225,16 +239,54 @@ def write_insert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
     return failed
 
 
+def key_bucket(key: Sequence[str], buckets: int):
+    """The bucket of a key, whose columns are compared as text."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key]), F.lit(buckets)).cast("int")
+
+
+def merge_rows(spark: SparkSession, lake: str, table: str, key: Sequence[str], new: DataFrame, merge, batch_id: str | None = None) -> bool:
+    """Replaces the buckets that the keys of ``new`` fall into by ``merge(stored rows of them, new)`` (the table's columns).
+
+    False, and nothing changes, where the batch id was applied before; ``new`` is read all the same (a stateful stream
+    has to run each batch). Rows that were appended to the table move into buckets with the first upsert after it."""
+    meta = table_meta(spark, lake, table)
+    batch_id, home = batch_id or uuid.uuid4().hex, f"{lake}/{table}"
+    applied, staged = f"{home}/_applied/{batch_id}", f"{home}/_merge/{batch_id}"
+    if FS.exists(spark, applied):
+        new.write.format("noop").mode("overwrite").save()
+        return False
+    bucket = key_bucket(key, meta["buckets"])
+    if not FS.exists(spark, f"{staged}/_SUCCESS"):
+        new = _checkpointed(spark, new)
+        appended, upserted = _parts(spark, lake, table)
+        touched = [r[0] for r in new.select(bucket.alias("b")).distinct().collect()]  # at most the table's buckets
+        old = spark.createDataFrame([], _schema(meta))
+        if upserted is not None:
+            old = upserted if appended is not None else upserted.where(F.col("key_bucket").isin(touched))
+        if appended is not None:
+            old = appended.drop("load_batch") if upserted is None else old.drop("key_bucket").unionByName(appended.drop("load_batch"))
+        out = merge(old.drop("key_bucket"), new)
+        if meta.get("partition_by"):
+            out = out.withColumn(meta["partition_by"], partition_expr(meta))
+        out.withColumn("key_bucket", bucket).repartition("key_bucket").write.mode("overwrite").partitionBy("key_bucket").parquet(staged)
+    merged = spark.read.schema(f"{_schema(meta)}, key_bucket int").parquet(staged)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(f"{home}/rows")
+    if FS.exists(spark, f"{home}/data"):
+        FS.delete(spark, f"{home}/data")  # its rows are in buckets now
+    FS.write_text(spark, applied, "")
+    FS.delete(spark, staged)
+    for path, *_ in sorted(FS.list_dir(spark, f"{home}/_applied"), key=lambda x: FS.modified(spark, x[0]))[:-KEEP_APPLIED]:
+        FS.delete(spark, path)
+    return True
+
+
 def write_upsert(spark: SparkSession, df: DataFrame, lake: str, table: str, key: Sequence[str],
                  batch_id: str | None = None) -> bool:
-    """Upsert into a new snapshot; a batch id that is already committed is not applied again (False).
+    """Upsert that rewrites the touched buckets only; a batch id that was applied before changes nothing (False).
 
     Rows with ``_columns`` (the columns their document has) write those columns only; per key and column the last such
     row in load order wins, as if the documents were applied one after another."""
     meta = table_meta(spark, lake, table)
-    snapshot = f"snap-{batch_id or uuid.uuid4().hex}"
-    if snapshot in [name for _, name in versions(spark, lake, table)]:
-        return False
     written = [c for c in df.columns if c in meta["columns"]]
     order = F.struct(*[F.col(c) for c in ORDER_COLS if c in df.columns])
     has = (lambda c: F.array_contains("_columns", c)) if "_columns" in df.columns else (lambda c: F.lit(True))
@@ -245,61 +297,63 @@ def write_upsert(spark: SparkSession, df: DataFrame, lake: str, table: str, key:
         F.lit(True).alias("new"),
         *[F.max_by(F.when(has(c), F.struct(F.col(c).cast(meta["types"][c]).alias("v"))), F.when(has(c), order)).alias(f"n_{names[c]}")
           for c in written])
-    existing = read_table(spark, lake, table)
-    old = existing.select(*[F.col(k).cast("string").alias(n) for k, n in zip(key, keys, strict=True)],
-                          *[F.col(c).alias(f"o_{names[c]}") for c in meta["columns"]])
-    both = old.join(new, on=keys, how="full_outer")
-    merged = []
-    for c in meta["columns"]:
-        kept, now = F.col(f"o_{names[c]}"), F.current_timestamp().cast(meta["types"][c])
-        if c == "updated_at" and c not in key:
-            merged.append(F.when(F.col("new"), now).otherwise(kept).alias(c))
-        elif c in written:
-            value = F.col(f"n_{names[c]}")
-            merged.append(F.when(value.isNotNull(), value["v"]).otherwise(kept).alias(c))
-        else:
-            merged.append(kept.alias(c))
-    out = both.select(*merged)
-    if meta.get("partition_by"):
-        out = out.withColumn(meta["partition_by"], partition_expr(meta))
-    w = out.write.mode("overwrite")
-    if meta.get("partition_by"):
-        w = w.partitionBy(meta["partition_by"])
-    w.parquet(f"{lake}/{table}/{snapshot}")
-    commit_version(spark, lake, table, snapshot)
-    return True
+    new = new.select("*", *[F.col(n).alias(k) for k, n in zip(key, keys, strict=True) if k not in new.columns])
+
+    def merge(existing: DataFrame, new: DataFrame) -> DataFrame:
+        old = existing.select(*[F.col(k).cast("string").alias(n) for k, n in zip(key, keys, strict=True)],
+                              *[F.col(c).alias(f"o_{names[c]}") for c in meta["columns"]])
+        both = old.join(new.drop(*key), on=keys, how="full_outer")
+        merged = []
+        for c in meta["columns"]:
+            kept, now = F.col(f"o_{names[c]}"), F.current_timestamp().cast(meta["types"][c])
+            if c == "updated_at" and c not in key:
+                merged.append(F.when(F.col("new"), now).otherwise(kept).alias(c))
+            elif c in written:
+                value = F.col(f"n_{names[c]}")
+                merged.append(F.when(value.isNotNull(), value["v"]).otherwise(kept).alias(c))
+            else:
+                merged.append(kept.alias(c))
+        return both.select(*merged)
+
+    return merge_rows(spark, lake, table, key, new, merge, batch_id)
 
 
 # --------------------------------------------------------------------------- loader
 
 LEDGER = ("file_path string, doc_pos int, table string, method string, status string, error string, rows bigint, "
-          "inserted bigint, processed_at timestamp, deferred_files bigint, batch_id string")
+          "inserted bigint, processed_at timestamp, deferred_files bigint, seconds double, batch_id string")
 
 
 def read_ledger(spark: SparkSession, lake: str) -> DataFrame:
-    """One row per document and try: status ok / error / skipped, records (``rows``) and rows put into the table
-    (``inserted``: fewer than ``rows`` where keys were there already)."""
+    """One row per document and try: status ok / error / skipped, records (``rows``), rows put into the table
+    (``inserted``: fewer than ``rows`` where keys were there already) and how long the write of its table, method and key
+    took in that run (``seconds``)."""
     if not FS.exists(spark, f"{lake}/_ledger"):
         return spark.createDataFrame([], LEDGER)
     return spark.read.schema(LEDGER).parquet(f"{lake}/_ledger")
 
 
-def _documents(spark: SparkSession, lake: str) -> DataFrame:
-    """(file_path, doc_pos, done): whether any try of the document ended as ok or skipped."""
-    return read_ledger(spark, lake).groupBy("file_path", "doc_pos").agg(
-        F.max(F.col("status").isin("ok", "skipped")).alias("done"))
+def _documents(spark: SparkSession, lake: str, files: DataFrame | None = None) -> DataFrame:
+    """(file_path, doc_pos, tries, done): how often a document was tried, and whether any try ended as ok or skipped.
+
+    ``files`` (n: normalised paths, at most those of one run) cuts the ledger before it is grouped."""
+    ledger = read_ledger(spark, lake)
+    if files is not None:
+        ledger = ledger.withColumn("n", S.normal_path("file_path")).join(bounded_broadcast(files), "n", "left_semi")
+    return ledger.groupBy("file_path", "doc_pos").agg(
+        F.count(F.lit(1)).alias("tries"), F.max(F.col("status").isin("ok", "skipped")).alias("done"))
 
 
 def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: int | None = None,
                  batch_id: str | None = None, partition_tables: dict[str, str] | None = None,
                  done_dir: str | None = None, latest_tables: Sequence[str] = (),
-                 clean_copy_text: bool = False) -> DataFrame:
+                 clean_copy_text: bool = False, leave_out: frozenset[str] = frozenset()) -> DataFrame:
     """Load pending staged documents into lake tables, as each document declares.
 
     Returns the run's ledger rows (see ``read_ledger``), which are also kept in ``<lake>/_ledger``. Documents that are
     in the ledger as ok or skipped are not loaded again; a file is finished when all its documents are, so failed
     documents are tried again. With ``done_dir`` finished files are moved there. At most ``max_files`` files are taken,
-    oldest name first; the rest are deferred.
+    those that failed less often first, then by name; the rest are deferred. Files in ``leave_out`` are not looked at.
 
     The batch's file list is written down before the first table is touched and goes when the ledger has the batch. A
     run that finds such a list left by a crashed one repeats that batch first, under its id: every write replaces what
@@ -307,9 +361,7 @@ def load_pending(spark: SparkSession, pending_dir: str, lake: str, max_files: in
     """
     options = dict(partition_tables=partition_tables, latest_tables=latest_tables, clean_copy_text=clean_copy_text)
     ids = [_load_batch(spark, i, files, lake, 0, done_dir, options) for i, files in _started(spark, lake)]
-    docs = _documents(spark, lake)
-    finished = docs.groupBy("file_path").agg(F.min("done").alias("done")).where("done")
-    files, deferred = S.list_pending(spark, pending_dir, max_files=max_files, finished=finished)
+    files, deferred = S.list_pending(spark, pending_dir, max_files, _documents(spark, lake), leave_out)
     if files:
         batch_id = batch_id or uuid.uuid4().hex
         FS.write_text(spark, f"{lake}/_started/{batch_id}.json", json.dumps(files))
@@ -349,13 +401,13 @@ def load_pending_budgeted(spark: SparkSession, pending_dir: str, lake: str, time
     """``load_pending`` in oldest-first batches of ``files_per_batch`` files until
     ``time_budget_s`` is spent; files not reached are deferred to the next run
     (their count is in the last batch's ledger rows). Each batch is one
-    distributed load; the loop runs over batches, never over files. Documents that
-    fail are tried once per run."""
+    distributed load; the loop runs over batches, never over files. A file is tried
+    once per run, so files that fail don't keep others from being reached."""
     start = time.monotonic()
     ledgers, seen = [], set()
     while True:
-        led = load_pending(spark, pending_dir, lake, max_files=files_per_batch, **kwargs)
-        files = {r[0] for r in led.select("file_path").distinct().collect()}  # at most files_per_batch
+        led = load_pending(spark, pending_dir, lake, max_files=files_per_batch, leave_out=frozenset(seen), **kwargs)
+        files = {r[0] for r in led.select(S.normal_path("file_path")).distinct().collect()}  # at most files_per_batch
         if not files - seen:
             break
         seen |= files
@@ -364,12 +416,9 @@ def load_pending_budgeted(spark: SparkSession, pending_dir: str, lake: str, time
             break
     if not ledgers:
         return spark.createDataFrame([], LEDGER)
-    out = ledgers[0]
-    for led in ledgers[1:]:
-        out = out.unionByName(led)
     # deferred files: what the last batch left behind
     last_deferred = ledgers[-1].agg(F.max("deferred_files")).first()[0] or 0
-    return out.withColumn("deferred_files", F.lit(int(last_deferred)).cast("bigint"))
+    return reduce(DataFrame.unionByName, ledgers).withColumn("deferred_files", F.lit(int(last_deferred)).cast("bigint"))
 
 
 def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
@@ -387,7 +436,8 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
     bulk load must (off by default: Parquet keeps text exactly). Used as is by the streaming loader's ``foreachBatch``.
     """
     from pyspark import StorageLevel
-    done = _documents(spark, lake).where("done").select("file_path", "doc_pos")
+    own = docs.select(S.normal_path("file_path").alias("n")).distinct()
+    done = _documents(spark, lake, own).where("done").select("file_path", "doc_pos")
     earlier = read_ledger(spark, lake).where(F.col("batch_id") == F.lit(batch_id)).select("file_path", "doc_pos").distinct()
     # what this batch id has done itself is done again in the same way: it is a repeated run
     done = done.join(earlier, ["file_path", "doc_pos"], "left_anti")
@@ -404,22 +454,24 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
                    F.min(F.struct("file_path", "doc_pos")).alias("first"),
                    F.min_by(F.struct("columns", "meta"), F.struct("file_path", "doc_pos")).alias("d"))
               .collect())
-    failed, counts = [], []
+    failed, counts, took = [], [], []
     for g in sorted(groups, key=lambda r: tuple(r["first"])):
         part_docs = ok.where((F.col("meta.table") == g["table"]) & (F.col("method") == g["method"])
                              & F.col("meta.conflict_target").eqNullSafe(
                                  F.lit(None) if g["key"] is None else F.array(*[F.lit(k) for k in g["key"]]).cast("array<string>")))
+        begun = time.monotonic()
         try:
             bad, inserted = _load_group(spark, part_docs, g, lake, batch_id, partition_tables or {}, latest_tables, clean_copy_text)
         except Exception as exc:  # noqa: BLE001 - this group's documents are errors, the others are loaded
             text = f"{type(exc).__name__}: {exc}"
             bad, inserted = part_docs.select("file_path", "doc_pos", F.lit(text).alias("error")), None
+        took.append((g["table"], g["method"], g["key"], time.monotonic() - begun))
         failed.append(bad)
         if inserted is not None:
             counts.append(inserted)
     base = parsed.select("file_path", "doc_pos", F.col("meta.table").alias("table"), "method", "status", "error",
                          F.size("records").cast("bigint").alias("rows"),
-                         (F.coalesce(F.size("meta.conflict_target"), F.lit(0)) > 0).alias("_keyed"))
+                         F.col("meta.conflict_target").alias("_key"))
     empty = {"error": "file_path string, doc_pos int, error string", "inserted": "file_path string, doc_pos int, inserted bigint"}
     errors, found = (reduce(DataFrame.unionByName, x, spark.createDataFrame([], empty[n]))
                      for n, x in (("error", failed), ("inserted", counts)))
@@ -427,13 +479,15 @@ def load_docs(spark: SparkSession, docs: DataFrame, lake: str, batch_id: str,
     base = base.join(errors, ["file_path", "doc_pos"], "left").join(found, ["file_path", "doc_pos"], "left")
     base = base.withColumn("status", F.when(F.col("_error").isNotNull(), F.lit("error")).otherwise(F.col("status"))) \
         .withColumn("error", F.coalesce("error", "_error"))
+    times = spark.createDataFrame(took, "t string, m string, k array<string>, seconds double")
+    base = base.join(F.broadcast(times), (F.col("table") == F.col("t")) & (F.col("method") == F.col("m")) & F.col("_key").eqNullSafe(F.col("k")), "left")
     loaded = F.col("status") == "ok"
-    by_key = (F.col("method") == "copy") & F.col("_keyed")
+    by_key = (F.col("method") == "copy") & (F.coalesce(F.size("_key"), F.lit(0)) > 0)
     ledger = base.withColumn("inserted", F.when(~loaded, 0).when(by_key, F.coalesce("inserted", F.lit(0))).otherwise(F.col("rows")).cast("bigint")) \
         .withColumn("rows", F.when(loaded, F.col("rows")).otherwise(0).cast("bigint")) \
         .withColumn("processed_at", F.current_timestamp()) \
         .withColumn("deferred_files", F.lit(deferred_files).cast("bigint")) \
-        .select("file_path", "doc_pos", "table", "method", "status", "error", "rows", "inserted", "processed_at", "deferred_files")
+        .select("file_path", "doc_pos", "table", "method", "status", "error", "rows", "inserted", "processed_at", "deferred_files", "seconds")
     ledger.write.mode("overwrite").parquet(f"{lake}/_ledger/batch_id={batch_id}")
     parsed.unpersist()
     return read_ledger(spark, lake).where(F.col("batch_id") == F.lit(batch_id))
@@ -477,6 +531,11 @@ def _load_group(spark: SparkSession, docs: DataFrame, g, lake: str, batch_id: st
             from .latest import update_latest
             update_latest(spark, lake, good, batch_id=own_id)
         return _checkpointed(spark, failed), inserted
+    except Exception:
+        # the group's documents become errors and are tried again under another batch id: what they appended goes
+        if FS.exists(spark, f"{lake}/{table}/data/load_batch={own_id}"):
+            FS.delete(spark, f"{lake}/{table}/data/load_batch={own_id}")
+        raise
     finally:
         recs.unpersist()
 
@@ -492,6 +551,16 @@ def load_summary(ledger: DataFrame) -> DataFrame:
     )
 
 
+def load_rates(ledger: DataFrame) -> DataFrame:
+    """Documents, rows and rows a second of each table and method of a run, and of the run (NULL table and method)."""
+    runs = ledger.where("seconds IS NOT NULL").groupBy("batch_id", "table", "method", "seconds").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("rows").alias("rows"))
+    sums = runs.rollup(F.struct("table", "method").alias("g")).agg(
+        F.sum("documents").alias("documents"), F.sum("rows").alias("rows"), F.sum("seconds").alias("seconds"))
+    return sums.select("g.table", "g.method", "documents", "rows", "seconds",
+                       F.try_divide(F.col("rows").cast("double"), F.col("seconds")).alias("rows_per_s"))
+
+
 # --------------------------------------------------------------------------- staged output
 
 #: SQL types that staged documents declare, by Spark type.
@@ -506,9 +575,9 @@ def write_staged(df: DataFrame, pending_dir: str, table: str, method: str, key:
                  without: Sequence[str] = ()) -> None:
     """Write rows as ``{meta, data}`` staged documents, one per line.
 
-    Rows are grouped by ``group_cols`` (e.g. request id). Without ``order_cols`` the rows have no order: groups are
-    split into chunks of about ``max_records`` by a hash of the row and its number among equal rows, so no group becomes
-    one huge document or one task. With ``order_cols`` a group's records are written in that order, cut every
+    Rows are grouped by ``group_cols`` (e.g. request id). Without ``order_cols`` the rows have no order: groups (or all
+    rows) are split into chunks of about ``max_records`` by a hash of the row and its number among equal rows, so no group
+    becomes one huge document or one task, and a task that is repeated makes the same chunks. With ``order_cols`` a group's records are written in that order, cut every
     ``max_records``, and files are named so that they are loaded in that order (last-wins upserts rely on it; a group
     is then sorted in one task). Data values are written as JSON with NULLs kept; columns ``without`` are left out.
     """
@@ -538,17 +607,16 @@ def write_staged(df: DataFrame, pending_dir: str, table: str, method: str, key:
             F.array_sort(F.collect_list(F.struct("_n", "_rec"))), lambda x: x["_rec"]).alias("_recs"))
         docs = docs.repartitionByRange(*g, "_chunk").sortWithinPartitions(*g, "_chunk")
     else:
-        sized = df.select(*g, rec, F.monotonically_increasing_id().alias("_row"))
+        equal = df.select(*g, rec).groupBy(*g, "_rec").agg(F.count(F.lit(1)).alias("_copies"))
         if g:
-            sized = sized.join(sized.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")), g)
-            n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_records)))
-            # with a row number, else a record repeated very often is one chunk
-            sized = sized.withColumn("_chunk", F.pmod(F.xxhash64("_rec", F.col("_row") % 64), n_chunks))
-            docs = sized.groupBy(*g, "_chunk").agg(F.array_sort(F.collect_list("_rec")).alias("_recs"))
-        else:  # each task cuts its own rows, by their numbers in it
-            sized = sized.select("_rec", F.shiftright("_row", 33).alias("_task"),
-                                 F.floor(F.col("_row").bitwiseAND((1 << 33) - 1) / F.lit(max_records)).alias("_chunk"))
-            docs = sized.groupBy("_task", "_chunk").agg(F.array_sort(F.collect_list("_rec")).alias("_recs"))
+            sizes = equal.groupBy(*g).agg(F.sum("_copies").alias("_n"))
+            equal = equal.join(bounded_broadcast(sizes), g)
+        else:
+            equal = equal.withColumn("_n", F.lit(df.count()))
+        n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_records)))
+        each = equal.select(*g, "_rec", n_chunks.alias("_chunks"), F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
+        each = each.withColumn("_chunk", F.pmod(F.xxhash64("_rec", F.col("_copy")), F.col("_chunks")))
+        docs = each.groupBy(*g, "_chunk").agg(F.array_sort(F.collect_list("_rec")).alias("_recs"))
     body = F.concat(F.lit('{"meta":' + json.dumps(meta) + ',"data":['), F.array_join("_recs", ","), F.lit("]}"))
     docs.select(body.alias("value")).write.mode("append").option("compression", "none").text(pending_dir)
     _rename_json(spark, pending_dir)

@@ -50,7 +50,7 @@ def readable_history(hist: DataFrame, items: DataFrame, inv: DataFrame) -> DataF
 def host_item_catalog(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int,
                       lookback_s: int = 7 * DAY) -> DataFrame:
     """Per host and item: samples and last sample time over the look-back."""
-    h = within(hist, as_of - lookback_s)
+    h = within(hist, None if lookback_s is None else as_of - lookback_s)
     # aggregate the big side first (partial aggregation), then attach names
     g = h.groupBy("hostid", "itemid", "value_type").agg(
         F.count(F.lit(1)).alias("sample_count"), F.max("clock").alias("_last"))
@@ -79,7 +79,7 @@ def value_type_distribution(hist: DataFrame, items: DataFrame) -> DataFrame:
 def host_density(hist: DataFrame, inv: DataFrame, as_of: int, lookback_s: int = DAY,
                  top: int = 50) -> DataFrame:
     """Distinct items, samples and last sample per host over the look-back; top ``top``."""
-    h = within(hist, as_of - lookback_s)
+    h = within(hist, None if lookback_s is None else as_of - lookback_s)
     per_item = h.groupBy("hostid", "itemid").agg(F.count(F.lit(1)).alias("n"), F.max("clock").alias("m"))
     g = per_item.groupBy("hostid").agg(F.count(F.lit(1)).alias("distinct_items"),
                                        F.sum("n").alias("samples_24h"), F.max("m").alias("_last"))
@@ -92,7 +92,7 @@ def host_density(hist: DataFrame, inv: DataFrame, as_of: int, lookback_s: int =
 
 
 def noisy_items(hist: DataFrame, items: DataFrame, as_of: int, lookback_s: int = DAY, top: int = 30) -> DataFrame:
-    h = within(hist, as_of - lookback_s)
+    h = within(hist, None if lookback_s is None else as_of - lookback_s)
     g = h.groupBy("itemid").agg(F.count(F.lit(1)).alias("n"))
     it = items.select(F.col("itemid").alias("_itxt"), F.col("name").alias("item_name"),
                       F.col("key_").alias("item_key"), "units")
@@ -106,7 +106,7 @@ def noisy_items(hist: DataFrame, items: DataFrame, as_of: int, lookback_s: int =
 def collection_volume(hist: DataFrame, as_of: int, lookback_s: int = 30 * DAY, width: int = 300,
                       hostid: int | None = None) -> DataFrame:
     """Samples per ``width``-second bucket (per host; one host when ``hostid`` is set)."""
-    h = within(hist, as_of - lookback_s)
+    h = within(hist, None if lookback_s is None else as_of - lookback_s)
     if hostid is not None:
         h = h.where(F.col("hostid") == F.lit(hostid))
     b = F.expr(f"clock div {int(width)}") * width
@@ -116,7 +116,7 @@ def collection_volume(hist: DataFrame, as_of: int, lookback_s: int = 30 * DAY, w
 
 def series_summary(hist: DataFrame, as_of: int, lookback_s: int = 30 * DAY) -> DataFrame:
     """Legend reductions per numeric series: last, max, mean of the guarded value."""
-    h = within(hist, as_of - lookback_s) \
+    h = within(hist, None if lookback_s is None else as_of - lookback_s) \
         .select("hostid", "itemid", "clock", "ns", safe_numeric_typed("value", "value_type").alias("v")) \
         .where(F.col("v").isNotNull())
     return h.groupBy("hostid", "itemid").agg(
@@ -221,7 +221,9 @@ def disk_volume(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int, l
           .join(ah, "hostid")
           .select(F.col("itemid").try_cast("bigint").alias("itemid_num"),
                   F.when(K.any_like("key_", K.DISK_UTIL_PATTERNS), F.lit("util")).otherwise(F.lit("other")).alias("role_class")))
-    h = within(hist, as_of - lookback_s)
+    h = within(hist, None if lookback_s is None else as_of - lookback_s)
+    # only the disk items' rows are counted; item_row_counts gives the others 0
+    h = h.join(bounded_broadcast(di.select(F.col("itemid_num").alias("itemid")).distinct()), "itemid", "left_semi")
     per = item_row_counts(di, h, item_key="itemid_num", hist_key="itemid")
     return per.groupBy("role_class").agg(F.count(F.lit(1)).alias("item_count"), F.sum("n").alias("rows_1d"))
 

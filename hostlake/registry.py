@@ -15,7 +15,7 @@ from .plans import reports as R
 from .sources import testbind as tb
 
 DAY = 86_400
-ALL_DAYS = 31 * DAY  # longer than the test data span: whole tables
+ALL_DAYS = None  # no bound: whole tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -1023,9 +1023,89 @@ def q_load_mixed_documents(spark, sf_dir):
 
 @register("load_budgeted")
 def q_load_budgeted(spark, sf_dir):
-    """All documents loaded in batches of two files under a time budget, as plain appends."""
+    """All documents loaded in runs whose time is spent after one batch of two files, until no file is deferred."""
     cu = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select("c_custkey", "c_name").repartition(6, "c_custkey")
     pending, lake = scratch_dir(spark, "pending"), scratch_dir(spark, "lake")
     SK.write_staged(cu, pending, "cust", "copy", column_types={"c_custkey": "BIGINT"}, add_updated_at=False, max_records=100)
-    SK.load_pending_budgeted(spark, pending, lake, time_budget_s=3600, files_per_batch=2)
+    while SK.load_summary(SK.load_pending_budgeted(spark, pending, lake, time_budget_s=0, files_per_batch=2)).first().deferred:
+        pass
     return SK.read_table(spark, lake, "cust")
+
+
+@register("load_failures")
+def q_load_failures(spark, sf_dir):
+    """Files that always fail come first by name, one batch holds two files, and the table's latest values can't be kept
+    (it lacks their columns): two runs. Rows of the table whose documents failed late (none may stay), rows of the good
+    table (each once), and the documents by table, status and number of tries."""
+    cu = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select("c_custkey", "c_name")
+    pending, lake = scratch_dir(spark, "pending"), scratch_dir(spark, "lake")
+    bad = spark.range(4).select(F.lit('{"meta":{"method":"copy"},"data":[{"a":"1"}]}').alias("value")).repartition(4)
+    bad.write.mode("append").text(pending)
+    SK._rename_json(spark, pending)
+    SK.write_staged(cu.repartition(2), pending, "late", "copy", column_types={"c_custkey": "BIGINT"}, add_updated_at=False, max_records=1000)
+    SK.write_staged(cu.repartition(3), pending, "good", "copy", column_types={"c_custkey": "BIGINT"}, add_updated_at=False, max_records=1000)
+    for _ in range(2):
+        SK.load_pending_budgeted(spark, pending, lake, time_budget_s=3600, files_per_batch=2, latest_tables=["late"])
+    late, good = SK.read_table(spark, lake, "late"), SK.read_table(spark, lake, "good")
+    out = good.select(F.lit("good").alias("part"), "c_custkey", "c_name").unionByName(late.select(F.lit("late").alias("part"), "c_custkey", "c_name"))
+    led = SK.read_ledger(spark, lake).groupBy(F.coalesce("table", F.lit("none")).alias("t"), "file_path", "doc_pos", "status").agg(F.count("*").alias("tries"))
+    led = led.groupBy("t", "status", "tries").agg(F.count("*").alias("n")).where("t != 'good' OR status != 'ok' OR tries != 1")
+    # of the late table only whether its documents were all tried in both runs: their number follows the hash chunks
+    led = led.select(F.concat_ws(" ", "t", "status", F.col("tries").cast("string")).alias("part"),
+                     F.when(F.col("t") == "none", F.col("n")).cast("bigint").alias("c_custkey"), F.lit(None).cast("string").alias("c_name"))
+    return out.unionByName(led)
+
+
+@register("load_rates")
+def q_load_rates(spark, sf_dir):
+    """Rows by table and method of a run with their rate (any rate above 0), and of the whole run."""
+    cu = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select("c_custkey", "c_name")
+    pending, lake = scratch_dir(spark, "pending"), scratch_dir(spark, "lake")
+    for table in ("a", "b"):
+        SK.write_staged(cu, pending, table, "copy", column_types={"c_custkey": "BIGINT"}, add_updated_at=False, max_records=1000)
+    rates = SK.load_rates(SK.load_pending(spark, pending, lake))
+    return rates.select("table", "method", "rows", (F.col("rows_per_s") > 0).alias("has_rate"))
+
+
+@register("disk_report_partitioned")
+def q_disk_report_partitioned(spark, sf_dir):
+    """Disk report (nearest IO) over the day-partitioned history: latest capacity by descent over its days."""
+    lk, path = _partitioned_history(spark, sf_dir)
+    return R.disk_report(spark.read.parquet(path), lk.items, lk.inv, lk.as_of, lookback_s=ALL_DAYS, match="nearest")
+
+
+@register("capacity_last_partitioned")
+def q_capacity_last_partitioned(spark, sf_dir):
+    """Latest sample of every capacity item, days read newest first until all items are met."""
+    lk, path = _partitioned_history(spark, sf_dir)
+    return R.capacity_last(spark.read.parquet(path), _cap_items(lk))
+
+
+@register("stream_two_checkpoints")
+def q_stream_two_checkpoints(spark, sf_dir):
+    """Two streams with checkpoints of their own over one output folder: halves of history, then both are there; window
+    counts of both halves merged into one table, and a stream begun anew over the first half changes nothing there."""
+    lk, out, lake = Lake(spark, sf_dir), scratch_dir(spark, "out"), scratch_dir(spark, "lake")
+    for half in (0, 1):
+        src = scratch_dir(spark, "half")
+        lk.hist.where(F.pmod("hostid", F.lit(2)) == half).repartition(4).write.mode("overwrite").parquet(src)
+        _await(ST.stream_history_dedup(spark, src, out, scratch_dir(spark, "ckpt"), watermark="40 days", max_files_per_trigger=2))
+        for _ in range(2 - half):
+            _await(ST.stream_volume(spark, src, f"{lake}/volume", scratch_dir(spark, "ckpt"), watermark="40 days"))
+    rows = spark.read.parquet(out).groupBy("hostid").agg(F.count("*").alias("rows"))
+    volume = SK.read_table(spark, lake, "volume").groupBy("hostid").agg(F.sum("samples").alias("samples"))
+    return rows.join(volume, "hostid", "full").select("hostid", "rows", "samples")
+
+
+@register("stream_source_archived")
+def q_stream_source_archived(spark, sf_dir):
+    """After a stream has loaded staged documents: files left in its folder, and rows by what the archive's files hold."""
+    from .sources import staged as SG
+    cu = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select("c_custkey", "c_name")
+    pending, lake, done = scratch_dir(spark, "pending"), scratch_dir(spark, "lake"), scratch_dir(spark, "done")
+    SK.write_staged(cu.repartition(4), pending, "cust", "copy", column_types={"c_custkey": "BIGINT"}, add_updated_at=False, max_records=500)
+    _await(ST.stream_load_pending(spark, pending, lake, scratch_dir(spark, "ckpt"), max_files_per_trigger=2))
+    ST.archive_loaded(spark, pending, lake, done)
+    left = len(SG.list_pending(spark, pending)[0])
+    docs = SG.parse_envelope(SG.read_staged(spark, done))
+    return docs.agg(F.sum(F.size("records")).cast("bigint").alias("archived_rows")).select(F.lit(left).alias("files_left"), "archived_rows")

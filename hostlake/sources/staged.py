@@ -2,18 +2,22 @@
 
 A staged file holds one JSON document, or one document per line (which is
 what a Spark writer produces); hidden / ``_``-prefixed / ``.tmp`` files never
-match the ``*.json`` glob. Every step is a per-row expression; nothing is
-parsed on the driver.
+match the ``*.json`` glob. Files of one document per line are read as lines, so
+a large file is many tasks; only pretty-printed documents are read whole. Every
+step is a per-row expression; the driver looks at the first line of each file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs as FS
 from ..functions.scalars import allow_duplicate_json_keys, json_map
+from ..session import ensure_checkpoint_dir
 
 META_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
@@ -44,42 +48,88 @@ SQL_TYPES = {
 def read_staged(spark: SparkSession, pending_dir: str, files: list[str] | None = None) -> DataFrame:
     """One row per staged document: (file_path, doc_pos, doc).
 
-    ``files`` restricts the scan to an explicit (e.g. oldest-first, bounded)
-    list of paths.
+    ``files`` restricts the scan to an explicit (e.g. bounded) list of paths. A file whose first line is a whole
+    object holds a document per line: its lines are read in splits, and doc_pos is a line's number among the file's
+    lines that are not blank, whatever the splits were. Any other file is one document.
     """
     allow_duplicate_json_keys(spark)
-    reader = spark.read.option("pathGlobFilter", "*.json")
-    raw = reader.text(files if files else pending_dir, wholetext=True)
-    raw = raw.select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("file_path"))
-    # one document per line when there are several lines and the first is a whole
-    # object; otherwise the file is one (possibly pretty-printed) document
-    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    first_obj = F.try_variant_get(F.try_parse_json(F.element_at(lines, 1)), "$", "struct<>").isNotNull()
-    per_line = (F.size(lines) > 1) & F.coalesce(first_obj, F.lit(False))
-    docs = F.when(per_line, lines).otherwise(F.array("text"))
-    return raw.select("file_path", F.posexplode(docs).alias("doc_pos", "doc"))
-
-
-def list_pending(spark: SparkSession, pending_dir: str, max_files: int | None = None,
-                 finished: DataFrame | None = None) -> tuple[list[str], int]:
-    """(pending ``*.json`` files in name order, number of files left for a later run).
-
-    Files named in ``finished`` (file_path) are left out; of the others at most ``max_files`` are taken. A folder that
-    is not there has no files; other errors are raised."""
+    if files is None:
+        files = [path for path, name, is_dir, _ in FS.list_dir(spark, pending_dir) if not is_dir and is_staged(name)]
+    by_line = [f for f in files if _one_per_line(FS.first_line(spark, f))]
+    whole = sorted(set(files) - set(by_line))
+    docs = []
+    if by_line:
+        docs.append(_numbered(read_lines(spark, by_line)))
+    if whole:
+        docs.append(spark.read.text(whole, wholetext=True).select(
+            F.col("_metadata.file_path").alias("file_path"), F.lit(0).alias("doc_pos"), F.col("value").alias("doc")))
+    if not docs:
+        return spark.createDataFrame([], "file_path string, doc_pos int, doc string")
+    return docs[0] if len(docs) == 1 else docs[0].unionByName(docs[1])
+
+
+def is_staged(name: str) -> bool:
+    return name.endswith(".json") and name[0] not in "._"
+
+
+def _one_per_line(first: str | None) -> bool:
+    """Whether a file with this first line has a document per line. A first line that is longer than what was looked
+    at is one: a pretty-printed document breaks its line early."""
+    if first is None:
+        return True
+    try:
+        return isinstance(json.loads(first), dict)
+    except ValueError:
+        return False
+
+
+def read_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file_path, block, value) of the lines that are not blank; block: where the split of the file begins."""
+    raw = spark.read.text(files, lineSep="\n").select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"))
+    return raw.where(F.trim("value") != "")
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines with their number in the file. Checkpointed first: splits may fall otherwise when a scan is repeated (they
+    depend on the cores at hand), the numbers don't, as each split's lines are counted as they were read."""
+    ensure_checkpoint_dir(lines.sparkSession)
+    lines = lines.withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    blocks = lines.groupBy("file_path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
+    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("file_path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    # one row per split of the scan
+    placed = lines.join(F.broadcast(offsets), ["file_path", "block"])
+    return placed.select("file_path", (F.col("offset") + F.col("row") - F.col("first")).cast("int").alias("doc_pos"), F.col("value").alias("doc"))
+
+
+def list_pending(spark: SparkSession, pending_dir: str, max_files: int | None = None, tried: DataFrame | None = None,
+                 leave_out: frozenset[str] = frozenset()) -> tuple[list[str], int]:
+    """(pending ``*.json`` files, number of files left for a later run).
+
+    ``tried`` (file_path, tries, done): finished files are left out, and files that failed come after those that failed
+    less often, by name among equals, so failing files never keep others waiting. Files in ``leave_out`` (normalised
+    paths) are neither taken nor counted. At most ``max_files`` are taken. A folder that is not there has no files."""
     if not FS.exists(spark, pending_dir):
         return [], 0
-    files = sorted(path for path, name, is_dir, _ in FS.list_dir(spark, pending_dir)
-                   if not is_dir and name.endswith(".json") and name[0] not in "._")
-    if finished is not None and files:
-        # only the listed files are matched against the (ever-growing) ledger
-        listed = spark.createDataFrame([(f, _norm_path(f)) for f in files], "f string, n string")
-        done_n = finished.select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("n"))
-        gone = {r.f for r in listed.join(done_n, "n", "left_semi").collect()}
-        files = [f for f in files if f not in gone]
+    files = sorted(path for path, name, is_dir, _ in FS.list_dir(spark, pending_dir) if not is_dir and is_staged(name))
+    files = [f for f in files if _norm_path(f) not in leave_out]
+    if tried is not None and files:
+        # the (ever-growing) ledger is cut to the listed files; one row per such file comes back
+        listed = spark.createDataFrame([(_norm_path(f),) for f in files], "n string")
+        known = tried.withColumn("n", normal_path("file_path")).join(F.broadcast(listed), "n", "left_semi")
+        state = {r.n: r for r in known.groupBy("n").agg(F.max("tries").alias("tries"), F.min("done").alias("done")).collect()}
+        files = [f for f in files if not (_norm_path(f) in state and state[_norm_path(f)].done)]
+        files.sort(key=lambda f: (state[_norm_path(f)].tries if _norm_path(f) in state else 0, f))
     take = files if max_files is None else files[:max_files]
     return take, len(files) - len(take)
 
 
+def normal_path(c: str) -> Column:
+    """The column form of ``_norm_path``."""
+    return F.regexp_replace(c, "^file:/+", "file:/")
+
+
 def _norm_path(p: str) -> str:
     """'file:///x' and 'file:/x' name the same file."""
     return "file:/" + p[len("file:"):].lstrip("/") if p.startswith("file:") else p

@@ -3,8 +3,8 @@
 * ``stream_load_pending``  - staged documents arriving in a folder, loaded
   batch by batch with the declared write method (``foreachBatch``), keeping
   ``latest_values`` current. Replays are safe: documents already in the
-  ledger are skipped, if-absent writes are anti-joins, upserts write a
-  snapshot named after the batch id.
+  ledger are skipped, if-absent writes are anti-joins, a batch that upserted
+  before is read and changes nothing.
 * ``stream_agent_metrics`` - archived agent payloads -> normalise -> route ->
   fan-out to the agent tables, unmapped records, quarantine, JSON lines and
   any extra sinks; a failing write quarantines the batch's requests.
@@ -31,6 +31,7 @@ from ..functions import agent_mapping as AM
 from ..functions.scalars import date_parts
 from ..operators import normalize as N
 from ..operators import sinks as SK
+from ..sources import staged as S
 
 
 def _trigger(writer, available_now: bool, interval: str):
@@ -45,36 +46,48 @@ def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     return FS.read_text(spark, path)
 
 
-def staged_stream(spark: SparkSession, pending_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
-    """Streaming staged documents ``(file_path, doc_pos, doc)``, oldest files first."""
-    raw = (spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", "*.json")
-           .option("maxFilesPerTrigger", max_files_per_trigger).option("latestFirst", "false")
-           .load(pending_dir)
-           .select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("file_path")))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    first_obj = F.try_variant_get(F.try_parse_json(F.element_at(lines, 1)), "$", "struct<>").isNotNull()
-    docs = F.when((F.size(lines) > 1) & F.coalesce(first_obj, F.lit(False)), lines).otherwise(F.array("text"))
-    return raw.select("file_path", F.posexplode(docs).alias("doc_pos", "doc"))
+def staged_files(spark: SparkSession, pending_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
+    """Streaming paths of staged files, oldest first. Contents are not read by the stream: a batch is the list of its
+    files (kept by the checkpoint), which the batch scan then reads in splits."""
+    schema = "path string, modificationTime timestamp, length bigint, content binary"  # of this source, always
+    return (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.json")
+            .option("maxFilesPerTrigger", max_files_per_trigger).option("latestFirst", "false")
+            .load(pending_dir).select("path"))
 
 
 def stream_load_pending(spark: SparkSession, pending_dir: str, lake: str, checkpoint: str,
                         max_files_per_trigger: int = 100, available_now: bool = True,
                         interval: str = "5 minutes", partition_tables: dict[str, str] | None = None,
                         latest_tables=()):
-    """Continuous staged-file loader; returns the StreamingQuery. The batch id passed on is made of the checkpoint's
+    """Continuous staged-file loader; returns the StreamingQuery (``archive_loaded`` then moves loaded files out). The batch id passed on is made of the checkpoint's
     own id and the stream's batch number (both stable across restarts from the checkpoint, and a new checkpoint never
     repeats an old one's), so a replayed batch replaces what it wrote before."""
     own = _checkpoint_id(spark, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        SK.load_docs(batch.sparkSession, batch, lake, f"stream-{own}-{batch_id}", partition_tables,
+        s = batch.sparkSession
+        files = sorted(r[0] for r in batch.collect())  # at most max_files_per_trigger paths
+        SK.load_docs(s, S.read_staged(s, pending_dir, files), lake, f"stream-{own}-{batch_id}", partition_tables,
                      latest_tables=latest_tables)
 
-    w = staged_stream(spark, pending_dir, max_files_per_trigger).writeStream.foreachBatch(load) \
+    w = staged_files(spark, pending_dir, max_files_per_trigger).writeStream.foreachBatch(load) \
         .option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
 
+def archive_loaded(spark: SparkSession, pending_dir: str, lake: str, archive_dir: str) -> list[str]:
+    """Moves the files whose documents are all loaded (by the ledger) out of ``pending_dir``; their paths.
+
+    For a stream that has ended, or before one is started: a running one may still have to repeat its last batch."""
+    if not FS.exists(spark, pending_dir):
+        return []
+    files = [path for path, name, is_dir, _ in FS.list_dir(spark, pending_dir) if not is_dir and S.is_staged(name)]
+    left, _ = S.list_pending(spark, pending_dir, tried=SK._documents(spark, lake))
+    gone = sorted(set(files) - set(left))
+    FS.move_into(spark, gone, archive_dir)
+    return gone
+
+
 def payload_stream(spark: SparkSession, archive_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
     """Streaming payload rows from an archive written by ``archive_raw`` (Parquet, y/m/d)."""
     schema = "request_id string, received_at timestamp_ntz, raw_payload_ref string, body string, y string, m string, d string"
@@ -85,23 +98,27 @@ def payload_stream(spark: SparkSession, archive_dir: str, max_files_per_trigger:
 def stream_agent_metrics(spark: SparkSession, archive_dir: str, lake: str, checkpoint: str, strict: bool = False,
                          available_now: bool = True, interval: str = "1 minute",
                          max_files_per_trigger: int = 100, jsonl_dir: str | None = None,
-                         extra_sinks=()):
+                         extra_sinks=(), mapping: dict | None = None, identity=None):
     """Archive -> normalise -> route -> agent tables, unmapped records, quarantine
     (+ JSON lines, + any ``extra_sinks`` ``(accepted_df, batch_id) -> None``).
 
-    Every folder is written per batch id and overwritten on replay, so a retried
-    batch leaves no duplicates. When a table write fails, the batch's requests
+    Every folder is written per batch (the checkpoint's own id and the batch number)
+    and overwritten on replay, so a retried batch leaves no duplicates and another
+    checkpoint over the same output overwrites nothing. ``mapping`` and ``identity``
+    (a Column: the record is identified) replace the packaged ones. When a table write fails, the batch's requests
     are quarantined as ``sink_write_failed`` with the error text (their raw
     bodies stay in the archive for replay) and the stream goes on.
     """
-    mapping = AM.load_mapping()
+    mapping = AM.load_mapping() if mapping is None else mapping
     tables = sorted(set(AM.class_tables(mapping).values()))
+    own = _checkpoint_id(spark, checkpoint)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def sink(batch: DataFrame, number: int) -> None:
+        batch_id = f"{own}-{number}"
         norm = N.normalize(batch, mapping).persist()
         bodies = batch.select("request_id", "received_at", "raw_payload_ref", F.col("body").alias("raw_body"))
         try:
-            accepted, quarantined = N.route(norm, strict=strict)
+            accepted, quarantined = N.route(norm, strict=strict, identity=identity)
             try:
                 for t in tables:
                     rows = N.to_table_rows(accepted, t, mapping)
@@ -109,7 +126,7 @@ def stream_agent_metrics(spark: SparkSession, archive_dir: str, lake: str, check
                 N.unmapped_rows(accepted, mapping).write.mode("overwrite") \
                     .parquet(f"{lake}/opsb_agent_unmapped/data/batch_id={batch_id}")
                 for extra in extra_sinks:
-                    extra(accepted, batch_id)
+                    extra(accepted, number)
                 if jsonl_dir:
                     SK.write_jsonl(accepted.drop("parse_error"), f"{jsonl_dir}/batch_id={batch_id}")
             except Exception as exc:  # noqa: BLE001 - keep the stream alive, the archive allows replay
@@ -133,8 +150,9 @@ def stream_volume(spark: SparkSession, history_dir: str, out_table: str, checkpo
                   width: str = "5 minutes", watermark: str = "10 minutes", available_now: bool = True,
                   interval: str = "1 minute", max_files_per_trigger: int = 100):
     """Samples per host and tumbling window, watermark-bounded state, merged by
-    (hostid, window start) into ``out_table`` (Parquet snapshots)."""
+    (hostid, window start) into ``out_table``; only touched key buckets are rewritten."""
     schema = "itemid bigint, hostid bigint, clock bigint, ns int, value string, value_type smallint"
+    own = _checkpoint_id(spark, checkpoint)
     h = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(history_dir)
     agg = (h.withColumn("ts", F.timestamp_seconds("clock"))
            .withWatermark("ts", watermark)
@@ -150,7 +168,7 @@ def stream_volume(spark: SparkSession, history_dir: str, out_table: str, checkpo
                             {"hostid": "bigint", "bucket_clock": "bigint", "samples": "bigint"},
                             key=["hostid", "bucket_clock"], add_updated_at=False)
         b = batch.select(F.lit("b").alias("_file"), F.lit(batch_id).alias("_doc"), F.lit(0).alias("_pos"), "*")
-        SK.write_upsert(s, b, lake, table, ["hostid", "bucket_clock"], batch_id=f"vol-{batch_id}")
+        SK.write_upsert(s, b, lake, table, ["hostid", "bucket_clock"], batch_id=f"vol-{own}-{batch_id}")
 
     w = agg.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -177,14 +195,15 @@ def stream_history_dedup(spark: SparkSession, history_dir: str, out_path: str, c
     """History rows (overlapping fetch windows) de-duplicated by (itemid, clock, ns)
     with bounded state: a copy arriving later than ``watermark`` behind the newest
     sample is dropped, like a value the collector's overlap no longer re-reads.
-    Output is appended per batch id (overwrite on replay)."""
+    Output is appended per batch (the checkpoint's own id and the batch number; overwritten on replay)."""
     schema = "itemid bigint, hostid bigint, clock bigint, ns int, value string, value_type smallint"
+    own = _checkpoint_id(spark, checkpoint)
     h = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(history_dir)
     d = (h.withColumn("ts", F.timestamp_seconds("clock")).withWatermark("ts", watermark)
          .dropDuplicatesWithinWatermark(["itemid", "clock", "ns"]).drop("ts"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={own}-{batch_id}")
 
     w = d.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()

@@ -273,8 +273,7 @@ def test_missing_folder_and_lost_data(spark, scratch):
         SK.write_upsert(spark, df.withColumn("a", F.lit(str(i))), lake, "u", ["k"], batch_id=str(i))
         SK.write_upsert(spark, df.withColumn("a", F.lit("again")), lake, "u", ["k"], batch_id=str(i))
     assert rows(spark, lake, "u", "k", "a") == [("1", "5")]
-    kept = [d for d in os.listdir(f"{lake}/u".replace("file:", "")) if d.startswith("snap-")]
-    assert sorted(kept) == ["snap-3", "snap-4", "snap-5"]
+    assert os.listdir(f"{lake}/u/_merge".replace("file:", "")) == []
 
 
 def test_ordered_documents_keep_the_last_row(spark, scratch):
@@ -298,3 +297,152 @@ def test_copies_that_are_there_are_counted(spark, scratch):
     assert ledger(SK.load_pending(spark, p, lake))[("1.json", 0)] == ("ok", None, 3, 2)
     put(p, "2.json", {"meta": HIST_META, "data": [row]})
     assert ledger(SK.load_pending(spark, p, lake))[("2.json", 0)] == ("ok", None, 1, 0)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([("f", 0, i, k, a) for i, (k, a) in enumerate(rows)], "_file string, _doc int, _pos int, k string, a string")
+
+
+def test_an_upsert_rewrites_touched_buckets_only(spark, scratch, monkeypatch):
+    lake = scratch("lake")
+    home = f"{lake}/u".replace("file:", "")
+    SK.ensure_table(spark, lake, "u", ["k", "a"], {}, key=["k"], add_updated_at=False, buckets=8)
+    SK.write_upsert(spark, frame(spark, [(str(i), "old") for i in range(200)]), lake, "u", ["k"], "first")
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{home}/rows") for f in fs if f.endswith(".parquet")}
+    before = files()
+    assert len({os.path.dirname(f) for f in before}) == 8
+    SK.write_upsert(spark, frame(spark, [("7", "new")]), lake, "u", ["k"], "second")
+    after = files()
+    assert len({os.path.dirname(f) for f, _ in set(before.items()) ^ set(after.items())}) == 1
+    want = sorted((str(i), "new" if i == 7 else "old") for i in range(200))
+    assert rows(spark, lake, "u", "k", "a") == want
+    # a repeated batch is read (a stateful stream needs it) and changes nothing
+    seen = spark.sparkContext.accumulator(0)
+    again = frame(spark, [("7", "again")])
+    watched = spark.createDataFrame(again.rdd.map(lambda r: (seen.add(1), r)[1]), again.schema)
+    assert SK.write_upsert(spark, watched, lake, "u", ["k"], "second") is False
+    assert seen.value == 1 and files() == after
+    # a run that stopped while it replaced buckets is completed from what it had merged
+    real = SK.FS.write_text
+
+    def crash(spark, path, text):
+        if "/_applied/" in path:
+            raise KeyboardInterrupt
+        return real(spark, path, text)
+    with monkeypatch.context() as m:
+        m.setattr(SK.FS, "write_text", crash)
+        with pytest.raises(KeyboardInterrupt):
+            SK.write_upsert(spark, frame(spark, [("8", "third"), ("900", "third")]), lake, "u", ["k"], "third")
+    import shutil
+    gone = next(d for d in os.listdir(f"{home}/rows") if d in os.listdir(f"{home}/_merge/third"))
+    shutil.move(f"{home}/rows/{gone}", scratch("away").replace("file:", ""))
+    SK.write_upsert(spark, frame(spark, [("8", "third"), ("900", "third")]), lake, "u", ["k"], "third")
+    assert dict(rows(spark, lake, "u", "k", "a")) == {**dict(want), "8": "third", "900": "third"}
+
+
+def test_rows_that_were_appended_are_upserted(spark, scratch):
+    lake = scratch("lake")
+    SK.ensure_table(spark, lake, "u", ["k", "a"], {}, key=["k"], add_updated_at=False)
+    SK.write_append(spark, frame(spark, [("1", "a"), ("2", "b")]), lake, "u", "x")
+    SK.write_upsert(spark, frame(spark, [("2", "B"), ("3", "c")]), lake, "u", ["k"], "y")
+    assert rows(spark, lake, "u", "k", "a") == [("1", "a"), ("2", "B"), ("3", "c")]
+    SK.write_append(spark, frame(spark, [("4", "d")]), lake, "u", "z")
+    assert rows(spark, lake, "u", "k", "a") == [("1", "a"), ("2", "B"), ("3", "c"), ("4", "d")]
+    SK.write_upsert(spark, frame(spark, [("4", "D")]), lake, "u", ["k"], "w")
+    assert rows(spark, lake, "u", "k", "a") == [("1", "a"), ("2", "B"), ("3", "c"), ("4", "D")]
+
+
+def test_a_late_failure_leaves_no_rows_and_doubles_none(spark, scratch, monkeypatch):
+    from hostlake.operators import latest as LV
+    p, lake = scratch("p"), scratch("lake")
+    plain = {k: v for k, v in HIST_META.items() if k != "conflict_target"}
+    row = {"itemid": "1", "clock": "10", "ns": "0", "value": "x", "hostid": "1", "value_type": "0"}
+    put(p, "a.json", {"meta": plain, "data": [row]})
+    with monkeypatch.context() as m:
+        def down(*a, **k):
+            raise RuntimeError("latest is down")
+        m.setattr(LV, "update_latest", down)
+        for _ in range(2):
+            led = ledger(SK.load_pending(spark, p, lake, latest_tables=["h"]))
+            assert led[("a.json", 0)][0] == "error" and "latest is down" in led[("a.json", 0)][1]
+            assert SK.read_table(spark, lake, "h").count() == 0
+    assert ledger(SK.load_pending(spark, p, lake, latest_tables=["h"]))[("a.json", 0)] == ("ok", None, 1, 1)
+    assert SK.read_table(spark, lake, "h").count() == 1 and LV.latest_rows(spark, lake).count() == 1
+
+
+def test_failing_files_keep_no_others_waiting(spark, scratch):
+    p, lake = scratch("p"), scratch("lake")
+    for n in "ab":
+        put(p, f"{n}.json", {"meta": {"method": "copy"}, "data": [{"a": "1"}]})
+    for n in "cde":
+        put(p, f"{n}.json", {"meta": {"table": "t", "method": "copy", "add_updated_at": False}, "data": [{"a": n}]})
+    led = SK.load_pending_budgeted(spark, p, lake, 3600, files_per_batch=2)
+    assert SK.load_summary(led).first()[:3] == (3, 2, 0) and rows(spark, lake, "t", "a") == [("c",), ("d",), ("e",)]
+    # with a run's time spent after one batch, files that failed come last
+    put(p, "z.json", {"meta": {"table": "t", "method": "copy", "add_updated_at": False}, "data": [{"a": "z"}]})
+    led = SK.load_pending_budgeted(spark, p, lake, 0, files_per_batch=1)
+    assert [os.path.basename(r.file_path) for r in led.collect()] == ["z.json"]
+    rates = SK.load_rates(SK.read_ledger(spark, lake)).collect()
+    assert {(r.table, r.documents, r.rows) for r in rates} == {("t", 4, 4), (None, 4, 4)} and all(r.rows_per_s > 0 for r in rates)
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, scratch):
+    from hostlake.sources import staged as S
+    p = scratch("p")
+    docs = [{"meta": {"table": "t"}, "data": [{"n": i, "pad": "x" * (i % 50)}]} for i in range(4000)]
+    lines = [json.dumps(d) for d in docs]
+    lines[7:7] = ["", "  "]
+    put(p, "big.json", None, raw="\n".join(lines) + "\n")
+    put(p, "one.json", {"meta": {"table": "t"}, "data": []})
+    put(p, "line.json", None, raw=json.dumps(docs[5]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        tasks = S.read_lines(spark, [f"{p}/big.json"]).rdd.getNumPartitions()
+        found = S.read_staged(spark, p).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tasks > 10
+    big = sorted((r.doc_pos, json.loads(r.doc)["data"][0]["n"]) for r in found if r.file_path.endswith("big.json"))
+    assert big == [(i, i) for i in range(4000)]
+    assert sorted((os.path.basename(r.file_path), r.doc_pos) for r in found if not r.file_path.endswith("big.json")) == [("line.json", 0), ("one.json", 0)]
+    assert sorted((r.doc_pos, r.doc) for r in S.read_staged(spark, p, [f"{p}/big.json"]).collect()) == sorted(
+        (r.doc_pos, r.doc) for r in found if r.file_path.endswith("big.json"))
+
+
+def test_stored_keys_are_read_within_the_bounds_of_the_batch(spark, scratch):
+    lake = scratch("lake")
+    cols = "itemid bigint, clock bigint, value string"
+    SK.ensure_table(spark, lake, "h", ["itemid", "clock", "value"], {"itemid": "bigint", "clock": "bigint"}, key=["itemid", "clock"], add_updated_at=False)
+    stored = spark.range(1000).selectExpr("id AS itemid", "id AS clock", "'s' AS value", "'f' AS _file", "0 AS _doc", "int(id) AS _pos")
+    SK.write_if_absent(spark, stored, lake, "h", ["itemid", "clock"], "one")
+    batch = spark.createDataFrame([(5, 5, "n"), (2000, 2000, "n")], cols).selectExpr("*", "'f' AS _file", "1 AS _doc", "0 AS _pos")
+    near = SK._near_keys(SK.read_table(spark, lake, "h"), batch, ["itemid", "clock"])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "GreaterThanOrEqual(itemid,5)" in pushed and "LessThanOrEqual(clock,2000)" in pushed and "In(itemid, [2000,5])" in pushed or "In(itemid, [5,2000])" in pushed
+    done = SK.write_if_absent(spark, batch, lake, "h", ["itemid", "clock"], "two")
+    assert [r.inserted for r in done.collect()] == [1]
+    failed = SK.write_insert(spark, batch.withColumn("_doc", F.lit(2)), lake, "h", ["itemid", "clock"], "three")
+    assert failed.count() == 1 and SK.read_table(spark, lake, "h").count() == 1001
+    assert SK._near_keys(SK.read_table(spark, lake, "h"), batch.limit(0), ["itemid"]).count() == 0
+
+
+def test_a_refused_move_keeps_all_rows(spark, scratch, monkeypatch):
+    from hostlake.operators import maintenance as MT
+    path = scratch("hist")
+    h = spark.range(400).selectExpr("id AS itemid", "id * 1000 AS clock").repartition(6)
+    MT.with_event_date(h).write.mode("overwrite").partitionBy("event_date").parquet(path)
+    real = MT.FS.rename
+
+    def refuse(spark, src, dst):
+        if "-compaction/new/" in src:
+            raise OSError("refused")
+        return real(spark, src, dst)
+    with monkeypatch.context() as m:
+        m.setattr(MT.FS, "rename", refuse)
+        with pytest.raises(OSError):
+            MT.compact(spark, path, as_of=10_000_000, older_than_days=1)
+    assert spark.read.parquet(path).count() == 400
+    assert MT.compact(spark, path, as_of=10_000_000, older_than_days=1) > 0 and spark.read.parquet(path).count() == 400
