@@ -33,6 +33,7 @@ def update_latest(spark: SparkSession, lake: str, batch: DataFrame, batch_id: st
     """Merge a history batch into ``<lake>/latest_values``; only the key buckets of its items are rewritten."""
     if SK.table_meta(spark, lake, TABLE) is None:
         SK.ensure_table(spark, lake, TABLE, COLUMNS, TYPES, key=KEY, add_updated_at=False)
+    batch = batch.select(*[F.col(c).cast(TYPES[c]).alias(c) for c in COLUMNS])
     SK.merge_rows(spark, lake, TABLE, KEY, reduce_latest(batch), lambda old, new: reduce_latest(old.unionByName(new)), batch_id)
 
 

@@ -419,9 +419,14 @@ def test_stored_keys_are_read_within_the_bounds_of_the_batch(spark, scratch):
     SK.write_if_absent(spark, stored, lake, "h", ["itemid", "clock"], "one")
     batch = spark.createDataFrame([(5, 5, "n"), (2000, 2000, "n")], cols).selectExpr("*", "'f' AS _file", "1 AS _doc", "0 AS _pos")
     near = SK._near_keys(SK.read_table(spark, lake, "h"), batch, ["itemid", "clock"])
-    plan = near._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = near._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = plan[plan.index("PushedFilters"):]
-    assert "GreaterThanOrEqual(itemid,5)" in pushed and "LessThanOrEqual(clock,2000)" in pushed and "In(itemid, [2000,5])" in pushed or "In(itemid, [5,2000])" in pushed
+    assert "GreaterThanOrEqual(itemid,5)" in pushed and "LessThanOrEqual(clock,2000)" in pushed
+    assert "In(itemid, [2000,5])" in pushed or "In(itemid, [5,2000])" in pushed
     done = SK.write_if_absent(spark, batch, lake, "h", ["itemid", "clock"], "two")
     assert [r.inserted for r in done.collect()] == [1]
     failed = SK.write_insert(spark, batch.withColumn("_doc", F.lit(2)), lake, "h", ["itemid", "clock"], "three")
