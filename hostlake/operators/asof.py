@@ -120,7 +120,7 @@ def nearest_join(
         known = known & F.col(c).isNotNull()
     payload = F.struct(*_cols(left_cols)) if left_cols else F.struct(F.lit(0).alias("_none"))
     # left rows of one clock lie behind its right rows, dealt by a hash of the row
-    deal = 1 + F.pmod(F.xxhash64(payload, F.rand(7)), F.lit((1 << _DEAL_BITS) - 1))
+    deal = 1 + F.pmod(F.xxhash64(payload), F.lit((1 << _DEAL_BITS) - 1))
     l_side = left.where(known).select(*_cols(by), F.col(clock), F.lit(0).alias("_is_r"), (place + deal).alias("_at"),
                                       *[F.lit(None).cast(right.schema[t].dataType).alias(f"_t{i}") for i, t in enumerate(tie)],
                                       payload.alias("_l"))
