@@ -7,12 +7,15 @@ explicit tie-break so the k rows are well defined.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify as K
 from ..functions.scalars import NUMERIC_VALUE_TYPES, clock_to_ntz, pct, safe_numeric_typed
 from ..operators.asof import item_row_counts, latest_by
+from ..operators.maintenance import with_event_date
 from ..session import Dimension, bounded_broadcast
 from ..sources.history import PARTITION_COL, within
 from .reports import group_hosts
@@ -91,6 +94,31 @@ def host_density(hist: DataFrame, inv: DataFrame, as_of: int, lookback_s: int =
             .limit(top))
 
 
+def density_sketches(hist: DataFrame, bits: int = 14) -> DataFrame:
+    """Per host and UTC day: a sketch of its distinct items (HyperLogLog, ``2 ** bits`` registers), samples, newest clock.
+
+    A small table to keep beside history, a day at a time: windows of any whole days come from it without reading
+    history again. A task sends one sketch per host and day it has, however many rows they are. NULL items aren't counted."""
+    h = with_event_date(hist)
+    return h.groupBy("event_date", "hostid").agg(F.hll_sketch_agg("itemid", F.lit(bits)).alias("items"),
+                                                 F.count(F.lit(1)).alias("samples"), F.max("clock").alias("last_clock"))
+
+
+def host_density_sketched(sketches: DataFrame, inv: DataFrame, days: int | None = None, as_of: int | None = None,
+                          top: int = 50) -> DataFrame:
+    """Distinct items (estimated; standard error about 0.8 % at 14 bits, exact while there are few), samples and last
+    sample per host over the last ``days`` UTC days up to that of ``as_of`` (all where None); top ``top``."""
+    if days is not None:
+        last = dt.datetime.fromtimestamp(as_of, dt.timezone.utc).date()
+        sketches = sketches.where(F.col("event_date").between(F.lit(last - dt.timedelta(days=days - 1)), F.lit(last)))
+    g = sketches.groupBy("hostid").agg(F.hll_sketch_estimate(F.hll_union_agg("items")).alias("distinct_items"),
+                                       F.sum("samples").alias("samples"), F.max("last_clock").alias("_last"))
+    hs = inv.select(F.col("hostid").alias("_htxt"), F.col("name").alias("host_name"))
+    j = g.join(hs, g["hostid"].cast("string") == hs["_htxt"], "left")
+    return (j.select("host_name", "hostid", "distinct_items", "samples", clock_to_ntz("_last").alias("last_sample"))
+            .orderBy(F.col("samples").desc(), F.col("hostid").asc(), F.col("host_name").asc_nulls_last()).limit(top))
+
+
 def noisy_items(hist: DataFrame, items: DataFrame, as_of: int, lookback_s: int = DAY, top: int = 30) -> DataFrame:
     h = within(hist, None if lookback_s is None else as_of - lookback_s)
     g = h.groupBy("itemid").agg(F.count(F.lit(1)).alias("n"))

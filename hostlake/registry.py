@@ -1109,3 +1109,24 @@ def q_stream_source_archived(spark, sf_dir):
     left = len(SG.list_pending(spark, pending)[0])
     docs = SG.parse_envelope(SG.read_staged(spark, done))
     return docs.agg(F.sum(F.size("records")).cast("bigint").alias("archived_rows")).select(F.lit(left).alias("files_left"), "archived_rows")
+
+
+@register("stream_ingest_lag")
+def q_stream_ingest_lag(spark, sf_dir):
+    """Lag of three sources followed by one stream: history, agent nodes by their own time and by receipt. The agent table is
+    the one that the agent stream writes; a second run of the query finds nothing new and changes nothing."""
+    src, lake, ck = _history_files(spark, sf_dir), scratch_dir(spark, "lake"), scratch_dir(spark, "ckpt")
+    archive, nodes = scratch_dir(spark, "raw"), f"{lake}/opsb_agent_node/data"
+    SK.archive_raw(PL.payloads(spark, sf_dir), archive)
+    _await(ST.stream_agent_metrics(spark, archive, lake, scratch_dir(spark, "ckpt"), strict=False))
+    for _ in range(2):
+        _await(ST.stream_ingest_lag(spark, src, nodes, f"{lake}/ingest_lag", ck, max_files_per_trigger=4))
+    return ST.ingest_lag(SK.read_table(spark, lake, "ingest_lag"), Lake(spark, sf_dir).as_of)
+
+
+@register("host_density_sketch")
+def q_host_density_sketch(spark, sf_dir):
+    """Busiest hosts of all days from stored daily sketches of their items."""
+    lk, path = Lake(spark, sf_dir), scratch_dir(spark, "sketches")
+    P.density_sketches(lk.hist).write.mode("overwrite").partitionBy("event_date").parquet(path)
+    return P.host_density_sketched(spark.read.parquet(path), lk.inv)

@@ -12,7 +12,9 @@
   history fetch windows.
 * ``stream_volume``        - samples per host and 5-minute window with a
   watermark (update mode, merged into a lake table).
-* ``stream_freshness``     - newest sample time per source (one-row state).
+* ``stream_freshness``     - newest sample time of history (one-row state).
+* ``stream_ingest_lag``    - newest record and rows per source over several streams
+  (a row of state per source, update mode, merged into a lake table).
 
 Every query takes a checkpoint location; with ``available_now=True`` it
 processes what is there (bounded by ``max_files_per_trigger`` per batch,
@@ -189,6 +191,46 @@ def stream_freshness(spark: SparkSession, history_dir: str, out_path: str, check
     return _trigger(w, available_now, interval).start()
 
 
+#: Types of the table that ``stream_ingest_lag`` keeps.
+LAG_TYPES = {"source": "string", "last_us": "bigint", "rows_seen": "bigint"}
+
+
+def stream_ingest_lag(spark: SparkSession, history_dir: str, node_dir: str, out_table: str, checkpoint: str,
+                      available_now: bool = True, interval: str = "1 minute", max_files_per_trigger: int = 100):
+    """Newest record and rows seen per source, of several streams in one query: history samples, agent node rows by their
+    own time and by the time they were received. State is a row per source; each batch merges the sources that changed
+    into ``out_table`` (``ingest_lag`` reads it). Rows without a time count as no rows; a source without rows has none here."""
+    history = (spark.readStream.schema("clock bigint").option("maxFilesPerTrigger", max_files_per_trigger).parquet(history_dir)
+               .select(F.lit("zabbix_history").alias("source"), (F.col("clock") * 1_000_000).alias("us")))
+    kinds = spark.read.parquet(node_dir).select("timestamp_utc_s", "received_at").schema
+    received = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("received_at"))
+    times = F.array(F.struct(F.lit("opsb_agent_node").alias("source"), (F.col("timestamp_utc_s").cast("bigint") * 1_000_000).alias("us")),
+                    F.struct(F.lit("opsb_agent_node.received_at").alias("source"), received.alias("us")))
+    node = (spark.readStream.schema(kinds).option("maxFilesPerTrigger", max_files_per_trigger).parquet(node_dir)
+            .select(F.inline(times)))
+    newest = (history.unionByName(node).where("us IS NOT NULL").groupBy("source")
+              .agg(F.max("us").alias("last_us"), F.count(F.lit(1)).alias("rows_seen")))
+    own = _checkpoint_id(spark, checkpoint)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        lake, table = out_table.rsplit("/", 1)
+        if SK.table_meta(s, lake, table) is None:
+            SK.ensure_table(s, lake, table, list(LAG_TYPES), LAG_TYPES, key=["source"], add_updated_at=False)
+        rows = batch.select(F.lit("b").alias("_file"), F.lit(batch_id).alias("_doc"), F.lit(0).alias("_pos"), "*")
+        SK.write_upsert(s, rows, lake, table, ["source"], batch_id=f"lag-{own}-{batch_id}")
+
+    w = newest.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, interval).start()
+
+
+def ingest_lag(newest: DataFrame, as_of: int) -> DataFrame:
+    """Newest record, seconds that it lies before ``as_of``, and rows seen per source of ``stream_ingest_lag``'s table."""
+    seconds = F.expr("(last_us - pmod(last_us, 1000000)) div 1000000")
+    event = F.timestamp_add("MICROSECOND", F.col("last_us"), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    return newest.select("source", event.alias("last_event"), (F.lit(as_of) - seconds).alias("lag_s"), "rows_seen")
+
+
 def stream_history_dedup(spark: SparkSession, history_dir: str, out_path: str, checkpoint: str,
                          watermark: str = "10 minutes", available_now: bool = True, interval: str = "1 minute",
                          max_files_per_trigger: int = 100):

@@ -237,6 +237,16 @@ f AS (
 )
 SELECT source, last_event, (SELECT max(clock) FROM history) - epoch_us(last_event) // 1000000 AS lag_s FROM f
 """)
+ORACLE["stream_ingest_lag"] = agent("""
+f AS (
+    SELECT 'zabbix_history' AS source, make_timestamp(max(clock) * 1000000) AS last_event, count(clock) AS rows_seen FROM history
+    UNION ALL
+    SELECT 'opsb_agent_node', make_timestamp(max(timestamp_utc_s) * 1000000), count(timestamp_utc_s) FROM opsb_agent_node
+    UNION ALL
+    SELECT 'opsb_agent_node.received_at', max(received_at), count(received_at) FROM opsb_agent_node
+)
+SELECT source, last_event, (SELECT max(clock) FROM history) - epoch_us(last_event) // 1000000 AS lag_s, rows_seen FROM f
+""")
 ORACLE["identity_overlap"] = agent("""
 SELECT (SELECT count(*) FROM inventory) AS zabbix_hosts,
        (SELECT count(DISTINCT node_ipv4_address) FROM opsb_agent_node) AS obm_nodes,
