@@ -256,6 +256,12 @@ def disk_volume(hist: DataFrame, items: DataFrame, inv: DataFrame, as_of: int, l
     return per.groupBy("role_class").agg(F.count(F.lit(1)).alias("item_count"), F.sum("n").alias("rows_1d"))
 
 
+def item_samples(hist: DataFrame, items: DataFrame) -> DataFrame:
+    """Samples per item of ``items`` (itemid_num, name). No side is hinted: the tables' statistics decide the join."""
+    return (hist.join(items, hist["itemid"] == items["itemid_num"])
+            .groupBy("itemid_num", "name").agg(F.count(F.lit(1)).alias("samples")))
+
+
 def mount_key_audit(items: DataFrame, top: int = 20) -> DataFrame:
     u = items.where(K.any_like("key_", K.DISK_UTIL_PATTERNS))
     mk = K.mount_key("key_")

@@ -6,11 +6,13 @@ Each query binds the lake tables from the whole input tables of ``sf_dir``
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import fs as FS
 from .plans import reports as R
 from .sources import testbind as tb
 
@@ -1124,6 +1126,90 @@ def q_stream_ingest_lag(spark, sf_dir):
     return ST.ingest_lag(SK.read_table(spark, lake, "ingest_lag"), Lake(spark, sf_dir).as_of)
 
 
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """De-duplication with a watermark of a day, first over half of the hosts, then, from its checkpoint, over the other
+    half, most of which is late by then: rows read, kept, copies, and late rows as the stream reported them."""
+    lk = Lake(spark, sf_dir)
+    src, out, ck, log = (scratch_dir(spark, x) for x in ("hist", "dedup", "ckpt", "progress"))
+    twice = lk.hist.select(*HISTORY_COLS).unionByName(lk.hist.select(*HISTORY_COLS))
+    progress = ST.ProgressLog(spark, log)
+    spark.streams.addListener(progress)
+    try:
+        for half in (0, 1):
+            twice.where(F.pmod("hostid", F.lit(2)) == half).repartition(4).write.mode("append").parquet(src)
+            q = ST.stream_history_dedup(spark, src, out, ck, watermark="1 day", max_files_per_trigger=1000)
+            _await(q)
+            progress.wait(q)
+    finally:
+        spark.streams.removeListener(progress)
+    kept = spark.read.schema(lk.hist.select(*HISTORY_COLS).schema).parquet(out).agg(F.count(F.lit(1)).alias("kept_rows"))
+    return ST.late_rows(spark, log).drop("stream").crossJoin(F.broadcast(kept))  # a row each
+
+
+@register("table_rows")
+def q_table_rows(spark, sf_dir):
+    """Rows of every given table, as a number and as text (the part of the table profile that SQL can check)."""
+    base = sf_dir.rstrip("/")
+    return P.table_profile(spark, {t: f"{base}/{t}.parquet" for t in GIVEN_TABLES}).select("table_name", "rows", "approx_rows")
+
+
+#: The given tables.
+GIVEN_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+                "conversations").split()
+
+
+@register("item_samples_analyzed")
+def q_item_samples_analyzed(spark, sf_dir):
+    """Samples of the text items, joined by the statistics of an analysed catalog table (cost-based, in a session of its own)."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.cbo.enabled", "true")
+    lk, path = Lake(own, sf_dir), scratch_dir(own, "items")
+    lk.items.select(F.col("itemid").try_cast("bigint").alias("itemid_num"), "name", "value_type").write.mode("overwrite").parquet(path)
+    table = "items_" + path.rstrip("/").rsplit("-", 1)[-1]
+    MT.register_table(own, table, path)
+    MT.analyze(own, table)
+    return P.item_samples(lk.hist, own.table(table).where("value_type = '4'"))
+
+
+#: A mapping of one's own: only disks have a table, with two metrics under other names.
+OWN_MAPPING = {**AM.DEFAULT_MAPPING, "class_table_map": {"SCOPE_DISK": "own_disk"},
+               "metric_map": {"DISK": {"BYDSK_UTIL": "busy_pct", "BYDSK_DEVNAME": "disk_device_name"}}}
+
+
+@register("custom_extension")
+def q_custom_extension(spark, sf_dir):
+    """The extension points together: a mapping from a file, an identity check (a private address), a sink and a builder of
+    staged rows. Requests with any record that isn't identified are rejected whole. Rows of the stream's table, of the
+    sink, and of the table that the staged rows were loaded into."""
+    archive, lake, extra, pending = (scratch_dir(spark, x) for x in ("raw", "lake", "extra", "pending"))
+    FS.write_text(spark, f"{extra}/mapping.json", json.dumps(OWN_MAPPING))
+    mapping = AM.read_mapping(spark, f"{extra}/mapping.json")
+    identity = F.col("node_ipv4_address").startswith("192.168.")
+
+    def sink(accepted, batch):
+        accepted.select("request_id", "record_pos", "class_name").write.mode("overwrite").parquet(f"{extra}/rows/batch={batch}")
+
+    def builder(norm, table):
+        return norm.where(F.col("target_table") == table).select(
+            "request_id", "record_pos", F.col("metrics")["disk_device_name"].alias("device"),
+            F.col("metrics")["busy_pct"].try_cast("double").alias("busy"))
+
+    SK.archive_raw(PL.payloads(spark, sf_dir), archive)
+    _await(ST.stream_agent_metrics(spark, archive, lake, scratch_dir(spark, "ckpt"), strict=True, mapping=mapping,
+                                   identity=identity, extra_sinks=[sink]))
+    accepted, _ = N.route(N.normalize(PL.payloads(spark, sf_dir), mapping), strict=True, identity=identity)
+    SK.write_staged_records(accepted, pending, mapping, builder=builder)
+    SK.load_pending(spark, pending, lake + "-staged")
+    table = spark.read.parquet(f"{lake}/own_disk/data").select(
+        F.lit("table").alias("part"), "request_id", F.col("disk_device_name").alias("name"), F.col("busy_pct").alias("value"))
+    seen = spark.read.parquet(f"{extra}/rows").select(
+        F.lit("sink").alias("part"), "request_id", F.col("class_name").alias("name"), F.col("record_pos").cast("double").alias("value"))
+    staged = SK.read_table(spark, lake + "-staged", "own_disk").select(
+        F.lit("staged").alias("part"), "request_id", F.col("device").alias("name"), F.col("busy").alias("value"))
+    return table.unionByName(seen).unionByName(staged)
+
+
 @register("host_density_sketch")
 def q_host_density_sketch(spark, sf_dir):
     """Busiest hosts of all days from stored daily sketches of their items."""

@@ -13,6 +13,8 @@
 * ``stream_volume``        - samples per host and 5-minute window with a
   watermark (update mode, merged into a lake table).
 * ``stream_freshness``     - newest sample time of history (one-row state).
+* ``ProgressLog``          - rows read, late rows and copies of every micro-batch, written down
+  (``late_rows`` sums them per stream).
 * ``stream_ingest_lag``    - newest record and rows per source over several streams
   (a row of state per source, update mode, merged into a lake table).
 
@@ -23,10 +25,13 @@ oldest first) and stops, which is how tests and catch-up runs use it.
 
 from __future__ import annotations
 
+import json
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .. import fs as FS
 from ..functions import agent_mapping as AM
@@ -48,6 +53,55 @@ def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     return FS.read_text(spark, path)
 
 
+PROGRESS = "stream string, batch_id bigint, input_rows bigint, late_rows bigint, copies bigint"
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps what the watermark drops: a row (``PROGRESS``) per micro-batch of the session's streams as a file in ``folder``.
+
+    ``stream`` is the id that the stream's checkpoint holds, so a stream goes on with its own rows after a restart, and a
+    batch that is reported again changes nothing. A batch whose process ends between commit and report has no row.
+    ``late_rows`` are rows behind the watermark: single ones for de-duplication, rows of the partial aggregation for
+    windows. ``copies`` are rows that de-duplication took out. Attach it with ``spark.streams.addListener``.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self._over, self._changed = set(), threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = {"stream": str(p.id), "batch_id": p.batchId, "input_rows": p.numInputRows,
+               "late_rows": sum(o.numRowsDroppedByWatermark for o in p.stateOperators),
+               "copies": sum(o.customMetrics.get("numDroppedDuplicateRows", 0) for o in p.stateOperators)}
+        path = f"{self.folder}/{p.id}-{p.batchId}.json"
+        if not FS.exists(self.spark, path):
+            FS.write_text(self.spark, path, json.dumps(row))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._over.add(str(event.runId))
+            self._changed.notify_all()
+
+    def wait(self, query, timeout_s: float = 60) -> None:
+        """Until the rows of all batches of a stream that has ended are written."""
+        with self._changed:
+            if not self._changed.wait_for(lambda: str(query.runId) in self._over, timeout_s):
+                raise TimeoutError(f"no report of the end of stream {query.id} within {timeout_s} s")
+
+
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows read, late rows and copies of each stream that a ``ProgressLog`` wrote down in ``folder``."""
+    return spark.read.schema(PROGRESS).json(folder).groupBy("stream").agg(
+        *[F.sum(c).alias(c) for c in ("input_rows", "late_rows", "copies")])
+
+
 def staged_files(spark: SparkSession, pending_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
     """Streaming paths of staged files, oldest first. Contents are not read by the stream: a batch is the list of its
     files (kept by the checkpoint), which the batch scan then reads in splits."""

@@ -291,6 +291,13 @@ ORACLE["payload_replay"] = ORACLE["agent_node_rows"]
 ORACLE["jsonl_and_fanout"] = agent("""
 SELECT request_id, record_pos, class_name, node_fqdn, sink FROM norm, (VALUES ('jsonl'), ('parquet')) AS s(sink)
 """)
+ORACLE["custom_extension"] = agent("""
+whole AS (SELECT request_id FROM norm GROUP BY request_id HAVING bool_and(starts_with(node_ipv4_address, '192.168.'))),
+taken AS (SELECT * FROM norm WHERE request_id IN (FROM whole)),
+disks AS (SELECT request_id, ['sda', 'sdb', 'sdc'][k % 3 + 1] AS name, CAST(v AS DOUBLE) AS value FROM taken WHERE class_name = 'DISK')
+SELECT part, disks.* FROM disks, (VALUES ('table'), ('staged')) AS p(part)
+UNION ALL SELECT 'sink', request_id, class_name, CAST(record_pos AS DOUBLE) FROM taken
+""")
 ORACLE["discover_columns"] = agent("""
 SELECT DISTINCT unnest(string_split(metric_keys, ',')) AS "column" FROM norm WHERE target_table = 'opsb_agent_node'
 UNION SELECT unnest(['collection_policy_name', 'node_fqdn', 'node_short_name', 'node_ip_type', 'node_ipv4_address',
