@@ -8,6 +8,7 @@ queries that are not there yet go on.
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 from math import ceil, log2
 
@@ -18,9 +19,12 @@ from hostlake.llm.common import cut
 
 
 def sign_code(vector: Column) -> Column:
-    """The signs of up to 64 numbers as a long, the first in the highest used bit; 1: above 0. Missing ones count as 0."""
-    bits = F.transform(F.slice(vector, 1, 64), lambda x: F.when(x > 0, F.lit(1)).otherwise(0).cast("long"))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda code, bit: F.shiftleft(code, 1).bitwiseOR(bit))
+    """The signs of up to 64 numbers as a long, the first in the highest used bit; 1: above 0. Missing ones count as 0.
+
+    A longer vector is an error: codes that leave numbers out would call different vectors equal."""
+    bits = F.transform(vector, lambda x: F.when(x > 0, F.lit(1)).otherwise(0).cast("long"))
+    code = F.aggregate(bits, F.lit(0).cast("long"), lambda code, bit: F.shiftleft(code, 1).bitwiseOR(bit))
+    return F.when(F.size(vector) <= 64, code).when(F.size(vector) > 64, F.raise_error(F.lit("more than 64 numbers for a code of 64 bits")))
 
 
 def segments(n_codes: int, bits: int = 64) -> list[tuple[int, int]]:
@@ -50,9 +54,10 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_i
     rows: all of them. No rows or no queries: empty.
 
     Equal codes are one entry of the index with their k + 1 smallest ids (more can't be among the k nearest), so a code
-    in a third of all rows is one row. Per round the queries still open probe the index by (segment, key); candidates
-    are verified by their Hamming distance and cut to k per query before and after the shuffle. The driver sees the
-    number of open queries. After the largest radius everything has been met.
+    in a third of all rows is one row. The index is written once, as a table in buckets of (segment, key) that is dropped
+    in the end, and not shuffled again. Per round the queries still open probe it; candidates are verified by their
+    Hamming distance and cut to k per query before and after the shuffle. The driver sees the number of open queries.
+    After the largest radius everything has been met.
     """
     own = base.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where(
         "id IS NOT NULL AND code IS NOT NULL").distinct()
@@ -63,9 +68,20 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_i
                 .groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     n_codes = codes.count()
     parts = segments(n_codes)
-    index = codes.select("code", "ids", F.posexplode(F.array(*[_segment("code", *p) for p in parts])).alias("part", "key"))
+    entries = codes.select("code", "ids", F.posexplode(F.array(*[_segment("code", *p) for p in parts])).alias("part", "key"))
+    spark, table = base.sparkSession, f"hamming_index_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        entries.repartition(buckets, "part", "key").write.bucketBy(buckets, "part", "key").saveAsTable(table)
+        return _rounds(spark.table(table), cut(asked), parts, k)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _rounds(index: DataFrame, open_: DataFrame, parts: list[tuple[int, int]], k: int) -> DataFrame:
+    """The search itself; every round is computed and kept before the next one, so the result doesn't read ``index``."""
     nearest = Window.partitionBy("query_id", "query").orderBy("distance", "id")
-    open_, best, done = cut(asked), None, None
+    best = done = None
     for radius in range(max((n for _, n in parts), default=0) + 1):
         probes = None
         for i, (low, length) in enumerate(parts):

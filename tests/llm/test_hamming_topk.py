@@ -1,6 +1,7 @@
 """Neighbours against brute force."""
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from hostlake.llm import hamming_topk as H
@@ -58,6 +59,32 @@ def test_segments_cover_all_bits():
         assert sum(length for _, length in parts) == 64 and [a for a, _ in parts] == sorted({a for a, _ in parts})
 
 
+def test_long_vectors_are_refused(spark):
+    df = spark.createDataFrame([(1, [1.0] * 64), (2, [-1.0] * 65)], "i int, v array<float>")
+    assert df.where("i = 1").select(H.sign_code(F.col("v"))).first()[0] == -1
+    with pytest.raises(Exception, match="more than 64"):
+        df.select(H.sign_code(F.col("v"))).collect()
+
+
+def test_the_index_is_partitioned_once(spark, monkeypatch):
+    plans = []
+
+    def cut(df):
+        plans.append(df._jdf.queryExecution().toString())
+        return common_cut(df)
+    common_cut = H.cut
+    monkeypatch.setattr(H, "cut", cut)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        check(spark, codes(4, 300, 9), codes(4, 300, 9)[::100], 3)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rounds = [p.split("== Physical Plan ==")[1] for p in plans if "radius" in p or "bit_count" in p]
+    assert rounds
+    for plan in rounds:  # of the join's two sides the probes alone are shuffled by (part, key)
+        assert plan.count("Exchange hashpartitioning(part") == 1
+
+
 def test_sign_code(spark):
     df = spark.createDataFrame([(1, [0.5, -1.0, 2.0]), (2, []), (3, None), (4, [None, 1.0])], "i int, v array<float>")
     assert [r.c for r in df.orderBy("i").select(H.sign_code(F.col("v")).alias("c")).collect()] == [5, 0, None, 1]
