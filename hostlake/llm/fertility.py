@@ -44,12 +44,16 @@ class Band:
 #: Entropy of a text grows with its length towards the language's; prose is above these steps, word lists and strings
 #: of symbols mostly below.
 _PROSE = ((100, 4.9), (200, 5.4), (400, 5.6))
-#: By language code, then by script of most letters, then '': any other. Natural prose has about 4.5 (English) or 2.5
+#: By language code. Natural prose has about 4.5 (English) or 2.5
 #: (other Latin) characters a token in the English byte-level vocabulary, invented words about half of that, strings of
 #: capitals or symbols less; scripts outside its training mostly take one to three tokens a character.
-BANDS = {
+LANGUAGES = {
     "en": Band((1.75, 9.0), 0.1, _PROSE), "fr": Band((1.5, 8.0), 0.1, _PROSE), "de": Band((1.55, 8.0), 0.1, _PROSE),
-    "es": Band((1.4, 8.0), 0.1, _PROSE), "Latin": Band((1.3, 9.0), 0.25, _PROSE), "Cyrillic": Band((0.4, 4.0), 0.3), "Greek": Band((0.3, 4.0), 0.5),
+    "es": Band((1.4, 8.0), 0.1, _PROSE),
+}
+#: By script of most letters; '': any other.
+SCRIPTS = {
+    "Latin": Band((1.3, 9.0), 0.25, _PROSE), "Cyrillic": Band((0.4, 4.0), 0.3), "Greek": Band((0.3, 4.0), 0.5),
     "Arabic": Band((0.3, 3.0), 0.6), "Hebrew": Band((0.3, 3.0), 0.6), "Han": Band((0.2, 2.0), 0.8),
     "Kana": Band((0.2, 2.5), 0.6), "Hangul": Band((0.2, 2.0), 0.8), "": Band(),
 }
@@ -124,18 +128,21 @@ class Meter:
 _METERS: dict[tuple, Meter] = {}
 
 
-def tokeniser_rules(docs: DataFrame, ranks: str, pattern: str, pieces: str, bands: dict[str, Band] | None = None,
-                    id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
+def tokeniser_rules(docs: DataFrame, ranks: str, pattern: str, pieces: str, languages: dict[str, Band] | None = None,
+                    scripts: dict[str, Band] | None = None, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str | None = "lang") -> DataFrame:
     """Counts, measures and verdict of every whole text, one row per input row.
 
     Returns (id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_tokens,
     chars_per_token, byte_share, token_entropy, band). base_failed: fewer than 10 words, or over a fifth of the words in
-    five-word windows that occur twice. kept: not base_failed and inside the band of the row's language; a null or
-    unlisted language, or ``lang_col`` None, takes the band of the script of most letters. A null text has no words.
+    five-word windows that occur twice. kept: not base_failed and inside the band of the row's language (``languages``); a null
+    or unlisted language (an empty one, or a script's name, too), or ``lang_col`` None, takes the band of the script of most
+    letters (``scripts``, '' for others). A null text has no words. An empty table gives an empty one. A very long text
+    is measured whole, in one task, in time linear in its length.
     ``ranks`` (byte-level vocabulary, for tokens) and ``pieces`` (piece vocabulary with byte fallback) are paths that
     executors can open. Ids may be null or repeat; other columns are not read. Nothing is shuffled.
     """
-    bands = BANDS if bands is None else bands
+    languages, scripts = LANGUAGES if languages is None else languages, SCRIPTS if scripts is None else scripts
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens",
@@ -152,9 +159,12 @@ def tokeniser_rules(docs: DataFrame, ranks: str, pattern: str, pieces: str, band
                 *base, words = base_counts(text)
                 failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
                 n, fertility, single, entropy = meter.measure(text, words, base[1])
-                name = lang if lang in bands else script_of(text)
-                name = name if name in bands else ""
-                kept = not failed and not bands.get(name, Band()).rejects(fertility, single, entropy, n)
+                band, name = languages.get(lang), lang
+                if band is None:
+                    name = script_of(text)
+                    name = name if name in scripts else ""
+                    band = scripts.get(name, Band())
+                kept = not failed and not band.rejects(fertility, single, entropy, n)
                 rows.append((*base, failed, kept, n, fertility, single, entropy, name))
             cols = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays(

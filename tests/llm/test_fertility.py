@@ -52,7 +52,11 @@ def test_documents(spark, meter):
         words = re.findall(r"[^\x20\x09-\x0D]+", d.text)
         pieces = [i for w in words for i in meter.pieces.encode(w)]
         assert math.isclose(r.byte_share, sum(map(meter.pieces.is_byte, pieces)) / max(1, len(pieces)))
-        assert r.band == d.lang and not (r.base_failed and r.kept)
+        assert r.band == d.lang
+        band = Q.LANGUAGES[d.lang]
+        inside = (band.chars_per_token[0] <= r.chars_per_token <= band.chars_per_token[1] and r.byte_share <= band.byte_share
+                  and r.token_entropy >= max([bits for n, bits in band.entropy if r.n_tokens >= n], default=0))
+        assert r.kept == (inside and not r.base_failed)
 
 
 def test_clean_documents_stay(spark):
@@ -73,6 +77,15 @@ def test_bands_reject(spark):
     assert out[4].band == "Cyrillic" and out[4].kept
 
 
+def test_a_language_is_no_script(spark):
+    junk = " ".join(f"x{i % 7}q{i % 11}z{i % 13}" for i in range(900))
+    df = spark.createDataFrame([(i, junk, lang) for i, lang in enumerate(["", "Han", "Latin", "xx", None])], "doc_id long, text string, lang string")
+    out = Q.tokeniser_rules(df, *ARGS).collect()
+    assert {(r.band, r.kept) for r in out} == {("Latin", False)} and len(out) == 5
+    loose = {r.doc_id: r for r in Q.tokeniser_rules(df, *ARGS, languages={"xx": Q.Band(entropy=())}, scripts={}).collect()}
+    assert [(loose[i].band, loose[i].base_failed) for i in range(5)] == [("", loose[0].base_failed)] * 3 + [("xx", loose[0].base_failed), ("", loose[0].base_failed)]
+
+
 def test_nulls_empty_ties_and_clashing_columns(spark):
     rows = [(1, None, "en", 1), (None, "", None, 2), (2, " \n ", "xx", 3), (2, " \n ", "xx", 3), (3, "a" * 200_000, "en", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_words int")
