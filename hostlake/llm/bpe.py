@@ -225,7 +225,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
     Returns (id, n_tokens, ids_sha256, decoded_sha256, and with ``ids`` the token ids as array<int>), one row per input
     row. A null text is an empty one: no tokens, digests of nothing. Null ids stay null; rows may repeat; other columns
     are not read. ``vocabulary`` is a path that every executor can open (installed with the tokenizer package).
-    No shuffle: texts are encoded where they are read, ``common.BATCH_ROWS`` at a time.
+    An empty table gives an empty one. A very long text is encoded whole in one task, a very long match of the pattern in
+    time linear but for a logarithm in its length. No shuffle: texts are encoded where they are read, ``common.BATCH_ROWS`` at a time.
     """
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()

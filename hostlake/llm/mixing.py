@@ -56,6 +56,7 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float], other: float = 0.0,
     and copy). Sources not named in ``weights`` (null too) share ``other`` in their natural proportion; weight 0 drops
     a source. Weights are divided by their sum. A source without documents gives none. Null ids hash as ''; rows that
     share an id draw the same count. Names of new columns get a leading '_' where ``docs`` has them already.
+    An empty table gives an empty one. Texts of any length (null too) are only carried along.
 
     One pass counts rows per named source (the driver sees one number each; as many as ``weights`` has). The rates come
     back as a broadcast of that bounded size, so a source with a third of all rows is never a join key or a group.

@@ -164,6 +164,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, id_col: st
     as [start, stop) word positions and the kept words joined by one space). A null text has no words. A document with
     a null id is never smaller nor larger than another: it keeps its words and removes none. Rows with equal ids don't
     remove each other's words. Repeats inside one document stay. Other columns are not read.
+    An empty table gives an empty one. A very long text is judged whole: one task reads its words, any compare its spans.
     """
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()

@@ -177,7 +177,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Learns from rows whose crc32(id as text) mod 3 is not 1 (the others are held out; a null id is not). score is
     between 0 and 1, predicted is 1 from 0.5 on. Null and empty texts are scored from their (zero) statistics. Rows may
-    repeat; other columns are not read.
+    repeat; other columns are not read. An empty table gives an empty one (empty labels: a model without rules). A very
+    long text's statistics are computed whole, in one row of one task.
     """
     model = fit(docs, labels, third(F.col(id_col)) != 1, rows, id_col, text_col, label_col)
     out = scored(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")), model, "t")

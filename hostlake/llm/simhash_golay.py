@@ -179,6 +179,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int =
     included. Rows with equal fingerprints (copies; also all texts without words, fingerprint 0) are one node, so a
     group of copies of any size is one row from the first shuffle on. Null ids are never the smallest; a component of
     null ids only has a null component_id. Other columns are not read. Only (id, fingerprint) rows are shuffled.
+    An empty table gives an empty one. A very long text is hashed whole, in one task.
     """
     found = cut(fingerprints(docs, words_per_shingle, id_col, text_col).select("id", "fp"))
     return found.join(_grouped(found, max_bits), "fp").select(

@@ -97,7 +97,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_co
     Of the rules that fit, the one with the longest host + path wins (ties: the smallest such text; the same rule with
     both verdicts: block). No rule: rule null, verdict ``default``. A null url, or one without ``://``, has empty host
     and path and is judged like any other. Ids may be null or repeat; other columns are not read. Rules with a null
-    host or path are left out. Each distinct host, and each distinct path below a rule host, is swept once.
+    host or path are left out. An empty table of pages gives an empty one; without rules every url gets ``default``. A very
+    long url is one key like any other. Each distinct host, and each distinct path below a rule host, is swept once.
     """
     urls = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     rules = (rules.where("host IS NOT NULL AND path IS NOT NULL").groupBy("host", "path")
