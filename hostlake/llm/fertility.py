@@ -118,10 +118,10 @@ class Meter:
         if not words:
             return 0, 0.0, 0.0, 0.0
         ids = np.asarray(self.tokens.encode_ordinary(text))
-        counts = np.bincount(ids)
-        share = counts[counts > 0] / len(ids)
-        found = list(map(self.of_word, words))
-        pieces, single = sum(f[0] for f in found), sum(f[1] for f in found)
+        share = np.unique(ids, return_counts=True)[1] / len(ids)
+        recent = self.new  # (a word that is met there needs no call; where ``of_word`` begins a new one, it is still right)
+        found = [recent.get(w) or self.of_word(w) for w in words]
+        pieces, single = map(sum, zip(*found, strict=True))
         return len(ids), chars / len(ids), single / max(1, pieces), float(max(0.0, -(share * np.log2(share)).sum()))
 
 
@@ -138,7 +138,7 @@ def tokeniser_rules(docs: DataFrame, ranks: str, pattern: str, pieces: str, lang
     five-word windows that occur twice. kept: not base_failed and inside the band of the row's language (``languages``); a null
     or unlisted language (an empty one, or a script's name, too), or ``lang_col`` None, takes the band of the script of most
     letters (``scripts``, '' for others). A null text has no words. An empty table gives an empty one. A very long text
-    is measured whole, in one task, in time linear in its length.
+    is measured whole, in one task, in time about linear in its length.
     ``ranks`` (byte-level vocabulary, for tokens) and ``pieces`` (piece vocabulary with byte fallback) are paths that
     executors can open. Ids may be null or repeat; other columns are not read. Nothing is shuffled.
     """
