@@ -187,3 +187,14 @@ def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
         fake = types.SimpleNamespace(conf=conf, sparkContext=types.SimpleNamespace(master=master))
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             ensure_checkpoint_dir(fake)
+
+
+def test_panel_without_bounds_has_all_samples(spark):
+    from hostlake.plans import panels as PN
+    from hostlake.plans import profile as P
+    from hostlake.registry import QUERIES
+    lk = Lake(spark, SF)
+    readable = P.readable_history(lk.hist, lk.items, lk.inv)
+    want = readable.where("value_num IS NOT NULL").count()
+    assert PN.panel_timeseries(readable, None, None).count() == want
+    assert QUERIES["panel_timeseries"](spark, SF).count() == want > 0
