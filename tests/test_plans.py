@@ -198,3 +198,19 @@ def test_panel_without_bounds_has_all_samples(spark):
     want = readable.where("value_num IS NOT NULL").count()
     assert PN.panel_timeseries(readable, None, None).count() == want
     assert QUERIES["panel_timeseries"](spark, SF).count() == want > 0
+
+
+def test_sides_not_proven_small_are_never_broadcast(spark, monkeypatch):
+    """Spark estimates the generated items far too small; its own choice would send them through the driver."""
+    from hostlake import session
+    from hostlake.operators import inventory as INV
+    from hostlake.plans import profile as P
+    lk = Lake(spark, SF)
+    monkeypatch.setattr(session, "DEFAULT_BROADCAST_ROWS", 0)
+    frames = {"attach": INV.attach_host(lk.hist, lk.items), "types": P.value_type_distribution(lk.hist, lk.items),
+              "catalog": P.host_item_catalog(lk.hist, lk.items, lk.inv, lk.as_of),
+              "disk_items": R.disk_items(lk.items, R.group_hosts(lk.inv, "AGENTLESS_GROUP", with_ip=True)),
+              "roles": P.diag_items(lk.items, lk.inv), "density": P.host_density(lk.hist, lk.inv, lk.as_of),
+              "latest": P.host_latest(lk.hist, lk.items, lk.inv)}
+    for name, df in frames.items():
+        assert "BroadcastHashJoin" not in tree(plan(df)), name
