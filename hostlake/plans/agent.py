@@ -22,26 +22,25 @@ def node_profile(node: DataFrame, top: int = 50) -> DataFrame:
 def freshness(hist: DataFrame, node: DataFrame, as_of: int) -> DataFrame:
     """Newest record and ingest lag (seconds before ``as_of``) per source."""
     h = hist.agg(F.max("clock").alias("c")).select(F.lit("zabbix_history").alias("source"), clock_to_ntz("c").alias("last_event"))
-    n = node.agg(F.max("timestamp_utc_s").alias("c")).select(F.lit("opsb_agent_node").alias("source"), clock_to_ntz("c").alias("last_event"))
-    r = node.agg(F.max("received_at").alias("last_event")).select(F.lit("opsb_agent_node.received_at").alias("source"), "last_event")
-    u = h.unionByName(n).unionByName(r)
+    # both times in one pass over the records
+    n = node.agg(F.max("timestamp_utc_s").alias("c"), F.max("received_at").alias("r")).select(F.inline(F.array(
+        F.struct(F.lit("opsb_agent_node").alias("source"), clock_to_ntz("c").alias("last_event")),
+        F.struct(F.lit("opsb_agent_node.received_at").alias("source"), F.col("r").alias("last_event")))))
+    u = h.unionByName(n)
     lag = F.lit(as_of) - F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("last_event"))
     return u.select("source", "last_event", lag.alias("lag_s"))
 
 
 def identity_overlap(inv: DataFrame, node: DataFrame) -> DataFrame:
     """Host count, distinct agent IPs, and hosts whose primary IP is an agent IP (one row)."""
-    ips = node.select("node_ipv4_address").distinct()
-    a = inv.agg(F.count(F.lit(1)).alias("n")).select(F.lit("hosts").alias("k"), "n")
-    b = ips.agg(F.count("node_ipv4_address").alias("n")).select(F.lit("nodes").alias("k"), "n")
-    # semi-join: hosts whose primary IP is an agent IP (no host x node pairs are formed)
-    c = inv.join(ips, inv["primary_ip"] == ips["node_ipv4_address"], "left_semi").agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.lit("matched").alias("k"), "n")
-    # three one-row counts folded into one row by a global aggregate (no cross join)
-    u = a.unionByName(b).unionByName(c)
-    return u.agg(F.max(F.when(F.col("k") == "hosts", F.col("n"))).alias("zabbix_hosts"),
-                 F.max(F.when(F.col("k") == "nodes", F.col("n"))).alias("obm_nodes"),
-                 F.max(F.when(F.col("k") == "matched", F.col("n"))).alias("matched_by_ip"))
+    # one row per address, with the hosts that have it (no host x node pairs are formed, and records are read once)
+    hosts = inv.select(F.col("primary_ip").alias("ip"), F.lit(1).alias("host"), F.lit(False).alias("node"))
+    nodes = node.select(F.col("node_ipv4_address").alias("ip"), F.lit(0).alias("host"), F.lit(True).alias("node"))
+    per_ip = hosts.unionByName(nodes).groupBy("ip").agg(F.sum("host").alias("hosts"), F.max("node").alias("node"))
+    known = F.col("node") & F.col("ip").isNotNull()
+    return per_ip.agg(F.coalesce(F.sum("hosts"), F.lit(0)).alias("zabbix_hosts"),
+                      F.count_if(known).alias("obm_nodes"),
+                      F.coalesce(F.sum(F.when(known, F.col("hosts"))), F.lit(0)).alias("matched_by_ip"))
 
 
 def host_bridge(inv: DataFrame, node: DataFrame) -> DataFrame:
@@ -55,14 +54,14 @@ def host_bridge(inv: DataFrame, node: DataFrame) -> DataFrame:
 def name_bridge(inv: DataFrame, node: DataFrame, top: int | None = 50) -> DataFrame:
     """Host / node pairs matching by lower-cased name (short name OR fqdn).
 
-    The OR condition is planned as two equi-joins whose union is de-duplicated
+    The OR condition is one equi-join with a row per name of a node, de-duplicated
     on the pair, instead of a nested-loop join.
     """
     obm = node.select("node_short_name", "node_fqdn", "node_ipv4_address").distinct()
     i = inv.select("hostid", "name", "primary_ip", F.lower("name").alias("_lname"))
-    by_short = i.join(obm, i["_lname"] == F.lower(obm["node_short_name"]))
-    by_fqdn = i.join(obm, i["_lname"] == F.lower(obm["node_fqdn"]))
-    pairs = by_short.unionByName(by_fqdn).dropDuplicates(["hostid", "node_short_name", "node_fqdn", "node_ipv4_address"])
+    names = F.array_distinct(F.array(F.lower("node_short_name"), F.lower("node_fqdn")))
+    named = obm.select("*", F.explode(names).alias("_name"))
+    pairs = i.join(named, i["_lname"] == named["_name"]).dropDuplicates(["hostid", "node_short_name", "node_fqdn", "node_ipv4_address"])
     out = pairs.select(F.col("name").alias("zabbix_name"), "primary_ip", F.col("node_short_name").alias("obm_name"),
                        "node_ipv4_address")
     if top is not None:

@@ -167,3 +167,36 @@ def test_received_at_texts(spark):
         p = _payloads(spark, [{"class_name": "GLOBAL", "MonitoredSystem": "a"}], received=text)
         rows = N.to_table_rows(N.normalize(p), "opsb_agent_node").collect()
         assert [r.received_at for r in rows] == [want and dt.datetime(2024, 1, 2, *want)]
+
+
+def _tree(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_are_parsed_once_and_not_by_filters(spark):
+    from hostlake.plans import agent as AG
+    from hostlake.registry import Lake, QUERIES, _node
+    sf = "/root/testdata/sf0.001"
+    lines = _tree(QUERIES["node_cpu_mem"](spark, sf)).splitlines()
+    assert not [x for x in lines if "Filter " in x and "from_json" in x]
+    # reports that need the nodes twice read them once
+    node = _node(spark, sf)
+    for df in (AG.identity_overlap(Lake(spark, sf).inv, node), AG.name_bridge(Lake(spark, sf).inv, node)):
+        assert _tree(df).count("Generate posexplode") == 1
+
+
+def test_identity_overlap_of_empty_and_null_addresses(spark):
+    from hostlake.plans.agent import identity_overlap
+    inv = spark.createDataFrame([("1.1.1.1",), ("1.1.1.1",), (None,), ("2.2.2.2",)], "primary_ip string")
+    node = spark.createDataFrame([("1.1.1.1",), (None,), ("3.3.3.3",), ("3.3.3.3",)], "node_ipv4_address string")
+    assert tuple(identity_overlap(inv, node).first()) == (4, 2, 2)
+    assert tuple(identity_overlap(inv.limit(0), node.limit(0)).first()) == (0, 0, 0)
+
+
+def test_name_bridge_pairs_once_by_either_name(spark):
+    from hostlake.plans.agent import name_bridge
+    inv = spark.createDataFrame([("1", "A", "x"), ("2", "b.net", "y"), ("3", None, "z")], "hostid string, name string, primary_ip string")
+    node = spark.createDataFrame([("a", "A", "i"), ("b", "B.net", "j"), (None, "a", "k"), (None, None, "l")],
+                                 "node_short_name string, node_fqdn string, node_ipv4_address string")
+    assert sorted(map(tuple, name_bridge(inv, node).collect()), key=repr) == [
+        ("A", "x", "a", "i"), ("A", "x", None, "k"), ("b.net", "y", "b", "j")]
