@@ -119,3 +119,17 @@ def test_compaction_and_retention_on_day_partitions(spark, scratch):
     dropped = MT.apply_retention(spark, path, lk.as_of, keep_days=10)
     left = sorted(x for x in os.listdir(local) if x.startswith("event_date="))
     assert len(left) == len(days) - len(dropped) and len(dropped) > 0
+
+
+def test_archive_has_about_as_many_files_as_days_and_tasks(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from hostlake.operators import sinks as SK
+    path, days = scratch("raw"), 12
+    received = F.timestamp_add("DAY", F.col("id") % days, F.expr("timestamp_ntz'2024-01-01 00:00:00'"))
+    rows = spark.range(0, 2400, 1, 16).select(F.concat(F.lit("r"), "id").alias("request_id"), received.alias("received_at"),
+                                             F.lit("").alias("raw_payload_ref"), F.lit("{}").alias("body"))
+    SK.archive_raw(rows, path)
+    back = spark.read.parquet(path)
+    assert len(back.inputFiles()) <= days + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert back.count() == 2400 and back.select("request_id").distinct().count() == 2400
