@@ -133,3 +133,20 @@ def test_archive_has_about_as_many_files_as_days_and_tasks(spark, scratch):
     back = spark.read.parquet(path)
     assert len(back.inputFiles()) <= days + int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert back.count() == 2400 and back.select("request_id").distinct().count() == 2400
+
+
+def test_staged_records_are_normalised_once_for_all_tables(spark, scratch, monkeypatch):
+    from hostlake.operators import normalize as N
+    from hostlake.operators import sinks as SK
+    from hostlake.registry import agent_norm
+    accepted, _ = N.route(agent_norm(spark, "/root/testdata/sf0.001"), strict=False)
+    kept = []
+    own = SK.write_staged
+
+    def write(rows, *args, **kwargs):
+        kept.append("InMemoryTableScan" in rows._jdf.queryExecution().executedPlan().toString())
+        own(rows, *args, **kwargs)
+
+    monkeypatch.setattr(SK, "write_staged", write)
+    SK.write_staged_records(accepted, scratch("pending"))
+    assert kept == [True] * 5 and not accepted.storageLevel.useMemory
