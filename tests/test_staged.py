@@ -451,3 +451,18 @@ def test_a_refused_move_keeps_all_rows(spark, scratch, monkeypatch):
             MT.compact(spark, path, as_of=10_000_000, older_than_days=1)
     assert spark.read.parquet(path).count() == 400
     assert MT.compact(spark, path, as_of=10_000_000, older_than_days=1) > 0 and spark.read.parquet(path).count() == 400
+
+
+def test_documents_and_records_are_parsed_once(spark):
+    """One use of a parsed document or record must not be one more parse of its text."""
+    from hostlake.sources import staged as S
+
+    def parses(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+    docs = spark.createDataFrame([("f", 0, json.dumps({"meta": {"table": "t", "method": "copy"}, "data": [{"a": "1", "b": 2, "a2": None}]}))],
+                                 "file_path string, doc_pos int, doc string")
+    parsed = S.parse_envelope(docs)
+    assert parses(parsed) <= 2  # the document, and its list
+    records = S.records_frame(parsed, {"a": "int", "b": "bigint", "a2": "string"}, key=["a"])
+    assert parses(records) <= 4
+    assert records.select("a", "b", "a2", "_bad").collect() == [(1, 2, None, None)]
