@@ -214,3 +214,11 @@ def test_sides_not_proven_small_are_never_broadcast(spark, monkeypatch):
               "latest": P.host_latest(lk.hist, lk.items, lk.inv)}
     for name, df in frames.items():
         assert "BroadcastHashJoin" not in tree(plan(df)), name
+
+
+def test_filter_on_item_keys_builds_no_keys(spark):
+    from hostlake.functions import classify as K
+    from hostlake.sources import testbind as tb
+    df = tb.items(spark, SF).where(K.disk_item_filter("key_"))
+    filters = [x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in x and "fs.usage" in x]
+    assert filters and all("element_at" not in x and "concat(" not in x for x in filters)
