@@ -222,3 +222,14 @@ def test_filter_on_item_keys_builds_no_keys(spark):
     df = tb.items(spark, SF).where(K.disk_item_filter("key_"))
     filters = [x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in x and "fs.usage" in x]
     assert filters and all("element_at" not in x and "concat(" not in x for x in filters)
+
+
+def test_payload_texts_are_made_behind_a_shuffle_of_few_fields(spark):
+    from hostlake.sources import payloads as PL
+    lines = PL.payloads(spark, SF)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    shuffle = [i for i, x in enumerate(lines) if "RepartitionByExpression" in x]
+    texts = [i for i, x in enumerate(lines) if "GBL_CPU_TOTAL_UTIL" in x]
+    assert len(shuffle) == 1 and texts and max(texts) < shuffle[0]
+    assert all("lambda" not in lines[i] for i in texts)
+    t = tree(plan(PL.payloads(spark, SF)))
+    assert t.count("Exchange") == 1
