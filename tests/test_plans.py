@@ -233,3 +233,10 @@ def test_payload_texts_are_made_behind_a_shuffle_of_few_fields(spark):
     assert all("lambda" not in lines[i] for i in texts)
     t = tree(plan(PL.payloads(spark, SF)))
     assert t.count("Exchange") == 1
+
+
+def test_a_side_of_some_20_mb_is_not_broadcast(spark):
+    from hostlake.session import is_small
+    side = spark.range(400_000).select("id", F.lpad(F.col("id").cast("string"), 20, "x").alias("name"))
+    assert not is_small(side)
+    assert is_small(side.limit(100_000))
