@@ -240,3 +240,11 @@ def test_a_side_of_some_20_mb_is_not_broadcast(spark):
     side = spark.range(400_000).select("id", F.lpad(F.col("id").cast("string"), 20, "x").alias("name"))
     assert not is_small(side)
     assert is_small(side.limit(100_000))
+
+
+def test_size_check_reads_no_further_than_its_bounds(spark):
+    """16 MB are 1,048,576 rows of one number: the rows behind them, which can't be read, don't matter."""
+    from hostlake.session import is_small
+    bad = F.raise_error(F.lit("read too far")).cast("long")
+    side = spark.range(0, 1_900_000, 1, 1).select(F.when(F.col("id") < 1_500_000, F.col("id")).otherwise(bad).alias("id"))
+    assert not is_small(side.where("id >= 0"))
