@@ -248,3 +248,8 @@ def test_size_check_reads_no_further_than_its_bounds(spark):
     bad = F.raise_error(F.lit("read too far")).cast("long")
     side = spark.range(0, 1_900_000, 1, 1).select(F.when(F.col("id") < 1_500_000, F.col("id")).otherwise(bad).alias("id"))
     assert not is_small(side.where("id >= 0"))
+
+
+def test_history_is_bound_by_one_scan_of_the_events(spark):
+    t = tree(plan(Lake(spark, SF).hist))
+    assert t.count("Scan parquet") == 1
