@@ -253,3 +253,23 @@ def test_size_check_reads_no_further_than_its_bounds(spark):
 def test_history_is_bound_by_one_scan_of_the_events(spark):
     t = tree(plan(Lake(spark, SF).hist))
     assert t.count("Scan parquet") == 1
+
+
+def test_payload_texts_are_made_in_methods_that_the_jvm_compiles(spark):
+    """A method of more than 8,000 bytes of code is interpreted for good."""
+    import re
+    from hostlake.sources import payloads as PL
+    buf = io.StringIO()
+    auto = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the later stages have no code yet
+    try:
+        with redirect_stdout(buf):
+            PL.payloads(spark, SF).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", auto)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", buf.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_throughput_of_both_directions_reads_the_payloads_once(spark):
+    assert tree(plan(E.queries()["net_throughput"](spark, SF))).count("Scan parquet") == 1
