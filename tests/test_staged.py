@@ -466,3 +466,16 @@ def test_documents_and_records_are_parsed_once(spark):
     records = S.records_frame(parsed, {"a": "int", "b": "bigint", "a2": "string"}, key=["a"])
     assert parses(records) <= 4
     assert records.select("a", "b", "a2", "_bad").collect() == [(1, 2, None, None)]
+
+
+def test_documents_of_one_group_are_dealt_over_files(spark, scratch):
+    """A group's documents lie in several files, of a given number, and no row is lost."""
+    import glob
+    from hostlake.sources import staged as SG
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit("w").alias("window_id"))
+    folder = scratch()
+    SK.write_staged(rows, folder, "t", "copy", group_cols=["window_id"], max_records=500, add_updated_at=False, files=4)
+    found = glob.glob(f"{folder.removeprefix('file:')}/*.json")
+    assert 1 < len(found) <= 4
+    docs = SG.parse_envelope(SG.read_staged(spark, folder))
+    assert docs.agg(F.sum(F.size("records"))).first()[0] == 20_000
