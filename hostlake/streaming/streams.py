@@ -28,6 +28,7 @@ from __future__ import annotations
 import json
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ from ..functions import agent_mapping as AM
 from ..functions.scalars import date_parts
 from ..operators import normalize as N
 from ..operators import sinks as SK
+from ..session import bounded_broadcast, scratch_dir
 from ..sources import staged as S
 
 
@@ -123,8 +125,12 @@ def stream_load_pending(spark: SparkSession, pending_dir: str, lake: str, checkp
     def load(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         files = sorted(r[0] for r in batch.collect())  # at most max_files_per_trigger paths
-        SK.load_docs(s, S.read_staged(s, pending_dir, files), lake, f"stream-{own}-{batch_id}", partition_tables,
-                     latest_tables=latest_tables)
+        lines = scratch_dir(s, "lines")
+        try:
+            SK.load_docs(s, S.read_staged(s, pending_dir, files, lines), lake, f"stream-{own}-{batch_id}", partition_tables,
+                         latest_tables=latest_tables)
+        finally:
+            FS.delete(s, lines)
 
     w = staged_files(spark, pending_dir, max_files_per_trigger).writeStream.foreachBatch(load) \
         .option("checkpointLocation", checkpoint)
@@ -176,11 +182,16 @@ def stream_agent_metrics(spark: SparkSession, archive_dir: str, lake: str, check
         try:
             accepted, quarantined = N.route(norm, strict=strict, identity=identity)
             try:
-                for t in tables:
-                    rows = N.to_table_rows(accepted, t, mapping)
-                    rows.write.mode("overwrite").parquet(f"{lake}/{t}/data/batch_id={batch_id}")
-                N.unmapped_rows(accepted, mapping).write.mode("overwrite") \
-                    .parquet(f"{lake}/opsb_agent_unmapped/data/batch_id={batch_id}")
+                rows = {t: N.to_table_rows(accepted, t, mapping) for t in tables}
+                rows["opsb_agent_unmapped"] = N.unmapped_rows(accepted, mapping)
+
+                def write(t: str) -> None:
+                    rows[t].write.mode("overwrite").parquet(f"{lake}/{t}/data/batch_id={batch_id}")
+
+                first, *others = rows
+                write(first)  # normalises the batch; the others read what that kept, side by side
+                with ThreadPoolExecutor(len(rows)) as pool:
+                    list(pool.map(write, others))
                 for extra in extra_sinks:
                     extra(accepted, number)
                 if jsonl_dir:
@@ -191,7 +202,7 @@ def stream_agent_metrics(spark: SparkSession, archive_dir: str, lake: str, check
                     F.max("req_weak_records").alias("weak_record_count"),
                     F.max("req_records").alias("total_records")) \
                     .withColumn("error", F.lit(f"{type(exc).__name__}: {exc}"))
-            q = quarantined.join(bodies, "request_id")
+            q = bounded_broadcast(quarantined).join(bodies, "request_id")
             q.select("*", *date_parts("received_at")).write.mode("overwrite").partitionBy("y", "m", "d") \
                 .parquet(f"{lake}/_quarantine/batch_id={batch_id}")
         finally:
