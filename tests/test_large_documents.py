@@ -75,3 +75,18 @@ def test_archived_files_can_be_read_by_many_tasks(spark, scratch):
     assert sum(m.num_rows for m in groups) == 12000
     for f, m in zip(files, groups):
         assert m.num_row_groups >= os.path.getsize(f) // (2 * SK.ARCHIVE_BYTES)
+
+
+def test_tables_of_a_batch_are_loaded_side_by_side(spark, scratch, monkeypatch):
+    import threading
+    pending, lake, both = scratch("pending"), scratch("lake"), threading.Barrier(2, timeout=60)
+    for t in ("t1", "t2"):
+        SK.write_staged(spark.range(20).select(F.col("id").cast("string").alias("a")), pending, t, "copy", add_updated_at=False)
+    load = SK._load_group
+
+    def met(*args):
+        both.wait()
+        return load(*args)
+    monkeypatch.setattr(SK, "_load_group", met)
+    assert [r.status for r in SK.load_pending(spark, pending, lake).collect()] == ["ok", "ok"]
+    assert SK.read_table(spark, lake, "t1").count() == SK.read_table(spark, lake, "t2").count() == 20
